@@ -1,0 +1,27 @@
+"""Join-side sizing: broadcast only behind a proven bound.
+
+``broadcast_if_bounded`` counts at most ``max_rows + 1`` rows of the candidate
+side (a bounded job: ``limit`` stops reading early) and only then adds the
+broadcast hint. Beyond the bound the plain join is returned and AQE chooses
+between a runtime broadcast (its own measured-size threshold) and a
+shuffle join with skew splitting.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def row_count_at_most(df: DataFrame, bound: int) -> int | None:
+    """Exact row count if it is <= bound, else None. Reads at most bound+1 rows."""
+    n = df.limit(bound + 1).count()
+    return n if n <= bound else None
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    if row_count_at_most(df, max_rows) is not None:
+        return F.broadcast(df)
+    return df
