@@ -38,6 +38,7 @@ def get_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.parquet.compression.codec": "snappy",
     }
     if shuffle_partitions:
