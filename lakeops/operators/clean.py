@@ -102,3 +102,8 @@ def null_census(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
         F.count_if(anykey_null).alias("key_null"),
         F.count_if(vnull & anykey_null).alias("value_and_key_null"),
     )
+
+
+def not_null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows a NOT NULL constraint on ``columns`` would reject (B6's own query)."""
+    return df.where(~_all_not_null(columns))

@@ -1 +1,395 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: row-level operations (I), versioned datasets (A4-A8, B, J).
+
+Every query builds its datasets from the driver tables in a fresh folder under
+the shared checkpoint folder, runs the commits eagerly and returns a lazy read
+of the resulting state. The oracle SQL computes the same state directly.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeops.operators import clean, rowops
+from lakeops.plans.catalog import Catalog
+from lakeops.plans.registry import nk, nk_sql, query, table
+from lakeops.plans.versioned import VersionedDataset
+from lakeops.session import scratch_dir
+
+CDF = {"enableChangeDataFeed": "true"}
+ORDERS_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+CUST_COLS = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
+
+
+# ------------------------------------------------------------ row-level (I)
+
+@query(
+    "update_rows",
+    f"""select o_orderkey, o_custkey,
+      case when o_orderpriority = '1-URGENT' and o_orderstatus = 'O' then 'X' else o_orderstatus end as o_orderstatus,
+      o_totalprice, o_orderdate,
+      case when o_orderpriority = '1-URGENT' and o_orderstatus = 'O' then o_orderstatus else o_orderpriority end
+        as o_orderpriority
+    from orders""",
+)
+def update_rows(spark, sf_dir):
+    ds = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "orders"), table(spark, sf_dir, "orders"))
+    # Both SET expressions see the old row: the priority receives the old status.
+    ds.update(
+        {"o_orderstatus": "'X'", "o_orderpriority": F.col("o_orderstatus")},
+        "o_orderpriority = '1-URGENT' and o_orderstatus = 'O'",
+    )
+    return ds.to_df()
+
+
+@query(
+    "update_not_equal",
+    f"""select o_orderkey, case when o_orderstatus <> 'F' then 'X' else o_orderstatus end as o_orderstatus
+    from (select o_orderkey, {nk_sql('o_orderstatus', 'o_orderkey', 13)} as o_orderstatus from orders)""",
+)
+def update_not_equal(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", nk("o_orderstatus", "o_orderkey", 13).alias("o_orderstatus"))
+    return rowops.update_rows(o, {"o_orderstatus": F.lit("X")}, F.col("o_orderstatus") != "F")  # NULL untouched
+
+
+@query(
+    "delete_rows",
+    f"""select * from (select o_orderkey, {nk_sql('o_orderstatus', 'o_orderkey', 13)} as o_orderstatus, o_totalprice
+    from orders) where (o_orderstatus = 'F') is not true""",
+)
+def delete_rows(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", nk("o_orderstatus", "o_orderkey", 13).alias("o_orderstatus"), "o_totalprice"
+    )
+    ds = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "orders"), o)
+    ds.delete("o_orderstatus = 'F'")  # rows whose status is NULL stay
+    return ds.to_df()
+
+
+@query("delete_all", "select count(*) as rows_before, cast(0 as bigint) as rows_after from orders")
+def delete_all(spark, sf_dir):
+    ds = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "orders"), table(spark, sf_dir, "orders"))
+    ds.delete()
+    before = ds.to_df(0).agg(F.count(F.lit(1)).alias("rows_before"))
+    after = ds.to_df().agg(F.count(F.lit(1)).alias("rows_after"))
+    return before.crossJoin(after)  # two one-row aggregates
+
+
+def _orders_merge(spark, sf_dir, change_feed=False) -> VersionedDataset:
+    o = table(spark, sf_dir, "orders")
+    target = VersionedDataset.from_dataframe(
+        spark, scratch_dir(spark, "orders"), o.where("o_orderstatus <> 'P'"), properties=CDF if change_feed else None
+    )
+    source = o.where("o_orderstatus <> 'F'").withColumn("o_orderpriority", F.lit("NEW"))
+    (
+        target.merge(source, "t.o_orderkey = s.o_orderkey")
+        .when_matched_update({"o_orderpriority": "s.o_orderpriority", "o_totalprice": "s.o_totalprice + 1"})
+        .when_not_matched_insert({c: f"s.{c}" for c in ORDERS_COLS.split(", ")})
+        .execute()
+    )
+    return target
+
+
+@query(
+    "merge_upsert",
+    f"""select {ORDERS_COLS} from orders where o_orderstatus = 'F'
+    union all select o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1, o_orderdate, 'NEW' from orders
+      where o_orderstatus = 'O'
+    union all select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, 'NEW' from orders
+      where o_orderstatus = 'P'""",
+)
+def merge_upsert(spark, sf_dir):
+    return _orders_merge(spark, sf_dir).to_df()
+
+
+@query(
+    "merge_insert_all",
+    f"""select {CUST_COLS} from customer where c_mktsegment not in ('BUILDING', 'AUTOMOBILE')
+    union all select c_custkey, c_name, c_nationkey, c_acctbal + 1, c_mktsegment from customer
+      where c_mktsegment in ('BUILDING', 'AUTOMOBILE')""",
+)
+def merge_insert_all(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    target = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "cust"), c.where("c_mktsegment <> 'BUILDING'"))
+    source = VersionedDataset.from_dataframe(
+        spark, scratch_dir(spark, "cust-src"),
+        c.where("c_mktsegment in ('BUILDING', 'AUTOMOBILE')").withColumn("c_acctbal", F.col("c_acctbal") + 1),
+    )
+    (
+        target.alias("tgt")
+        .merge(source.to_df().alias("src"), "tgt.c_custkey = src.c_custkey", source_alias="src")
+        .when_matched_update({"tgt.c_acctbal": "src.c_acctbal"})
+        .when_not_matched_insert_all()
+        .execute()
+    )
+    return target.to_df()
+
+
+# ------------------------------------------------- customer version chain
+
+_S2 = f"""(select c_custkey, c_name, c_nationkey, case when c_acctbal < 0 then 0.0 else c_acctbal end as c_acctbal,
+    c_mktsegment from customer)"""
+_S3 = f"(select * from {_S2} where c_mktsegment <> 'MACHINERY')"
+
+
+def _customer_chain(spark, sf_dir, change_feed=False, root=None) -> VersionedDataset:
+    """v0 CTAS (all but HOUSEHOLD) -> v1 append HOUSEHOLD -> v2 negative balances to 0
+    -> v3 delete MACHINERY."""
+    c = table(spark, sf_dir, "customer")
+    ds = VersionedDataset.from_dataframe(
+        spark, root or scratch_dir(spark, "customer"), c.where("c_mktsegment <> 'HOUSEHOLD'"),
+        properties=CDF if change_feed else None,
+    )
+    ds.append(c.where("c_mktsegment = 'HOUSEHOLD'"))
+    ds.update({"c_acctbal": "0.0"}, "c_acctbal < 0")
+    ds.delete("c_mktsegment = 'MACHINERY'")
+    return ds
+
+
+@query("version_latest", f"select * from {_S3}")
+def version_latest(spark, sf_dir):
+    base = scratch_dir(spark, "catalog")
+    cat = Catalog(spark, base)
+    cat.register("customers", _customer_chain(spark, sf_dir))
+    return cat.table("customers")  # by name -> root -> latest version
+
+
+@query("version_as_of", f"select * from {_S2}")
+def version_as_of(spark, sf_dir):
+    ds = _customer_chain(spark, sf_dir)
+    return VersionedDataset.for_path(spark, ds.root).to_df(2)  # by path, VERSION AS OF 2
+
+
+@query("restore_version", "select * from customer")
+def restore_version(spark, sf_dir):
+    ds = _customer_chain(spark, sf_dir)
+    ds.restore(1)
+    return ds.to_df()
+
+
+def _history_with_rows(ds: VersionedDataset, limit=None):
+    versions = [r.version for r in ds.history(limit).select("version").collect()]  # commit numbers only
+    counts = None
+    for v in versions:
+        one = ds.to_df(v).agg(F.count(F.lit(1)).alias("num_rows")).withColumn("version", F.lit(v))
+        counts = one if counts is None else counts.unionByName(one)
+    h = ds.history(limit).select("version", "operation")
+    return h.join(counts, "version") if counts is not None else h.withColumn("num_rows", F.lit(0).cast("bigint"))
+
+
+_HISTORY_SQL = """select 0 as version, 'CREATE TABLE AS SELECT' as operation,
+      (select count(*) from customer where c_mktsegment <> 'HOUSEHOLD') as num_rows
+    union all select 1, 'WRITE', (select count(*) from customer)
+    union all select 2, 'UPDATE', (select count(*) from customer)
+    union all select 3, 'DELETE', (select count(*) from customer where c_mktsegment <> 'MACHINERY')
+    union all select 4, 'RESTORE', (select count(*) from customer where c_mktsegment <> 'HOUSEHOLD')"""
+
+
+@query("history_all", _HISTORY_SQL)
+def history_all(spark, sf_dir):
+    ds = _customer_chain(spark, sf_dir)
+    ds.restore(0)
+    return _history_with_rows(ds)
+
+
+@query("history_last_n", f"select * from ({_HISTORY_SQL}) where version >= 3")
+def history_last_n(spark, sf_dir):
+    ds = _customer_chain(spark, sf_dir)
+    ds.restore(0)
+    return _history_with_rows(ds, limit=2)
+
+
+@query(
+    "version_diff",
+    """select c_custkey, 'removed' as change from customer where c_mktsegment = 'MACHINERY'
+    union all select c_custkey, 'changed' as change from customer where c_acctbal < 0 and c_mktsegment <> 'MACHINERY'""",
+)
+def version_diff(spark, sf_dir):
+    ds = _customer_chain(spark, sf_dir)
+    return rowops.diff_by_key(ds.to_df(1), ds.to_df(3), ["c_custkey"])
+
+
+# ----------------------------------------------------------- change feed
+
+_CHANGES_SQL = f"""select {CUST_COLS}, 'insert' as _change_type, cast(0 as bigint) as _commit_version
+      from customer where c_mktsegment <> 'HOUSEHOLD'
+    union all select {CUST_COLS}, 'insert', cast(1 as bigint) from customer where c_mktsegment = 'HOUSEHOLD'
+    union all select {CUST_COLS}, 'update_preimage', cast(2 as bigint) from customer where c_acctbal < 0
+    union all select c_custkey, c_name, c_nationkey, 0.0, c_mktsegment, 'update_postimage', cast(2 as bigint)
+      from customer where c_acctbal < 0
+    union all select *, 'delete', cast(3 as bigint) from {_S2} where c_mktsegment = 'MACHINERY'"""
+
+
+@query("changes_by_version", _CHANGES_SQL)
+def changes_by_version(spark, sf_dir):
+    ds = _customer_chain(spark, sf_dir, change_feed=True)
+    return ds.changes(0, 10).drop("_commit_timestamp")  # end beyond latest clamps
+
+
+@query("changes_by_timestamp", None)  # commit times are not reproducible by SQL
+def changes_by_timestamp(spark, sf_dir):
+    ds = _customer_chain(spark, sf_dir, change_feed=True)
+    ts = {r.version: r.timestamp for r in ds.history().select("version", "timestamp").collect()}
+    return ds.changes_between_timestamps(ts[1], ts[2])
+
+
+@query(
+    "audit_trail",
+    f"select c_custkey, _commit_version, _change_type, c_acctbal from ({_CHANGES_SQL}) order by c_custkey, _commit_version desc",
+)
+def audit_trail(spark, sf_dir):
+    ds = _customer_chain(spark, sf_dir, change_feed=True)
+    return (
+        ds.changes(0).select("c_custkey", "_commit_version", "_change_type", "c_acctbal")
+        .orderBy("c_custkey", F.desc("_commit_version"))
+    )
+
+
+# --------------------------------------------------- creation and writes (B)
+
+@query(
+    "create_empty",
+    "select 0 as version, cast(0 as bigint) as num_rows union all select 1, count(*) from customer",
+)
+def create_empty(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    ds = VersionedDataset.create(spark, scratch_dir(spark, "empty"), c.schema)  # version 0, no rows
+    view = f"customer_src_{abs(hash(ds.root)) % 10**8}"
+    c.createOrReplaceTempView(view)
+    ds.append(spark.sql(f"SELECT * FROM {view}"), by_position=True)  # INSERT INTO t SELECT * FROM v
+    return _history_with_rows(ds).select("version", "num_rows")
+
+
+@query("create_or_replace", "select * from region")
+def create_or_replace(spark, sf_dir):
+    root = scratch_dir(spark, "cor")
+    VersionedDataset.from_dataframe(spark, root, table(spark, sf_dir, "nation"))
+    region = table(spark, sf_dir, "region")
+    ds = VersionedDataset.create(spark, root, region.schema, mode="create_or_replace")  # new schema, no rows
+    ds.append(region)
+    return ds.to_df()
+
+
+@query("create_if_not_exists", "select * from nation")
+def create_if_not_exists(spark, sf_dir):
+    root = scratch_dir(spark, "cine")
+    VersionedDataset.from_dataframe(spark, root, table(spark, sf_dir, "nation"))
+    ds = VersionedDataset.create(spark, root, table(spark, sf_dir, "region").schema, mode="create_if_not_exists")
+    return ds.to_df()
+
+
+@query(
+    "insert_values",
+    """select n_nationkey, n_name, n_regionkey from nation
+    union all select * from (values (100, 'ATLANTIS', 5), (101, 'LEMURIA', 6)) v(n_nationkey, n_name, n_regionkey)""",
+)
+def insert_values(spark, sf_dir):
+    ds = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "nation"), table(spark, sf_dir, "nation"))
+    ds.insert_values([(100, "ATLANTIS", 5), (101, "LEMURIA", 6)])
+    return ds.to_df()
+
+
+@query("insert_select", "select n_nationkey as key, n_name as name, n_regionkey as region from nation")
+def insert_select(spark, sf_dir):
+    ds = VersionedDataset.create(spark, scratch_dir(spark, "nations"), "key INT, name STRING, region INT")
+    view = f"nation_src_{abs(hash(ds.root)) % 10**8}"
+    table(spark, sf_dir, "nation").createOrReplaceTempView(view)
+    ds.append(spark.sql(f"SELECT * FROM {view}"), by_position=True)
+    return ds.to_df()
+
+
+@query("overwrite_snapshot", f"select {ORDERS_COLS} from orders where o_orderstatus = 'F'")
+def overwrite_snapshot(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    ds = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "orders"), o)
+    ds.overwrite(o.where("o_orderstatus = 'F'"))
+    return ds.to_df()
+
+
+@query(
+    "insert_overwrite",
+    "select o_orderkey as k, o_totalprice as price from orders where o_orderpriority = '1-URGENT'",
+)
+def insert_overwrite(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    ds = VersionedDataset.from_dataframe(
+        spark, scratch_dir(spark, "prices"), o.select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"))
+    )
+    # INSERT OVERWRITE t SELECT ...: bound by position, names of the query ignored
+    ds.overwrite(o.where("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_totalprice"), by_position=True)
+    return ds.to_df()
+
+
+@query("self_overwrite", f"select {ORDERS_COLS} from orders where o_orderstatus <> 'P'")
+def self_overwrite(spark, sf_dir):
+    ds = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "orders"), table(spark, sf_dir, "orders"))
+    ds.overwrite(ds.to_df().where(F.col("o_orderstatus") != "P"))  # reads v0, writes v1: no data loss
+    return ds.to_df()
+
+
+@query("adopt_parquet", f"select {ORDERS_COLS} from orders where o_orderstatus <> 'F'")
+def adopt_parquet(spark, sf_dir):
+    src = f"{sf_dir.rstrip('/')}/orders.parquet"
+    ds = VersionedDataset.adopt_parquet(spark, scratch_dir(spark, "adopted"), src)  # no copy
+    ds.delete("o_orderstatus = 'F'")  # rewrites into the dataset's own folder; the source stays as it is
+    return ds.to_df()
+
+
+_GEN_SQL = """select o_orderkey, o_orderdate, cast(year(o_orderdate) as integer) as o_year,
+    cast(year(o_orderdate) + 1 as integer) as g from orders"""
+
+
+def _orders_by_year(spark, sf_dir) -> VersionedDataset:
+    ds = VersionedDataset.create(
+        spark, scratch_dir(spark, "orders-by-year"),
+        "o_orderkey BIGINT NOT NULL, o_orderdate TIMESTAMP_NTZ, o_year INT, g INT",
+        partition_by=["o_year"], generated={"o_year": "year(o_orderdate)", "g": "year(o_orderdate) + 1"},
+    )
+    ds.append(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
+    return ds
+
+
+@query("generated_column", _GEN_SQL)
+def generated_column(spark, sf_dir):
+    return _orders_by_year(spark, sf_dir).to_df()
+
+
+@query("partition_pruned_scan", f"select * from ({_GEN_SQL}) where o_year = 1997")
+def partition_pruned_scan(spark, sf_dir):
+    return _orders_by_year(spark, sf_dir).to_df().where(F.col("o_year") == 1997)  # PartitionFilters, one folder read
+
+
+@query(
+    "not_null_guard",
+    f"select p_partkey, p_size from (select p_partkey, {nk_sql('p_size', 'p_partkey', 7)} as p_size from part) where p_size is null",
+)
+def not_null_guard(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", nk("p_size", "p_partkey", 7).alias("p_size"))
+    return clean.not_null_violations(p, ["p_size"])
+
+
+# ----------------------------------------------------------------- clones
+
+@query("clone_shallow", "select * from supplier")
+def clone_shallow(spark, sf_dir):
+    src = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "supplier"), table(spark, sf_dir, "supplier"))
+    return src.clone(scratch_dir(spark, "supplier-shallow"), shallow=True).to_df()
+
+
+@query("clone_deep", "select * from supplier")
+def clone_deep(spark, sf_dir):
+    src = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "supplier"), table(spark, sf_dir, "supplier"))
+    return src.clone(scratch_dir(spark, "supplier-deep"), shallow=False).to_df()
+
+
+@query(
+    "clone_diverge",
+    """select *, 'source' as side from supplier
+    union all select s_suppkey, s_name, s_nationkey, case when s_acctbal < 0 then 0.0 else s_acctbal end, 'clone'
+      from supplier where s_nationkey >= 5""",
+)
+def clone_diverge(spark, sf_dir):
+    src = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "supplier"), table(spark, sf_dir, "supplier"))
+    cl = src.clone(scratch_dir(spark, "supplier-clone"), shallow=True)
+    cl.delete("s_nationkey < 5")
+    cl.update({"s_acctbal": "0.0"}, "s_acctbal < 0")
+    return src.to_df().withColumn("side", F.lit("source")).unionByName(cl.to_df().withColumn("side", F.lit("clone")))

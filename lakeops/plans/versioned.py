@@ -283,9 +283,15 @@ class VersionedDataset:
 
     @classmethod
     def from_dataframe(cls, spark, root, df: DataFrame, partition_by=(), properties=None, **kw) -> "VersionedDataset":
-        """CREATE TABLE ... AS SELECT: version 0 holds ``df``'s rows."""
-        ds = cls.create(spark, root, df.schema, partition_by=partition_by, properties=properties, **kw)
-        ds.append(df, operation="CREATE TABLE AS SELECT")
+        """CREATE TABLE ... AS SELECT: one commit (version 0) holding ``df``'s rows."""
+        ds = cls(spark, root)
+        if ds.exists():
+            raise VersionError(f"dataset already exists at {ds.root}")
+        st = StructType([StructField(f.name, f.dataType, True) for f in df.schema.fields])
+        c = Commit(0, None, "CREATE TABLE AS SELECT", {}, st, list(partition_by), dict(properties or {}),
+                   dict(kw.get("generated") or {}), list(kw.get("not_null") or []), [], [])
+        entry = ds._write(c, ds._conform(c, df), 0)[KIND_INSERT]
+        ds._write_log(Commit(**{**c.__dict__, "paths": [entry], "changes": [(KIND_INSERT, entry)]}))
         return ds
 
     @classmethod
