@@ -1 +1,87 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: compaction, clustering, file statistics and skipping (K, A13)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeops.operators import layout
+from lakeops.plans.registry import query, table
+from lakeops.plans.versioned import VersionedDataset
+from lakeops.session import scratch_dir
+
+LOOKUP_KEY = 1500
+CLUSTER_FILES = 8
+
+
+def _lineitem_appends(spark, sf_dir) -> VersionedDataset:
+    """lineitem as several appends (one per return flag): many small files, as after a
+    stream of inserts."""
+    li = table(spark, sf_dir, "lineitem")
+    ds = VersionedDataset.create(spark, scratch_dir(spark, "lineitem"), li.schema)
+    for flag in ("A", "N", "R"):
+        ds.append(li.where(F.col("l_returnflag") == flag))
+    ds.append(li.where(~F.col("l_returnflag").isin("A", "N", "R")))
+    return ds
+
+
+@query("compact", "select * from lineitem")
+def compact(spark, sf_dir):
+    ds = _lineitem_appends(spark, sf_dir)
+    layout.compact(ds)
+    return ds.to_df()
+
+
+@query("cluster_by_column", "select * from lineitem")
+def cluster_by_column(spark, sf_dir):
+    ds = _lineitem_appends(spark, sf_dir)
+    layout.cluster_by(ds, ["l_partkey"], n_files=CLUSTER_FILES)
+    return ds.to_df()
+
+
+@query("cluster_by_columns", "select * from lineitem")
+def cluster_by_columns(spark, sf_dir):
+    ds = _lineitem_appends(spark, sf_dir)
+    layout.cluster_by(ds, ["l_partkey", "l_suppkey"], n_files=CLUSTER_FILES)
+    return ds.to_df()
+
+
+@query("point_lookup", f"select * from lineitem where l_partkey = {LOOKUP_KEY}")
+def point_lookup(spark, sf_dir):
+    ds = _lineitem_appends(spark, sf_dir)
+    layout.cluster_by(ds, ["l_partkey"], n_files=CLUSTER_FILES)
+    return layout.point_lookup(ds, "l_partkey", LOOKUP_KEY)
+
+
+@query("file_skipping", None)  # file counts depend on the writer's file layout
+def file_skipping(spark, sf_dir):
+    ds = _lineitem_appends(spark, sf_dir)
+    before, total_before = layout.files_for(ds, "l_partkey", LOOKUP_KEY)
+    layout.cluster_by(ds, ["l_partkey"], n_files=CLUSTER_FILES)
+    after, total_after = layout.files_for(ds, "l_partkey", LOOKUP_KEY)
+    return spark.createDataFrame(
+        [("before", total_before, len(before)), ("after", total_after, len(after))],
+        "layout string, files_total int, files_to_read int",
+    )
+
+
+@query(
+    "file_inventory",
+    "select count(*) as num_rows from lineitem",
+)
+def file_inventory(spark, sf_dir):
+    ds = _lineitem_appends(spark, sf_dir)
+    inv = layout.file_sizes(ds.to_df())
+    return inv.agg(F.sum("num_rows").alias("num_rows"))
+
+
+@query(
+    "file_stats",
+    "select min(l_partkey) as min_partkey, max(l_partkey) as max_partkey, count(*) as num_rows from lineitem",
+)
+def file_stats(spark, sf_dir):
+    ds = _lineitem_appends(spark, sf_dir)
+    st = layout.file_stats(ds.to_df(), ["l_partkey"])
+    return st.agg(
+        F.min("l_partkey__min").alias("min_partkey"), F.max("l_partkey__max").alias("max_partkey"),
+        F.sum("num_rows").alias("num_rows"),
+    )
