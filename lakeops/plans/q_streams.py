@@ -1 +1,96 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: line streams (A10, L1-L3), the streaming change feed (A9, L4,
+L5, M6) and the aggregate kept from changes (M4)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeops.plans import incremental
+from lakeops.plans.registry import query, table
+from lakeops.plans.versioned import VersionedDataset
+from lakeops.session import scratch_dir
+from lakeops.streaming import changes as cstream
+from lakeops.streaming import lines
+
+STREAM_TIMEOUT_S = 600
+
+
+def _event_lines(spark, sf_dir, folder: str) -> None:
+    """events as CSV text lines, dropped into ``folder`` as two separate writes."""
+    ev = table(spark, sf_dir, "events")
+    line = F.concat_ws(",", F.col("event_id").cast("string"), F.col("event_type"), F.col("user_id").cast("string"))
+    ev.where(F.col("event_type").isin("click", "view")).select(line.alias("value")).write.text(f"{folder}/a")
+    ev.where(~F.col("event_type").isin("click", "view")).select(line.alias("value")).write.text(f"{folder}/b")
+
+
+@query("line_stream", "select event_type, count(*) as n from events group by event_type")
+def line_stream(spark, sf_dir):
+    work = scratch_dir(spark, "line-stream")
+    src = f"{work}/in"
+    _event_lines(spark, sf_dir, src)
+    sdf = lines.line_stream(spark, f"{src}/*", max_files_per_trigger=1)  # several micro-batches
+    parsed = sdf.select(F.split("value", ",").getItem(1).alias("event_type"))
+    lines.run(lines.to_parquet(parsed, f"{work}/out", f"{work}/_checkpoint"), STREAM_TIMEOUT_S)
+    return spark.read.parquet(f"{work}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_batch_preview", None)  # which rows a batch shows first is not fixed
+def stream_batch_preview(spark, sf_dir):
+    work = scratch_dir(spark, "preview")
+    src = f"{work}/in"
+    _event_lines(spark, sf_dir, src)
+    sdf = lines.line_stream(spark, f"{src}/*", max_files_per_trigger=1)
+    lines.run(lines.preview_batches(sdf, f"{work}/out", f"{work}/_checkpoint"), STREAM_TIMEOUT_S)
+    return spark.read.parquet(f"{work}/out")
+
+
+@query(
+    "changes_stream",
+    """select _commit_version, _change_type, count(*) as n from (
+      select 'insert' as _change_type, cast(0 as bigint) as _commit_version from customer where c_mktsegment <> 'HOUSEHOLD'
+      union all select 'insert', cast(1 as bigint) from customer where c_mktsegment = 'HOUSEHOLD'
+      union all select 'update_preimage', cast(2 as bigint) from customer where c_acctbal < 0
+      union all select 'update_postimage', cast(2 as bigint) from customer where c_acctbal < 0
+      union all select 'delete', cast(3 as bigint) from customer where c_mktsegment = 'MACHINERY')
+    group by _commit_version, _change_type""",
+)
+def changes_stream(spark, sf_dir):
+    work = scratch_dir(spark, "change-stream")
+    c = table(spark, sf_dir, "customer")
+    ds = VersionedDataset.from_dataframe(
+        spark, f"{work}/customer", c.where("c_mktsegment <> 'HOUSEHOLD'"), properties={"enableChangeDataFeed": "true"}
+    )
+    writer = cstream.parquet_change_writer(f"{work}/sink")
+    ck = f"{work}/_checkpoint"
+    lines.run(cstream.deliver_changes(ds, writer, ck), STREAM_TIMEOUT_S)  # sees version 0
+    ds.append(c.where("c_mktsegment = 'HOUSEHOLD'"))
+    ds.update({"c_acctbal": "0.0"}, "c_acctbal < 0")
+    lines.run(cstream.deliver_changes(ds, writer, ck), STREAM_TIMEOUT_S)  # restart: only versions 1, 2
+    ds.delete("c_mktsegment = 'MACHINERY'")
+    lines.run(cstream.deliver_changes(ds, writer, ck), STREAM_TIMEOUT_S)  # only version 3
+    return cstream.change_counts(cstream.read_change_sink(spark, f"{work}/sink"))
+
+
+@query(
+    "incremental_aggregate",
+    """select o_custkey + case when o_orderpriority = '1-URGENT' then 1 else 0 end as o_custkey, count(*) as n
+    from orders where o_orderpriority <> '5-LOW' group by 1""",
+)
+def incremental_aggregate(spark, sf_dir):
+    work = scratch_dir(spark, "incremental")
+    o = table(spark, sf_dir, "orders")
+    ds = VersionedDataset.from_dataframe(
+        spark, f"{work}/orders", o.where("o_orderstatus <> 'P'"), properties={"enableChangeDataFeed": "true"}
+    )
+    agg = incremental.create_count(spark, f"{work}/per_customer", ds.to_df(0), ["o_custkey"], source_version=0)
+
+    def on_changes(changes, versions):
+        incremental.apply_changes(agg, changes, ["o_custkey"], up_to_version=max(versions))
+
+    ck = f"{work}/_checkpoint"
+    ds.append(o.where("o_orderstatus = 'P'"))
+    ds.delete("o_orderpriority = '5-LOW'")
+    lines.run(cstream.deliver_changes(ds, on_changes, ck, starting_version=1), STREAM_TIMEOUT_S)
+    ds.update({"o_custkey": "o_custkey + 1"}, "o_orderpriority = '1-URGENT'")
+    lines.run(cstream.deliver_changes(ds, on_changes, ck, starting_version=1), STREAM_TIMEOUT_S)
+    return incremental.current_counts(agg)

@@ -643,7 +643,8 @@ class MergeBuilder:
         self.insert_all = True
         return self
 
-    def execute(self) -> int:
+    def execute(self, properties: Mapping[str, str] | None = None) -> int:
+        """Run the merge as one commit; ``properties`` are set in that same commit."""
         ds = self.ds
         base = ds.latest()
         # Materialise the source once: every pass below re-reads the same rows
@@ -673,6 +674,7 @@ class MergeBuilder:
             out = ds._write(base, ds._conform(base, rows), base.version + 1)
         data = [out[k] for k in DATA_KINDS if k in out]
         changes = [(k, out[k]) for k in (KIND_PRE, KIND_POST, KIND_INSERT) if k in out]
+        props = {**base.properties, **{k: str(v) for k, v in (properties or {}).items()}}
         return ds._next(base, "MERGE", [*keep, *data], changes=changes,
-                        parameters={"predicate": str(self.condition)})
+                        parameters={"predicate": str(self.condition)}, properties=props)
 
