@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from lakeops.functions import fs
+from lakeops.functions.literals import empty_df
 from lakeops.plans.versioned import KIND_INSERT, LOG_SCHEMA, VersionedDataset, norm_path
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -174,7 +175,7 @@ def point_lookup(ds: VersionedDataset, column: str, value, version: int | None =
     c = ds.latest() if version is None else ds.commit_at(version)
     files, _ = files_for(ds, column, value, c.version)
     if not files:
-        return ds.spark.createDataFrame([], c.schema)
+        return empty_df(ds.spark, c.schema)
     return ds.spark.read.schema(c.schema).parquet(*files).where(F.col(column) == F.lit(value))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from lakeops.functions import fs
+from lakeops.functions.literals import literal_df
 from lakeops.plans.versioned import VersionedDataset, VersionError
 
 _NAME_SCHEMA = StructType(
@@ -33,7 +34,7 @@ class Catalog:
     def _record(self, name: str, root: str | None) -> None:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         seq = f"{now:%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-        row = self.spark.createDataFrame([(now, seq, root)], StructType(_NAME_SCHEMA.fields[:-1]))
+        row = literal_df(self.spark, [(now, seq, root)], StructType(_NAME_SCHEMA.fields[:-1]))
         row.coalesce(1).write.mode("errorifexists").json(f"{self._names_dir()}/name={name}/{seq}")
 
     def root_of(self, name: str) -> str | None:

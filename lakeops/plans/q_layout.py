@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeops.operators import layout
+from lakeops.functions.literals import literal_df
 from lakeops.plans.registry import query, table
 from lakeops.plans.versioned import VersionedDataset
 from lakeops.session import scratch_dir
@@ -58,7 +59,8 @@ def file_skipping(spark, sf_dir):
     before, total_before = layout.files_for(ds, "l_partkey", LOOKUP_KEY)
     layout.cluster_by(ds, ["l_partkey"], n_files=CLUSTER_FILES)
     after, total_after = layout.files_for(ds, "l_partkey", LOOKUP_KEY)
-    return spark.createDataFrame(
+    return literal_df(
+        spark,
         [("before", total_before, len(before)), ("after", total_after, len(after))],
         "layout string, files_total int, files_to_read int",
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeops.functions.partitioning import spread
 from lakeops.operators import text
 from lakeops.plans.registry import query, table
 from lakeops.session import scratch_dir
@@ -15,7 +16,8 @@ _TOKENS_SQL = r"""(select doc_id, lower(unnest(string_split_regex(text, '\r\n|\r
 
 
 def _doc_tokens(spark, sf_dir):
-    return text.tokens(table(spark, sf_dir, "documents"), "text", keep=("doc_id",))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return text.tokens(docs, "text", keep=("doc_id",))
 
 
 @query(

@@ -50,6 +50,7 @@ from pyspark.errors import AnalysisException
 
 from lakeops.functions import fs
 from lakeops.functions.columns import as_column, is_true
+from lakeops.functions.literals import empty_df, literal_df
 from lakeops.operators import rowops
 from lakeops.sources.files import bind_by_position
 
@@ -139,6 +140,8 @@ class VersionedDataset:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = norm_path(fs.qualify(spark, root)).rstrip("/")
+        # Commits are immutable once written: cache them, read only unseen versions.
+        self._cache: dict[int, Commit] = {}
 
     # ------------------------------------------------------------------ log
     @property
@@ -149,9 +152,22 @@ class VersionedDataset:
         return bool(fs.list_names(self.spark, self.log_dir))
 
     def _commits(self) -> list[Commit]:
-        if not self.exists():
+        names = fs.list_names(self.spark, self.log_dir)  # one listing call, no job
+        versions = {int(n.split("=", 1)[1]) for n in names if n.startswith("version=")}
+        if not versions:
             raise VersionError(f"no versioned dataset at {self.root}")
-        rows = self.spark.read.schema(LOG_SCHEMA).json(self.log_dir).collect()  # metadata: one row per commit
+        unseen = sorted(versions - self._cache.keys())
+        if unseen:
+            paths = [f"{self.log_dir}/version={v}" for v in unseen]
+            rows = (
+                self.spark.read.schema(LOG_SCHEMA).option("basePath", self.log_dir).json(paths).collect()
+            )  # metadata: one row per new commit
+            for c in self._parse(rows):
+                self._cache[c.version] = c
+        return [self._cache[v] for v in sorted(versions)]
+
+    @staticmethod
+    def _parse(rows) -> list[Commit]:
         out = []
         for r in sorted(rows, key=lambda r: r.version):
             out.append(
@@ -184,8 +200,9 @@ class VersionedDataset:
         raise VersionError(f"version {version} does not exist in {self.root}")
 
     def _write_log(self, c: Commit) -> int:
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         row = (
-            _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
+            now.replace(microsecond=now.microsecond // 1000 * 1000),  # JSON keeps milliseconds
             c.operation,
             {k: str(v) for k, v in c.parameters.items()},
             c.schema.json(),
@@ -196,13 +213,14 @@ class VersionedDataset:
             list(c.paths),
             [(t, p) for t, p in c.changes],
         )
-        df = self.spark.createDataFrame([row], _LOG_ROW_SCHEMA).coalesce(1)
+        df = literal_df(self.spark, [row], _LOG_ROW_SCHEMA).coalesce(1)
         try:
             df.write.mode("errorifexists").json(f"{self.log_dir}/version={c.version}")
         except AnalysisException as e:
             if "PATH_ALREADY_EXISTS" in str(e) or "already exists" in str(e):
                 raise ConcurrentCommitError(f"version {c.version} of {self.root} already committed") from e
             raise
+        self._cache[c.version] = Commit(**{**c.__dict__, "ts": row[0]})
         return c.version
 
     def _next(self, base: Commit, operation: str, paths: Sequence[str], changes=(), parameters=None, **kw) -> int:
@@ -316,7 +334,7 @@ class VersionedDataset:
     def _read_commit(self, c: Commit, paths: Sequence[str] | None = None) -> DataFrame:
         paths = list(c.paths if paths is None else paths)
         if not paths:
-            return self.spark.createDataFrame([], c.schema)
+            return empty_df(self.spark, c.schema)
         if c.partition_cols:
             # Partitioned folders of different commits cannot be read in one call;
             # read each with its own basePath (pruning works per branch).
@@ -416,7 +434,7 @@ class VersionedDataset:
         """INSERT INTO t VALUES (...), bound by position."""
         base = self.latest()
         writable = [f for f in base.schema.fields if f.name not in base.generated]
-        df = self.spark.createDataFrame(list(rows), StructType([StructField(f.name, f.dataType) for f in writable]))
+        df = literal_df(self.spark, rows, StructType([StructField(f.name, f.dataType) for f in writable]))
         return self.append(df, operation="WRITE")
 
     def overwrite(self, df: DataFrame, by_position: bool = False, operation: str = "WRITE") -> int:
@@ -591,7 +609,7 @@ class VersionedDataset:
                 + [StructField("_change_type", StringType()), StructField("_commit_version", IntegerType()),
                    StructField("_commit_timestamp", TimestampType())]
             )
-            return self.spark.createDataFrame([], empty).withColumn("_commit_version", F.col("_commit_version").cast("bigint"))
+            return empty_df(self.spark, empty).withColumn("_commit_version", F.col("_commit_version").cast("bigint"))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p, allowMissingColumns=True)
@@ -643,15 +661,24 @@ class MergeBuilder:
         self.insert_all = True
         return self
 
-    def execute(self, properties: Mapping[str, str] | None = None) -> int:
-        """Run the merge as one commit; ``properties`` are set in that same commit."""
+    def execute(self, properties: Mapping[str, str] | None = None, stage_source: bool | None = None) -> int:
+        """Run the merge as one commit; ``properties`` are set in that same commit.
+
+        The source is read more than once (match check, rewrite, inserts). A
+        deterministic source plan (file scans, filters, projections) is simply
+        re-read; a non-deterministic one (``rand()``, non-deterministic UDFs) is
+        first written once to ``_staging`` so every pass and every task retry
+        sees the same rows. ``stage_source`` forces either way.
+        """
         ds = self.ds
         base = ds.latest()
-        # Materialise the source once: every pass below re-reads the same rows
-        # (deterministic under task retries) with column pruning.
-        stage = ds._new_dir(base.version + 1, "_staging")
-        self.source.write.mode("errorifexists").parquet(stage)
-        source = ds.spark.read.schema(self.source.schema).parquet(stage)
+        source = self.source
+        if stage_source is None:
+            stage_source = not source._jdf.queryExecution().analyzed().deterministic()
+        if stage_source:
+            stage = ds._new_dir(base.version + 1, "_staging")
+            source.write.mode("errorifexists").parquet(stage)
+            source = ds.spark.read.schema(self.source.schema).parquet(stage)
 
         target = ds._with_file(base).withColumn("__row", F.col("_metadata.row_index"))
         plan = rowops.merge_plan(
@@ -665,7 +692,7 @@ class MergeBuilder:
             raise AmbiguousMergeError("several source rows match the same target row")
         touched = {norm_path(r["__file"]) for r in per_file}
         keep, rewrite = ds._split_entries(base, touched)
-        old = ds._read_commit(base, rewrite) if rewrite else ds.spark.createDataFrame([], base.schema)
+        old = ds._read_commit(base, rewrite) if rewrite else empty_df(ds.spark, base.schema)
         by_kind = base.change_feed
         rows = plan.rows(old, with_kind=by_kind, emit_pre=by_kind)
         if by_kind:

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lakeops.functions.literals import literal_df
+
 
 def read_csv_header(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """CSV whose first line names the columns; path may be a file or a folder. All STRING."""
@@ -45,8 +47,9 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partiti
 
 
 def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: str | StructType) -> DataFrame:
-    """Inline ``VALUES`` rows (A11). Only for small literal input written by a user."""
-    return spark.createDataFrame(list(rows), schema)
+    """Inline ``VALUES`` rows (A11), built as JVM literals. Only for small literal input
+    written by a user."""
+    return literal_df(spark, rows, schema)
 
 
 def bind_by_position(df: DataFrame, target: StructType) -> DataFrame:
