@@ -78,6 +78,27 @@ class Catalog:
         """Temp view of the latest version, for ``SELECT * FROM name``."""
         self.table(name).createOrReplaceTempView(name)
 
+    def save_as(self, name: str, df: DataFrame, mode: str = "errorifexists", partition_by=()) -> VersionedDataset:
+        """``df.write.mode(m).saveAsTable(name)``: create on first use, else append or
+        overwrite (a new version; old versions stay readable)."""
+        root = self.root_of(name)
+        if root is None:
+            ds = VersionedDataset.from_dataframe(
+                self.spark, f"{self.base}/{name}-{uuid.uuid4().hex[:8]}", df, partition_by=partition_by
+            )
+            self._record(name, ds.root)
+            return ds
+        ds = VersionedDataset.for_path(self.spark, root)
+        if mode in ("error", "errorifexists"):
+            raise VersionError(f"dataset {name} already exists")
+        if mode == "overwrite":
+            ds.overwrite(df)
+        elif mode == "append":
+            ds.append(df)
+        elif mode != "ignore":
+            raise ValueError(f"unknown mode {mode!r}")
+        return ds
+
     def drop(self, name: str, if_exists: bool = True) -> None:
         """DROP TABLE [IF EXISTS]: forget the name; files stay."""
         if self.root_of(name) is None:
