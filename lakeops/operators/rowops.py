@@ -88,11 +88,34 @@ class MergePlan:
     sa: str
     update: dict[str, Column] | None
     insert: dict[str, Column] | None
+    keys: list[str] | None = None  # set when the condition is equality on named columns
 
-    def match_counts(self, id_cols: Sequence[str]) -> DataFrame:
-        """Matched (target row, n source rows) pairs; partial aggregation before the shuffle."""
-        j = self.target.alias(self.ta).join(self.source.alias(self.sa), self.cond, "inner")
-        return j.groupBy(*[F.col(f"{self.ta}.{c}") for c in id_cols]).agg(F.count(F.lit(1)).alias("n"))
+    def touched_files(self, file_col: str = "__file", row_col: str = "__row") -> DataFrame:
+        """Files of ``target`` holding matched rows, with the largest number of source
+        rows matching one target row of that file (``n`` > 1 = ambiguous merge).
+
+        Named keys: source rows are counted per key first (partial aggregation
+        collapses duplicate and hot keys), inner-joined to the target's keys and
+        reduced per file; no per-row id is shuffled. A general condition: matched
+        pairs are reduced per (file id, row index), with a 64-bit hash standing
+        in for the file path so each pair shuffles 16 bytes, not a path.
+        """
+        t = self.target
+        if self.keys is not None:
+            per_key = self.source.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__n"))
+            matched = t.select(file_col, *self.keys).join(per_key, self.keys, "inner")
+            return matched.groupBy(file_col).agg(F.max("__n").alias("n"))
+        pairs = t.alias(self.ta).join(self.source.alias(self.sa), self.cond, "inner").select(
+            F.xxhash64(F.col(f"{self.ta}.{file_col}")).alias("__fid"),
+            F.col(f"{self.ta}.{row_col}").alias("__row"),
+            F.col(f"{self.ta}.{file_col}").alias(file_col),
+        )
+        per_file = (
+            pairs.groupBy("__fid", "__row").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("__fid").agg(F.max("n").alias("n"))
+        )
+        names = pairs.select("__fid", file_col).distinct()  # one row per file after partial aggregation
+        return per_file.join(names, "__fid").select(file_col, "n")
 
     def rows(self, target: DataFrame, with_kind: bool = False, emit_pre: bool = False) -> DataFrame:
         """Merged rows for ``target`` (all target rows that may match) plus inserts.
@@ -164,7 +187,8 @@ def merge_plan(
         insert = {n: F.col(f"{sa}.{n}") for n in names}
     elif insert_values is not None:
         insert = _set_exprs(names, insert_values)
-    return MergePlan(target, source, merge_condition(condition, ta, sa), names, ta, sa, update, insert)
+    keys = list(condition) if isinstance(condition, (list, tuple)) else None
+    return MergePlan(target, source, merge_condition(condition, ta, sa), names, ta, sa, update, insert, keys)
 
 
 def merge_rows(

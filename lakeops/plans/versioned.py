@@ -687,7 +687,7 @@ class MergeBuilder:
             insert_values=self.insert_values, insert_all=self.insert_all,
         )
         # One job: per touched file, the largest number of source rows matched by one target row.
-        per_file = plan.match_counts(["__file", "__row"]).groupBy("__file").agg(F.max("n").alias("n")).collect()
+        per_file = plan.touched_files("__file", "__row").collect()  # one row per touched file
         if any(r["n"] > 1 for r in per_file):
             raise AmbiguousMergeError("several source rows match the same target row")
         touched = {norm_path(r["__file"]) for r in per_file}
