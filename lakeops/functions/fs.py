@@ -33,3 +33,27 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return sorted(str(st.getPath().getName()) for st in fs.listStatus(p))
+
+
+class AlreadyExists(FileExistsError):
+    pass
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small metadata file, failing if it exists (exclusive create).
+
+    One file-system call instead of a Spark job: used for commit rows, which
+    are a few hundred bytes. On HDFS and local disk the create is atomic, so
+    two writers of the same path cannot both succeed.
+    """
+    fs, p = _fs_and_path(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception as e:  # py4j wraps FileAlreadyExistsException
+        if "FileAlreadyExistsException" in str(e) or "already exists" in str(e):
+            raise AlreadyExists(path) from e
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()

@@ -8,6 +8,7 @@ and never deletes data, so a dropped dataset stays readable by path.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from lakeops.functions import fs
-from lakeops.functions.literals import literal_df
 from lakeops.plans.versioned import VersionedDataset, VersionError
 
 _NAME_SCHEMA = StructType(
@@ -34,8 +34,8 @@ class Catalog:
     def _record(self, name: str, root: str | None) -> None:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         seq = f"{now:%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-        row = literal_df(self.spark, [(now, seq, root)], StructType(_NAME_SCHEMA.fields[:-1]))
-        row.coalesce(1).write.mode("errorifexists").json(f"{self._names_dir()}/name={name}/{seq}")
+        row = {"ts": now.strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z", "seq": seq, "root": root}
+        fs.create_new(self.spark, f"{self._names_dir()}/name={name}/{seq}.json", json.dumps(row) + "\n")
 
     def root_of(self, name: str) -> str | None:
         if not fs.exists(self.spark, f"{self._names_dir()}/name={name}"):

@@ -3,7 +3,7 @@
 Layout under ``root``::
 
     data/<version>-<uid>/...        immutable Parquet written by one commit, never reused
-    log/version=<n>/part-*.json     one row per commit, written LAST with mode errorifexists
+    log/version=<n>/commit.json     one row per commit, written LAST by exclusive create
     _staging/<version>-<uid>/       merge sources materialised once (deterministic re-reads)
 
 A commit row lists the data *entries* (folders or single files) that make up
@@ -20,8 +20,8 @@ kind (keep / pre / post / insert / delete) in a single pass; the snapshot
 references the keep/post/insert parts, the change feed the pre/post/insert/
 delete parts, so post-images are stored once.
 
-Single writer per dataset: the log row of version n is written with
-``errorifexists``, so a second writer of the same version fails instead of
+Single writer per dataset: the log row of version n is created exclusively
+(create-if-absent), so a second writer of the same version fails instead of
 overwriting. A crash before the log row leaves unreferenced folders that no
 reader sees (``layout.unreferenced_files`` lists them).
 """
@@ -29,6 +29,7 @@ reader sees (``layout.unreferenced_files`` lists them).
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import re
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
@@ -46,7 +47,6 @@ from pyspark.sql.types import (
     TimestampType,
     _parse_datatype_json_string,
 )
-from pyspark.errors import AnalysisException
 
 from lakeops.functions import fs
 from lakeops.functions.columns import as_column, is_true
@@ -85,7 +85,6 @@ LOG_SCHEMA = StructType(
         StructField("version", IntegerType()),  # from the log/version=<n> folder
     ]
 )
-_LOG_ROW_SCHEMA = StructType(LOG_SCHEMA.fields[:-1])
 
 
 class VersionError(ValueError):
@@ -200,27 +199,26 @@ class VersionedDataset:
         raise VersionError(f"version {version} does not exist in {self.root}")
 
     def _write_log(self, c: Commit) -> int:
+        """Commit: one JSON row at ``log/version=<n>/commit.json``, created exclusively."""
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        row = (
-            now.replace(microsecond=now.microsecond // 1000 * 1000),  # JSON keeps milliseconds
-            c.operation,
-            {k: str(v) for k, v in c.parameters.items()},
-            c.schema.json(),
-            list(c.partition_cols),
-            {k: str(v) for k, v in c.properties.items()},
-            dict(c.generated),
-            list(c.not_null),
-            list(c.paths),
-            [(t, p) for t, p in c.changes],
-        )
-        df = literal_df(self.spark, [row], _LOG_ROW_SCHEMA).coalesce(1)
+        ts = now.replace(microsecond=now.microsecond // 1000 * 1000)  # readers see milliseconds
+        row = {
+            "ts": ts.strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z",
+            "operation": c.operation,
+            "parameters": {k: str(v) for k, v in c.parameters.items()},
+            "schema_json": c.schema.json(),
+            "partition_cols": list(c.partition_cols),
+            "properties": {k: str(v) for k, v in c.properties.items()},
+            "generated": dict(c.generated),
+            "not_null": list(c.not_null),
+            "paths": list(c.paths),
+            "changes": [{"change_type": t, "path": p} for t, p in c.changes],
+        }
         try:
-            df.write.mode("errorifexists").json(f"{self.log_dir}/version={c.version}")
-        except AnalysisException as e:
-            if "PATH_ALREADY_EXISTS" in str(e) or "already exists" in str(e):
-                raise ConcurrentCommitError(f"version {c.version} of {self.root} already committed") from e
-            raise
-        self._cache[c.version] = Commit(**{**c.__dict__, "ts": row[0]})
+            fs.create_new(self.spark, f"{self.log_dir}/version={c.version}/commit.json", json.dumps(row) + "\n")
+        except fs.AlreadyExists as e:
+            raise ConcurrentCommitError(f"version {c.version} of {self.root} already committed") from e
+        self._cache[c.version] = Commit(**{**c.__dict__, "ts": ts})
         return c.version
 
     def _next(self, base: Commit, operation: str, paths: Sequence[str], changes=(), parameters=None, **kw) -> int:
