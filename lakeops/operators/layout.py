@@ -34,12 +34,23 @@ ZORDER_BITS = 4  # 16 quantile buckets per column
 
 
 def file_sizes(df: DataFrame) -> DataFrame:
-    """(file_path, file_size, num_rows) of the files behind ``df``; metadata columns only."""
+    """(file_path, file_size, num_rows) of the files behind a plain scan; metadata columns only."""
     return df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path", "file_size").agg(
         F.count(F.lit(1)).alias("num_rows")
     )
 
 
+def dataset_file_sizes(ds: VersionedDataset, version: int | None = None) -> DataFrame:
+    """``file_sizes`` of a dataset version (file metadata taken per scan, so partitioned
+    datasets made of several folders work too). No data column is read."""
+    c = ds.latest() if version is None else ds.commit_at(version)
+    return (
+        ds._read_commit(c, meta=("__file", "__size"))
+        .groupBy(F.col("__file").alias("file_path"), F.col("__size").alias("file_size"))
+        .agg(F.count(F.lit(1)).alias("num_rows"))
+    )
+
+
 def _n_files(total_bytes: int, target: int) -> int:
     return max(1, math.ceil(total_bytes / target))
 
@@ -49,7 +60,7 @@ def compact(ds: VersionedDataset, target_file_bytes: int = TARGET_FILE_BYTES) ->
     base = ds.latest()
     if not base.paths:
         return ds._next(base, "OPTIMIZE", [], parameters={"numRemovedFiles": 0})
-    sizes = file_sizes(ds._read_commit(base)).where(F.col("file_size") < target_file_bytes // 2)
+    sizes = dataset_file_sizes(ds, base.version).where(F.col("file_size") < target_file_bytes // 2)
     small = sizes.select("file_path", "file_size").collect()  # one row per small file (metadata)
     if len(small) < 2:
         return ds._next(base, "OPTIMIZE", base.paths, parameters={"numRemovedFiles": 0})
@@ -106,7 +117,7 @@ def cluster_by(ds: VersionedDataset, columns: Sequence[str], n_files: int | None
     columns = list(columns)
     df = ds._read_commit(base)
     if n_files is None:
-        total = file_sizes(df).agg(F.sum("file_size")).first()[0] or 0
+        total = dataset_file_sizes(ds, base.version).agg(F.sum("file_size")).first()[0] or 0
         n_files = _n_files(total, target_file_bytes)
     tiebreak = F.xxhash64(*[F.col(c) for c in df.columns])  # deterministic under task retries
     if len(columns) == 1:
@@ -128,12 +139,21 @@ def cluster_by(ds: VersionedDataset, columns: Sequence[str], n_files: int | None
 
 
 def file_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per-file row count, and min / max / null count of each column (K3)."""
+    """Per-file row count, and min / max / null count of each column (K3).
+
+    ``df`` is a plain scan, or a dataset read that carries ``__file``.
+    """
     aggs = [F.count(F.lit(1)).alias("num_rows")]
     for c in columns:
         aggs += [F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max"),
                  F.count_if(F.col(c).isNull()).alias(f"{c}__nulls")]
-    return df.withColumn("file_path", F.col("_metadata.file_path")).groupBy("file_path").agg(*aggs)
+    path = F.col("__file") if "__file" in df.columns else F.col("_metadata.file_path")
+    return df.withColumn("file_path", path).groupBy("file_path").agg(*aggs)
+
+
+def dataset_file_stats(ds: VersionedDataset, columns: Sequence[str], version: int | None = None) -> DataFrame:
+    c = ds.latest() if version is None else ds.commit_at(version)
+    return file_stats(ds._read_commit(c, meta=("__file",)).select(*columns, "__file"), columns)
 
 
 def _stats_dir(ds: VersionedDataset, version: int) -> str:
@@ -142,7 +162,7 @@ def _stats_dir(ds: VersionedDataset, version: int) -> str:
 
 def write_file_stats(ds: VersionedDataset, columns: Sequence[str], version: int) -> str:
     path = _stats_dir(ds, version)
-    file_stats(ds.to_df(version), columns).coalesce(1).write.mode("overwrite").parquet(path)
+    dataset_file_stats(ds, columns, version).write.mode("overwrite").parquet(path)  # AQE sizes the output
     return path
 
 

@@ -208,29 +208,52 @@ def merge_rows(
     return plan.rows(target)
 
 
-def diff_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows added / removed / changed between two snapshots, by key (J8).
+def _signed(old: DataFrame, new: DataFrame) -> DataFrame:
+    cols = [F.col(f"`{c}`") for c in old.columns]
+    return old.select(*cols, F.lit(-1).alias("__s")).unionByName(new.select(*cols, F.lit(1).alias("__s")))
+
+
+def diff_rows(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Keyless difference as a multiset: each distinct row whose number of copies
+    differs, with ``change`` ('added' | 'removed') and how many ``copies``.
 
-    Three joins instead of one full outer join: the anti joins and the inner
-    join can all have a skewed side split by AQE, and none buffers a hot key
-    from both sides. Columns: keys + ``change`` ('added' | 'removed' | 'changed').
+    One aggregation over a signed union (partial aggregation first; rows are
+    spread by all their columns, so no key can concentrate in one task). The
+    copy count is reported, never replicated into rows.
     """
-    keys = list(keys)
-    values = [c for c in old.columns if c not in keys]
-    added = new.join(old, keys, "left_anti").select(*keys, F.lit("added").alias("change"))
-    removed = old.join(new, keys, "left_anti").select(*keys, F.lit("removed").alias("change"))
-    same = F.lit(True)
-    for c in values:
-        same = same & F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}"))
-    changed = (
-        old.alias("o").join(new.alias("n"), keys, "inner").where(~same)
-        .select(*keys, F.lit("changed").alias("change"))
+    u = _signed(old, new)
+    net = u.groupBy(*old.columns).agg(F.sum("__s").alias("__net")).where(F.col("__net") != 0)
+    return net.select(
+        *old.columns,
+        F.when(F.col("__net") > 0, F.lit("added")).otherwise(F.lit("removed")).alias("change"),
+        F.abs("__net").cast("bigint").alias("copies"),
     )
-    return added.unionByName(removed).unionByName(changed)
 
 
-def diff_rows(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Keyless difference (multiset): rows only in ``new`` ('added') or only in ``old`` ('removed')."""
-    return new.exceptAll(old).withColumn("change", F.lit("added")).unionByName(
-        old.exceptAll(new).withColumn("change", F.lit("removed"))
+def diff_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys whose rows were added / removed / changed between two snapshots (J8).
+
+    Exact and pair-free, so it holds for non-unique and hot keys: rows whose
+    copy count differs are found by one aggregation over a signed union; key
+    presence in each snapshot by a second one (pre-aggregated per key); the two
+    meet in a null-safe join of one row per key each. A key present only in
+    ``new`` is 'added', only in ``old`` 'removed', in both 'changed'.
+    Columns: keys + ``change``.
+    """
+    keys = list(keys)
+    u = _signed(old, new)
+    differing = (
+        u.groupBy(*old.columns).agg(F.sum("__s").alias("__net")).where(F.col("__net") != 0)
+        .select(*keys).distinct()
+    )
+    presence = u.groupBy(*keys).agg(
+        F.max(F.col("__s") < 0).alias("__in_old"), F.max(F.col("__s") > 0).alias("__in_new")
+    )
+    d, p = differing.alias("d"), presence.alias("p")
+    on = [F.col(f"d.`{k}`").eqNullSafe(F.col(f"p.`{k}`")) for k in keys]
+    change = (
+        F.when(~F.col("p.__in_old"), F.lit("added"))
+        .when(~F.col("p.__in_new"), F.lit("removed"))
+        .otherwise(F.lit("changed"))
     )
+    return d.join(p, on, "inner").select(*[F.col(f"d.`{k}`").alias(k) for k in keys], change.alias("change"))

@@ -72,7 +72,7 @@ def file_skipping(spark, sf_dir):
 )
 def file_inventory(spark, sf_dir):
     ds = _lineitem_appends(spark, sf_dir)
-    inv = layout.file_sizes(ds.to_df())
+    inv = layout.dataset_file_sizes(ds)
     return inv.agg(F.sum("num_rows").alias("num_rows"))
 
 
@@ -82,7 +82,7 @@ def file_inventory(spark, sf_dir):
 )
 def file_stats(spark, sf_dir):
     ds = _lineitem_appends(spark, sf_dir)
-    st = layout.file_stats(ds.to_df(), ["l_partkey"])
+    st = layout.dataset_file_stats(ds, ["l_partkey"])
     return st.agg(
         F.min("l_partkey__min").alias("min_partkey"), F.max("l_partkey__max").alias("max_partkey"),
         F.sum("num_rows").alias("num_rows"),

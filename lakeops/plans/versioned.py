@@ -323,25 +323,34 @@ class VersionedDataset:
         return ds
 
     # ----------------------------------------------------------------- read
-    def _read_entry(self, c: Commit, path: str) -> DataFrame:
+    def _read_entry(self, c: Commit, path: str, meta: Sequence[str] = ()) -> DataFrame:
         r = self.spark.read.schema(c.schema)
         if c.partition_cols:
             r = r.option("basePath", path)
-        return r.parquet(path).select(*c.schema.fieldNames())
+        return _with_meta(r.parquet(path), c, meta)
 
-    def _read_commit(self, c: Commit, paths: Sequence[str] | None = None) -> DataFrame:
+    def _read_commit(self, c: Commit, paths: Sequence[str] | None = None, meta: Sequence[str] = ()) -> DataFrame:
+        """Rows of ``paths`` (default: the commit's entries), in schema order.
+
+        ``meta`` adds hidden file metadata per scan: ``"__file"`` (file path) and
+        ``"__row"`` (row index inside the file). It must be taken on each scan,
+        before any union.
+        """
         paths = list(c.paths if paths is None else paths)
         if not paths:
-            return empty_df(self.spark, c.schema)
+            empty = empty_df(self.spark, c.schema)
+            for m in meta:
+                empty = empty.withColumn(m, F.lit(None).cast("string" if m == "__file" else "bigint"))
+            return empty
         if c.partition_cols:
             # Partitioned folders of different commits cannot be read in one call;
             # read each with its own basePath (pruning works per branch).
             out = None
             for p in paths:
-                d = self._read_entry(c, p)
+                d = self._read_entry(c, p, meta)
                 out = d if out is None else out.unionByName(d)
             return out
-        return self.spark.read.schema(c.schema).parquet(*paths).select(*c.schema.fieldNames())
+        return _with_meta(self.spark.read.schema(c.schema).parquet(*paths), c, meta)
 
     def to_df(self, version: int | None = None) -> DataFrame:
         """Snapshot as a DataFrame: latest, or ``version`` (time travel, read-only)."""
@@ -444,8 +453,8 @@ class VersionedDataset:
         return self._next(base, operation, [entry], changes=changes, parameters={"mode": "Overwrite"})
 
     # ------------------------------------------------- file-level rewrite
-    def _with_file(self, c: Commit) -> DataFrame:
-        return self._read_commit(c).withColumn("__file", F.col("_metadata.file_path"))
+    def _with_file(self, c: Commit, row: bool = False) -> DataFrame:
+        return self._read_commit(c, meta=("__file", "__row") if row else ("__file",))
 
     def _split_entries(self, c: Commit, touched: set[str]) -> tuple[list[str], list[str]]:
         """Entries to keep as they are, and paths (files or folders) to rewrite."""
@@ -678,7 +687,7 @@ class MergeBuilder:
             source.write.mode("errorifexists").parquet(stage)
             source = ds.spark.read.schema(self.source.schema).parquet(stage)
 
-        target = ds._with_file(base).withColumn("__row", F.col("_metadata.row_index"))
+        target = ds._with_file(base, row=True)
         plan = rowops.merge_plan(
             target, source, self.condition, self.ta, self.sa, base.schema.fieldNames(),
             update_set=self.update_set, update_all=self.update_all,
@@ -705,6 +714,13 @@ class MergeBuilder:
 
 
 
+def _with_meta(df: DataFrame, c: Commit, meta: Sequence[str]) -> DataFrame:
+    cols = [F.col(f"`{n}`") for n in c.schema.fieldNames()]
+    extra = {"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index"),
+             "__size": F.col("_metadata.file_size")}
+    return df.select(*cols, *[extra[m].alias(m) for m in meta])
+
+
 class DatasetBuilder:
     """Column-by-column definition of a dataset (B4, B5, B9)::
 

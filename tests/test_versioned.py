@@ -176,3 +176,28 @@ def test_change_feed_perro(spark, tmp_root):
     assert perro.changes(0).count() == 8
     latest = perro.changes(0).orderBy(F.desc("_commit_version")).first()
     assert latest._commit_version == 4
+
+
+def test_partitioned_row_ops_with_change_feed(spark, tmp_root):
+    from lakeops.operators import layout
+
+    ds = VersionedDataset.create(
+        spark, tmp_root, "k INT, part STRING, v INT", partition_by=["part"], properties={"enableChangeDataFeed": "true"}
+    )
+    ds.insert_values([(1, "a", 10), (2, "a", 20), (3, "b", 30)])
+    ds.insert_values([(4, "b", 40), (5, "c", 50)])
+    ds.update({"v": "v + 1"}, "k = 1")
+    ds.delete("k = 4")
+    src = spark.createDataFrame([(2, "a", 99), (6, "c", 60)], "k INT, part STRING, v INT")
+    ds.merge(src, ["k"]).when_matched_update({"v": "s.v"}).when_not_matched_insert_all().execute()
+    assert rows(ds.to_df()) == [(1, "a", 11), (2, "a", 99), (3, "b", 30), (5, "c", 50), (6, "c", 60)]
+    assert rows(ds.to_df().where("part = 'c'"), "k") == [(5,), (6,)]
+    kinds = sorted((r._commit_version, r._change_type) for r in ds.changes(3).collect())
+    assert kinds == [(3, "update_postimage"), (3, "update_preimage"), (4, "delete"),
+                     (5, "insert"), (5, "update_postimage"), (5, "update_preimage")]
+    ds.restore(2)
+    assert rows(ds.to_df(), "k", "v") == [(1, 10), (2, 20), (3, 30), (4, 40), (5, 50)]
+    restore_changes = sorted((r.k, r._change_type) for r in ds.changes(6).collect())
+    assert restore_changes == [(1, "delete"), (1, "insert"), (2, "delete"), (2, "insert"), (4, "insert"), (6, "delete")]
+    layout.compact(ds)
+    assert rows(ds.to_df(), "k", "v") == [(1, 10), (2, 20), (3, 30), (4, 40), (5, 50)]
