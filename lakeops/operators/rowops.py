@@ -230,7 +230,8 @@ def diff_rows(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def diff_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def diff_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str],
+                changed_rows: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Keys whose rows were added / removed / changed between two snapshots (J8).
 
     Exact and pair-free, so it holds for non-unique and hot keys: rows whose
@@ -239,14 +240,20 @@ def diff_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     meet in a null-safe join of one row per key each. A key present only in
     ``new`` is 'added', only in ``old`` 'removed', in both 'changed'.
     Columns: keys + ``change``.
+
+    ``changed_rows=(old_part, new_part)``: parts of the two snapshots outside of
+    which both are equal (e.g. the files two versions do not share); the row
+    comparison then reads only those, key presence still uses the whole
+    snapshots (key columns only).
     """
     keys = list(keys)
     u = _signed(old, new)
+    cu = u if changed_rows is None else _signed(*changed_rows)
     differing = (
-        u.groupBy(*old.columns).agg(F.sum("__s").alias("__net")).where(F.col("__net") != 0)
+        cu.groupBy(*old.columns).agg(F.sum("__s").alias("__net")).where(F.col("__net") != 0)
         .select(*keys).distinct()
     )
-    presence = u.groupBy(*keys).agg(
+    presence = u.select(*keys, "__s").groupBy(*keys).agg(
         F.max(F.col("__s") < 0).alias("__in_old"), F.max(F.col("__s") > 0).alias("__in_new")
     )
     d, p = differing.alias("d"), presence.alias("p")

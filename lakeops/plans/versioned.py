@@ -527,18 +527,53 @@ class VersionedDataset:
         return MergeBuilder(self, source, condition, target_alias, source_alias)
 
     # --------------------------------------------------- restore, clones
+    def _differing(self, a: Commit, b: Commit) -> tuple[DataFrame, DataFrame]:
+        """Rows of the files only ``a`` references and of the files only ``b`` references.
+
+        Files both versions share hold identical rows and cancel in any multiset
+        difference, so they are never read: comparing two versions costs the
+        changed files only. Partitioned datasets compare whole entries.
+        """
+        if a.partition_cols or b.partition_cols:
+            ea, eb = {norm_path(p) for p in a.paths}, {norm_path(p) for p in b.paths}
+            only_a = [p for p in a.paths if norm_path(p) not in eb]
+            only_b = [p for p in b.paths if norm_path(p) not in ea]
+        else:
+            fa = {norm_path(f) for f in self._read_commit(a).inputFiles()} if a.paths else set()  # listing
+            fb = {norm_path(f) for f in self._read_commit(b).inputFiles()} if b.paths else set()
+            only_a, only_b = sorted(fa - fb), sorted(fb - fa)
+        return self._read_commit(a, only_a), self._read_commit(b, only_b)
+
+    def diff(self, old_version: int, new_version: int, keys: Sequence[str] | None = None) -> DataFrame:
+        """What changed between two versions (J8): by key (``rowops.diff_by_key``) or,
+        without keys, as a multiset of rows (``rowops.diff_rows``). Reads the
+        files the two versions do not share (plus the key columns of the rest)."""
+        a, b = self.commit_at(old_version), self.commit_at(new_version)
+        only_old, only_new = self._differing(a, b)
+        if keys is None:
+            return rowops.diff_rows(only_old, only_new)
+        return rowops.diff_by_key(self._read_commit(a), self._read_commit(b), keys,
+                                  changed_rows=(only_old, only_new))
+
     def restore(self, version: int) -> int:
-        """RESTORE: a new version equal to ``version``; no data copied."""
+        """RESTORE: a new version equal to ``version``; no data copied.
+
+        With the change feed on, the change rows are the multiset difference of
+        the two versions, computed over the files they do not share only.
+        """
         base = self.latest()
         old = self.commit_at(version)
         changes = []
         if base.change_feed:
-            cur_df, old_df = self._read_commit(base), self._read_commit(old)
-            diff = cur_df.exceptAll(old_df).withColumn(KIND, F.lit(KIND_DELETE)).unionByName(
-                old_df.exceptAll(cur_df).withColumn(KIND, F.lit(KIND_INSERT))
-            )
-            out = self._write(base, diff, base.version + 1, by_kind=True)
-            changes = [(k, out[k]) for k in (KIND_INSERT, KIND_DELETE) if k in out]
+            if base.schema == old.schema:
+                cur_only, old_only = self._differing(base, old)
+                diff = cur_only.exceptAll(old_only).withColumn(KIND, F.lit(KIND_DELETE)).unionByName(
+                    old_only.exceptAll(cur_only).withColumn(KIND, F.lit(KIND_INSERT))
+                )
+                out = self._write(base, diff, base.version + 1, by_kind=True)
+                changes = [(k, out[k]) for k in (KIND_INSERT, KIND_DELETE) if k in out]
+            else:  # schema changed: every current row goes, every old row comes back
+                changes = [(KIND_DELETE, p) for p in base.paths] + [(KIND_INSERT, p) for p in old.paths]
         return self._next(
             base, "RESTORE", old.paths, changes=changes, parameters={"version": version},
             schema=old.schema, partition_cols=old.partition_cols, generated=old.generated, not_null=old.not_null,

@@ -201,3 +201,19 @@ def test_partitioned_row_ops_with_change_feed(spark, tmp_root):
     assert restore_changes == [(1, "delete"), (1, "insert"), (2, "delete"), (2, "insert"), (4, "insert"), (6, "delete")]
     layout.compact(ds)
     assert rows(ds.to_df(), "k", "v") == [(1, 10), (2, 20), (3, 30), (4, 40), (5, 50)]
+
+
+def test_version_diff_reads_only_unshared_files(spark, tmp_root):
+    ds = VersionedDataset.create(spark, tmp_root, "k INT, v STRING")
+    ds.insert_values([(1, "a"), (2, "b")])
+    ds.insert_values([(3, "c")])
+    ds.insert_values([(4, "d")])
+    ds.update({"v": "'C'"}, "k = 3")  # rewrites only the file holding k = 3
+    ds.delete("k = 4")
+    only_old, only_new = ds._differing(ds.commit_at(3), ds.commit_at(5))
+    # old side: the files of k=3 and k=4; new side: the rewritten k=3 file and the
+    # schema-only file Spark writes when a rewrite (the k=4 delete) outputs no row.
+    assert len(only_old.inputFiles()) == 2 and len(only_new.inputFiles()) == 2
+    assert only_old.count() == 2 and only_new.count() == 1
+    assert rows(ds.diff(3, 5, ["k"])) == [(3, "changed"), (4, "removed")]
+    assert rows(ds.diff(3, 5)) == [(3, "C", "added", 1), (3, "c", "removed", 1), (4, "d", "removed", 1)]
