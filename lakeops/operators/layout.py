@@ -23,7 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, MapType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from lakeops.functions import fs
 from lakeops.functions.literals import empty_df
@@ -119,7 +119,8 @@ def cluster_by(ds: VersionedDataset, columns: Sequence[str], n_files: int | None
     if n_files is None:
         total = dataset_file_sizes(ds, base.version).agg(F.sum("file_size")).first()[0] or 0
         n_files = _n_files(total, target_file_bytes)
-    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns])  # deterministic under task retries
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])  # deterministic under task retries
     if len(columns) == 1:
         key = F.col(columns[0])
         out = df.repartitionByRange(n_files, key, tiebreak).sortWithinPartitions(key)
@@ -167,27 +168,41 @@ def write_file_stats(ds: VersionedDataset, columns: Sequence[str], version: int)
 
 
 def stats_of(ds: VersionedDataset, version: int | None = None) -> DataFrame | None:
+    """Stored per-file stats of the newest clustered version <= ``version``."""
     v = ds.latest_version() if version is None else version
-    path = _stats_dir(ds, v)
-    return ds.spark.read.parquet(path) if fs.exists(ds.spark, path) else None
+    stored = sorted(
+        (int(n.split("=", 1)[1]) for n in fs.list_names(ds.spark, f"{ds.root}/_stats") if n.startswith("version=")),
+        reverse=True,
+    )
+    for sv in stored:
+        if sv <= v:
+            return ds.spark.read.parquet(_stats_dir(ds, sv))
+    return None
 
 
 def files_for(ds: VersionedDataset, column: str, value, version: int | None = None) -> tuple[list[str], int]:
     """Files that may hold ``column = value`` (K4), and the number of files in the snapshot.
 
-    With stored stats: the files whose [min, max] contains the value. Without
-    (or for a column that was not clustered): every file.
+    Stats stored at the last clustering carry forward: a file they cover is
+    kept only if its [min, max] contains the value; a file written later (not
+    covered) is always kept. Without stats for the column: every file.
     """
     c = ds.latest() if version is None else ds.commit_at(version)
+    files = sorted(norm_path(f) for f in ds._read_commit(c).inputFiles()) if c.paths else []  # listing
     st = stats_of(ds, c.version)
     if st is None or f"{column}__min" not in st.columns:
-        files = ds._read_commit(c).inputFiles()
-        return sorted(files), len(files)
-    total = st.count()
-    hit = st.where(
-        F.col(f"{column}__min").isNotNull() & (F.col(f"{column}__min") <= F.lit(value)) & (F.col(f"{column}__max") >= F.lit(value))
-    ).select("file_path").collect()  # file names only
-    return sorted(r.file_path for r in hit), total
+        return files, len(files)
+    rows = st.select("file_path", f"{column}__min", f"{column}__max").collect()  # one row per file
+    covered = {norm_path(r[0]): (r[1], r[2]) for r in rows}
+    keep = []
+    for f in files:
+        if f not in covered:
+            keep.append(f)
+            continue
+        lo, hi = covered[f]
+        if lo is not None and lo <= value <= hi:
+            keep.append(f)
+    return keep, len(files)
 
 
 def point_lookup(ds: VersionedDataset, column: str, value, version: int | None = None) -> DataFrame:

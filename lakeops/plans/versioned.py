@@ -352,8 +352,11 @@ class VersionedDataset:
             return out
         return _with_meta(self.spark.read.schema(c.schema).parquet(*paths), c, meta)
 
-    def to_df(self, version: int | None = None) -> DataFrame:
-        """Snapshot as a DataFrame: latest, or ``version`` (time travel, read-only)."""
+    def to_df(self, version: int | None = None, timestamp: str | _dt.datetime | None = None) -> DataFrame:
+        """Snapshot as a DataFrame: latest, ``version`` or the version current at
+        ``timestamp`` (time travel, read-only)."""
+        if timestamp is not None:
+            version = self.version_as_of_timestamp(timestamp)
         c = self.latest() if version is None else self.commit_at(version)
         return self._read_commit(c)
 

@@ -67,3 +67,24 @@ def test_unreferenced_files(spark, tmp_root):
     ds.overwrite(ds.to_df().where("k < 10"))
     assert all("99-orphan" in r.path for r in layout.unreferenced_files(ds).collect())
     assert fs.exists(spark, f"{ds.root}/data/99-orphan")  # listing only, nothing deleted
+
+
+def test_stats_carry_forward_after_append(spark, tmp_root):
+    ds = small_appends(spark, tmp_root, n=2)
+    layout.cluster_by(ds, ["k"], n_files=4)
+    ds.append(spark.createDataFrame([(1500, 0, "new")], "k BIGINT, g BIGINT, s STRING"))
+    files, total = layout.files_for(ds, "k", 1500)
+    new_files = total - 4  # files the append wrote (not covered by the stats)
+    assert new_files >= 1 and len(files) == 1 + new_files  # one clustered file by stats + every uncovered file
+    assert layout.point_lookup(ds, "k", 1500).count() == 2
+
+
+def test_time_travel_by_timestamp(spark, tmp_root):
+    import time
+
+    ds = VersionedDataset.create(spark, tmp_root, "k INT")
+    ds.insert_values([(1,)])
+    ts = ds.history().where("version = 1").first().timestamp
+    time.sleep(0.01)
+    ds.insert_values([(2,)])
+    assert ds.to_df(timestamp=ts).count() == 1 and ds.to_df().count() == 2
