@@ -218,7 +218,9 @@ class VersionedDataset:
             fs.create_new(self.spark, f"{self.log_dir}/version={c.version}/commit.json", json.dumps(row) + "\n")
         except fs.AlreadyExists as e:
             raise ConcurrentCommitError(f"version {c.version} of {self.root} already committed") from e
-        self._cache[c.version] = Commit(**{**c.__dict__, "ts": ts})
+        # Cache the time the way a reader gets it back from collect(): local, naive.
+        local = _dt.datetime.fromtimestamp(ts.replace(tzinfo=_dt.timezone.utc).timestamp())
+        self._cache[c.version] = Commit(**{**c.__dict__, "ts": local})
         return c.version
 
     def _next(self, base: Commit, operation: str, paths: Sequence[str], changes=(), parameters=None, **kw) -> int:

@@ -1,5 +1,4 @@
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -38,6 +37,3 @@ def rows(df, *cols):
     cols = cols or tuple(df.columns)
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
 
-
-def local_tmp():
-    return tempfile.mkdtemp(prefix="lakeops-test-")
