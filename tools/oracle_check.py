@@ -29,13 +29,16 @@ SPARK_TO_DUCK = {
 }
 
 
+STRICT = False  # --strict: floats compared bit for bit (as an exact value hash would)
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6) + 0.0
+        return v + 0.0 if STRICT else round(v, 6) + 0.0
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     if isinstance(v, (list, tuple)):
@@ -99,12 +102,21 @@ def compare(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> dict:
 def main(argv=None):
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--plain", action="store_true", help="a bare session, none of our settings")
+    ap.add_argument("--strict", action="store_true", help="compare floats exactly")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args(argv)
+    global STRICT
+    STRICT = a.strict
     from lakeops.plans.registry import all_queries
     from lakeops.session import get_session
 
-    spark = get_session(master="local[8]", shuffle_partitions=8)
+    if a.plain:
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = get_session(master="local[8]", shuffle_partitions=8)
     con = duck_connect(a.sf)
     reg = all_queries()
     names = a.names or sorted(reg)
