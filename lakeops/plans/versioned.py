@@ -463,10 +463,17 @@ class VersionedDataset:
 
     def _split_entries(self, c: Commit, touched: set[str]) -> tuple[list[str], list[str]]:
         """Entries to keep as they are, and paths (files or folders) to rewrite."""
+        # Index touched files by every folder above them: one lookup per entry,
+        # O(touched x depth + entries) instead of comparing every pair.
+        under: dict[str, set[str]] = {}
+        for f in touched:
+            parts = f.split("/")
+            for i in range(1, len(parts) + 1):
+                under.setdefault("/".join(parts[:i]), set()).add(f)
         keep, rewrite = [], []
         for e in c.paths:
-            ne = norm_path(e)
-            hit = {f for f in touched if f == ne or f.startswith(ne + "/")}
+            ne = norm_path(e).rstrip("/")
+            hit = under.get(ne, set())
             if not hit:
                 keep.append(e)
             elif c.partition_cols or ne in hit:

@@ -1,7 +1,6 @@
 """Streams (restart delivers only new input), incremental counts, catalog, builder."""
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from conftest import rows
