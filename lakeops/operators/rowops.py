@@ -108,13 +108,14 @@ class MergePlan:
         pairs = t.alias(self.ta).join(self.source.alias(self.sa), self.cond, "inner").select(
             F.xxhash64(F.col(f"{self.ta}.{file_col}")).alias("__fid"),
             F.col(f"{self.ta}.{row_col}").alias("__row"),
-            F.col(f"{self.ta}.{file_col}").alias(file_col),
         )
         per_file = (
             pairs.groupBy("__fid", "__row").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("__fid").agg(F.max("n").alias("n"))
         )
-        names = pairs.select("__fid", file_col).distinct()  # one row per file after partial aggregation
+        # File names from the target's own metadata (one row per file after
+        # partial aggregation), not from a second evaluation of the join.
+        names = t.select(F.xxhash64(F.col(file_col)).alias("__fid"), F.col(file_col)).distinct()
         return per_file.join(names, "__fid").select(file_col, "n")
 
     def rows(self, target: DataFrame, with_kind: bool = False, emit_pre: bool = False) -> DataFrame:
@@ -249,18 +250,22 @@ def diff_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str],
     keys = list(keys)
     u = _signed(old, new)
     cu = u if changed_rows is None else _signed(*changed_rows)
+    # One struct column as the key: struct equality treats NULL fields as equal
+    # (null-safe), and both sides are aggregated by it, so the join reuses their
+    # hash partitioning instead of shuffling again.
+    key = F.struct(*[F.col(f"`{k}`") for k in keys]).alias("__key")
     differing = (
         cu.groupBy(*old.columns).agg(F.sum("__s").alias("__net")).where(F.col("__net") != 0)
-        .select(*keys).distinct()
+        .groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
     )
-    presence = u.select(*keys, "__s").groupBy(*keys).agg(
+    presence = u.groupBy(key).agg(
         F.max(F.col("__s") < 0).alias("__in_old"), F.max(F.col("__s") > 0).alias("__in_new")
     )
-    d, p = differing.alias("d"), presence.alias("p")
-    on = [F.col(f"d.`{k}`").eqNullSafe(F.col(f"p.`{k}`")) for k in keys]
     change = (
-        F.when(~F.col("p.__in_old"), F.lit("added"))
-        .when(~F.col("p.__in_new"), F.lit("removed"))
+        F.when(~F.col("__in_old"), F.lit("added"))
+        .when(~F.col("__in_new"), F.lit("removed"))
         .otherwise(F.lit("changed"))
     )
-    return d.join(p, on, "inner").select(*[F.col(f"d.`{k}`").alias(k) for k in keys], change.alias("change"))
+    return differing.join(presence, "__key", "inner").select(
+        *[F.col(f"__key.`{k}`").alias(k) for k in keys], change.alias("change")
+    )
