@@ -66,6 +66,8 @@ CHANGE_TYPE = {
 DATA_KINDS = (KIND_KEEP, KIND_POST, KIND_INSERT)
 CHANGE_FEED_PROPERTY = "enableChangeDataFeed"
 CHANGE_FEED_DEFAULT_CONF = "lakeops.properties.defaults.enableChangeDataFeed"
+LOG_CHECKPOINT_CONF = "lakeops.log.checkpointInterval"
+LOG_CHECKPOINT_EVERY = 100  # commits between log checkpoints
 
 LOG_SCHEMA = StructType(
     [
@@ -156,6 +158,9 @@ class VersionedDataset:
         if not versions:
             raise VersionError(f"no versioned dataset at {self.root}")
         unseen = sorted(versions - self._cache.keys())
+        if len(unseen) > 1:
+            self._load_checkpoint(max(versions))
+            unseen = sorted(versions - self._cache.keys())
         if unseen:
             paths = [f"{self.log_dir}/version={v}" for v in unseen]
             rows = (
@@ -165,6 +170,47 @@ class VersionedDataset:
                 self._cache[c.version] = c
         return [self._cache[v] for v in sorted(versions)]
 
+    # --------------------------------------------------------- log checkpoints
+    @property
+    def _checkpoint_dir(self) -> str:
+        return f"{self.log_dir}/_checkpoints"  # '_' prefix: hidden from log readers and streams
+
+    def _checkpoint_versions(self) -> list[int]:
+        names = fs.list_names(self.spark, self._checkpoint_dir)
+        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("version="))
+
+    def _load_checkpoint(self, up_to: int) -> None:
+        """Fill the cache from the newest log checkpoint <= ``up_to`` (one Parquet read
+        instead of one small JSON file per commit)."""
+        done = [v for v in self._checkpoint_versions() if v <= up_to and v not in self._cache]
+        if not done:
+            return
+        path = f"{self._checkpoint_dir}/version={done[-1]}"
+        rows = self.spark.read.schema(LOG_SCHEMA).parquet(path).collect()  # one row per commit <= v
+        for c in self._parse(rows):
+            self._cache.setdefault(c.version, c)
+
+    def checkpoint_log(self, version: int | None = None) -> str:
+        """Consolidate the commit rows up to ``version`` into one Parquet file.
+
+        Built from the previous checkpoint plus the commit files after it, so each
+        checkpoint reads only what is new. Commit files stay: they remain the
+        source of truth and what streams read.
+        """
+        v = self.latest_version() if version is None else version
+        prev = [p for p in self._checkpoint_versions() if p < v]
+        start = prev[-1] + 1 if prev else 0
+        names = fs.list_names(self.spark, self.log_dir)
+        newer = [f"{self.log_dir}/{n}" for n in names
+                 if n.startswith("version=") and start <= int(n.split("=", 1)[1]) <= v]
+        rows = self.spark.read.schema(LOG_SCHEMA).option("basePath", self.log_dir).json(newer) if newer else None
+        if prev:
+            old = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self._checkpoint_dir}/version={prev[-1]}")
+            rows = old if rows is None else old.unionByName(rows)
+        path = f"{self._checkpoint_dir}/version={v}"
+        rows.coalesce(1).write.mode("errorifexists").parquet(path)  # metadata only: one row per commit
+        return path
+
     @staticmethod
     def _parse(rows) -> list[Commit]:
         out = []
@@ -221,6 +267,12 @@ class VersionedDataset:
         # Cache the time the way a reader gets it back from collect(): local, naive.
         local = _dt.datetime.fromtimestamp(ts.replace(tzinfo=_dt.timezone.utc).timestamp())
         self._cache[c.version] = Commit(**{**c.__dict__, "ts": local})
+        every = int(self.spark.conf.get(LOG_CHECKPOINT_CONF, str(LOG_CHECKPOINT_EVERY)))
+        if every > 0 and c.version > 0 and c.version % every == 0:
+            try:
+                self.checkpoint_log(c.version)
+            except Exception:  # the commit stands; readers fall back to the commit files
+                pass
         return c.version
 
     def _next(self, base: Commit, operation: str, paths: Sequence[str], changes=(), parameters=None, **kw) -> int:

@@ -217,3 +217,21 @@ def test_version_diff_reads_only_unshared_files(spark, tmp_root):
     assert only_old.count() == 2 and only_new.count() == 1
     assert rows(ds.diff(3, 5, ["k"])) == [(3, "changed"), (4, "removed")]
     assert rows(ds.diff(3, 5)) == [(3, "C", "added", 1), (3, "c", "removed", 1), (4, "d", "removed", 1)]
+
+
+def test_log_checkpoint_reads(spark, tmp_root):
+    spark.conf.set("lakeops.log.checkpointInterval", "3")
+    try:
+        ds = VersionedDataset.create(spark, tmp_root, "k INT")
+        for i in range(7):
+            ds.insert_values([(i,)])
+    finally:
+        spark.conf.unset("lakeops.log.checkpointInterval")
+    assert ds._checkpoint_versions() == [3, 6]
+    fresh = VersionedDataset.for_path(spark, tmp_root)
+    fresh._load_checkpoint(7)
+    assert sorted(fresh._cache) == list(range(7))  # versions 0..6 from one checkpoint read
+    assert [c.version for c in fresh._commits()] == list(range(8))
+    assert fresh.to_df().count() == 7 and fresh.to_df(3).count() == 3
+    assert fresh.history().count() == 8  # the checkpoint folder is invisible to log readers
+    assert [c.paths for c in fresh._commits()] == [c.paths for c in ds._commits()]
