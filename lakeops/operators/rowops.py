@@ -173,19 +173,22 @@ def merge_plan(
     update_all: bool = False,
     insert_values: Mapping[str, str | Column] | None = None,
     insert_all: bool = False,
+    optional: Sequence[str] = (),
 ) -> MergePlan:
+    """``optional``: target columns the source may lack for update-all / insert-all
+    (generated columns, recomputed at write)."""
     names = list(names)
     update = None
     if update_all:
-        update = {n: F.col(f"{sa}.{n}") for n in names}
+        update = {n: F.col(f"{sa}.{n}") for n in names if n in source.columns}
     elif update_set is not None:
         update = _set_exprs(names, update_set)
     insert = None
     if insert_all:
-        missing = [n for n in names if n not in source.columns]
+        missing = [n for n in names if n not in source.columns and n not in optional]
         if missing:
             raise ValueError(f"insert-all: source lacks {missing}")
-        insert = {n: F.col(f"{sa}.{n}") for n in names}
+        insert = {n: F.col(f"{sa}.{n}") for n in names if n in source.columns}
     elif insert_values is not None:
         insert = _set_exprs(names, insert_values)
     keys = list(condition) if isinstance(condition, (list, tuple)) else None

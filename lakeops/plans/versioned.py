@@ -436,10 +436,18 @@ class VersionedDataset:
     def _new_dir(self, version: int, prefix: str = "data") -> str:
         return f"{self.root}/{prefix}/{version}-{uuid.uuid4().hex[:12]}"
 
-    def _conform(self, c: Commit, df: DataFrame, by_position: bool = False, passthrough: Sequence[str] = ()) -> DataFrame:
+    def _conform(self, c: Commit, df: DataFrame, by_position: bool = False, passthrough: Sequence[str] = (),
+                 recompute_generated: bool = False) -> DataFrame:
         """Bind to the schema, compute generated columns, guard NOT NULL — all inside the
-        write job (``raise_error``), so no extra pass over the data."""
+        write job (``raise_error``), so no extra pass over the data.
+
+        Supplied values of generated columns are verified (appends); with
+        ``recompute_generated`` (row rewrites) they are dropped and recomputed from
+        the new row.
+        """
         names = c.schema.fieldNames()
+        if recompute_generated:
+            df = df.drop(*[g for g in c.generated if g in df.columns])
         if by_position:
             if len(df.columns) == len(names) - len([g for g in c.generated if g not in df.columns]) and len(
                 df.columns
@@ -565,8 +573,9 @@ class VersionedDataset:
 
         def transform(old: DataFrame, by_kind: bool) -> DataFrame:
             if by_kind:
-                return self._conform(base, rowops.update_kinds(old, set_cols, cond), passthrough=[KIND])
-            return self._conform(base, rowops.update_rows(old, set_cols, cond))
+                return self._conform(base, rowops.update_kinds(old, set_cols, cond), passthrough=[KIND],
+                                     recompute_generated=True)
+            return self._conform(base, rowops.update_rows(old, set_cols, cond), recompute_generated=True)
 
         return self._rewrite(base, "UPDATE", cond, transform, {"predicate": str(condition)})
 
@@ -790,7 +799,7 @@ class MergeBuilder:
         plan = rowops.merge_plan(
             target, source, self.condition, self.ta, self.sa, base.schema.fieldNames(),
             update_set=self.update_set, update_all=self.update_all,
-            insert_values=self.insert_values, insert_all=self.insert_all,
+            insert_values=self.insert_values, insert_all=self.insert_all, optional=list(base.generated),
         )
         # One job: per touched file, the largest number of source rows matched by one target row.
         per_file = plan.touched_files("__file", "__row").collect()  # one row per touched file
@@ -802,9 +811,10 @@ class MergeBuilder:
         by_kind = base.change_feed
         rows = plan.rows(old, with_kind=by_kind, emit_pre=by_kind)
         if by_kind:
-            out = ds._write(base, ds._conform(base, rows, passthrough=[KIND]), base.version + 1, by_kind=True)
+            out = ds._write(base, ds._conform(base, rows, passthrough=[KIND], recompute_generated=True),
+                            base.version + 1, by_kind=True)
         else:
-            out = ds._write(base, ds._conform(base, rows), base.version + 1)
+            out = ds._write(base, ds._conform(base, rows, recompute_generated=True), base.version + 1)
         data = [out[k] for k in DATA_KINDS if k in out]
         changes = [(k, out[k]) for k in (KIND_PRE, KIND_POST, KIND_INSERT) if k in out]
         props = {**base.properties, **{k: str(v) for k, v in (properties or {}).items()}}

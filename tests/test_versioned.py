@@ -235,3 +235,13 @@ def test_log_checkpoint_reads(spark, tmp_root):
     assert fresh.to_df().count() == 7 and fresh.to_df(3).count() == 3
     assert fresh.history().count() == 8  # the checkpoint folder is invisible to log readers
     assert [c.paths for c in fresh._commits()] == [c.paths for c in ds._commits()]
+
+
+def test_generated_columns_recomputed_by_update_and_merge(spark, tmp_root):
+    ds = VersionedDataset.create(spark, tmp_root, "c1 INT, c2 INT", generated={"c2": "c1 + 1"})
+    ds.insert_values([(1,), (2,)])
+    ds.update({"c1": "c1 * 10"}, "c1 = 2")
+    assert rows(ds.to_df()) == [(1, 2), (20, 21)]
+    src = spark.createDataFrame([(20,), (7,)], "c1 INT")
+    ds.merge(src, ["c1"]).when_matched_update({"c1": "s.c1 + 1"}).when_not_matched_insert_all().execute()
+    assert rows(ds.to_df()) == sorted([(1, 2), (7, 8), (21, 22)], key=repr)
