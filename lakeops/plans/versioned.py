@@ -338,8 +338,9 @@ class VersionedDataset:
         if present:
             base = ds.latest()
             op = "REPLACE TABLE" if mode == "replace" else "CREATE OR REPLACE TABLE"
-            removed = [(KIND_DELETE, p) for p in base.paths]
-            ds._next(base, op, [], changes=removed, **common)
+            # The schema may change here, so old rows cannot be read as change rows of
+            # the new table: a replace starts the change feed afresh (no change rows).
+            ds._next(base, op, [], changes=[], **common)
         else:
             ds._write_log(Commit(0, None, "CREATE TABLE", {}, paths=[], changes=[], **common))
         return ds
