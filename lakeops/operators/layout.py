@@ -205,6 +205,28 @@ def files_for(ds: VersionedDataset, column: str, value, version: int | None = No
     return keep, len(files)
 
 
+def files_overlapping(ds: VersionedDataset, column: str, lo, hi, version: int | None = None) -> list[str] | None:
+    """Files of a version that may hold values of ``column`` in [lo, hi], using stored
+    stats (files written after the stats are always kept). None when there are no
+    stats for the column (caller scans everything). ``lo``/``hi`` None: no value can
+    match (only uncovered files remain)."""
+    c = ds.latest() if version is None else ds.commit_at(version)
+    st = stats_of(ds, c.version)
+    if st is None or f"{column}__min" not in st.columns or c.partition_cols:
+        return None
+    files = sorted(norm_path(f) for f in ds._read_commit(c).inputFiles()) if c.paths else []  # listing
+    covered = {norm_path(r[0]): (r[1], r[2]) for r in st.select("file_path", f"{column}__min", f"{column}__max").collect()}
+    keep = []
+    for f in files:
+        if f not in covered:
+            keep.append(f)
+            continue
+        fmin, fmax = covered[f]
+        if lo is not None and fmin is not None and fmin <= hi and fmax >= lo:
+            keep.append(f)
+    return keep
+
+
 def point_lookup(ds: VersionedDataset, column: str, value, version: int | None = None) -> DataFrame:
     """Read only the files that can hold the value; the predicate is also pushed into the scan."""
     c = ds.latest() if version is None else ds.commit_at(version)

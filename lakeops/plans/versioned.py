@@ -761,6 +761,20 @@ class MergeBuilder:
         self.insert_values: dict | None = None
         self.insert_all = False
 
+    def _prune_by_stats(self, base: Commit, source: DataFrame) -> list[str] | None:
+        """Target files that can match, when the merge key is one named column with
+        stored per-file stats (a clustered dataset): only files whose [min, max]
+        overlaps the source's key range are scanned for matches. None = scan all."""
+        if not isinstance(self.condition, (list, tuple)) or len(self.condition) != 1 or base.partition_cols:
+            return None
+        from lakeops.operators import layout  # layout builds on this module
+
+        key = self.condition[0]
+        if layout.stats_of(self.ds, base.version) is None:
+            return None
+        lo, hi = source.agg(F.min(key), F.max(key)).first()  # two values
+        return layout.files_overlapping(self.ds, key, lo, hi, base.version)
+
     def when_matched_update(self, set: Mapping[str, str | Column]) -> "MergeBuilder":
         self.update_set = {k.split(".")[-1]: v for k, v in set.items()}  # 't.c' and 'c' both name target c
         return self
@@ -797,6 +811,9 @@ class MergeBuilder:
             source = ds.spark.read.schema(self.source.schema).parquet(stage)
 
         target = ds._with_file(base, row=True)
+        pruned = self._prune_by_stats(base, source)
+        if pruned is not None:
+            target = ds._read_commit(base, pruned, meta=("__file", "__row"))
         plan = rowops.merge_plan(
             target, source, self.condition, self.ta, self.sa, base.schema.fieldNames(),
             update_set=self.update_set, update_all=self.update_all,

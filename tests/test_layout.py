@@ -88,3 +88,15 @@ def test_time_travel_by_timestamp(spark, tmp_root):
     time.sleep(0.01)
     ds.insert_values([(2,)])
     assert ds.to_df(timestamp=ts).count() == 1 and ds.to_df().count() == 2
+
+
+def test_merge_scans_only_files_overlapping_the_source_keys(spark, tmp_root):
+    ds = small_appends(spark, tmp_root)  # k = 0..3999
+    layout.cluster_by(ds, ["k"], n_files=8)
+    src = spark.createDataFrame([(1500, 0, "x"), (1510, 0, "y"), (99999, 1, "new")], "k BIGINT, g BIGINT, s STRING")
+    lo_hi = layout.files_overlapping(ds, "k", 1500, 1510)
+    assert len(lo_hi) == 1
+    ds.merge(src, ["k"]).when_matched_update({"s": "s.s"}).when_not_matched_insert_all().execute()
+    out = {r.k: r.s for r in ds.to_df().where("k in (1500, 1510, 99999, 1501)").collect()}
+    assert out == {1500: "x", 1510: "y", 99999: "new", 1501: "1501"}
+    assert ds.to_df().count() == 4001
