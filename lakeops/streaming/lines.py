@@ -17,10 +17,19 @@ from pyspark.sql.streaming import StreamingQuery
 PREVIEW_ROWS = 10  # records shown per batch, like a DStream's pprint()
 
 
-def line_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def line_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None,
+                **options: str) -> DataFrame:
+    """Lines of the text files that arrive in ``folder`` (column ``value``).
+
+    ``max_files_per_trigger`` bounds a micro-batch. Other file-source options pass
+    through, e.g. ``cleanSource="archive", sourceArchiveDir=...`` to move processed
+    files away so the folder listing stays short on a long-running stream.
+    """
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    for k, v in options.items():
+        r = r.option(k, v)
     return r.load(folder)
 
 
