@@ -68,6 +68,7 @@ CHANGE_FEED_PROPERTY = "enableChangeDataFeed"
 CHANGE_FEED_DEFAULT_CONF = "lakeops.properties.defaults.enableChangeDataFeed"
 LOG_CHECKPOINT_CONF = "lakeops.log.checkpointInterval"
 LOG_CHECKPOINT_EVERY = 100  # commits between log checkpoints
+GROUPED_CHANGE_READ_MIN = 8  # above this many change entries, read them grouped per change type
 
 LOG_SCHEMA = StructType(
     [
@@ -707,6 +708,10 @@ class VersionedDataset:
         if not commits:
             raise VersionError("empty version range")
         latest_schema = commits[-1].schema
+        entries = [(c, kind, path) for c in commits for kind, path in c.changes]
+        same_layout = all(c.schema == latest_schema and not c.partition_cols for c in commits)
+        if same_layout and len(entries) > GROUPED_CHANGE_READ_MIN:
+            return self._changes_grouped(entries, latest_schema)
         parts = []
         for c in commits:
             for kind, path in c.changes:
@@ -731,6 +736,44 @@ class VersionedDataset:
             out = out.unionByName(p, allowMissingColumns=True)
         return out
 
+    def _changes_grouped(self, entries, schema: StructType) -> DataFrame:
+        """Change rows of many commits with one scan per change type.
+
+        Each file is tied back to its commit through the entry that names it (the
+        file itself, or the folder holding it): a join with the (entry, version,
+        type, time) list, which is metadata and broadcast only below a row bound.
+        """
+        from lakeops.functions.joins import broadcast_if_bounded
+
+        cols = schema.fieldNames()
+        versions = sorted({c.version for c, _, _ in entries})
+        kind_to_type = F.create_map(*[x for k, t in CHANGE_TYPE.items() for x in (F.lit(k), F.lit(t))])
+        mapping = (
+            self.spark.read.schema(LOG_SCHEMA).json(self.log_dir)  # the commit rows, read by Spark
+            .where(F.col("version").isin(versions))
+            .select(F.col("version").cast("bigint").alias("_commit_version"), F.col("ts").alias("_commit_timestamp"),
+                    F.explode("changes").alias("c"))
+            .select(
+                F.regexp_replace(F.regexp_replace(F.col("c.path"), r"^file:/+", "file:///"), "/+$", "").alias("__entry"),
+                kind_to_type[F.col("c.change_type")].alias("_change_type"),
+                "_commit_version", "_commit_timestamp",
+            )
+        )
+        mapping = broadcast_if_bounded(mapping, 100_000)
+        out = None
+        for kind in sorted({k for _, k, _ in entries}):
+            paths = sorted({p for _, k, p in entries if k == kind})
+            rows = self.spark.read.schema(schema).parquet(*paths).select(
+                *[F.col(f"`{n}`") for n in cols], F.col("_metadata.file_path").alias("__file")
+            )
+            file_ = F.regexp_replace(F.col("__file"), r"^file:/+", "file:///")
+            parent = F.regexp_replace(file_, r"/[^/]*$", "")
+            rows = rows.select(*cols, F.explode(F.array(file_, parent)).alias("__entry"))
+            m = mapping.where(F.col("_change_type") == CHANGE_TYPE[kind])
+            part = rows.join(m, "__entry").drop("__entry")
+            out = part if out is None else out.unionByName(part)
+        return out.select(*cols, "_change_type", "_commit_version", "_commit_timestamp")
+
     def set_properties(self, **props: str) -> int:
         """ALTER TABLE ... SET TBLPROPERTIES: a metadata-only commit."""
         base = self.latest()

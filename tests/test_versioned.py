@@ -245,3 +245,24 @@ def test_generated_columns_recomputed_by_update_and_merge(spark, tmp_root):
     src = spark.createDataFrame([(20,), (7,)], "c1 INT")
     ds.merge(src, ["c1"]).when_matched_update({"c1": "s.c1 + 1"}).when_not_matched_insert_all().execute()
     assert rows(ds.to_df()) == sorted([(1, 2), (7, 8), (21, 22)], key=repr)
+
+
+def test_grouped_change_read_equals_per_entry_read(spark, tmp_root):
+    import lakeops.plans.versioned as v
+
+    ds = VersionedDataset.create(spark, tmp_root, "k INT, s STRING", properties={"enableChangeDataFeed": "true"})
+    for i in range(6):
+        ds.insert_values([(i, "x"), (i + 100, "y")])
+    ds.update({"s": "'z'"}, "k < 3")
+    ds.delete("k = 104")
+    ds.overwrite(ds.to_df().where("k <> 1"))
+    ds.restore(3)
+    key = ["k", "s", "_change_type", "_commit_version"]
+    old, v.GROUPED_CHANGE_READ_MIN = v.GROUPED_CHANGE_READ_MIN, 10**9
+    try:
+        per_entry = rows(ds.changes(0), *key)
+    finally:
+        v.GROUPED_CHANGE_READ_MIN = old
+    grouped = ds.changes(0)
+    assert "Union" in grouped._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(grouped, *key) == per_entry and len(per_entry) > 20
