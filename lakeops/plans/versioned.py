@@ -68,6 +68,7 @@ CHANGE_FEED_PROPERTY = "enableChangeDataFeed"
 CHANGE_FEED_DEFAULT_CONF = "lakeops.properties.defaults.enableChangeDataFeed"
 LOG_CHECKPOINT_CONF = "lakeops.log.checkpointInterval"
 LOG_CHECKPOINT_EVERY = 100  # commits between log checkpoints
+MERGE_PRUNE_MIN_FILES = 64  # stats-based target pruning in MERGE only from this many files
 GROUPED_CHANGE_READ_MIN = 8  # above this many change entries, read them grouped per change type
 
 LOG_SCHEMA = StructType(
@@ -813,6 +814,8 @@ class MergeBuilder:
         from lakeops.operators import layout  # layout builds on this module
 
         key = self.condition[0]
+        if not base.paths or len(self.ds._read_commit(base).inputFiles()) < MERGE_PRUNE_MIN_FILES:
+            return None  # few files: scanning them all is cheaper than the extra jobs
         if layout.stats_of(self.ds, base.version) is None:
             return None
         lo, hi = source.agg(F.min(key), F.max(key)).first()  # two values

@@ -96,7 +96,19 @@ def test_merge_scans_only_files_overlapping_the_source_keys(spark, tmp_root):
     src = spark.createDataFrame([(1500, 0, "x"), (1510, 0, "y"), (99999, 1, "new")], "k BIGINT, g BIGINT, s STRING")
     lo_hi = layout.files_overlapping(ds, "k", 1500, 1510)
     assert len(lo_hi) == 1
-    ds.merge(src, ["k"]).when_matched_update({"s": "s.s"}).when_not_matched_insert_all().execute()
+    import lakeops.plans.versioned as v
+
+    v.MERGE_PRUNE_MIN_FILES, old = 1, v.MERGE_PRUNE_MIN_FILES  # exercise pruning on 8 files
+    try:
+        builder = ds.merge(src, ["k"])
+        assert len(builder._prune_by_stats(ds.latest(), src)) < 8
+    finally:
+        v.MERGE_PRUNE_MIN_FILES = old
+    v.MERGE_PRUNE_MIN_FILES, old = 1, v.MERGE_PRUNE_MIN_FILES
+    try:
+        ds.merge(src, ["k"]).when_matched_update({"s": "s.s"}).when_not_matched_insert_all().execute()
+    finally:
+        v.MERGE_PRUNE_MIN_FILES = old
     out = {r.k: r.s for r in ds.to_df().where("k in (1500, 1510, 99999, 1501)").collect()}
     assert out == {1500: "x", 1510: "y", 99999: "new", 1501: "1501"}
     assert ds.to_df().count() == 4001
