@@ -236,9 +236,10 @@ def point_lookup(ds: VersionedDataset, column: str, value, version: int | None =
     return ds.spark.read.schema(c.schema).parquet(*files).where(F.col(column) == F.lit(value))
 
 
-def referenced_entries(ds: VersionedDataset) -> DataFrame:
-    """Every data or change entry named by any commit (read from the log, on the executors)."""
-    log = ds.spark.read.schema(LOG_SCHEMA).json(ds.log_dir)
+def referenced_entries(ds: VersionedDataset, retain_from_version: int = 0) -> DataFrame:
+    """Every data or change entry named by a commit >= ``retain_from_version`` (read from
+    the log, on the executors)."""
+    log = ds.spark.read.schema(LOG_SCHEMA).json(ds.log_dir).where(F.col("version") >= retain_from_version)
     data = log.select(F.explode("paths").alias("entry"))
     changes = log.select(F.explode("changes").alias("c")).select(F.col("c.path").alias("entry"))
     return data.unionByName(changes).select(_norm(F.col("entry")).alias("entry")).distinct()
@@ -248,12 +249,14 @@ def _norm(c: Column) -> Column:
     return F.regexp_replace(c, r"^file:/+", "file:///")
 
 
-def unreferenced_files(ds: VersionedDataset) -> DataFrame:
-    """Files under ``data/`` that no commit refers to (what a vacuum would remove).
+def unreferenced_files(ds: VersionedDataset, retain_from_version: int = 0) -> DataFrame:
+    """Files under ``data/`` that no retained commit refers to (what a vacuum would remove).
 
-    Listing only: nothing is deleted. A file is referenced when it, or one of
-    the folders above it, is an entry of some commit.
+    Retained commits are those >= ``retain_from_version`` (default: all). Listing
+    only: nothing is deleted. A file is referenced when it, or one of the folders
+    above it, is an entry of a retained commit; the latest version is always kept.
     """
+    retain_from_version = min(retain_from_version, ds.latest_version())
     listed = (
         ds.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{ds.root}/data")
         .select(_norm(F.col("path")).alias("path"))  # `content` is never read
@@ -261,5 +264,5 @@ def unreferenced_files(ds: VersionedDataset) -> DataFrame:
     parts = F.split(F.col("path"), "/")
     prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
     candidates = listed.select("path", F.explode(prefixes).alias("entry"))
-    hit = candidates.join(referenced_entries(ds), "entry", "left_semi").select("path").distinct()
+    hit = candidates.join(referenced_entries(ds, retain_from_version), "entry", "left_semi").select("path").distinct()
     return listed.join(hit, "path", "left_anti")

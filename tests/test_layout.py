@@ -67,6 +67,10 @@ def test_unreferenced_files(spark, tmp_root):
     ds.overwrite(ds.to_df().where("k < 10"))
     assert all("99-orphan" in r.path for r in layout.unreferenced_files(ds).collect())
     assert fs.exists(spark, f"{ds.root}/data/99-orphan")  # listing only, nothing deleted
+    # Retaining only the latest version: the files only old versions used become droppable.
+    old_only = {r.path for r in layout.unreferenced_files(ds, retain_from_version=ds.latest_version()).collect()}
+    assert len(old_only) > 1 and all("/data/" in p for p in old_only)
+    assert not any(p in old_only for p in ds.to_df().inputFiles())
 
 
 def test_stats_carry_forward_after_append(spark, tmp_root):
