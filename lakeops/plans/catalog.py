@@ -71,6 +71,8 @@ class Catalog:
             raise VersionError(f"no dataset named {name}")
         return VersionedDataset.for_path(self.spark, root)
 
+    forName = for_name  # noqa: N815  (reference spelling)
+
     def table(self, name: str, version: int | None = None) -> DataFrame:
         return self.for_name(name).to_df(version)
 

@@ -354,6 +354,8 @@ class VersionedDataset:
             raise VersionError(f"no versioned dataset at {ds.root}")
         return ds
 
+    forPath = for_path  # noqa: N815  (reference spelling)
+
     @classmethod
     def from_dataframe(cls, spark, root, df: DataFrame, partition_by=(), properties=None, **kw) -> "VersionedDataset":
         """CREATE TABLE ... AS SELECT: one commit (version 0) holding ``df``'s rows."""
@@ -417,6 +419,12 @@ class VersionedDataset:
         c = self.latest() if version is None else self.commit_at(version)
         return self._read_commit(c)
 
+    def toDF(self, version: int | None = None) -> DataFrame:  # noqa: N802  (reference spelling)
+        return self.to_df(version)
+
+    def restoreToVersion(self, version: int) -> int:  # noqa: N802
+        return self.restore(version)
+
     def version_as_of_timestamp(self, ts: str | _dt.datetime) -> int:
         t = ts if isinstance(ts, _dt.datetime) else _dt.datetime.fromisoformat(str(ts))
         older = [c.version for c in self._commits() if c.ts is not None and c.ts <= t]
@@ -599,8 +607,8 @@ class VersionedDataset:
         return _AliasedTarget(self, name)
 
     def merge(self, source: DataFrame, condition: str | Column | Sequence[str], target_alias: str = "t",
-              source_alias: str = "s") -> "MergeBuilder":
-        return MergeBuilder(self, source, condition, target_alias, source_alias)
+              source_alias: str | None = None) -> "MergeBuilder":
+        return MergeBuilder(self, source, condition, target_alias, source_alias or dataframe_alias(source) or "s")
 
     # --------------------------------------------------- restore, clones
     def _differing(self, a: Commit, b: Commit) -> tuple[DataFrame, DataFrame]:
@@ -782,12 +790,19 @@ class VersionedDataset:
         return self._next(base, "SET TBLPROPERTIES", base.paths, changes=[], parameters=props, properties=merged)
 
 
+def dataframe_alias(df: DataFrame) -> str | None:
+    """The name given by ``df.alias(name)``, if the DataFrame's top node is that alias."""
+    plan = df._jdf.queryExecution().analyzed()
+    return str(plan.alias()) if plan.nodeName() == "SubqueryAlias" else None
+
+
 class _AliasedTarget:
     def __init__(self, ds: VersionedDataset, name: str):
         self.ds, self.name = ds, name
 
     def merge(self, source: DataFrame, condition, source_alias: str | None = None) -> "MergeBuilder":
-        return MergeBuilder(self.ds, source, condition, self.name, source_alias or "s")
+        """``source_alias`` defaults to the source's own ``df.alias(...)``, else ``s``."""
+        return MergeBuilder(self.ds, source, condition, self.name, source_alias or dataframe_alias(source) or "s")
 
 
 class MergeBuilder:
@@ -805,6 +820,19 @@ class MergeBuilder:
         self.insert_values: dict | None = None
         self.insert_all = False
 
+    # The same builder under the reference's method names, so its calls port unchanged.
+    def whenMatchedUpdate(self, set):  # noqa: N802
+        return self.when_matched_update(set)
+
+    def whenMatchedUpdateAll(self):  # noqa: N802
+        return self.when_matched_update_all()
+
+    def whenNotMatchedInsert(self, values):  # noqa: N802
+        return self.when_not_matched_insert(values)
+
+    def whenNotMatchedInsertAll(self):  # noqa: N802
+        return self.when_not_matched_insert_all()
+
     def _prune_by_stats(self, base: Commit, source: DataFrame) -> list[str] | None:
         """Target files that can match, when the merge key is one named column with
         stored per-file stats (a clustered dataset): only files whose [min, max]

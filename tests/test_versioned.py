@@ -266,3 +266,17 @@ def test_grouped_change_read_equals_per_entry_read(spark, tmp_root):
     grouped = ds.changes(0)
     assert "Union" in grouped._jdf.queryExecution().optimizedPlan().toString()
     assert rows(grouped, *key) == per_entry and len(per_entry) > 20
+
+
+def test_reference_call_shape_ports_unchanged(spark, tmp_root):
+    schema = "nombre STRING NOT NULL, descripcion STRING NOT NULL"
+    m1 = VersionedDataset.create(spark, f"{tmp_root}/m1", schema)
+    m1.insert_values([("silla", "grande"), ("escritorio", "caoba")])
+    df2 = spark.createDataFrame([("silla", "pequeña"), ("cama", "doble")], "nombre STRING, descripcion STRING")
+    dt = VersionedDataset.forPath(spark, m1.root)
+    dt.alias("muebles1").merge(
+        source=df2.alias("muebles2"), condition="muebles1.nombre = muebles2.nombre"
+    ).whenMatchedUpdate(set={"muebles1.descripcion": "muebles2.descripcion"}).whenNotMatchedInsertAll().execute()
+    assert rows(dt.toDF()) == sorted([("silla", "pequeña"), ("escritorio", "caoba"), ("cama", "doble")], key=repr)
+    dt.restoreToVersion(1)
+    assert dt.toDF().count() == 2
