@@ -130,7 +130,10 @@ class Commit:
 
     @property
     def change_feed(self) -> bool:
-        return str(self.properties.get(CHANGE_FEED_PROPERTY, "false")).lower() == "true"
+        # Any key ending in the property name counts (a format prefix before it is fine).
+        return any(
+            k.rsplit(".", 1)[-1] == CHANGE_FEED_PROPERTY and str(v).lower() == "true" for k, v in self.properties.items()
+        )
 
 
 class VersionedDataset:
@@ -289,7 +292,7 @@ class VersionedDataset:
             generated=kw.get("generated", base.generated),
             not_null=kw.get("not_null", base.not_null),
             paths=list(paths),
-            changes=list(changes) if base.change_feed or kw.get("properties", {}).get(CHANGE_FEED_PROPERTY) else [],
+            changes=list(changes) if base.change_feed else [],
         )
         return self._write_log(c)
 
@@ -318,7 +321,7 @@ class VersionedDataset:
         nn = list(dict.fromkeys([*not_null, *[f.name for f in st.fields if not f.nullable]]))
         st = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in st.fields])
         props = dict(properties or {})
-        if CHANGE_FEED_PROPERTY not in props:
+        if not any(k.rsplit(".", 1)[-1] == CHANGE_FEED_PROPERTY for k in props):
             default = spark.conf.get(CHANGE_FEED_DEFAULT_CONF, None)
             if default is not None:
                 props[CHANGE_FEED_PROPERTY] = default

@@ -130,3 +130,11 @@ def test_one_second_micro_batches_until_stopped(spark, tmp_root):
     finally:
         q.stop()
     assert sorted(r.value for r in spark.read.parquet(out).collect()) == ["first", "second", "third"]
+
+
+def test_change_feed_property_with_prefix(spark, tmp_root):
+    ds = VersionedDataset.create(spark, tmp_root, "nombre STRING, raza STRING",
+                                 properties={"delta.enableChangeDataFeed": "true"}, mode="create_or_replace")
+    ds.insert_values([("Rex", "pastor alemán")])
+    ds.update({"nombre": "'Regex'"}, "nombre = 'Rex'")
+    assert sorted(r._change_type for r in ds.changes(0).collect()) == ["insert", "update_postimage", "update_preimage"]
