@@ -76,6 +76,13 @@ class Catalog:
     def table(self, name: str, version: int | None = None) -> DataFrame:
         return self.for_name(name).to_df(version)
 
+    def table_changes(self, name: str, start, end=None) -> DataFrame:
+        """``table_changes('name', start[, end])``: versions (int) or timestamps (str / datetime)."""
+        ds = self.for_name(name)
+        if isinstance(start, int) and (end is None or isinstance(end, int)):
+            return ds.changes(start, end)
+        return ds.changes_between_timestamps(start, end)
+
     def create_view(self, name: str) -> None:
         """Temp view of the latest version, for ``SELECT * FROM name``."""
         self.table(name).createOrReplaceTempView(name)

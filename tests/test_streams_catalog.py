@@ -66,6 +66,7 @@ def test_catalog_names(spark, tmp_root):
     assert cat.table("tabla1").count() == 1
     cat.save_as("tabla1", spark.createDataFrame([("Ana", "3"), ("Eva", "4")], "nombre STRING, edad STRING"), mode="overwrite")
     assert cat.table("tabla1").count() == 2 and cat.table("tabla1", 1).count() == 1
+    assert cat.table_changes("tabla1", 0).count() == 0  # change feed off: no change rows
     cat.create_view("tabla1")
     assert spark.sql("SELECT * FROM tabla1 WHERE nombre = 'Ana'").count() == 1
     root = ds.root
