@@ -31,6 +31,7 @@ from lakeops.plans.versioned import KIND_INSERT, LOG_SCHEMA, VersionedDataset, n
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 ZORDER_BITS = 4  # 16 quantile buckets per column
+SMALL_BUCKETING = 31  # up to this many bounds: comparisons; beyond: Bucketizer's binary search
 
 
 def file_sizes(df: DataFrame) -> DataFrame:
@@ -90,24 +91,45 @@ def _orderable(df: DataFrame, c: str) -> Column:
     raise TypeError(f"cannot cluster on {t.simpleString()}")
 
 
-def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS, rel_err: float = 0.001) -> Column:
-    """Morton key of quantile buckets. ``approxQuantile`` is one distributed sketch
-    job; only the (2^bits - 1) bounds per column reach the driver."""
+def zorder_bits(n_files: int, k: int) -> int:
+    """Quantile bits per column: enough cells for ``n_files`` files (at least 16
+    buckets, at most 4096 per column)."""
+    return max(ZORDER_BITS, min(12, math.ceil(math.log2(max(n_files, 2)) / k) + 1))
+
+
+def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS, rel_err: float = 0.001) -> DataFrame:
+    """``df`` with ``__zkey``: the Morton key of per-column quantile buckets.
+
+    ``approxQuantile`` is one distributed sketch job; only the 2^bits - 1 bounds
+    per column reach the driver. Buckets come from ``Bucketizer`` (a JVM binary
+    search over the bounds), then the bits are interleaved with shifts and ORs.
+    """
+    from pyspark.ml.feature import Bucketizer
+
     k = len(columns)
     probs = [i / 2**bits for i in range(1, 2**bits)]
-    images = {c: _orderable(df, c) for c in columns}
-    tmp = df.select(*[images[c].alias(f"__z{i}") for i, c in enumerate(columns)])
-    bounds = tmp.approxQuantile([f"__z{i}" for i in range(k)], probs, rel_err)
+    imgs = [f"__zimg{i}" for i in range(k)]
+    out = df.select("*", *[F.coalesce(_orderable(df, c), F.lit(float("-inf"))).alias(n) for c, n in zip(columns, imgs)])
+    bounds = out.approxQuantile(imgs, probs, rel_err)
+    buckets = [f"__zb{i}" for i in range(k)]
+    for img, b, bnd in zip(imgs, buckets, bounds):
+        cuts = sorted({x for x in bnd if math.isfinite(x)})
+        if len(cuts) <= SMALL_BUCKETING:
+            # Few bounds: a sum of comparisons stays inside whole-stage codegen.
+            bucket = F.lit(0)
+            for x in cuts:
+                bucket = bucket + F.when(F.col(img) >= F.lit(x), 1).otherwise(0)
+            out = out.withColumn(b, bucket.cast("double"))
+        else:
+            splits = [float("-inf"), *cuts, float("inf")]
+            out = Bucketizer(splits=splits, inputCol=img, outputCol=b, handleInvalid="keep").transform(out)
     z = F.lit(0).cast("long")
-    for j, c in enumerate(columns):
-        bucket = F.lit(0)
-        for b in sorted(set(bounds[j])):
-            bucket = bucket + F.when(images[c] > F.lit(b), 1).otherwise(0)
-        bucket = F.coalesce(bucket, F.lit(0)).cast("long")  # NULLs go to bucket 0
+    for j, b in enumerate(buckets):
+        bucket = F.col(b).cast("long")
         for i in range(bits):
             bit = F.shiftright(bucket, i).bitwiseAND(F.lit(1))
             z = z.bitwiseOR(F.shiftleft(bit, i * k + j))
-    return z
+    return out.withColumn("__zkey", z).drop(*imgs, *buckets)
 
 
 def cluster_by(ds: VersionedDataset, columns: Sequence[str], n_files: int | None = None,
@@ -125,9 +147,8 @@ def cluster_by(ds: VersionedDataset, columns: Sequence[str], n_files: int | None
         key = F.col(columns[0])
         out = df.repartitionByRange(n_files, key, tiebreak).sortWithinPartitions(key)
     else:
-        z = zorder_key(df, columns)
         out = (
-            df.withColumn("__zkey", z)
+            zorder_key(df, columns, bits=zorder_bits(n_files, len(columns)))
             .repartitionByRange(n_files, F.col("__zkey"), tiebreak)
             .sortWithinPartitions("__zkey")
             .drop("__zkey")

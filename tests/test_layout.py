@@ -116,3 +116,14 @@ def test_merge_scans_only_files_overlapping_the_source_keys(spark, tmp_root):
     out = {r.k: r.s for r in ds.to_df().where("k in (1500, 1510, 99999, 1501)").collect()}
     assert out == {1500: "x", 1510: "y", 99999: "new", 1501: "1501"}
     assert ds.to_df().count() == 4001
+
+
+def test_zorder_buckets_many_bounds_match_few(spark):
+    df = spark.range(2000).select((F.col("id") * 7 % 1000).alias("a"), (F.col("id") % 13).alias("b"))
+    assert layout.zorder_bits(8, 2) == 4 and layout.zorder_bits(800_000, 2) == 11
+    small = layout.zorder_key(df, ["a", "b"], bits=4)
+    big = layout.zorder_key(df, ["a", "b"], bits=7)  # 127 bounds on `a`: Bucketizer path
+    assert small.count() == big.count() == 2000
+    # Coarser key is a function of the finer one: rows sharing a fine cell share a coarse cell.
+    j = small.withColumnRenamed("__zkey", "zs").join(big.withColumnRenamed("__zkey", "zb"), ["a", "b"])
+    assert j.groupBy("zb").agg(F.countDistinct("zs").alias("n")).where("n > 1").count() == 0
