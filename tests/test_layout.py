@@ -99,7 +99,7 @@ def test_merge_scans_only_files_overlapping_the_source_keys(spark, tmp_root):
     layout.cluster_by(ds, ["k"], n_files=8)
     src = spark.createDataFrame([(1500, 0, "x"), (1510, 0, "y"), (99999, 1, "new")], "k BIGINT, g BIGINT, s STRING")
     lo_hi = layout.files_overlapping(ds, "k", 1500, 1510)
-    assert len(lo_hi) == 1
+    assert 1 <= len(lo_hi) <= 2  # a sampled range bound may fall inside [1500, 1510]
     import lakeops.plans.versioned as v
 
     v.MERGE_PRUNE_MIN_FILES, old = 1, v.MERGE_PRUNE_MIN_FILES  # exercise pruning on 8 files
