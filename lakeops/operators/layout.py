@@ -101,35 +101,39 @@ def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS, r
     """``df`` with ``__zkey``: the Morton key of per-column quantile buckets.
 
     ``approxQuantile`` is one distributed sketch job; only the 2^bits - 1 bounds
-    per column reach the driver. Buckets come from ``Bucketizer`` (a JVM binary
-    search over the bounds), then the bits are interleaved with shifts and ORs.
+    per column reach the driver. With few bounds the bucket is a sum of
+    comparisons inside whole-stage codegen; with many, ``Bucketizer`` (a JVM binary
+    search) assigns it. The bits are then interleaved with shifts and ORs.
     """
-    from pyspark.ml.feature import Bucketizer
-
     k = len(columns)
     probs = [i / 2**bits for i in range(1, 2**bits)]
-    imgs = [f"__zimg{i}" for i in range(k)]
-    out = df.select("*", *[F.coalesce(_orderable(df, c), F.lit(float("-inf"))).alias(n) for c, n in zip(columns, imgs)])
-    bounds = out.approxQuantile(imgs, probs, rel_err)
-    buckets = [f"__zb{i}" for i in range(k)]
-    for img, b, bnd in zip(imgs, buckets, bounds):
-        cuts = sorted({x for x in bnd if math.isfinite(x)})
-        if len(cuts) <= SMALL_BUCKETING:
-            # Few bounds: a sum of comparisons stays inside whole-stage codegen.
+    images = [F.coalesce(_orderable(df, c), F.lit(float("-inf"))) for c in columns]  # NULLs: bucket 0
+    bounds = df.select(*[im.alias(f"__zimg{i}") for i, im in enumerate(images)]).approxQuantile(
+        [f"__zimg{i}" for i in range(k)], probs, rel_err
+    )
+    cuts = [sorted({x for x in bnd if math.isfinite(x)}) for bnd in bounds]
+    out, drop, buckets = df, [], []
+    for i, (im, cut) in enumerate(zip(images, cuts)):
+        if len(cut) <= SMALL_BUCKETING:
             bucket = F.lit(0)
-            for x in cuts:
-                bucket = bucket + F.when(F.col(img) >= F.lit(x), 1).otherwise(0)
-            out = out.withColumn(b, bucket.cast("double"))
+            for x in cut:
+                bucket = bucket + F.when(im >= F.lit(x), 1).otherwise(0)
+            buckets.append(bucket.cast("long"))
         else:
-            splits = [float("-inf"), *cuts, float("inf")]
-            out = Bucketizer(splits=splits, inputCol=img, outputCol=b, handleInvalid="keep").transform(out)
+            from pyspark.ml.feature import Bucketizer
+
+            img, b = f"__zimg{i}", f"__zb{i}"
+            out = out.withColumn(img, im)
+            out = Bucketizer(splits=[float("-inf"), *cut, float("inf")], inputCol=img, outputCol=b,
+                             handleInvalid="keep").transform(out)
+            buckets.append(F.col(b).cast("long"))
+            drop += [img, b]
     z = F.lit(0).cast("long")
-    for j, b in enumerate(buckets):
-        bucket = F.col(b).cast("long")
+    for j, bucket in enumerate(buckets):
         for i in range(bits):
             bit = F.shiftright(bucket, i).bitwiseAND(F.lit(1))
             z = z.bitwiseOR(F.shiftleft(bit, i * k + j))
-    return out.withColumn("__zkey", z).drop(*imgs, *buckets)
+    return out.withColumn("__zkey", z).drop(*drop)
 
 
 def cluster_by(ds: VersionedDataset, columns: Sequence[str], n_files: int | None = None,
