@@ -63,8 +63,14 @@ def preview_batches(sdf: DataFrame, sink: str, checkpoint: str, n: int = PREVIEW
 
 
 def run(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
-    """Block until an availableNow query finished (or ``timeout_s``); re-raise its failure."""
-    query.awaitTermination(timeout_s)
+    """Block until an availableNow query finished; re-raise its failure. If it is still
+    running after ``timeout_s`` it is stopped and ``TimeoutError`` raised (a caller must
+    never read a half-written sink as if it were complete)."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"stream {query.name or query.id} still running after {timeout_s} s")
     if query.exception() is not None:
         raise query.exception()
     return query
