@@ -896,8 +896,15 @@ class MergeBuilder:
             update_set=self.update_set, update_all=self.update_all,
             insert_values=self.insert_values, insert_all=self.insert_all, optional=list(base.generated),
         )
+        touched_df = plan.touched_files("__file", "__row")
+        physical = touched_df._jdf.queryExecution().executedPlan().toString()  # planning only, no job
+        if "NestedLoopJoin" in physical or "CartesianProduct" in physical:
+            raise ValueError(
+                "merge condition needs an equality between a target and a source column "
+                "(without one every target row is compared with every source row)"
+            )
         # One job: per touched file, the largest number of source rows matched by one target row.
-        per_file = plan.touched_files("__file", "__row").collect()  # one row per touched file
+        per_file = touched_df.collect()  # one row per touched file
         if any(r["n"] > 1 for r in per_file):
             raise AmbiguousMergeError("several source rows match the same target row")
         touched = {norm_path(r["__file"]) for r in per_file}

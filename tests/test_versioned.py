@@ -280,3 +280,13 @@ def test_reference_call_shape_ports_unchanged(spark, tmp_root):
     assert rows(dt.toDF()) == sorted([("silla", "pequeña"), ("escritorio", "caoba"), ("cama", "doble")], key=repr)
     dt.restoreToVersion(1)
     assert dt.toDF().count() == 2
+
+
+def test_merge_without_equality_is_refused(spark, tmp_root):
+    ds = VersionedDataset.create(spark, tmp_root, "k INT, v STRING")
+    ds.insert_values([(1, "a")])
+    src = spark.createDataFrame([(2, "b")], "k INT, v STRING")
+    with pytest.raises(ValueError, match="equality"):
+        ds.merge(src, "t.k < s.k").when_matched_update({"v": "s.v"}).execute()
+    ds.merge(src, "t.k = s.k and t.v <> s.v").when_not_matched_insert_all().execute()  # equality + extra: fine
+    assert ds.to_df().count() == 2
