@@ -27,7 +27,7 @@ from pyspark.sql.types import DateType, MapType, NumericType, StringType, Timest
 
 from lakeops.functions import fs
 from lakeops.functions.literals import empty_df
-from lakeops.plans.versioned import KIND_INSERT, LOG_SCHEMA, VersionedDataset, norm_path
+from lakeops.plans.versioned import KIND_INSERT, VersionedDataset, norm_path
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 ZORDER_BITS = 4  # 16 quantile buckets per column
@@ -264,7 +264,7 @@ def point_lookup(ds: VersionedDataset, column: str, value, version: int | None =
 def referenced_entries(ds: VersionedDataset, retain_from_version: int = 0) -> DataFrame:
     """Every data or change entry named by a commit >= ``retain_from_version`` (read from
     the log, on the executors)."""
-    log = ds.spark.read.schema(LOG_SCHEMA).json(ds.log_dir).where(F.col("version") >= retain_from_version)
+    log = ds.log_frame().where(F.col("version") >= retain_from_version)
     data = log.select(F.explode("paths").alias("entry"))
     changes = log.select(F.explode("changes").alias("c")).select(F.col("c.path").alias("entry"))
     return data.unionByName(changes).select(_norm(F.col("entry")).alias("entry")).distinct()

@@ -184,6 +184,20 @@ class VersionedDataset:
         names = fs.list_names(self.spark, self._checkpoint_dir)
         return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("version="))
 
+    def log_frame(self) -> DataFrame:
+        """All commit rows as a DataFrame (LOG_SCHEMA): the newest log checkpoint plus
+        the commit files after it, so the cost does not grow with old history."""
+        ckpts = self._checkpoint_versions()
+        if not ckpts:
+            return self.spark.read.schema(LOG_SCHEMA).json(self.log_dir)
+        last = ckpts[-1]
+        names = fs.list_names(self.spark, self.log_dir)
+        newer = [f"{self.log_dir}/{n}" for n in names if n.startswith("version=") and int(n.split("=", 1)[1]) > last]
+        out = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self._checkpoint_dir}/version={last}")
+        if newer:
+            out = out.unionByName(self.spark.read.schema(LOG_SCHEMA).option("basePath", self.log_dir).json(newer))
+        return out
+
     def _load_checkpoint(self, up_to: int) -> None:
         """Fill the cache from the newest log checkpoint <= ``up_to`` (one Parquet read
         instead of one small JSON file per commit)."""
@@ -437,7 +451,7 @@ class VersionedDataset:
 
     def history(self, limit: int | None = None) -> DataFrame:
         """One row per commit, newest first (``limit`` = last n commits)."""
-        h = self.spark.read.schema(LOG_SCHEMA).json(self.log_dir).select(
+        h = self.log_frame().select(
             "version",
             F.col("ts").alias("timestamp"),
             "operation",
@@ -761,7 +775,7 @@ class VersionedDataset:
         versions = sorted({c.version for c, _, _ in entries})
         kind_to_type = F.create_map(*[x for k, t in CHANGE_TYPE.items() for x in (F.lit(k), F.lit(t))])
         mapping = (
-            self.spark.read.schema(LOG_SCHEMA).json(self.log_dir)  # the commit rows, read by Spark
+            self.log_frame()  # the commit rows, read by Spark
             .where(F.col("version").isin(versions))
             .select(F.col("version").cast("bigint").alias("_commit_version"), F.col("ts").alias("_commit_timestamp"),
                     F.explode("changes").alias("c"))
