@@ -12,18 +12,10 @@ import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from lakeops.functions import fs
 from lakeops.plans.versioned import VersionedDataset, VersionError
 
-_NAME_SCHEMA = StructType(
-    [StructField("ts", TimestampType()), StructField("seq", StringType()), StructField("root", StringType()),
-     StructField("name", StringType())]
-)
-
-
 class Catalog:
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
@@ -38,13 +30,13 @@ class Catalog:
         fs.create_new(self.spark, f"{self._names_dir()}/name={name}/{seq}.json", json.dumps(row) + "\n")
 
     def root_of(self, name: str) -> str | None:
-        if not fs.exists(self.spark, f"{self._names_dir()}/name={name}"):
+        """Root of the newest record for ``name`` (records are named by time, so the
+        newest is the largest file name); None when unknown or dropped."""
+        folder = f"{self._names_dir()}/name={name}"
+        records = [n for n in fs.list_names(self.spark, folder) if n.endswith(".json")]
+        if not records:
             return None
-        rows = (
-            self.spark.read.schema(_NAME_SCHEMA).json(self._names_dir())
-            .where(F.col("name") == name).orderBy(F.desc("seq")).limit(1).collect()
-        )
-        return rows[0].root if rows else None
+        return json.loads(fs.read_text(self.spark, f"{folder}/{max(records)}")).get("root")
 
     def create(self, name: str, schema, **kw) -> VersionedDataset:
         """CREATE TABLE name (...): a new root for a new name; ``mode`` as in VersionedDataset.create."""
