@@ -40,6 +40,10 @@ def get_session(
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.parquet.compression.codec": "snappy",
+        # Partitioned writes (row kind of a rewrite, partition columns): keep up to
+        # this many files open per task instead of sorting each task's rows first;
+        # beyond it Spark falls back to the sort.
+        "spark.sql.maxConcurrentOutputFileWriters": "8",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
