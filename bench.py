@@ -1,7 +1,9 @@
 """Benchmark the headline queries.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEATS (default 3; the median is reported), BENCH_QUERIES (comma list).
+BENCH_REPEATS (default 3; the median is reported), BENCH_WARMUP (default 1 run per
+query, discarded: the first run of a plan shape pays code generation and class
+loading), BENCH_QUERIES (comma list).
 Each query runs to completion through the ``noop`` sink (no rows to the
 driver); eager commits inside versioned queries are part of the time.
 Prints one JSON line.
@@ -37,6 +39,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = max(1, int(os.environ.get("BENCH_REPEATS", "3")))
+    warmup = max(0, int(os.environ.get("BENCH_WARMUP", "1")))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
 
     from lakeops.plans.registry import all_queries
@@ -53,6 +56,8 @@ def main() -> None:
     run("agg_max")  # warm-up: JVM, class loading, first file listing
     per_query = {}
     for n in names:
+        for _ in range(warmup):
+            run(n)
         times = [run(n) for _ in range(repeats)]
         per_query[n] = round(statistics.median(times), 3)
     total = round(sum(per_query.values()), 3)
@@ -65,6 +70,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "repeats": repeats,
+        "warmup_runs_discarded": warmup,
     }))
     spark.stop()
 
