@@ -47,7 +47,9 @@ def test_change_stream_only_new_commits(spark, tmp_root):
     assert cstream.read_change_sink(spark, sink).count() == 3 + 1 + 2
 
 
-def test_incremental_counts_replay_is_noop(spark, tmp_root):
+@pytest.mark.parametrize("small_files", [8, 0])  # 8: overwrite path; 0: file-level merge path
+def test_incremental_counts_replay_is_noop(spark, tmp_root, small_files, monkeypatch):
+    monkeypatch.setattr(incremental, "SMALL_AGGREGATE_FILES", small_files)
     src = VersionedDataset.create(spark, f"{tmp_root}/o", "cust INT, x STRING", properties={"enableChangeDataFeed": "true"})
     src.insert_values([(1, "a"), (1, "b"), (2, "c")])
     agg = incremental.create_count(spark, f"{tmp_root}/agg", src.to_df(), ["cust"], source_version=1)
