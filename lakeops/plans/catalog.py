@@ -20,6 +20,11 @@ class Catalog:
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
 
+    @classmethod
+    def default(cls, spark: SparkSession) -> "Catalog":
+        """The catalog under the session's ``spark.sql.warehouse.dir`` (shared on a cluster)."""
+        return cls(spark, f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/lakeops")
+
     def _names_dir(self) -> str:
         return f"{self.base}/_names"
 

@@ -988,6 +988,12 @@ class DatasetBuilder:
         self._root = root
         return self
 
+    def table_name(self, name: str, catalog=None) -> "DatasetBuilder":
+        """Address the dataset by name in ``catalog`` (default: ``Catalog.default``, under
+        the session's warehouse folder)."""
+        self._name, self._catalog = name, catalog
+        return self
+
     def add_column(self, name: str, data_type, nullable: bool = True,
                    generated_always_as: str | None = None) -> "DatasetBuilder":
         t = StructType.fromDDL(f"`{name}` {data_type}").fields[0].dataType if isinstance(data_type, str) else data_type
@@ -1012,9 +1018,29 @@ class DatasetBuilder:
         return self
 
     def execute(self) -> VersionedDataset:
+        kw = dict(partition_by=self._partition, properties=self._props, generated=self._generated,
+                  not_null=self._not_null, mode=self.mode)
+        if getattr(self, "_name", None):
+            from lakeops.plans.catalog import Catalog  # the catalog builds on this module
+
+            cat = self._catalog or Catalog.default(self.spark)
+            return cat.create(self._name, StructType(self._fields), **kw)
         if self._root is None:
-            raise ValueError("location(root) is required")
-        return VersionedDataset.create(
-            self.spark, self._root, StructType(self._fields), partition_by=self._partition,
-            properties=self._props, generated=self._generated, not_null=self._not_null, mode=self.mode,
-        )
+            raise ValueError("location(root) or table_name(name) is required")
+        return VersionedDataset.create(self.spark, self._root, StructType(self._fields), **kw)
+
+    # Reference spellings.
+    createOrReplace = create_or_replace  # noqa: N815
+    createIfNotExists = create_if_not_exists  # noqa: N815
+
+    def tableName(self, name, catalog=None):  # noqa: N802
+        return self.table_name(name, catalog)
+
+    def addColumn(self, colName, dataType, nullable=True, generatedAlwaysAs=None):  # noqa: N802, N803
+        return self.add_column(colName, dataType, nullable, generatedAlwaysAs)
+
+    def addColumns(self, cols):  # noqa: N802
+        return self.add_columns(cols)
+
+    def partitionedBy(self, *cols):  # noqa: N802
+        return self.partitioned_by(*cols)

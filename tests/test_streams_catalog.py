@@ -141,3 +141,16 @@ def test_change_feed_property_with_prefix(spark, tmp_root):
     ds.insert_values([("Rex", "pastor alemán")])
     ds.update({"nombre": "'Regex'"}, "nombre = 'Rex'")
     assert sorted(r._change_type for r in ds.changes(0).collect()) == ["insert", "update_postimage", "update_preimage"]
+
+
+def test_builder_by_table_name_reference_spelling(spark, tmp_root):
+    cat = Catalog(spark, tmp_root)
+    dt = (DatasetBuilder.createOrReplace(spark).tableName("muebles1", cat)
+          .addColumn("nombre", dataType="STRING", nullable=False)
+          .addColumn("descripcion", dataType="STRING", nullable=False)
+          .execute())
+    dt.insert_values([("silla", "grande")])
+    assert cat.forName("muebles1").toDF().count() == 1
+    again = DatasetBuilder.createOrReplace(spark).tableName("muebles1", cat).addColumn("nombre", "STRING").execute()
+    assert again.root == dt.root and again.toDF().count() == 0  # replaced in place: new version, same name
+    assert Catalog.default(spark).base.endswith("/lakeops")
