@@ -11,4 +11,18 @@ streaming  Structured Streaming jobs (line streams, change streams)
 
 from lakeops.session import get_session, scratch_dir
 
-__all__ = ["get_session", "scratch_dir"]
+__all__ = ["get_session", "scratch_dir", "VersionedDataset", "DatasetBuilder", "Catalog"]
+
+_LAZY = {
+    "VersionedDataset": "lakeops.plans.versioned",
+    "DatasetBuilder": "lakeops.plans.versioned",
+    "Catalog": "lakeops.plans.catalog",
+}
+
+
+def __getattr__(name):  # loaded on first use: no import cycle, no cost for plain imports
+    if name in _LAZY:
+        import importlib
+
+        return getattr(importlib.import_module(_LAZY[name]), name)
+    raise AttributeError(name)
