@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm import (
+    html_extract,
     mixing,
+    pii_surrogates,
     quality_rules,
     sentencepiece_nbest,
     simhash,
     token_count,
+    warc_store,
 )
 from lakeops.llm.common import WORD
+from lakeops.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -190,3 +194,40 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+BASE32_SQL = "concat(" + ", ".join(
+    f"to_base(('0x' || substr(sha1(payload), {10 * i + 1}, 10))::bigint, 32, 8)" for i in range(4)
+) + ")"
+WARC_SQL = f"""
+with facts as (
+  select page_id, octet_length(encode(payload))::bigint as payload_bytes,
+    translate({BASE32_SQL}, '{warc_store.DIGITS32}', '{warc_store.BASE32}') as payload_digest,
+    max(page_id) over (partition by payload) as response_id
+  from (select page_id, coalesce(html, '') as payload from pages)
+)
+select page_id, payload_bytes, payload_digest,
+  case when page_id = response_id then 'response' else 'revisit' end as record_type,
+  case when page_id <> response_id then response_id end as refers_to
+from facts
+"""
+
+
+@_query("op8_warc_archive", WARC_SQL)
+def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "warc")
+    warc_store.write_archive(_table(spark, sf_dir, "pages"), folder)
+    return warc_store.read_archive(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@_query("op9_html_text")
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(_table(spark, sf_dir, "pages"))
+
+
+@_query("op10_pii_surrogates")
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii_surrogates.with_surrogates(_table(spark, sf_dir, "documents"))
+    return out.select("doc.doc_id", F.col("new_text").alias("text"), "n_entities")
