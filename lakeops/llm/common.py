@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import gc
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.session import scratch_dir
 
+_ROOT = Path(__file__).resolve().parents[2]
+_shipped: set[str] = set()
+
 # A word is a run of characters other than space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -68,3 +75,15 @@ def no_cycle_collection() -> Iterator[None]:
         yield
     finally:
         gc.enable()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers import this package where they would not find it by
+    themselves: as with ``--py-files``, once per application, through the driver's file server."""
+    sc = spark.sparkContext
+    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if sc.applicationId in _shipped or any(p and Path(p).resolve() == _ROOT for p in found):
+        return
+    base = f"{tempfile.mkdtemp(prefix='lakeops-package-')}/lakeops"
+    sc.addPyFile(shutil.make_archive(base, "zip", _ROOT, "lakeops"))
+    _shipped.add(sc.applicationId)

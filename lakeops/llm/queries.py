@@ -15,9 +15,10 @@ from lakeops.llm import (
     sentencepiece_nbest,
     simhash,
     token_count,
+    toxicity,
     warc_store,
 )
-from lakeops.llm.common import WORD
+from lakeops.llm.common import WORD, ship_package
 from lakeops.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,7 @@ def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -190,6 +192,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
