@@ -59,6 +59,7 @@ PAGE_WORDS = re.compile(r"header|topbar")  # outside an article only
 INSIDE_WORDS = re.compile(r"comments?|repl(?:y|ies)|related|sponsored|promo|ads?")  # all that drops a nested article
 STYLE_PREFIXES = frozenset("has no non with without".split())  # no-sidebar says what is not there
 PARAGRAPHS = frozenset("p pre blockquote td li dd".split())
+CONTAINERS = frozenset("#page body main article section div center table td".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TAG_POINTS = {"article": 10.0, "main": 10.0, "div": 5.0, "section": 5.0, "blockquote": 3.0, "pre": 3.0, "td": 3.0,
               "ul": -3.0, "ol": -3.0, "dl": -3.0, "h1": -5.0, "h2": -5.0, "h3": -5.0, "th": -5.0}
@@ -236,7 +237,7 @@ def _score(nodes: list[Node]) -> dict[int, float]:
             above, level = above.parent, level + 1
     return {
         key: (n.points + TAG_POINTS.get(n.tag, 0.0) + n.weight) * (1 - (n.linked / n.length if n.length else 0.0))
-        for key, n in held.items() if n.tag not in INLINE and n.length
+        for key, n in held.items() if n.tag in CONTAINERS and n.length
     }
 
 

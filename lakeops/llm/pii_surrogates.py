@@ -53,7 +53,7 @@ GIVEN = r"\p{Lu}[\p{L}\-]{1,29}"
 # a capitalized word right behind a title, or behind a title and one more such word
 NAME = rf"{NOT_BEFORE}{GIVEN}(?<=(?:{TITLES})\.? {GIVEN})|{NOT_BEFORE}{GIVEN}(?<=(?:{TITLES})\.? {GIVEN} {GIVEN})"
 HAS_TITLE = rf"{NOT_BEFORE}(?:{TITLES})\.? \p{{Lu}}"
-MAY_MATCH = r"[0-9@]|[0-9a-fA-F]{32}"
+MAY_MATCH = r"[0-9@]|[a-f]{32}|[A-F]{32}|AKIA[A-Z]{16}|[_\-][A-Za-z_\-]{16}"
 
 SYLLABLES = {
     "latin": "ba be bo da de do fa fe ga ge ka ke la le li lo ma me mi mo na ne ni no ra re ri ro sa se ta te".split(),

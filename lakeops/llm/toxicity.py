@@ -137,8 +137,13 @@ def label_model(votes: np.ndarray, rounds: int = 40) -> np.ndarray:
 
 
 def linear_classifier(x: np.ndarray, p: np.ndarray, decay: float = 2e-5, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic regression on soft labels ``p``, both classes weighing the same."""
+    """Weights and bias of a logistic regression on soft labels ``p``, both classes weighing the same.
+
+    A text without any feature is added as one of the other class, with a small weight.
+    """
+    x, p = np.vstack([x, np.zeros((1, x.shape[1]), x.dtype)]), np.append(p, 0.0)
     weight = np.where(p >= 0.5, 0.5 / max(1, (p >= 0.5).sum()), 0.5 / max(1, (p < 0.5).sum())).astype(np.float64)
+    weight[-1] = 0.05
     w, b = np.zeros(x.shape[1]), 0.0
     mean, square = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
     for t in range(1, steps + 1):
