@@ -173,7 +173,10 @@ def measures(documents: DataFrame) -> DataFrame:
 
 def clean_documents(documents: DataFrame) -> DataFrame:
     """The kept documents, with the columns of ``documents``; ``text`` without its failed lines."""
-    kept = measures(documents).filter("quality.kept").select("doc", "quality.clean_text")
+    # A filter pushed below the columns of measures() would repeat them once for each array element they are
+    # used for; it is not pushed below a column that depends on the row's place.
+    judged = measures(documents).select("doc", "quality", F.monotonically_increasing_id().alias("place"))
+    kept = judged.filter((F.col("place") >= 0) & F.col("quality.kept")).select("doc", "quality.clean_text")
     new = {"text": F.col("clean_text")}
     if "n_chars" in documents.columns:
         new["n_chars"] = F.length("clean_text").cast(documents.schema["n_chars"].dataType)
