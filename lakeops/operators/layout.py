@@ -3,47 +3,45 @@ file skipping and the list of unreferenced files (K1-K5, A13).
 
 - ``compact`` rewrites only the files smaller than half the target size
   (bin-packing); big files stay referenced as they are. Rows are unchanged, so
-  the commit carries no change rows.
+  the commit carries no change rows. Partition values are kept apart with a
+  rebalance, which splits large ones.
 - ``cluster_by`` rewrites the snapshot range-partitioned on the clustering key
   and sorted inside each file, so per-file min/max become narrow. The range
   key carries a deterministic hash of the row as a tiebreak: a value holding a
   third of all rows is spread over several output files instead of one task.
   Several columns are interleaved into a Morton (Z-order) key built from
-  quantile buckets with Column arithmetic (no UDF).
+  quantile buckets with Column arithmetic (no UDF): cut points of a bounded sample,
+  compared with Spark's own ordering, so any orderable type works, long texts
+  and NaN included. They only shape the layout, never a result.
 - Per-file statistics of the clustering columns are computed once, right
   after the clustering write (one pass over just those columns), and stored
-  beside the version; ``files_for`` reads them to pick the files a point
-  query has to open.
+  beside the version; ``files_between`` compares them in Spark and brings only
+  the surviving file names to the driver.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, MapType, NumericType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import MapType
 
 from lakeops.functions import fs
-from lakeops.functions.literals import empty_df
-from lakeops.plans.versioned import KIND_INSERT, VersionedDataset, norm_path
+from lakeops.functions.literals import literal_df
+from lakeops.plans.versioned import KIND_INSERT, VersionedDataset
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
-ZORDER_BITS = 4  # 16 quantile buckets per column
-SMALL_BUCKETING = 31  # up to this many bounds: comparisons; beyond: Bucketizer's binary search
-
-
-def file_sizes(df: DataFrame) -> DataFrame:
-    """(file_path, file_size, num_rows) of the files behind a plain scan; metadata columns only."""
-    return df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path", "file_size").agg(
-        F.count(F.lit(1)).alias("num_rows")
-    )
+ZORDER_BITS = 4  # at least 16 quantile buckets per column
+ZORDER_MAX_BITS = 8  # at most 256: more cells than files for any two or more columns
+ZORDER_SAMPLE_ROWS = 20_000
 
 
 def dataset_file_sizes(ds: VersionedDataset, version: int | None = None) -> DataFrame:
-    """``file_sizes`` of a dataset version (file metadata taken per scan, so partitioned
-    datasets made of several folders work too). No data column is read."""
+    """(file_path, file_size, num_rows) of a version's files; metadata columns only (taken per
+    scan, so partitioned datasets made of several folders work too)."""
     c = ds.latest() if version is None else ds.commit_at(version)
     return (
         ds._read_commit(c, meta=("__file", "__size"))
@@ -59,81 +57,61 @@ def _n_files(total_bytes: int, target: int) -> int:
 def compact(ds: VersionedDataset, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
     """OPTIMIZE: bin-pack small files into files of about ``target_file_bytes``."""
     base = ds.latest()
-    if not base.paths:
-        return ds._next(base, "OPTIMIZE", [], parameters={"numRemovedFiles": 0})
     sizes = dataset_file_sizes(ds, base.version).where(F.col("file_size") < target_file_bytes // 2)
-    small = sizes.select("file_path", "file_size").collect()  # one row per small file (metadata)
+    small = sizes.select("file_path", "file_size").collect()  # one row per file taken out
     if len(small) < 2:
-        return ds._next(base, "OPTIMIZE", base.paths, parameters={"numRemovedFiles": 0})
-    touched = {norm_path(r.file_path) for r in small}
-    keep, rewrite = ds._split_entries(base, touched)
-    n_out = _n_files(sum(r.file_size for r in small), target_file_bytes)
-    rows = ds._read_commit(base, rewrite)
-    rows = rows.repartition(n_out, *base.partition_cols) if base.partition_cols else rows.repartition(n_out)
+        return ds._next(base, "OPTIMIZE", base.version, parameters={"numRemovedFiles": 0})
+    rows = ds._read_commit(base, files=[r.file_path for r in small])
+    if not base.partition_cols:  # a partitioned write rebalances by itself
+        rows = rows.repartition(_n_files(sum(r.file_size for r in small), target_file_bytes))
     entry = ds._write(base, rows, base.version + 1)[KIND_INSERT]
-    return ds._next(base, "OPTIMIZE", [*keep, entry], changes=[],
-                    parameters={"numRemovedFiles": len(small), "numAddedFiles": n_out})
-
-
-def _orderable(df: DataFrame, c: str) -> Column:
-    """A numeric, order-preserving image of a column (for quantile buckets)."""
-    t = df.schema[c].dataType
-    col = F.col(c)
-    if isinstance(t, NumericType):
-        return col.cast("double")
-    if isinstance(t, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(col.cast("timestamp")).cast("double")
-    if isinstance(t, DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(t, StringType):
-        # First 7 bytes, right-padded: big-endian integer keeps byte order.
-        return F.conv(F.rpad(F.hex(F.substring(col, 1, 7)), 14, "0"), 16, 10).cast("double")
-    raise TypeError(f"cannot cluster on {t.simpleString()}")
+    return ds._next(base, "OPTIMIZE", base.version, [entry], sorted(r.file_path for r in small),
+                    parameters={"numRemovedFiles": len(small)})
 
 
 def zorder_bits(n_files: int, k: int) -> int:
-    """Quantile bits per column: enough cells for ``n_files`` files (at least 16
-    buckets, at most 4096 per column)."""
-    return max(ZORDER_BITS, min(12, math.ceil(math.log2(max(n_files, 2)) / k) + 1))
+    """Quantile bits per column: enough cells for ``n_files`` files, within the fixed bounds."""
+    return max(ZORDER_BITS, min(ZORDER_MAX_BITS, math.ceil(math.log2(max(n_files, 2)) / k) + 1))
 
 
-def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS, rel_err: float = 0.001) -> DataFrame:
-    """``df`` with ``__zkey``: the Morton key of per-column quantile buckets.
+def _cut_points(df: DataFrame, columns: Sequence[str], n: int) -> list[list]:
+    """``n`` ascending quantiles of each column, from a sample of about ZORDER_SAMPLE_ROWS rows.
 
-    ``approxQuantile`` is one distributed sketch job; only the 2^bits - 1 bounds
-    per column reach the driver. With few bounds the bucket is a sum of
-    comparisons inside whole-stage codegen; with many, ``Bucketizer`` (a JVM binary
-    search) assigns it. The bits are then interleaved with shifts and ORs.
+    Sorted in Spark, so texts, NaN and dates order as they do in the data; only the cut
+    points reach the driver.
     """
-    k = len(columns)
-    probs = [i / 2**bits for i in range(1, 2**bits)]
-    images = [F.coalesce(_orderable(df, c), F.lit(float("-inf"))) for c in columns]  # NULLs: bucket 0
-    bounds = df.select(*[im.alias(f"__zimg{i}") for i, im in enumerate(images)]).approxQuantile(
-        [f"__zimg{i}" for i in range(k)], probs, rel_err
+    share = min(1.0, ZORDER_SAMPLE_ROWS / max(1, df.count()))  # a count of Parquet footers
+    sample = df.select(*columns).sample(share, 42)
+    places = F.sequence(F.lit(1), F.lit(n))
+
+    def cuts(c: str) -> Column:
+        ordered = F.sort_array(F.collect_list(F.col(f"`{c}`")))
+        at = F.transform(places, lambda i: F.get(ordered, F.floor(i * F.size(ordered) / (n + 1)).cast("int")))
+        return F.array_distinct(F.filter(at, lambda x: x.isNotNull()))
+
+    return list(sample.agg(*[cuts(c).alias(f"c{i}") for i, c in enumerate(columns)]).first())
+
+
+def _bucket(col: Column, cuts: Sequence, first: int = 0) -> Column:
+    """Number of ``cuts`` not above the value, as a binary tree of comparisons (NULL: 0)."""
+    if not cuts:
+        return F.lit(first)
+    mid = len(cuts) // 2
+    return F.when(col >= F.lit(cuts[mid]), _bucket(col, cuts[mid + 1 :], first + mid + 1)).otherwise(
+        _bucket(col, cuts[:mid], first)
     )
-    cuts = [sorted({x for x in bnd if math.isfinite(x)}) for bnd in bounds]
-    out, drop, buckets = df, [], []
-    for i, (im, cut) in enumerate(zip(images, cuts)):
-        if len(cut) <= SMALL_BUCKETING:
-            bucket = F.lit(0)
-            for x in cut:
-                bucket = bucket + F.when(im >= F.lit(x), 1).otherwise(0)
-            buckets.append(bucket.cast("long"))
-        else:
-            from pyspark.ml.feature import Bucketizer
-
-            img, b = f"__zimg{i}", f"__zb{i}"
-            out = out.withColumn(img, im)
-            out = Bucketizer(splits=[float("-inf"), *cut, float("inf")], inputCol=img, outputCol=b,
-                             handleInvalid="keep").transform(out)
-            buckets.append(F.col(b).cast("long"))
-            drop += [img, b]
+
+
+def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS) -> DataFrame:
+    """``df`` with ``__zkey``: the Morton key of per-column quantile buckets, with the bits
+    interleaved by shifts and ORs."""
+    cuts = _cut_points(df, columns, 2**bits - 1)
     z = F.lit(0).cast("long")
-    for j, bucket in enumerate(buckets):
+    for j, (c, points) in enumerate(zip(columns, cuts)):
+        bucket = _bucket(F.col(f"`{c}`"), points).cast("long")
         for i in range(bits):
-            bit = F.shiftright(bucket, i).bitwiseAND(F.lit(1))
-            z = z.bitwiseOR(F.shiftleft(bit, i * k + j))
-    return out.withColumn("__zkey", z).drop(*drop)
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(bucket, i).bitwiseAND(F.lit(1)), i * len(columns) + j))
+    return df.withColumn("__zkey", z)
 
 
 def cluster_by(ds: VersionedDataset, columns: Sequence[str], n_files: int | None = None,
@@ -148,7 +126,7 @@ def cluster_by(ds: VersionedDataset, columns: Sequence[str], n_files: int | None
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
     tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])  # deterministic under task retries
     if len(columns) == 1:
-        key = F.col(columns[0])
+        key = F.col(f"`{columns[0]}`")
         out = df.repartitionByRange(n_files, key, tiebreak).sortWithinPartitions(key)
     else:
         out = (
@@ -158,8 +136,7 @@ def cluster_by(ds: VersionedDataset, columns: Sequence[str], n_files: int | None
             .drop("__zkey")
         )
     entry = ds._write(base, out, base.version + 1)[KIND_INSERT]
-    v = ds._next(base, "OPTIMIZE", [entry], changes=[],
-                 parameters={"zOrderBy": ",".join(columns), "numFiles": n_files})
+    v = ds._next(base, "OPTIMIZE", None, [entry], parameters={"zOrderBy": ",".join(columns), "numFiles": n_files})
     write_file_stats(ds, columns, v)
     return v
 
@@ -205,89 +182,85 @@ def stats_of(ds: VersionedDataset, version: int | None = None) -> DataFrame | No
     return None
 
 
-def files_for(ds: VersionedDataset, column: str, value, version: int | None = None) -> tuple[list[str], int]:
-    """Files that may hold ``column = value`` (K4), and the number of files in the snapshot.
+def version_files(ds: VersionedDataset, version: int | None = None) -> DataFrame:
+    """(file_path) of a version's files that hold rows."""
+    c = ds.latest() if version is None else ds.commit_at(version)
+    return ds._read_commit(c, ("__file",)).select(F.col("__file").alias("file_path")).distinct()
 
-    Stats stored at the last clustering carry forward: a file they cover is
-    kept only if its [min, max] contains the value; a file written later (not
-    covered) is always kept. Without stats for the column: every file.
+
+def skipping(ds: VersionedDataset, column: str, lo, hi, version: int | None = None) -> DataFrame | None:
+    """(file_path, hit) per file of a version: whether it may hold a value of ``column`` in [lo, hi].
+
+    Stats stored at the last clustering carry forward: a file they cover is a hit if
+    its [min, max] overlaps, under Spark's ordering and the column's type; a file
+    written later is always one. No value is in a range with a NULL end. None
+    without stats for the column.
     """
     c = ds.latest() if version is None else ds.commit_at(version)
-    files = sorted(norm_path(f) for f in ds._read_commit(c).inputFiles()) if c.paths else []  # listing
-    st = stats_of(ds, c.version)
-    if st is None or f"{column}__min" not in st.columns:
-        return files, len(files)
-    rows = st.select("file_path", f"{column}__min", f"{column}__max").collect()  # one row per file
-    covered = {norm_path(r[0]): (r[1], r[2]) for r in rows}
-    keep = []
-    for f in files:
-        if f not in covered:
-            keep.append(f)
-            continue
-        lo, hi = covered[f]
-        if lo is not None and lo <= value <= hi:
-            keep.append(f)
-    return keep, len(files)
-
-
-def files_overlapping(ds: VersionedDataset, column: str, lo, hi, version: int | None = None) -> list[str] | None:
-    """Files of a version that may hold values of ``column`` in [lo, hi], using stored
-    stats (files written after the stats are always kept). None when there are no
-    stats for the column (caller scans everything). ``lo``/``hi`` None: no value can
-    match (only uncovered files remain)."""
-    c = ds.latest() if version is None else ds.commit_at(version)
-    st = stats_of(ds, c.version)
-    if st is None or f"{column}__min" not in st.columns or c.partition_cols:
+    stats = stats_of(ds, c.version)
+    if stats is None or f"{column}__min" not in stats.columns:
         return None
-    files = sorted(norm_path(f) for f in ds._read_commit(c).inputFiles()) if c.paths else []  # listing
-    covered = {norm_path(r[0]): (r[1], r[2]) for r in st.select("file_path", f"{column}__min", f"{column}__max").collect()}
-    keep = []
-    for f in files:
-        if f not in covered:
-            keep.append(f)
-            continue
-        fmin, fmax = covered[f]
-        if lo is not None and fmin is not None and fmin <= hi and fmax >= lo:
-            keep.append(f)
-    return keep
+    kind = c.schema[column].dataType
+    lo, hi = F.lit(lo).cast(kind), F.lit(hi).cast(kind)
+    stats = stats.select("file_path", F.lit(True).alias("covered"), F.coalesce(
+        (F.col(f"`{column}__min`") <= hi) & (F.col(f"`{column}__max`") >= lo), F.lit(False)
+    ).alias("overlaps"))
+    return version_files(ds, c.version).join(stats, "file_path", "left").select(
+        "file_path", (F.col("covered").isNull() | F.col("overlaps")).alias("hit")
+    )
 
 
-def point_lookup(ds: VersionedDataset, column: str, value, version: int | None = None) -> DataFrame:
-    """Read only the files that can hold the value; the predicate is also pushed into the scan."""
-    c = ds.latest() if version is None else ds.commit_at(version)
-    files, _ = files_for(ds, column, value, c.version)
-    if not files:
-        return empty_df(ds.spark, c.schema)
-    return ds.spark.read.schema(c.schema).parquet(*files).where(F.col(column) == F.lit(value))
+def files_between(ds: VersionedDataset, column: str, lo, hi, version: int | None = None) -> list[str] | None:
+    """Names of the files ``skipping`` finds hit, the only ones brought to the driver; None without stats."""
+    found = skipping(ds, column, lo, hi, version)
+    return None if found is None else sorted(r[0] for r in found.where("hit").select("file_path").collect())
 
 
-def referenced_entries(ds: VersionedDataset, retain_from_version: int = 0) -> DataFrame:
-    """Every data or change entry named by a commit >= ``retain_from_version`` (read from
-    the log, on the executors)."""
-    log = ds.log_frame().where(F.col("version") >= retain_from_version)
-    data = log.select(F.explode("paths").alias("entry"))
-    changes = log.select(F.explode("changes").alias("c")).select(F.col("c.path").alias("entry"))
-    return data.unionByName(changes).select(_norm(F.col("entry")).alias("entry")).distinct()
+def point_lookup(ds: VersionedDataset, column: str, value, version: int | None = None) -> DataFrame:
+    """Rows with ``column = value``, reading only the files that can hold it; the predicate is also
+    pushed into the scan."""
+    c = ds.latest() if version is None else ds.commit_at(version)
+    files = files_between(ds, column, value, value, c.version)
+    return ds._read_commit(c, files=files).where(F.col(f"`{column}`") == F.lit(value).cast(c.schema[column].dataType))
 
 
-def _norm(c: Column) -> Column:
-    return F.regexp_replace(c, r"^file:/+", "file:///")
+def _plain(path: str) -> str:
+    return re.sub(r"^file:/+", "file:///", path)
 
 
 def unreferenced_files(ds: VersionedDataset, retain_from_version: int = 0) -> DataFrame:
-    """Files under ``data/`` that no retained commit refers to (what a vacuum would remove).
+    """Files under ``data/`` and ``_staging/`` that no retained commit refers to (what a vacuum would remove).
 
-    Retained commits are those >= ``retain_from_version`` (default: all). Listing
-    only: nothing is deleted. A file is referenced when it, or one of the folders
-    above it, is an entry of a retained commit; the latest version is always kept.
+    Retained commits are those >= ``retain_from_version`` (default: all); the latest is always
+    kept. Listing only: nothing is deleted. A file is referenced if it lies in a folder of a
+    retained commit's snapshot that has not taken it out, or in one of its change folders. Staged
+    merge sources are never referenced: they serve only while their merge runs.
     """
     retain_from_version = min(retain_from_version, ds.latest_version())
-    listed = (
-        ds.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{ds.root}/data")
-        .select(_norm(F.col("path")).alias("path"))  # `content` is never read
-    )
+    retained = [c for c in ds._commits() if c.version >= retain_from_version]
+    snapshots = [ds.snapshot(c) for c in retained]
+    folders = {p for mine, _ in snapshots for p in mine}
+    feed = {p for c in retained for _, p, _ in c.changes if p is not None}
+    gone, held = {f for _, removed in snapshots for f in removed}, set()
+    for mine, removed in snapshots:
+        out, mine = set(removed), [_plain(p) for p in mine]
+        held.update(f for f in gone if f not in out and any(_plain(f).startswith(f"{p}/") for p in mine))
+    gone = {_plain(f) for f in gone - held if not any(_plain(f).startswith(f"{_plain(p)}/") for p in feed)}
+    entries = sorted({_plain(p).rstrip("/") for p in folders | feed})
+    listed = None
+    for folder in ("data", "_staging"):
+        if fs.exists(ds.spark, f"{ds.root}/{folder}"):
+            one = (
+                ds.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{ds.root}/{folder}")
+                .select(F.regexp_replace("path", r"^file:/+", "file:///").alias("path"))  # `content` is never read
+            )
+            listed = one if listed is None else listed.union(one)
+    if listed is None:
+        return literal_df(ds.spark, [], "path string")
     parts = F.split(F.col("path"), "/")
     prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
-    candidates = listed.select("path", F.explode(prefixes).alias("entry"))
-    hit = candidates.join(referenced_entries(ds, retain_from_version), "entry", "left_semi").select("path").distinct()
+    named = literal_df(ds.spark, [(e,) for e in entries], "entry string")
+    hit = listed.select("path", F.explode(prefixes).alias("entry")).join(named, "entry", "left_semi").select("path").distinct()
+    if gone:
+        hit = hit.where(~F.col("path").isin(sorted(gone)))
     return listed.join(hit, "path", "left_anti")

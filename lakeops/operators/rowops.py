@@ -21,6 +21,7 @@ so one pass can feed both a new snapshot and the change feed.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -33,8 +34,17 @@ KIND = "__kind"
 _PRESENT = "__src_present"
 
 
+def _c(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+def column_name(key: str, names: Sequence[str]) -> str:
+    """The column a SET or INSERT key names: as it is, or behind a table alias (``t.c``)."""
+    return key if key in names or "." not in key else key.split(".", 1)[1]
+
+
 def _set_exprs(names: Sequence[str], set: Mapping[str, str | Column]) -> dict[str, Column]:
-    exprs = {k.split(".")[-1]: as_column(v) for k, v in set.items()}
+    exprs = {column_name(k, names): as_column(v) for k, v in set.items()}
     unknown = [k for k in exprs if k not in names]
     if unknown:
         raise ValueError(f"unknown columns in SET: {unknown}")
@@ -47,7 +57,7 @@ def update_rows(df: DataFrame, set: Mapping[str, str | Column], condition: str |
     exprs = _set_exprs(df.columns, set)
     return df.select(
         *[
-            (F.when(cond, exprs[n].cast(df.schema[n].dataType)).otherwise(F.col(n)) if n in exprs else F.col(n)).alias(n)
+            (F.when(cond, exprs[n].cast(df.schema[n].dataType)).otherwise(_c(n)) if n in exprs else _c(n)).alias(n)
             for n in df.columns
         ]
     )
@@ -58,8 +68,8 @@ def update_kinds(df: DataFrame, set: Mapping[str, str | Column], condition: str
     cond = is_true(condition) if condition is not None else F.lit(True)
     names = df.columns
     exprs = _set_exprs(names, set)
-    new = [(exprs[n].cast(df.schema[n].dataType) if n in exprs else F.col(n)).alias(n) for n in names]
-    old = [F.col(n).alias(n) for n in names]
+    new = [(exprs[n].cast(df.schema[n].dataType) if n in exprs else _c(n)).alias(n) for n in names]
+    old = [_c(n).alias(n) for n in names]
     pre = F.struct(*old, F.lit("pre").alias(KIND))
     post = F.struct(*new, F.lit("post").alias(KIND))
     keep = F.struct(*old, F.lit("keep").alias(KIND))
@@ -89,6 +99,7 @@ class MergePlan:
     update: dict[str, Column] | None
     insert: dict[str, Column] | None
     keys: list[str] | None = None  # set when the condition is equality on named columns
+    null_safe: bool = False  # named keys: NULL matches NULL
 
     def touched_files(self, file_col: str = "__file", row_col: str = "__row") -> DataFrame:
         """Files of ``target`` holding matched rows, with the largest number of source
@@ -102,8 +113,13 @@ class MergePlan:
         """
         t = self.target
         if self.keys is not None:
-            per_key = self.source.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__n"))
-            matched = t.select(file_col, *self.keys).join(per_key, self.keys, "inner")
+            own = [_c(k).alias(f"__k{i}") for i, k in enumerate(self.keys)]
+            per_key = self.source.groupBy(*own).agg(F.count(F.lit(1)).alias("__n"))
+            same = F.lit(True)
+            for i, k in enumerate(self.keys):
+                a, b = t[f"`{k}`"], per_key[f"__k{i}"]
+                same = same & (a.eqNullSafe(b) if self.null_safe else a == b)
+            matched = t.select(file_col, *[_c(k) for k in self.keys]).join(per_key, same, "inner")
             return matched.groupBy(file_col).agg(F.max("__n").alias("n"))
         pairs = t.alias(self.ta).join(self.source.alias(self.sa), self.cond, "inner").select(
             F.xxhash64(F.col(f"{self.ta}.{file_col}")).alias("__fid"),
@@ -129,9 +145,9 @@ class MergePlan:
         src = self.source.withColumn(_PRESENT, F.lit(True))
         joined = target.alias(ta).join(src.alias(sa), self.cond, "left")
         matched = F.col(f"{sa}.{_PRESENT}").isNotNull()
-        old = [F.col(f"{ta}.{n}") for n in names]
+        old = [F.col(f"{ta}.`{n}`") for n in names]
         upd = self.update or {}
-        new = [(upd[n].cast(types[n]) if n in upd else F.col(f"{ta}.{n}")) for n in names]
+        new = [(upd[n].cast(types[n]) if n in upd else F.col(f"{ta}.`{n}`")) for n in names]
         if emit_pre and self.update is not None:
             pre = F.struct(*[c.alias(n) for c, n in zip(old, names)], F.lit("pre").alias(KIND))
             post = F.struct(*[c.alias(n) for c, n in zip(new, names)], F.lit("post").alias(KIND))
@@ -152,16 +168,33 @@ class MergePlan:
         return out if with_kind else out.drop(KIND)
 
 
-def merge_condition(condition: str | Column | Sequence[str], ta: str, sa: str) -> Column:
+def merge_condition(condition: str | Column | Sequence[str], ta: str, sa: str, null_safe: bool = False) -> Column:
     """Join condition: key column names (equality), a SQL string over the aliases, or a Column."""
     if isinstance(condition, (list, tuple)):
         cond = F.lit(True)
         for k in condition:
-            cond = cond & (F.col(f"{ta}.{k}") == F.col(f"{sa}.{k}"))
+            a, b = F.col(f"{ta}.`{k}`"), F.col(f"{sa}.`{k}`")
+            cond = cond & (a.eqNullSafe(b) if null_safe else a == b)
         return cond
     return as_column(condition)
 
 
+def equal_keys(condition: str | Column, ta: str, sa: str) -> list[str] | None:
+    """Column names, if the condition is only ``ta.k = sa.k`` terms joined by AND (else None)."""
+    side = r"(\w+)\.`?(\w+)`?"
+    if isinstance(condition, str):
+        text, term = condition, rf"{side}\s*=\s*{side}"
+    else:  # a Column prints as and(=(t.k, s.k), ...)
+        text, term = condition._jc.toString(), rf"=\({side}, {side}\)"
+    found = re.findall(term, text)
+    rest = re.sub(term, "", text)
+    if not found or not re.fullmatch(r"(?i)(?:\band\b|[(),\s])*", rest):
+        return None
+    if any(a != b or {x, y} != {ta, sa} for x, a, y, b in found):
+        return None
+    return [a for _, a, _, _ in found]
+
+
 def merge_plan(
     target: DataFrame,
     source: DataFrame,
@@ -174,13 +207,14 @@ def merge_plan(
     insert_values: Mapping[str, str | Column] | None = None,
     insert_all: bool = False,
     optional: Sequence[str] = (),
+    null_safe: bool = False,
 ) -> MergePlan:
     """``optional``: target columns the source may lack for update-all / insert-all
     (generated columns, recomputed at write)."""
     names = list(names)
     update = None
     if update_all:
-        update = {n: F.col(f"{sa}.{n}") for n in names if n in source.columns}
+        update = {n: F.col(f"{sa}.`{n}`") for n in names if n in source.columns}
     elif update_set is not None:
         update = _set_exprs(names, update_set)
     insert = None
@@ -188,11 +222,11 @@ def merge_plan(
         missing = [n for n in names if n not in source.columns and n not in optional]
         if missing:
             raise ValueError(f"insert-all: source lacks {missing}")
-        insert = {n: F.col(f"{sa}.{n}") for n in names if n in source.columns}
+        insert = {n: F.col(f"{sa}.`{n}`") for n in names if n in source.columns}
     elif insert_values is not None:
         insert = _set_exprs(names, insert_values)
     keys = list(condition) if isinstance(condition, (list, tuple)) else None
-    return MergePlan(target, source, merge_condition(condition, ta, sa), names, ta, sa, update, insert, keys)
+    return MergePlan(target, source, merge_condition(condition, ta, sa, null_safe), names, ta, sa, update, insert, keys, null_safe)
 
 
 def merge_rows(

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import is_ascii_word, strip_unicode
-from lakeops.functions.joins import broadcast_if_bounded
 from lakeops.functions.literals import literal_df
 from lakeops.functions.partitioning import spread
 
@@ -37,9 +36,6 @@ DEFAULT_STOP_WORDS = (
     "will", "with", "would", "you", "your",
 )
 
-# A stop list is broadcast only when it has at most this many distinct words.
-STOP_LIST_BROADCAST_ROWS = 1_000_000
-
 
 def tokens(df: DataFrame, text_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per token, lower-cased, in column ``word`` (plus ``keep`` columns)."""
@@ -64,7 +60,7 @@ def remove_stop_words(words: DataFrame, stop: DataFrame) -> DataFrame:
     # No distinct: duplicates on the build side of an anti join change nothing,
     # and dropping it saves a shuffle stage.
     stop = stop.select("word").where(F.col("word").isNotNull())
-    return words.join(broadcast_if_bounded(stop, STOP_LIST_BROADCAST_ROWS), "word", "left_anti")
+    return words.join(stop, "word", "left_anti")  # AQE broadcasts by measured bytes
 
 
 def letter_words(words: DataFrame) -> DataFrame:

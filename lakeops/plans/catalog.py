@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakeops.functions import fs
 from lakeops.plans.versioned import VersionedDataset, VersionError
 
+
 class Catalog:
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
@@ -105,6 +106,14 @@ class Catalog:
             raise ValueError(f"unknown mode {mode!r}")
         return ds
 
+    def clone(self, name: str, new_name: str, shallow: bool = True, version: int | None = None) -> VersionedDataset:
+        """CREATE TABLE new_name [SHALLOW | DEEP] CLONE name [VERSION AS OF version]."""
+        if self.root_of(new_name) is not None:
+            raise VersionError(f"name {new_name} already in use")
+        ds = self.for_name(name).clone(f"{self.base}/{new_name}-{uuid.uuid4().hex[:8]}", shallow, version)
+        self._record(new_name, ds.root)
+        return ds
+
     def drop(self, name: str, if_exists: bool = True) -> None:
         """DROP TABLE [IF EXISTS]: forget the name; files stay."""
         if self.root_of(name) is None:

@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 
 from lakeops.plans.versioned import VersionedDataset
 
-SMALL_AGGREGATE_FILES = 8  # up to this many files the aggregate is rewritten whole
-
 # Sign of each change type in a count.
 SIGN = {"insert": 1, "update_postimage": 1, "delete": -1, "update_preimage": -1}
 
@@ -62,31 +60,17 @@ def apply_changes(agg: VersionedDataset, changes: DataFrame, keys: Sequence[str]
         return False
     fresh = changes.where((F.col("_commit_version") > done) & (F.col("_commit_version") <= up_to_version))
     deltas = signed_deltas(fresh, keys, count_col)
-    base = agg.latest()
-    if base.paths and len(agg.to_df().inputFiles()) > SMALL_AGGREGATE_FILES:
-        # Large aggregate: file-level merge, only files holding changed keys are rewritten.
-        (
-            agg.merge(deltas, list(keys))
-            .when_matched_update({count_col: f"t.{count_col} + s.{count_col}"})
-            .when_not_matched_insert_all()
-            .execute(properties={"sourceVersion": str(up_to_version)})
-        )
-    else:
-        # Small aggregate: old counts + deltas summed per key (partial aggregation first)
-        # and written as one overwrite commit; cheaper than a merge's extra job.
-        summed = (
-            agg.to_df().unionByName(deltas).groupBy(*keys)
-            .agg(F.sum(count_col).cast("bigint").alias(count_col)).where(F.col(count_col) != 0)
-        )
-        props = {**base.properties, "sourceVersion": str(up_to_version)}
-        rows = agg._conform(base, summed)
-        entry = agg._write(base, rows, base.version + 1)["insert"]
-        changes_ = [("delete", p) for p in base.paths] + [("insert", entry)]
-        agg._next(base, "WRITE", [entry], changes=changes_, parameters={"mode": "Overwrite"}, properties=props)
+    # A file-level merge: only files that hold changed keys are rewritten. NULL keys match.
+    (
+        agg.merge(deltas, list(keys), null_safe=True)
+        .when_matched_update({count_col: f"t.`{count_col}` + s.`{count_col}`"})
+        .when_not_matched_insert_all()
+        .execute(properties={"sourceVersion": str(up_to_version)})
+    )
     return True
 
 
 def current_counts(agg: VersionedDataset, count_col: str = "n") -> DataFrame:
     """The aggregate as of its last commit; keys whose count fell to 0 are left out
-    (they stay stored until the next compaction of the aggregate)."""
+    (they stay stored as zeros)."""
     return agg.to_df().where(F.col(count_col) != 0)

@@ -6,14 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeops.plans import incremental
-from lakeops.plans.registry import query, table
+from lakeops.plans.registry import nk, nk_sql, query, table
 from lakeops.plans.versioned import VersionedDataset
 from lakeops.session import scratch_dir
 from lakeops.streaming import changes as cstream
 from lakeops.streaming import lines
 
-STREAM_TIMEOUT_S = 600
-
 
 def _event_lines(spark, sf_dir, folder: str) -> None:
     """events as CSV text lines, dropped into ``folder`` as two separate writes."""
@@ -28,20 +26,25 @@ def line_stream(spark, sf_dir):
     work = scratch_dir(spark, "line-stream")
     src = f"{work}/in"
     _event_lines(spark, sf_dir, src)
-    sdf = lines.line_stream(spark, f"{src}/*", max_files_per_trigger=1)  # several micro-batches
+    sdf = lines.line_stream(spark, f"{src}/*")
     parsed = sdf.select(F.split("value", ",").getItem(1).alias("event_type"))
-    lines.run(lines.to_parquet(parsed, f"{work}/out", f"{work}/_checkpoint"), STREAM_TIMEOUT_S)
+    lines.run(lines.to_parquet(parsed, f"{work}/out", f"{work}/_checkpoint"))
     return spark.read.parquet(f"{work}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("stream_batch_preview", None)  # which rows a batch shows first is not fixed
+@query("stream_batch_preview", "select true as at_most_ten, true as not_empty, cast(0 as bigint) as foreign_lines")
 def stream_batch_preview(spark, sf_dir):
+    """Every micro-batch shows one to ten lines, all of them lines of the events."""
     work = scratch_dir(spark, "preview")
     src = f"{work}/in"
     _event_lines(spark, sf_dir, src)
-    sdf = lines.line_stream(spark, f"{src}/*", max_files_per_trigger=1)
-    lines.run(lines.preview_batches(sdf, f"{work}/out", f"{work}/_checkpoint"), STREAM_TIMEOUT_S)
-    return spark.read.parquet(f"{work}/out")
+    lines.run(lines.preview_batches(lines.line_stream(spark, f"{src}/*"), f"{work}/out", f"{work}/_checkpoint"))
+    shown = spark.read.parquet(f"{work}/out")
+    sizes = shown.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).agg(
+        (F.max("n") <= lines.PREVIEW_ROWS).alias("at_most_ten"), (F.min("n") > 0).alias("not_empty")
+    )
+    foreign = shown.join(spark.read.text(f"{src}/*"), "value", "left_anti").agg(F.count(F.lit(1)).alias("foreign_lines"))
+    return sizes.crossJoin(foreign)  # two one-row aggregates
 
 
 @query(
@@ -62,23 +65,44 @@ def changes_stream(spark, sf_dir):
     )
     writer = cstream.parquet_change_writer(f"{work}/sink")
     ck = f"{work}/_checkpoint"
-    lines.run(cstream.deliver_changes(ds, writer, ck), STREAM_TIMEOUT_S)  # sees version 0
+    lines.run(cstream.deliver_changes(ds, writer, ck))  # sees version 0
     ds.append(c.where("c_mktsegment = 'HOUSEHOLD'"))
     ds.update({"c_acctbal": "0.0"}, "c_acctbal < 0")
-    lines.run(cstream.deliver_changes(ds, writer, ck), STREAM_TIMEOUT_S)  # restart: only versions 1, 2
+    lines.run(cstream.deliver_changes(ds, writer, ck))  # restart: only versions 1, 2
     ds.delete("c_mktsegment = 'MACHINERY'")
-    lines.run(cstream.deliver_changes(ds, writer, ck), STREAM_TIMEOUT_S)  # only version 3
+    lines.run(cstream.deliver_changes(ds, writer, ck))  # only version 3
     return cstream.change_counts(cstream.read_change_sink(spark, f"{work}/sink"))
 
 
+@query(
+    "changes_stream_frame",
+    """select c_nationkey, count(*) as n from customer
+    where c_mktsegment <> 'HOUSEHOLD' or c_acctbal < 0 group by c_nationkey""",
+)
+def changes_stream_frame(spark, sf_dir):
+    """The change feed as a streaming DataFrame: filtered and written like any other."""
+    work = scratch_dir(spark, "change-frame")
+    c = table(spark, sf_dir, "customer")
+    ds = VersionedDataset.from_dataframe(
+        spark, f"{work}/customer", c.where("c_mktsegment <> 'HOUSEHOLD'"), properties={"enableChangeDataFeed": "true"}
+    )
+    ds.append(c.where("c_mktsegment = 'HOUSEHOLD' and c_acctbal < 0"))
+    ds.delete("c_mktsegment = 'MACHINERY'")
+    feed = cstream.change_stream(ds, f"{work}/feed", f"{work}/_feed")
+    inserts = feed.where("_change_type = 'insert'").select("c_custkey", "c_nationkey")
+    lines.run(lines.to_parquet(inserts, f"{work}/out", f"{work}/_checkpoint"))
+    return spark.read.parquet(f"{work}/out").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "incremental_aggregate",
-    """select o_custkey + case when o_orderpriority = '1-URGENT' then 1 else 0 end as o_custkey, count(*) as n
-    from orders where o_orderpriority <> '5-LOW' group by 1""",
+    f"""select case when o_orderpriority = '1-URGENT' then k + 1 else k end as o_custkey, count(*) as n
+    from (select {nk_sql('o_custkey', 'o_custkey', 11)} as k, o_orderpriority from orders)
+    where o_orderpriority <> '5-LOW' group by 1""",
 )
 def incremental_aggregate(spark, sf_dir):
     work = scratch_dir(spark, "incremental")
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders").withColumn("o_custkey", nk("o_custkey", "o_custkey", 11))  # NULL keys too
     ds = VersionedDataset.from_dataframe(
         spark, f"{work}/orders", o.where("o_orderstatus <> 'P'"), properties={"enableChangeDataFeed": "true"}
     )
@@ -90,7 +114,7 @@ def incremental_aggregate(spark, sf_dir):
     ck = f"{work}/_checkpoint"
     ds.append(o.where("o_orderstatus = 'P'"))
     ds.delete("o_orderpriority = '5-LOW'")
-    lines.run(cstream.deliver_changes(ds, on_changes, ck, starting_version=1), STREAM_TIMEOUT_S)
+    lines.run(cstream.deliver_changes(ds, on_changes, ck, starting_version=1))
     ds.update({"o_custkey": "o_custkey + 1"}, "o_orderpriority = '1-URGENT'")
-    lines.run(cstream.deliver_changes(ds, on_changes, ck, starting_version=1), STREAM_TIMEOUT_S)
+    lines.run(cstream.deliver_changes(ds, on_changes, ck, starting_version=1))
     return incremental.current_counts(agg)

@@ -8,11 +8,12 @@ of the resulting state. The oracle SQL computes the same state directly.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from lakeops.operators import clean, rowops
+from lakeops.operators import layout, rowops
 from lakeops.plans.catalog import Catalog
 from lakeops.plans.registry import nk, nk_sql, query, table
-from lakeops.plans.versioned import VersionedDataset
+from lakeops.plans.versioned import AmbiguousMergeError, DatasetBuilder, VersionedDataset, VersionError
 from lakeops.session import scratch_dir
 
 CDF = {"enableChangeDataFeed": "true"}
@@ -124,6 +125,49 @@ def merge_insert_all(spark, sf_dir):
     return target.to_df()
 
 
+@query(
+    "merge_limited_source",
+    "select count(*) as rows, count(distinct o_orderkey) as keys, cast(100 as bigint) as changed from orders",
+)
+def merge_limited_source(spark, sf_dir):
+    """A limit picks other rows at every evaluation: the source is written once and the same rows merge throughout."""
+    o = table(spark, sf_dir, "orders")
+    target = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "limited"), o)
+    source = o.repartition(7).limit(100).withColumn("o_orderpriority", F.lit("NEW"))
+    target.merge(source, ["o_orderkey"]).when_matched_update_all().when_not_matched_insert_all().execute()
+    return target.to_df().agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("o_orderkey").alias("keys"),
+        F.count_if(F.col("o_orderpriority") == "NEW").alias("changed"),
+    )
+
+
+@query(
+    "merge_cross_joined_source",
+    "select n_nationkey, n_name, (select max(r_regionkey) from region)::integer as n_regionkey from nation",
+)
+def merge_cross_joined_source(spark, sf_dir):
+    n = table(spark, sf_dir, "nation")
+    last = table(spark, sf_dir, "region").agg(F.max("r_regionkey").alias("last"))
+    source = n.crossJoin(last).select("n_nationkey", F.col("last").cast("int").alias("n_regionkey"))  # one row beside
+    target = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "crossed"), n)
+    target.merge(source, "t.n_nationkey = s.n_nationkey").when_matched_update({"n_regionkey": "s.n_regionkey"}).execute()
+    return target.to_df()
+
+
+@query("merge_pruned_nan", "select count(*) as rows, count(*) as finite from supplier where s_suppkey % 9 <> 0")
+def merge_pruned_nan(spark, sf_dir):
+    """Stats prune the target; files that hold NaN beside matching keys are not missed."""
+    s = table(spark, sf_dir, "supplier").selectExpr(
+        "case when s_suppkey % 9 = 0 then double('NaN') else double(s_suppkey) end as k", "s_name"
+    )
+    target = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "nan-merge"), s.repartition(4, "s_name"))
+    layout.write_file_stats(target, ["k"], 0)
+    source = s.where("not isnan(k)")
+    target.merge(source, ["k"]).when_matched_update({"s_name": "upper(s.s_name)"}).when_not_matched_insert_all().execute()
+    kept = target.to_df().where("not isnan(k)")
+    return kept.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("k").alias("finite"))
+
+
 # ------------------------------------------------- customer version chain
 
 _S2 = f"""(select c_custkey, c_name, c_nationkey, case when c_acctbal < 0 then 0.0 else c_acctbal end as c_acctbal,
@@ -225,11 +269,32 @@ def changes_by_version(spark, sf_dir):
     return ds.changes(0, 10).drop("_commit_timestamp")  # end beyond latest clamps
 
 
-@query("changes_by_timestamp", None)  # commit times are not reproducible by SQL
+@query("changes_by_timestamp", f"select * from ({_CHANGES_SQL}) where _commit_version between 1 and 2")
 def changes_by_timestamp(spark, sf_dir):
     ds = _customer_chain(spark, sf_dir, change_feed=True)
-    ts = {r.version: r.timestamp for r in ds.history().select("version", "timestamp").collect()}
-    return ds.changes_between_timestamps(ts[1], ts[2])
+    # the times as history shows them: text in the session's zone
+    shown = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSS").alias("at")
+    ts = {r.version: r.at for r in ds.history().select("version", shown).collect()}
+    return ds.changes_between_timestamps(ts[1], ts[2]).drop("_commit_timestamp")
+
+
+@query(
+    "changes_across_replace",
+    """select r_regionkey as k, r_name as name, cast(null as integer) as region, 'insert' as _change_type, cast(0 as bigint) as _commit_version from region
+    union all select r_regionkey, r_name, null, 'delete', 1 from region
+    union all select n_nationkey, n_name, n_regionkey, 'insert', 1 from nation
+    union all select n_nationkey, n_name, n_regionkey, 'delete', 2 from nation
+    union all select r_regionkey, r_name, null, 'insert', 2 from region""",
+)
+def changes_across_replace(spark, sf_dir):
+    """Replace with data and another schema in one commit, then restore the first version."""
+    root = scratch_dir(spark, "replaced")
+    region = table(spark, sf_dir, "region").selectExpr("r_regionkey as k", "r_name as name")
+    nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey as k", "n_name as name", "n_regionkey as region")
+    VersionedDataset.from_dataframe(spark, root, region, properties=CDF)
+    ds = VersionedDataset.from_dataframe(spark, root, nation, properties=CDF, replace_existing=True)
+    ds.restore(0)
+    return ds.changes(0).select("k", "name", "region", "_change_type", "_commit_version")
 
 
 @query(
@@ -334,6 +399,113 @@ def adopt_parquet(spark, sf_dir):
     return ds.to_df()
 
 
+@query("adopt_partitioned_delete", f"select {ORDERS_COLS} from orders where o_orderkey % 5 <> 0")
+def adopt_partitioned_delete(spark, sf_dir):
+    """An adopted folder keeps its partition column through a row change."""
+    src = scratch_dir(spark, "hive")
+    table(spark, sf_dir, "orders").write.partitionBy("o_orderstatus").parquet(src)
+    ds = VersionedDataset.adopt_parquet(spark, scratch_dir(spark, "adopted-hive"), src)
+    ds.delete("o_orderkey % 5 = 0")
+    return ds.to_df().select(*ORDERS_COLS.split(", "))
+
+
+@query(
+    "partitioned_update",
+    f"""select {ORDERS_COLS.replace("o_orderpriority", "case when o_orderkey = 1 then 'X' else o_orderpriority end as o_orderpriority")},
+    true as one_file_rewritten from orders""",
+)
+def partitioned_update(spark, sf_dir):
+    """A one-row update of a partitioned dataset rewrites the one file that holds it."""
+    ds = VersionedDataset.from_dataframe(
+        spark, scratch_dir(spark, "by-status"), table(spark, sf_dir, "orders"), partition_by=["o_orderstatus"]
+    )
+    before = layout.version_files(ds)
+    ds.update({"o_orderpriority": "'X'"}, "o_orderkey = 1")
+    gone = before.join(layout.version_files(ds), "file_path", "left_anti")
+    one = gone.agg((F.count(F.lit(1)) == 1).alias("one_file_rewritten"))
+    return ds.to_df().select(*ORDERS_COLS.split(", ")).crossJoin(one)  # one row beside the table
+
+
+@query("path_overwrite_trace", """select 0 as version, count(*) as n from nation where n_regionkey < 2
+    union all select 1, count(*) from nation union all select 2, count(*) from nation where n_name <> 'PERU'""")
+def path_overwrite_trace(spark, sf_dir):
+    """Overwrite-save by path creates version 0; a merge and a self-overwrite follow."""
+    n, root = table(spark, sf_dir, "nation"), scratch_dir(spark, "by-path")
+    ds = VersionedDataset.save(spark, root, n.where("n_regionkey < 2"), mode="overwrite")
+    ds.merge(n, ["n_nationkey"]).when_matched_update_all().when_not_matched_insert_all().execute()
+    VersionedDataset.save(spark, root, ds.to_df().where("n_name <> 'PERU'"), mode="overwrite")
+    return _history_with_rows(VersionedDataset.for_path(spark, root)).select("version", F.col("num_rows").alias("n"))
+
+
+@query("replace_with_data", """select 0 as version, count(*) as n from nation union all select 1, count(*) from region""")
+def replace_with_data(spark, sf_dir):
+    """CREATE OR REPLACE TABLE ... AS SELECT: one commit, no empty version between."""
+    root = scratch_dir(spark, "ctas")
+    for name in ("nation", "region"):
+        ds = VersionedDataset.from_dataframe(spark, root, table(spark, sf_dir, name), replace_existing=True)
+    return _history_with_rows(ds).select("version", F.col("num_rows").alias("n"))
+
+
+@query("catalog_names", """select 'saved' as step, count(*) as n from nation where n_regionkey = 0
+    union all select 'appended', count(*) from nation where n_regionkey < 2
+    union all select 'cloned', count(*) from nation where n_regionkey < 2
+    union all select 'first', count(*) from nation where n_regionkey = 0 union all select 'dropped', 0""")
+def catalog_names(spark, sf_dir):
+    """Save, append, clone and drop by name; a dropped name is unknown, its clone is not."""
+    n, cat = table(spark, sf_dir, "nation"), Catalog(spark, scratch_dir(spark, "names"))
+    cat.save_as("nations", n.where("n_regionkey = 0"))
+    saved = cat.table("nations")
+    cat.save_as("nations", n.where("n_regionkey = 1"), mode="append")
+    appended = cat.table("nations")
+    cat.clone("nations", "nations_copy", shallow=False)
+    cat.clone("nations", "nations_first", version=0)
+    cat.drop("nations")
+    try:
+        cat.for_name("nations")
+        gone = False
+    except VersionError:
+        gone = True
+    steps = {"saved": saved, "appended": appended, "cloned": cat.table("nations_copy"), "first": cat.table("nations_first")}
+    out = None
+    for step, df in steps.items():
+        one = df.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("n"))
+        out = one if out is None else out.union(one)
+    return out.union(n.where(F.lit(not gone)).agg(F.lit("dropped").alias("step"), F.count(F.lit(1)).alias("n")))
+
+
+@query("builder_modes", """select r_regionkey as k, r_regionkey + 1 as g, r_name as name, true as guarded from region""")
+def builder_modes(spark, sf_dir):
+    """Column by column: types, nullability, a generated column, partitions; create fails where one exists."""
+    root = scratch_dir(spark, "built")
+    build = lambda mode: (
+        DatasetBuilder(spark, mode).location(root).add_column("k", IntegerType(), nullable=False)
+        .add_column("g", "INT", generated_always_as="k + 1").add_columns(StructType([StructField("name", StringType())]))
+        .partitioned_by("k").property("enableChangeDataFeed", "true")
+    )
+    build("create").execute()
+    try:
+        build("create").execute()
+        guarded = False
+    except VersionError:
+        guarded = True
+    ds = build("replace").execute()
+    ds.append(table(spark, sf_dir, "region").selectExpr("cast(r_regionkey as int) as k", "r_name as name"))
+    return ds.to_df().withColumn("guarded", F.lit(guarded)).select("k", "g", "name", "guarded")
+
+
+@query("merge_ambiguous", "select count(*) as rows, true as refused, 0 as version from supplier")
+def merge_ambiguous(spark, sf_dir):
+    """Two source rows for one target row: the merge is refused and commits nothing."""
+    s = table(spark, sf_dir, "supplier")
+    ds = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "ambiguous"), s)
+    try:
+        ds.merge(s.union(s), ["s_suppkey"]).when_matched_update({"s_acctbal": "0.0"}).execute()
+        refused = False
+    except AmbiguousMergeError:
+        refused = True
+    return ds.to_df().agg(F.count(F.lit(1)).alias("rows"), F.lit(refused).alias("refused"), F.lit(ds.latest_version()).alias("version"))
+
+
 _GEN_SQL = """select o_orderkey, o_orderdate, cast(year(o_orderdate) as integer) as o_year,
     cast(year(o_orderdate) + 1 as integer) as g from orders"""
 
@@ -360,25 +532,44 @@ def partition_pruned_scan(spark, sf_dir):
 
 @query(
     "not_null_guard",
-    f"select p_partkey, p_size from (select p_partkey, {nk_sql('p_size', 'p_partkey', 7)} as p_size from part) where p_size is null",
+    "select count(*) as rows, true as rejected, 1 as version from part where p_partkey % 7 <> 0",
 )
 def not_null_guard(spark, sf_dir):
+    """An append with a NULL in a NOT NULL column fails and commits nothing; one without is kept."""
     p = table(spark, sf_dir, "part").select("p_partkey", nk("p_size", "p_partkey", 7).alias("p_size"))
-    return clean.not_null_violations(p, ["p_size"])
+    ds = VersionedDataset.create(spark, scratch_dir(spark, "guarded"), "p_partkey BIGINT, p_size INT NOT NULL")
+    ds.append(p.where("p_size is not null"))
+    try:
+        ds.append(p)
+        rejected = False
+    except Exception as e:  # the write job's own error, raised by the guard
+        if "NOT NULL violated by column p_size" not in str(e):
+            raise
+        rejected = True
+    return ds.to_df().agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(rejected).alias("rejected"), F.lit(ds.latest_version()).alias("version")
+    )
 
 
 # ----------------------------------------------------------------- clones
 
-@query("clone_shallow", "select * from supplier")
-def clone_shallow(spark, sf_dir):
+def _clone(spark, sf_dir, shallow: bool):
+    """The clone's rows, and whether it shares files with its source."""
     src = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "supplier"), table(spark, sf_dir, "supplier"))
-    return src.clone(scratch_dir(spark, "supplier-shallow"), shallow=True).to_df()
+    copy = src.clone(scratch_dir(spark, "supplier-clone"), shallow=shallow)
+    both = layout.version_files(src).join(layout.version_files(copy), "file_path")
+    shared = both.agg((F.count(F.lit(1)) > 0).alias("shares_files"))
+    return copy.to_df().crossJoin(shared)  # one row beside the table
 
 
-@query("clone_deep", "select * from supplier")
+@query("clone_shallow", "select *, true as shares_files from supplier")
+def clone_shallow(spark, sf_dir):
+    return _clone(spark, sf_dir, True)
+
+
+@query("clone_deep", "select *, false as shares_files from supplier")
 def clone_deep(spark, sf_dir):
-    src = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "supplier"), table(spark, sf_dir, "supplier"))
-    return src.clone(scratch_dir(spark, "supplier-deep"), shallow=False).to_df()
+    return _clone(spark, sf_dir, False)
 
 
 @query(

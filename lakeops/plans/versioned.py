@@ -6,16 +6,18 @@ Layout under ``root``::
     log/version=<n>/commit.json     one row per commit, written LAST by exclusive create
     _staging/<version>-<uid>/       merge sources materialised once (deterministic re-reads)
 
-A commit row lists the data *entries* (folders or single files) that make up
-the snapshot, plus the change-feed entries ``(change_type, path)`` of that
-commit. Entries are shared wherever possible: an append's folder is both a data
-entry and its ``insert`` change entry; an overwrite's ``delete`` changes are the
-old data entries themselves; a restore or a shallow clone is a log row only.
+A commit row records what the commit changed, not the whole table: the version it
+starts from (``base``; none for an empty start), the data *entries* (folders) it adds
+and the files it takes out of earlier entries, and the change-feed entries of that
+commit: a folder of change rows, or a whole earlier snapshot by its number. A
+version's snapshot is folded from the rows down its chain of bases. So an
+overwrite, a delete of all rows or a restore is a row of constant size.
 
 Row-level update / delete / merge use file-level copy-on-write: one job finds
 the files holding matching rows (``_metadata.file_path``), and only those files
-are read, transformed and rewritten; every other file stays referenced as it
-is. With the change feed on, the rewrite writes one folder partitioned by row
+are read, transformed and rewritten; every other file stays as it is. Files
+are left out, or picked, by a filter on ``_metadata.file_path``, which Spark applies to
+the file listing, so partitioned folders keep their base path and columns. With the change feed on, the rewrite writes one folder partitioned by row
 kind (keep / pre / post / insert / delete) in a single pass; the snapshot
 references the keep/post/insert parts, the change feed the pre/post/insert/
 delete parts, so post-images are stored once.
@@ -33,18 +35,20 @@ import json
 import re
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     IntegerType,
+    LongType,
     MapType,
     StringType,
     StructField,
     StructType,
-    TimestampType,
     _parse_datatype_json_string,
 )
 
@@ -63,17 +67,15 @@ CHANGE_TYPE = {
     KIND_PRE: "update_preimage",
     KIND_POST: "update_postimage",
 }
+# Plan nodes whose rows do not depend on how a plan is run.
+STABLE_NODES = frozenset({"LogicalRelation", "Filter", "Project", "SubqueryAlias", "LocalRelation", "Range", "Union"})
 DATA_KINDS = (KIND_KEEP, KIND_POST, KIND_INSERT)
 CHANGE_FEED_PROPERTY = "enableChangeDataFeed"
 CHANGE_FEED_DEFAULT_CONF = "lakeops.properties.defaults.enableChangeDataFeed"
-LOG_CHECKPOINT_CONF = "lakeops.log.checkpointInterval"
-LOG_CHECKPOINT_EVERY = 100  # commits between log checkpoints
-MERGE_PRUNE_MIN_FILES = 64  # stats-based target pruning in MERGE only from this many files
-GROUPED_CHANGE_READ_MIN = 8  # above this many change entries, read them grouped per change type
 
 LOG_SCHEMA = StructType(
     [
-        StructField("ts", TimestampType()),
+        StructField("ts_ms", LongType()),
         StructField("operation", StringType()),
         StructField("parameters", MapType(StringType(), StringType())),
         StructField("schema_json", StringType()),
@@ -81,10 +83,16 @@ LOG_SCHEMA = StructType(
         StructField("properties", MapType(StringType(), StringType())),
         StructField("generated", MapType(StringType(), StringType())),
         StructField("not_null", ArrayType(StringType())),
-        StructField("paths", ArrayType(StringType())),
+        StructField("base", IntegerType()),
+        StructField("added", ArrayType(StringType())),
+        StructField("removed", ArrayType(StringType())),
+        StructField("feed", BooleanType()),
         StructField(
             "changes",
-            ArrayType(StructType([StructField("change_type", StringType()), StructField("path", StringType())])),
+            ArrayType(StructType([
+                StructField("change_type", StringType()), StructField("path", StringType()),
+                StructField("snapshot", IntegerType()),
+            ])),
         ),
         StructField("version", IntegerType()),  # from the log/version=<n> folder
     ]
@@ -117,7 +125,7 @@ def _as_schema(schema: str | StructType) -> StructType:
 @dataclass(frozen=True)
 class Commit:
     version: int
-    ts: _dt.datetime | None
+    ts_ms: int | None
     operation: str
     parameters: dict
     schema: StructType
@@ -125,8 +133,12 @@ class Commit:
     properties: dict
     generated: dict
     not_null: list[str]
-    paths: list[str]
-    changes: list[tuple[str, str]] = field(default_factory=list)
+    base: int | None = None  # version whose snapshot this one starts from
+    added: list[str] = field(default_factory=list)  # folders
+    removed: list[str] = field(default_factory=list)  # files of earlier folders, as _metadata.file_path names them
+    # (change type, folder of change rows, or else the version all of whose rows changed)
+    changes: list[tuple[str, str | None, int | None]] = field(default_factory=list)
+    feed: bool = True  # the changes are complete: recorded, or there are none
 
     @property
     def change_feed(self) -> bool:
@@ -163,72 +175,26 @@ class VersionedDataset:
         if not versions:
             raise VersionError(f"no versioned dataset at {self.root}")
         unseen = sorted(versions - self._cache.keys())
-        if len(unseen) > 1:
-            self._load_checkpoint(max(versions))
-            unseen = sorted(versions - self._cache.keys())
         if unseen:
             paths = [f"{self.log_dir}/version={v}" for v in unseen]
             rows = (
                 self.spark.read.schema(LOG_SCHEMA).option("basePath", self.log_dir).json(paths).collect()
-            )  # metadata: one row per new commit
+            )  # one row per new commit, as long as what it changed
             for c in self._parse(rows):
                 self._cache[c.version] = c
         return [self._cache[v] for v in sorted(versions)]
 
-    # --------------------------------------------------------- log checkpoints
-    @property
-    def _checkpoint_dir(self) -> str:
-        return f"{self.log_dir}/_checkpoints"  # '_' prefix: hidden from log readers and streams
-
-    def _checkpoint_versions(self) -> list[int]:
-        names = fs.list_names(self.spark, self._checkpoint_dir)
-        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("version="))
-
     def log_frame(self) -> DataFrame:
-        """All commit rows as a DataFrame (LOG_SCHEMA): the newest log checkpoint plus
-        the commit files after it, so the cost does not grow with old history."""
-        ckpts = self._checkpoint_versions()
-        if not ckpts:
-            return self.spark.read.schema(LOG_SCHEMA).json(self.log_dir)
-        last = ckpts[-1]
-        names = fs.list_names(self.spark, self.log_dir)
-        newer = [f"{self.log_dir}/{n}" for n in names if n.startswith("version=") and int(n.split("=", 1)[1]) > last]
-        out = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self._checkpoint_dir}/version={last}")
-        if newer:
-            out = out.unionByName(self.spark.read.schema(LOG_SCHEMA).option("basePath", self.log_dir).json(newer))
-        return out
+        """All commit rows as a DataFrame (LOG_SCHEMA)."""
+        return self.spark.read.schema(LOG_SCHEMA).json(self.log_dir)
 
-    def _load_checkpoint(self, up_to: int) -> None:
-        """Fill the cache from the newest log checkpoint <= ``up_to`` (one Parquet read
-        instead of one small JSON file per commit)."""
-        done = [v for v in self._checkpoint_versions() if v <= up_to and v not in self._cache]
-        if not done:
-            return
-        path = f"{self._checkpoint_dir}/version={done[-1]}"
-        rows = self.spark.read.schema(LOG_SCHEMA).parquet(path).collect()  # one row per commit <= v
-        for c in self._parse(rows):
-            self._cache.setdefault(c.version, c)
-
-    def checkpoint_log(self, version: int | None = None) -> str:
-        """Consolidate the commit rows up to ``version`` into one Parquet file.
-
-        Built from the previous checkpoint plus the commit files after it, so each
-        checkpoint reads only what is new. Commit files stay: they remain the
-        source of truth and what streams read.
-        """
-        v = self.latest_version() if version is None else version
-        prev = [p for p in self._checkpoint_versions() if p < v]
-        start = prev[-1] + 1 if prev else 0
-        names = fs.list_names(self.spark, self.log_dir)
-        newer = [f"{self.log_dir}/{n}" for n in names
-                 if n.startswith("version=") and start <= int(n.split("=", 1)[1]) <= v]
-        rows = self.spark.read.schema(LOG_SCHEMA).option("basePath", self.log_dir).json(newer) if newer else None
-        if prev:
-            old = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self._checkpoint_dir}/version={prev[-1]}")
-            rows = old if rows is None else old.unionByName(rows)
-        path = f"{self._checkpoint_dir}/version={v}"
-        rows.coalesce(1).write.mode("errorifexists").parquet(path)  # metadata only: one row per commit
-        return path
+    def snapshot(self, c: Commit) -> tuple[list[str], list[str]]:
+        """The folders of a version and the files in them that no longer belong to it."""
+        chain = [c]
+        while chain[-1].base is not None:
+            chain.append(self.commit_at(chain[-1].base))
+        added = [p for x in reversed(chain) for p in x.added]
+        return added, [f for x in reversed(chain) for f in x.removed]
 
     @staticmethod
     def _parse(rows) -> list[Commit]:
@@ -237,7 +203,7 @@ class VersionedDataset:
             out.append(
                 Commit(
                     version=r.version,
-                    ts=r.ts,
+                    ts_ms=r.ts_ms,
                     operation=r.operation,
                     parameters=dict(r.parameters or {}),
                     schema=_parse_datatype_json_string(r.schema_json),
@@ -245,8 +211,11 @@ class VersionedDataset:
                     properties=dict(r.properties or {}),
                     generated=dict(r.generated or {}),
                     not_null=list(r.not_null or []),
-                    paths=list(r.paths or []),
-                    changes=[(c.change_type, c.path) for c in (r.changes or [])],
+                    base=r.base,
+                    added=list(r.added or []),
+                    removed=list(r.removed or []),
+                    changes=[(c.change_type, c.path, c.snapshot) for c in (r.changes or [])],
+                    feed=bool(r.feed),
                 )
             )
         return out
@@ -258,6 +227,8 @@ class VersionedDataset:
         return self.latest().version
 
     def commit_at(self, version: int) -> Commit:
+        if version in self._cache:
+            return self._cache[version]
         for c in self._commits():
             if c.version == version:
                 return c
@@ -265,10 +236,9 @@ class VersionedDataset:
 
     def _write_log(self, c: Commit) -> int:
         """Commit: one JSON row at ``log/version=<n>/commit.json``, created exclusively."""
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        ts = now.replace(microsecond=now.microsecond // 1000 * 1000)  # readers see milliseconds
+        now = int(_dt.datetime.now(_dt.timezone.utc).timestamp() * 1000)
         row = {
-            "ts": ts.strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z",
+            "ts_ms": now,
             "operation": c.operation,
             "parameters": {k: str(v) for k, v in c.parameters.items()},
             "schema_json": c.schema.json(),
@@ -276,28 +246,28 @@ class VersionedDataset:
             "properties": {k: str(v) for k, v in c.properties.items()},
             "generated": dict(c.generated),
             "not_null": list(c.not_null),
-            "paths": list(c.paths),
-            "changes": [{"change_type": t, "path": p} for t, p in c.changes],
+            "base": c.base,
+            "added": list(c.added),
+            "removed": list(c.removed),
+            "feed": c.feed,
+            "changes": [{"change_type": t, "path": p, "snapshot": v} for t, p, v in c.changes],
         }
         try:
             fs.create_new(self.spark, f"{self.log_dir}/version={c.version}/commit.json", json.dumps(row) + "\n")
         except fs.AlreadyExists as e:
             raise ConcurrentCommitError(f"version {c.version} of {self.root} already committed") from e
-        # Cache the time the way a reader gets it back from collect(): local, naive.
-        local = _dt.datetime.fromtimestamp(ts.replace(tzinfo=_dt.timezone.utc).timestamp())
-        self._cache[c.version] = Commit(**{**c.__dict__, "ts": local})
-        every = int(self.spark.conf.get(LOG_CHECKPOINT_CONF, str(LOG_CHECKPOINT_EVERY)))
-        if every > 0 and c.version > 0 and c.version % every == 0:
-            try:
-                self.checkpoint_log(c.version)
-            except Exception:  # the commit stands; readers fall back to the commit files
-                pass
+        self._cache[c.version] = replace(c, ts_ms=now)
         return c.version
 
-    def _next(self, base: Commit, operation: str, paths: Sequence[str], changes=(), parameters=None, **kw) -> int:
-        c = Commit(
+    def _next(self, base: Commit, operation: str, start: int | None, added: Sequence[str] = (), removed: Sequence[str] = (),
+              changes: Sequence[tuple[str, str | None, int | None]] = (), parameters=None, **kw) -> int:
+        """Commit the version after ``base``: the snapshot of version ``start`` (None: no rows)
+        without ``removed``, plus ``added``. ``changes`` are what the commit changes, kept
+        if the feed is on; with the feed off a commit that changes rows has no feed."""
+        changes = list(changes)
+        return self._write_log(Commit(
             version=base.version + 1,
-            ts=None,
+            ts_ms=None,
             operation=operation,
             parameters=dict(parameters or {}),
             schema=kw.get("schema", base.schema),
@@ -305,10 +275,12 @@ class VersionedDataset:
             properties=kw.get("properties", base.properties),
             generated=kw.get("generated", base.generated),
             not_null=kw.get("not_null", base.not_null),
-            paths=list(paths),
-            changes=list(changes) if base.change_feed else [],
-        )
-        return self._write_log(c)
+            base=start,
+            added=list(added),
+            removed=list(removed),
+            changes=changes if base.change_feed else [],
+            feed=base.change_feed or not changes,
+        ))
 
     # --------------------------------------------------------------- create
     @classmethod
@@ -334,11 +306,7 @@ class VersionedDataset:
         st = _as_schema(schema)
         nn = list(dict.fromkeys([*not_null, *[f.name for f in st.fields if not f.nullable]]))
         st = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in st.fields])
-        props = dict(properties or {})
-        if not any(k.rsplit(".", 1)[-1] == CHANGE_FEED_PROPERTY for k in props):
-            default = spark.conf.get(CHANGE_FEED_DEFAULT_CONF, None)
-            if default is not None:
-                props[CHANGE_FEED_PROPERTY] = default
+        props = with_feed_default(spark, properties)
         for c in [*partition_by, *(generated or {}), *nn]:
             if c not in st.fieldNames():
                 raise ValueError(f"unknown column {c!r}")
@@ -357,11 +325,10 @@ class VersionedDataset:
         if present:
             base = ds.latest()
             op = "REPLACE TABLE" if mode == "replace" else "CREATE OR REPLACE TABLE"
-            # The schema may change here, so old rows cannot be read as change rows of
-            # the new table: a replace starts the change feed afresh (no change rows).
-            ds._next(base, op, [], changes=[], **common)
+            # Every old row goes; the feed reads them under the old version's schema.
+            ds._next(base, op, None, changes=[(KIND_DELETE, None, base.version)], **common)
         else:
-            ds._write_log(Commit(0, None, "CREATE TABLE", {}, paths=[], changes=[], **common))
+            ds._write_log(Commit(0, None, "CREATE TABLE", {}, **common))
         return ds
 
     @classmethod
@@ -374,59 +341,103 @@ class VersionedDataset:
     forPath = for_path  # noqa: N815  (reference spelling)
 
     @classmethod
-    def from_dataframe(cls, spark, root, df: DataFrame, partition_by=(), properties=None, **kw) -> "VersionedDataset":
-        """CREATE TABLE ... AS SELECT: one commit (version 0) holding ``df``'s rows."""
+    def from_dataframe(cls, spark, root, df: DataFrame, partition_by=(), properties=None, replace_existing: bool = False,
+                       **kw) -> "VersionedDataset":
+        """CREATE [OR REPLACE] TABLE ... AS SELECT: one commit holding ``df``'s rows."""
         ds = cls(spark, root)
-        if ds.exists():
+        present = ds.exists()
+        if present and not replace_existing:
             raise VersionError(f"dataset already exists at {ds.root}")
         st = StructType([StructField(f.name, f.dataType, True) for f in df.schema.fields])
-        c = Commit(0, None, "CREATE TABLE AS SELECT", {}, st, list(partition_by), dict(properties or {}),
-                   dict(kw.get("generated") or {}), list(kw.get("not_null") or []), [], [])
-        entry = ds._write(c, ds._conform(c, df), 0)[KIND_INSERT]
-        ds._write_log(Commit(**{**c.__dict__, "paths": [entry], "changes": [(KIND_INSERT, entry)]}))
+        c = Commit(0, None, "CREATE TABLE AS SELECT", {}, st, list(partition_by), with_feed_default(spark, properties),
+                   dict(kw.get("generated") or {}), list(kw.get("not_null") or []))
+        version = ds.latest_version() + 1 if present else 0
+        entry = ds._write(c, ds._conform(c, df), version)[KIND_INSERT]
+        if present:
+            base = ds.latest()
+            ds._next(base, "CREATE OR REPLACE TABLE AS SELECT", None, [entry],
+                     changes=[(KIND_DELETE, None, base.version), (KIND_INSERT, entry, None)], schema=st,
+                     partition_cols=c.partition_cols, properties=c.properties, generated=c.generated, not_null=c.not_null)
+        else:
+            changes = [(KIND_INSERT, entry, None)] if c.change_feed else []
+            ds._write_log(replace(c, added=[entry], changes=changes, feed=c.change_feed))
+        return ds
+
+    @classmethod
+    def save(cls, spark, root, df: DataFrame, mode: str = "errorifexists", **kw) -> "VersionedDataset":
+        """``df.write.mode(mode).save(root)``: version 0 if nothing is there, else a new version."""
+        ds = cls(spark, root)
+        if not ds.exists():
+            return cls.from_dataframe(spark, root, df, **kw)
+        if mode == "overwrite":
+            ds.overwrite(df)
+        elif mode == "append":
+            ds.append(df)
+        elif mode in ("error", "errorifexists"):
+            raise VersionError(f"dataset already exists at {ds.root}")
+        elif mode != "ignore":
+            raise ValueError(f"unknown mode {mode!r}")
         return ds
 
     @classmethod
     def adopt_parquet(cls, spark, root, parquet_path: str, partition_by=(), properties=None) -> "VersionedDataset":
-        """Make an existing Parquet dataset version 0 without copying it (CONVERT)."""
+        """Make an existing Parquet dataset version 0 without copying it (CONVERT).
+
+        The partition columns of a partitioned folder (``p=value`` folders) are recorded.
+        """
         ds = cls(spark, root)
         if ds.exists():
             raise VersionError(f"dataset already exists at {ds.root}")
         src = norm_path(fs.qualify(spark, parquet_path))
         schema = spark.read.parquet(src).schema
-        c = Commit(0, None, "CONVERT", {"source": src}, schema, list(partition_by), dict(properties or {}), {}, [], [src], [])
-        ds._write_log(c)
+        found, folder = [], src
+        while nested := [n for n in fs.list_names(spark, folder) if re.fullmatch(r"[^_.=][^=]*=.*", n)]:
+            found.append(nested[0].split("=", 1)[0])
+            folder = f"{folder}/{nested[0]}"
+        if partition_by and list(partition_by) != found:
+            raise ValueError(f"{src} is partitioned by {found}, not by {list(partition_by)}")
+        props = with_feed_default(spark, properties)
+        c = Commit(0, None, "CONVERT", {"source": src}, schema, found, props, {}, [], added=[src])
+        changes = [(KIND_INSERT, src, None)] if c.change_feed else []
+        ds._write_log(replace(c, changes=changes, feed=c.change_feed))
         return ds
 
     # ----------------------------------------------------------------- read
-    def _read_entry(self, c: Commit, path: str, meta: Sequence[str] = ()) -> DataFrame:
-        r = self.spark.read.schema(c.schema)
-        if c.partition_cols:
-            r = r.option("basePath", path)
-        return _with_meta(r.parquet(path), c, meta)
-
-    def _read_commit(self, c: Commit, paths: Sequence[str] | None = None, meta: Sequence[str] = ()) -> DataFrame:
-        """Rows of ``paths`` (default: the commit's entries), in schema order.
+    def _read_folders(self, c: Commit, folders: Sequence[str], meta: Sequence[str] = ()) -> DataFrame:
+        """Rows of whole folders, in schema order.
 
-        ``meta`` adds hidden file metadata per scan: ``"__file"`` (file path) and
-        ``"__row"`` (row index inside the file). It must be taken on each scan,
-        before any union.
+        ``meta`` adds hidden file metadata per scan: ``"__file"`` (file path), ``"__row"``
+        (row index inside the file), ``"__size"``. It must be taken on each scan, before any union.
         """
-        paths = list(c.paths if paths is None else paths)
-        if not paths:
+        if not folders:
             empty = empty_df(self.spark, c.schema)
             for m in meta:
                 empty = empty.withColumn(m, F.lit(None).cast("string" if m == "__file" else "bigint"))
             return empty
-        if c.partition_cols:
-            # Partitioned folders of different commits cannot be read in one call;
-            # read each with its own basePath (pruning works per branch).
-            out = None
-            for p in paths:
-                d = self._read_entry(c, p, meta)
-                out = d if out is None else out.unionByName(d)
-            return out
-        return _with_meta(self.spark.read.schema(c.schema).parquet(*paths), c, meta)
+        r = self.spark.read.schema(c.schema)
+        if not c.partition_cols:
+            return _with_meta(r.parquet(*folders), c, meta)
+        # Partitioned folders of different commits cannot be read in one call;
+        # read each with its own basePath (pruning works per branch).
+        parts = [_with_meta(r.option("basePath", p).parquet(p), c, meta) for p in folders]
+        return reduce(DataFrame.unionByName, parts)
+
+    def _read_commit(self, c: Commit, meta: Sequence[str] = (), files: Iterable[str] | None = None) -> DataFrame:
+        """Rows of a version; with ``files``, of those of its files only.
+
+        Files are left out or picked by their path, which prunes the listing: no file
+        name is passed to a reader, so partition columns stay.
+        """
+        folders, removed = self.snapshot(c)
+        if files is None and not removed:
+            return self._read_folders(c, folders, meta)
+        rows = self._read_folders(c, folders, tuple(dict.fromkeys(("__file", *meta))))
+        if removed:
+            rows = rows.where(~F.col("__file").isin(removed))
+        if files is not None:
+            files = list(files)
+            rows = rows.where(F.col("__file").isin(files)) if files else rows.where(F.lit(False))
+        return rows if "__file" in meta else rows.drop("__file")
 
     def to_df(self, version: int | None = None, timestamp: str | _dt.datetime | None = None) -> DataFrame:
         """Snapshot as a DataFrame: latest, ``version`` or the version current at
@@ -443,20 +454,27 @@ class VersionedDataset:
         return self.restore(version)
 
     def version_as_of_timestamp(self, ts: str | _dt.datetime) -> int:
-        t = ts if isinstance(ts, _dt.datetime) else _dt.datetime.fromisoformat(str(ts))
-        older = [c.version for c in self._commits() if c.ts is not None and c.ts <= t]
+        t = self._millis(ts)
+        older = [c.version for c in self._commits() if c.ts_ms <= t]
         if not older:
             raise VersionError(f"no version at or before {ts}")
         return max(older)
 
+    def _millis(self, ts: str | _dt.datetime) -> int:
+        """A time as Spark reads it: text in the session's time zone, a datetime as Spark
+        takes one (naive ones as ``collect`` gives them), in milliseconds."""
+        at = F.lit(ts if isinstance(ts, _dt.datetime) else str(ts)).cast("timestamp")
+        return self.spark.range(1).select(F.unix_millis(at)).first()[0]
+
     def history(self, limit: int | None = None) -> DataFrame:
         """One row per commit, newest first (``limit`` = last n commits)."""
         h = self.log_frame().select(
             "version",
-            F.col("ts").alias("timestamp"),
+            F.timestamp_millis("ts_ms").alias("timestamp"),
             "operation",
             F.col("parameters").alias("operation_parameters"),
-            F.size("paths").alias("num_entries"),
+            F.size("added").alias("num_added"),
+            F.size("removed").alias("num_removed"),
         ).orderBy(F.desc("version"))
         return h.limit(limit) if limit is not None else h
 
@@ -492,18 +510,18 @@ class VersionedDataset:
             if f.name in c.generated:
                 g = F.expr(c.generated[f.name]).cast(f.dataType)
                 if f.name in df.columns:
-                    v = F.col(f.name).cast(f.dataType)
+                    v = _c(f.name).cast(f.dataType)
                     g = F.when(
                         ~v.eqNullSafe(g), F.raise_error(F.lit(f"generated column {f.name} does not match its expression"))
                     ).otherwise(v)
                 cols.append(g.alias(f.name))
             else:
-                cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+                cols.append(_c(f.name).cast(f.dataType).alias(f.name))
         out = df.select(*cols, *passthrough)
         if c.not_null:
             guarded = []
             for f in c.schema.fields:
-                col = F.col(f.name)
+                col = _c(f.name)
                 if f.name in c.not_null:
                     col = F.when(col.isNull(), F.raise_error(F.lit(f"NOT NULL violated by column {f.name}"))).otherwise(col)
                 guarded.append(col.alias(f.name))
@@ -514,6 +532,10 @@ class VersionedDataset:
         """Write rows as one new immutable folder. Returns {kind: entry path}."""
         path = self._new_dir(version)
         parts = ([KIND] if by_kind else []) + list(c.partition_cols)
+        if c.partition_cols:
+            # one partition value's rows together, so not every task writes every folder;
+            # large values are split again by AQE
+            df = df.hint("rebalance", *[_c(p) for p in c.partition_cols])
         w = df.write.mode("errorifexists")
         if parts:
             w = w.partitionBy(*parts)
@@ -528,7 +550,7 @@ class VersionedDataset:
         base = self.latest()
         rows = self._conform(base, df, by_position)
         entry = self._write(base, rows, base.version + 1)[KIND_INSERT]
-        return self._next(base, operation, [*base.paths, entry], changes=[(KIND_INSERT, entry)], parameters={"mode": "Append"})
+        return self._next(base, operation, base.version, [entry], changes=[(KIND_INSERT, entry, None)], parameters={"mode": "Append"})
 
     def insert_values(self, rows: Iterable[tuple]) -> int:
         """INSERT INTO t VALUES (...), bound by position."""
@@ -542,59 +564,35 @@ class VersionedDataset:
         base = self.latest()
         rows = self._conform(base, df, by_position)
         entry = self._write(base, rows, base.version + 1)[KIND_INSERT]
-        changes = [(KIND_DELETE, p) for p in base.paths] + [(KIND_INSERT, entry)]
-        return self._next(base, operation, [entry], changes=changes, parameters={"mode": "Overwrite"})
+        changes = [(KIND_DELETE, None, base.version), (KIND_INSERT, entry, None)]
+        return self._next(base, operation, None, [entry], changes=changes, parameters={"mode": "Overwrite"})
 
     # ------------------------------------------------- file-level rewrite
     def _with_file(self, c: Commit, row: bool = False) -> DataFrame:
         return self._read_commit(c, meta=("__file", "__row") if row else ("__file",))
 
-    def _split_entries(self, c: Commit, touched: set[str]) -> tuple[list[str], list[str]]:
-        """Entries to keep as they are, and paths (files or folders) to rewrite."""
-        # Index touched files by every folder above them: one lookup per entry,
-        # O(touched x depth + entries) instead of comparing every pair.
-        under: dict[str, set[str]] = {}
-        for f in touched:
-            parts = f.split("/")
-            for i in range(1, len(parts) + 1):
-                under.setdefault("/".join(parts[:i]), set()).add(f)
-        keep, rewrite = [], []
-        for e in c.paths:
-            ne = norm_path(e).rstrip("/")
-            hit = under.get(ne, set())
-            if not hit:
-                keep.append(e)
-            elif c.partition_cols or ne in hit:
-                rewrite.append(e)  # a single file, or a partitioned folder rewritten whole
-            else:
-                files = [norm_path(f) for f in self.spark.read.parquet(e).inputFiles()]  # metadata listing
-                keep.extend(f for f in files if f not in hit)
-                rewrite.extend(sorted(hit))
-        return keep, rewrite
-
-    def _touched_files(self, matches: DataFrame) -> set[str]:
-        # Distinct file paths only: bounded by the number of files, not rows.
-        return {norm_path(r[0]) for r in matches.select("__file").distinct().collect()}
+    def _touched_files(self, matches: DataFrame) -> list[str]:
+        # Distinct paths of the files to rewrite: as many as the commit takes out.
+        return sorted(r[0] for r in matches.select("__file").distinct().collect())
 
     def _rewrite(self, base: Commit, operation: str, cond: Column, transform, params: dict) -> int:
         """Shared body of update/delete: find files, rewrite them, commit."""
         touched = self._touched_files(self._with_file(base).where(cond))
-        keep, rewrite = self._split_entries(base, touched)
-        if not rewrite:
-            return self._next(base, operation, base.paths, changes=[], parameters=params)
-        old = self._read_commit(base, rewrite)
+        if not touched:
+            return self._next(base, operation, base.version, parameters=params)
+        old = self._read_commit(base, files=touched)
         by_kind = base.change_feed
         out = self._write(base, transform(old, by_kind), base.version + 1, by_kind=by_kind)
         data = [out[k] for k in DATA_KINDS if k in out]
-        changes = [(k, out[k]) for k in (KIND_PRE, KIND_POST, KIND_INSERT, KIND_DELETE) if k in out]
-        return self._next(base, operation, [*keep, *data], changes=changes, parameters=params)
+        changes = [(k, out[k], None) for k in (KIND_PRE, KIND_POST, KIND_INSERT, KIND_DELETE) if k in out]
+        return self._next(base, operation, base.version, data, touched, changes if by_kind else [(KIND_POST, None, None)], params)
 
     def update(self, set: Mapping[str, str | Column], condition: str | Column | None = None) -> int:
         """UPDATE t SET ... WHERE p. Rows where p is NULL are left alone; every SET
         expression sees the old row."""
         base = self.latest()
         cond = is_true(condition) if condition is not None else F.lit(True)
-        set_cols = {k.split(".")[-1]: as_column(v) for k, v in set.items()}
+        set_cols = {rowops.column_name(k, base.schema.fieldNames()): as_column(v) for k, v in set.items()}
         unknown = [k for k in set_cols if k not in base.schema.fieldNames()]
         if unknown:
             raise ValueError(f"unknown columns in SET: {unknown}")
@@ -611,7 +609,7 @@ class VersionedDataset:
         """DELETE FROM t [WHERE p]. Rows where p is NULL are kept."""
         base = self.latest()
         if condition is None:
-            return self._next(base, "DELETE", [], changes=[(KIND_DELETE, p) for p in base.paths], parameters={})
+            return self._next(base, "DELETE", None, changes=[(KIND_DELETE, None, base.version)], parameters={})
         cond = is_true(condition)
 
         def transform(old: DataFrame, by_kind: bool) -> DataFrame:
@@ -624,26 +622,29 @@ class VersionedDataset:
         return _AliasedTarget(self, name)
 
     def merge(self, source: DataFrame, condition: str | Column | Sequence[str], target_alias: str = "t",
-              source_alias: str | None = None) -> "MergeBuilder":
-        return MergeBuilder(self, source, condition, target_alias, source_alias or dataframe_alias(source) or "s")
+              source_alias: str | None = None, null_safe: bool = False) -> "MergeBuilder":
+        return MergeBuilder(self, source, condition, target_alias, source_alias or dataframe_alias(source) or "s", null_safe)
 
     # --------------------------------------------------- restore, clones
     def _differing(self, a: Commit, b: Commit) -> tuple[DataFrame, DataFrame]:
-        """Rows of the files only ``a`` references and of the files only ``b`` references.
+        """Rows of the files only ``a`` holds and of the files only ``b`` holds.
 
         Files both versions share hold identical rows and cancel in any multiset
-        difference, so they are never read: comparing two versions costs the
-        changed files only. Partitioned datasets compare whole entries.
+        difference, so they are never read. What differs follows from the commit rows:
+        folders only one version has, and files only one version took out.
         """
-        if a.partition_cols or b.partition_cols:
-            ea, eb = {norm_path(p) for p in a.paths}, {norm_path(p) for p in b.paths}
-            only_a = [p for p in a.paths if norm_path(p) not in eb]
-            only_b = [p for p in b.paths if norm_path(p) not in ea]
-        else:
-            fa = {norm_path(f) for f in self._read_commit(a).inputFiles()} if a.paths else set()  # listing
-            fb = {norm_path(f) for f in self._read_commit(b).inputFiles()} if b.paths else set()
-            only_a, only_b = sorted(fa - fb), sorted(fb - fa)
-        return self._read_commit(a, only_a), self._read_commit(b, only_b)
+        (fa, ra), (fb, rb) = self.snapshot(a), self.snapshot(b)
+
+        def only(c: Commit, mine, my_removed, theirs, their_removed) -> DataFrame:
+            own = self._read_folders(c, [p for p in mine if p not in set(theirs)], ("__file",))
+            if my_removed:
+                own = own.where(~F.col("__file").isin(my_removed))
+            shared, gone = [p for p in mine if p in set(theirs)], sorted(set(their_removed) - set(my_removed))
+            if shared and gone:
+                own = own.unionByName(self._read_folders(c, shared, ("__file",)).where(F.col("__file").isin(gone)))
+            return own.drop("__file")
+
+        return only(a, fa, ra, fb, rb), only(b, fb, rb, fa, ra)
 
     def diff(self, old_version: int, new_version: int, keys: Sequence[str] | None = None) -> DataFrame:
         """What changed between two versions (J8): by key (``rowops.diff_by_key``) or,
@@ -672,11 +673,13 @@ class VersionedDataset:
                     old_only.exceptAll(cur_only).withColumn(KIND, F.lit(KIND_INSERT))
                 )
                 out = self._write(base, diff, base.version + 1, by_kind=True)
-                changes = [(k, out[k]) for k in (KIND_INSERT, KIND_DELETE) if k in out]
+                changes = [(k, out[k], None) for k in (KIND_INSERT, KIND_DELETE) if k in out]
             else:  # schema changed: every current row goes, every old row comes back
-                changes = [(KIND_DELETE, p) for p in base.paths] + [(KIND_INSERT, p) for p in old.paths]
+                changes = [(KIND_DELETE, None, base.version), (KIND_INSERT, None, old.version)]
+        else:
+            changes = [(KIND_INSERT, None, old.version)]
         return self._next(
-            base, "RESTORE", old.paths, changes=changes, parameters={"version": version},
+            base, "RESTORE", old.version, changes=changes, parameters={"version": version},
             schema=old.schema, partition_cols=old.partition_cols, generated=old.generated, not_null=old.not_null,
         )
 
@@ -687,21 +690,14 @@ class VersionedDataset:
         tgt = VersionedDataset(self.spark, target_root)
         if tgt.exists():
             raise VersionError(f"dataset already exists at {tgt.root}")
-        if shallow:
-            paths = list(src.paths)
-        else:
-            paths = []
-            if src.paths:
-                d = tgt._new_dir(0)
-                w = self._read_commit(src).write.mode("errorifexists")
-                if src.partition_cols:
-                    w = w.partitionBy(*src.partition_cols)
-                w.parquet(d)
-                paths = [d]
+        paths, removed = self.snapshot(src)
+        if not shallow:
+            paths, removed = ([tgt._write(src, self._read_commit(src), 0)[KIND_INSERT]] if paths else []), []
+        changes = [(KIND_INSERT, None, 0)] if src.change_feed and paths else []
         op = "SHALLOW CLONE" if shallow else "DEEP CLONE"
         tgt._write_log(
             Commit(0, None, op, {"source": self.root, "sourceVersion": src.version}, src.schema, src.partition_cols,
-                   src.properties, src.generated, src.not_null, paths, [])
+                   src.properties, src.generated, src.not_null, None, paths, removed, changes, src.change_feed or not paths)
         )
         return tgt
 
@@ -718,93 +714,84 @@ class VersionedDataset:
         return self._changes_of([c for c in commits if starting_version <= c.version <= end])
 
     def changes_between_timestamps(self, start: str | _dt.datetime, end: str | _dt.datetime | None = None) -> DataFrame:
-        def t(x):
-            return x if isinstance(x, _dt.datetime) else _dt.datetime.fromisoformat(str(x))
-
         commits = self._commits()
-        lo, hi = t(start), (t(end) if end is not None else None)
-        if commits[-1].ts is not None and lo > commits[-1].ts:
+        lo, hi = self._millis(start), (self._millis(end) if end is not None else None)
+        if lo > commits[-1].ts_ms:
             raise VersionError(f"starting timestamp {start} is after the latest commit")
-        chosen = [c for c in commits if c.ts is not None and c.ts >= lo and (hi is None or c.ts <= hi)]
+        chosen = [c for c in commits if c.ts_ms >= lo and (hi is None or c.ts_ms <= hi)]
         if not chosen:
             raise VersionError(f"no commit between {start} and {end}")
         return self._changes_of(chosen)
 
     def _changes_of(self, commits: Sequence[Commit]) -> DataFrame:
+        """Change rows of ``commits``. Raises where a commit changed rows while the feed was off, or
+        where a column changed its type between them: the feed is complete or an error."""
         if not commits:
             raise VersionError("empty version range")
-        latest_schema = commits[-1].schema
-        entries = [(c, kind, path) for c in commits for kind, path in c.changes]
-        same_layout = all(c.schema == latest_schema and not c.partition_cols for c in commits)
-        if same_layout and len(entries) > GROUPED_CHANGE_READ_MIN:
-            return self._changes_grouped(entries, latest_schema)
-        parts = []
+        silent = [c.version for c in commits if not c.feed]
+        if silent:
+            raise VersionError(f"the change feed was off in versions {silent} of {self.root}")
+        latest = commits[-1]
+        # Folders of the same schema, kind and layout are read in one scan; which commit a row is of
+        # follows from its file: the folder's name starts with the version.
+        groups: dict[tuple, list[tuple[Commit, str]]] = {}
+        whole = []
         for c in commits:
-            for kind, path in c.changes:
-                d = self._read_entry(c, path) if c.partition_cols else self.spark.read.schema(c.schema).parquet(path)
-                parts.append(
-                    d.select(*c.schema.fieldNames()).select(
-                        "*",
-                        F.lit(CHANGE_TYPE[kind]).alias("_change_type"),
-                        F.lit(c.version).cast("bigint").alias("_commit_version"),
-                        F.lit(c.ts).cast("timestamp").alias("_commit_timestamp"),
-                    )
-                )
+            for kind, folder, version in c.changes:
+                if folder is None:
+                    whole.append((c, kind, self.commit_at(version)))
+                else:
+                    key = (kind, c.schema.json(), tuple(c.partition_cols), f"{self.root}/data/{c.version}-" in folder or c.version)
+                    groups.setdefault(key, []).append((c, folder))
+        parts = []
+        times = F.create_map(*[x for c in commits for x in (F.lit(c.version), F.lit(c.ts_ms))])
+        for (kind, _, _, own), found in groups.items():
+            first = found[0][0]
+            if own is True:
+                rows = self._read_folders(first, [p for _, p in found], ("__file",))
+                number = F.regexp_extract("__file", r".*/data/(\d+)-[0-9a-f]{12}/", 1).cast("int")
+            else:
+                rows = self._read_folders(first, [p for _, p in found], ("__file",))
+                number = F.lit(first.version)
+            parts.append((first.schema, kind, rows.withColumn("__v", number).drop("__file")))
+        for c, kind, of in whole:
+            parts.append((of.schema, kind, self._read_commit(of).withColumn("__v", F.lit(c.version))))
+        types: dict[str, str] = {}
+        for st, _, _ in parts:
+            for f in st.fields:
+                if types.setdefault(f.name, f.dataType.simpleString()) != f.dataType.simpleString():
+                    raise VersionError(f"column {f.name} changes its type within the version range")
         if not parts:
-            empty = StructType(
-                latest_schema.fields
-                + [StructField("_change_type", StringType()), StructField("_commit_version", IntegerType()),
-                   StructField("_commit_timestamp", TimestampType())]
+            parts = [(latest.schema, KIND_INSERT, empty_df(self.spark, latest.schema).withColumn("__v", F.lit(0)))]
+        out = [
+            rows.select(
+                *[_c(n) for n in st.fieldNames()], F.lit(CHANGE_TYPE[kind]).alias("_change_type"),
+                F.col("__v").cast("bigint").alias("_commit_version"),
+                F.timestamp_millis(times[F.col("__v")]).alias("_commit_timestamp"),
             )
-            return empty_df(self.spark, empty).withColumn("_commit_version", F.col("_commit_version").cast("bigint"))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p, allowMissingColumns=True)
-        return out
-
-    def _changes_grouped(self, entries, schema: StructType) -> DataFrame:
-        """Change rows of many commits with one scan per change type.
-
-        Each file is tied back to its commit through the entry that names it (the
-        file itself, or the folder holding it): a join with the (entry, version,
-        type, time) list, which is metadata and broadcast only below a row bound.
-        """
-        from lakeops.functions.joins import broadcast_if_bounded
-
-        cols = schema.fieldNames()
-        versions = sorted({c.version for c, _, _ in entries})
-        kind_to_type = F.create_map(*[x for k, t in CHANGE_TYPE.items() for x in (F.lit(k), F.lit(t))])
-        mapping = (
-            self.log_frame()  # the commit rows, read by Spark
-            .where(F.col("version").isin(versions))
-            .select(F.col("version").cast("bigint").alias("_commit_version"), F.col("ts").alias("_commit_timestamp"),
-                    F.explode("changes").alias("c"))
-            .select(
-                F.regexp_replace(F.regexp_replace(F.col("c.path"), r"^file:/+", "file:///"), "/+$", "").alias("__entry"),
-                kind_to_type[F.col("c.change_type")].alias("_change_type"),
-                "_commit_version", "_commit_timestamp",
-            )
-        )
-        mapping = broadcast_if_bounded(mapping, 100_000)
-        out = None
-        for kind in sorted({k for _, k, _ in entries}):
-            paths = sorted({p for _, k, p in entries if k == kind})
-            rows = self.spark.read.schema(schema).parquet(*paths).select(
-                *[F.col(f"`{n}`") for n in cols], F.col("_metadata.file_path").alias("__file")
-            )
-            file_ = F.regexp_replace(F.col("__file"), r"^file:/+", "file:///")
-            parent = F.regexp_replace(file_, r"/[^/]*$", "")
-            rows = rows.select(*cols, F.explode(F.array(file_, parent)).alias("__entry"))
-            m = mapping.where(F.col("_change_type") == CHANGE_TYPE[kind])
-            part = rows.join(m, "__entry").drop("__entry")
-            out = part if out is None else out.unionByName(part)
-        return out.select(*cols, "_change_type", "_commit_version", "_commit_timestamp")
+            for st, kind, rows in parts
+        ]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out)
 
     def set_properties(self, **props: str) -> int:
         """ALTER TABLE ... SET TBLPROPERTIES: a metadata-only commit."""
         base = self.latest()
         merged = {**base.properties, **{k: str(v) for k, v in props.items()}}
-        return self._next(base, "SET TBLPROPERTIES", base.paths, changes=[], parameters=props, properties=merged)
+        return self._next(base, "SET TBLPROPERTIES", base.version, parameters=props, properties=merged)
+
+
+def with_feed_default(spark: SparkSession, properties: Mapping[str, str] | None) -> dict[str, str]:
+    """Table properties with the session's default for the change feed."""
+    props = dict(properties or {})
+    if not any(k.rsplit(".", 1)[-1] == CHANGE_FEED_PROPERTY for k in props):
+        default = spark.conf.get(CHANGE_FEED_DEFAULT_CONF, None)
+        if default is not None:
+            props[CHANGE_FEED_PROPERTY] = default
+    return props
+
+
+def _c(name: str) -> Column:
+    return F.col(f"`{name}`")
 
 
 def dataframe_alias(df: DataFrame) -> str | None:
@@ -813,6 +800,21 @@ def dataframe_alias(df: DataFrame) -> str | None:
     return str(plan.alias()) if plan.nodeName() == "SubqueryAlias" else None
 
 
+def is_stable(df: DataFrame) -> bool:
+    """Whether every evaluation gives the same rows: scans, filters and projections of stored rows, no more."""
+    plan = df._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    stack = [plan]
+    while stack:
+        node = stack.pop()
+        if node.nodeName() not in STABLE_NODES:
+            return False
+        children = node.children()
+        stack.extend(children.apply(i) for i in range(children.size()))
+    return True
+
+
 class _AliasedTarget:
     def __init__(self, ds: VersionedDataset, name: str):
         self.ds, self.name = ds, name
@@ -829,9 +831,10 @@ class MergeBuilder:
     More than one source row for one target row raises ``AmbiguousMergeError``.
     """
 
-    def __init__(self, ds, source, condition, target_alias, source_alias):
+    def __init__(self, ds, source, condition, target_alias, source_alias, null_safe: bool = False):
         self.ds, self.source, self.condition = ds, source, condition
         self.ta, self.sa = target_alias, source_alias
+        self.null_safe = null_safe  # named keys: NULL matches NULL
         self.update_set: dict | None = None
         self.update_all = False
         self.insert_values: dict | None = None
@@ -850,24 +853,20 @@ class MergeBuilder:
     def whenNotMatchedInsertAll(self):  # noqa: N802
         return self.when_not_matched_insert_all()
 
-    def _prune_by_stats(self, base: Commit, source: DataFrame) -> list[str] | None:
-        """Target files that can match, when the merge key is one named column with
-        stored per-file stats (a clustered dataset): only files whose [min, max]
-        overlaps the source's key range are scanned for matches. None = scan all."""
-        if not isinstance(self.condition, (list, tuple)) or len(self.condition) != 1 or base.partition_cols:
+    def _prune_by_stats(self, base: Commit, source: DataFrame, keys: Sequence[str] | None) -> list[str] | None:
+        """Target files that can match, when the merge key is one column with stored per-file
+        stats (a clustered dataset): those whose [min, max] overlaps the source's key range.
+        None = scan all."""
+        if not keys or len(keys) != 1 or self.null_safe:
             return None
         from lakeops.operators import layout  # layout builds on this module
 
-        key = self.condition[0]
-        if not base.paths or len(self.ds._read_commit(base).inputFiles()) < MERGE_PRUNE_MIN_FILES:
-            return None  # few files: scanning them all is cheaper than the extra jobs
-        if layout.stats_of(self.ds, base.version) is None:
-            return None
-        lo, hi = source.agg(F.min(key), F.max(key)).first()  # two values
-        return layout.files_overlapping(self.ds, key, lo, hi, base.version)
+        lo, hi = source.agg(F.min(_c(keys[0])), F.max(_c(keys[0]))).first()  # two values
+        return layout.files_between(self.ds, keys[0], lo, hi, base.version)
 
     def when_matched_update(self, set: Mapping[str, str | Column]) -> "MergeBuilder":
-        self.update_set = {k.split(".")[-1]: v for k, v in set.items()}  # 't.c' and 'c' both name target c
+        names = self.ds.latest().schema.fieldNames()
+        self.update_set = {rowops.column_name(k, names): v for k, v in set.items()}  # 't.c' and 'c' both name target c
         return self
 
     def when_matched_update_all(self) -> "MergeBuilder":
@@ -875,7 +874,8 @@ class MergeBuilder:
         return self
 
     def when_not_matched_insert(self, values: Mapping[str, str | Column]) -> "MergeBuilder":
-        self.insert_values = {k.split(".")[-1]: v for k, v in values.items()}
+        names = self.ds.latest().schema.fieldNames()
+        self.insert_values = {rowops.column_name(k, names): v for k, v in values.items()}
         return self
 
     def when_not_matched_insert_all(self) -> "MergeBuilder":
@@ -885,32 +885,37 @@ class MergeBuilder:
     def execute(self, properties: Mapping[str, str] | None = None, stage_source: bool | None = None) -> int:
         """Run the merge as one commit; ``properties`` are set in that same commit.
 
-        The source is read more than once (match check, rewrite, inserts). A
-        deterministic source plan (file scans, filters, projections) is simply
-        re-read; a non-deterministic one (``rand()``, non-deterministic UDFs) is
-        first written once to ``_staging`` so every pass and every task retry
-        sees the same rows. ``stage_source`` forces either way.
+        The source is read more than once (match check, rewrite, inserts). One that is only
+        scans, filters and projections of stored rows is re-read; any other (joins,
+        aggregates, limits, ``rand()``, UDFs) is first written once to ``_staging``, so every
+        pass and every task retry sees the same rows. ``stage_source`` forces either way.
         """
         ds = self.ds
         base = ds.latest()
         source = self.source
         if stage_source is None:
-            stage_source = not source._jdf.queryExecution().analyzed().deterministic()
+            stage_source = not is_stable(source)
         if stage_source:
             stage = ds._new_dir(base.version + 1, "_staging")
             source.write.mode("errorifexists").parquet(stage)
             source = ds.spark.read.schema(self.source.schema).parquet(stage)
 
+        condition = self.condition
+        if not isinstance(condition, (list, tuple)):
+            condition = rowops.equal_keys(condition, self.ta, self.sa) or condition
+        keys = list(condition) if isinstance(condition, (list, tuple)) else None
         target = ds._with_file(base, row=True)
-        pruned = self._prune_by_stats(base, source)
+        pruned = self._prune_by_stats(base, source, keys)
         if pruned is not None:
-            target = ds._read_commit(base, pruned, meta=("__file", "__row"))
+            target = ds._read_commit(base, ("__file", "__row"), pruned)
         plan = rowops.merge_plan(
-            target, source, self.condition, self.ta, self.sa, base.schema.fieldNames(),
+            target, source, condition, self.ta, self.sa, base.schema.fieldNames(),
             update_set=self.update_set, update_all=self.update_all,
             insert_values=self.insert_values, insert_all=self.insert_all, optional=list(base.generated),
+            null_safe=self.null_safe,
         )
         touched_df = plan.touched_files("__file", "__row")
+        # The source has no join of its own here (it would have been staged): only the condition can give one.
         physical = touched_df._jdf.queryExecution().executedPlan().toString()  # planning only, no job
         if "NestedLoopJoin" in physical or "CartesianProduct" in physical:
             raise ValueError(
@@ -921,9 +926,8 @@ class MergeBuilder:
         per_file = touched_df.collect()  # one row per touched file
         if any(r["n"] > 1 for r in per_file):
             raise AmbiguousMergeError("several source rows match the same target row")
-        touched = {norm_path(r["__file"]) for r in per_file}
-        keep, rewrite = ds._split_entries(base, touched)
-        old = ds._read_commit(base, rewrite) if rewrite else empty_df(ds.spark, base.schema)
+        touched = sorted(r["__file"] for r in per_file)
+        old = ds._read_commit(base, files=touched) if touched else empty_df(ds.spark, base.schema)
         by_kind = base.change_feed
         rows = plan.rows(old, with_kind=by_kind, emit_pre=by_kind)
         if by_kind:
@@ -932,10 +936,10 @@ class MergeBuilder:
         else:
             out = ds._write(base, ds._conform(base, rows, recompute_generated=True), base.version + 1)
         data = [out[k] for k in DATA_KINDS if k in out]
-        changes = [(k, out[k]) for k in (KIND_PRE, KIND_POST, KIND_INSERT) if k in out]
+        changes = [(k, out[k], None) for k in (KIND_PRE, KIND_POST, KIND_INSERT) if k in out]
         props = {**base.properties, **{k: str(v) for k, v in (properties or {}).items()}}
-        return ds._next(base, "MERGE", [*keep, *data], changes=changes,
-                        parameters={"predicate": str(self.condition)}, properties=props)
+        return ds._next(base, "MERGE", base.version, data, touched, changes or ([] if by_kind else [(KIND_POST, None, None)]),
+                        {"predicate": str(self.condition)}, properties=props)
 
 
 

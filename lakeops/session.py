@@ -3,17 +3,23 @@
 Everything this package writes outside a user-given path (merge staging,
 CSV round trips, stream checkpoints of the registered queries) goes under the
 folder the cluster names in ``spark.checkpoint.dir``. Only when that setting is
-absent (local tests) do we create one ourselves.
+absent do we set our own, and only where driver and executors share one machine
+(local tests): a folder beside the working directory's warehouse. On a cluster a
+missing setting is an error, since a machine-local folder would be seen by one
+executor only.
 """
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+# Local runs without that setting: this folder, or the one the variable names.
+LOCAL_SCRATCH_ENV = "LAKEOPS_LOCAL_SCRATCH"
+DEFAULT_LOCAL_SCRATCH = "/tmp/lakeops-scratch"
 
 
 def get_session(
@@ -58,8 +64,8 @@ def get_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
-    Read from the session; when unset (tests, local runs) create a private
-    one and register it, so ``DataFrame.checkpoint()`` and this package agree.
+    Read from the session; when unset in a local run, set our own and register
+    it, so ``DataFrame.checkpoint()`` and this package agree.
     """
     sc = spark.sparkContext
     root = sc.getConf().get(_CHECKPOINT_KEY, None)
@@ -67,8 +73,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         jdir = sc._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
-        # Unset: local runs and tests only. A cluster always names a shared one.
-        root = tempfile.mkdtemp(prefix="lakeops-ckpt-")
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
+        root = f"file://{os.environ.get(LOCAL_SCRATCH_ENV, DEFAULT_LOCAL_SCRATCH)}/{uuid.uuid4().hex[:12]}"
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(root)
     return root.rstrip("/")

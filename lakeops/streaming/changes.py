@@ -56,6 +56,22 @@ def deliver_changes(ds: VersionedDataset, writer: ChangeWriter, checkpoint: str,
     return foreach_batch(commit_stream(ds), on_batch, checkpoint, interval)
 
 
+def change_stream(ds: VersionedDataset, feed: str, checkpoint: str, starting_version: int = 0,
+                  interval: str | None = None) -> DataFrame:
+    """The change feed as a streaming DataFrame, to filter, aggregate and write like any other.
+
+    The change rows of new commits are first delivered to the Parquet folder ``feed`` (with
+    ``interval``, by a query that goes on running); the stream reads what arrives there.
+    """
+    query = deliver_changes(ds, parquet_change_writer(feed), checkpoint, starting_version, interval)
+    if interval is None:
+        query.awaitTermination()
+    else:
+        query.processAllAvailable()
+    schema = ds.changes(starting_version).schema
+    return ds.spark.readStream.schema(schema).option("basePath", feed).parquet(feed)
+
+
 def read_change_sink(spark, sink: str) -> DataFrame:
     """Rows written by ``parquet_change_writer``; the version folder name becomes BIGINT again."""
     return spark.read.parquet(sink).withColumn("_commit_version", F.col("_commit_version").cast("bigint"))

@@ -47,18 +47,30 @@ def test_change_stream_only_new_commits(spark, tmp_root):
     assert cstream.read_change_sink(spark, sink).count() == 3 + 1 + 2
 
 
-@pytest.mark.parametrize("small_files", [8, 0])  # 8: overwrite path; 0: file-level merge path
-def test_incremental_counts_replay_is_noop(spark, tmp_root, small_files, monkeypatch):
-    monkeypatch.setattr(incremental, "SMALL_AGGREGATE_FILES", small_files)
+def test_incremental_counts_replay_is_noop(spark, tmp_root):
     src = VersionedDataset.create(spark, f"{tmp_root}/o", "cust INT, x STRING", properties={"enableChangeDataFeed": "true"})
-    src.insert_values([(1, "a"), (1, "b"), (2, "c")])
+    src.insert_values([(1, "a"), (1, "b"), (2, "c"), (None, "d")])
     agg = incremental.create_count(spark, f"{tmp_root}/agg", src.to_df(), ["cust"], source_version=1)
     src.delete("x = 'c'")
     src.update({"cust": "3"}, "x = 'a'")
+    src.insert_values([(None, "e"), (None, "f")])
     ch = src.changes(2)
-    assert incremental.apply_changes(agg, ch, ["cust"], up_to_version=3)
-    assert not incremental.apply_changes(agg, ch, ["cust"], up_to_version=3)  # replay
-    assert rows(incremental.current_counts(agg)) == [(1, 1), (3, 1)]
+    assert incremental.apply_changes(agg, ch, ["cust"], up_to_version=4)
+    assert not incremental.apply_changes(agg, ch, ["cust"], up_to_version=4)  # replay
+    assert rows(incremental.current_counts(agg)) == sorted([(1, 1), (3, 1), (None, 3)], key=repr)  # NULL keys match
+
+
+def test_catalog_clone_and_change_stream(spark, tmp_root):
+    cat = Catalog(spark, tmp_root)
+    cat.create("a", "k INT", properties={"enableChangeDataFeed": "true"}).insert_values([(1,), (2,)])
+    cat.clone("a", "b").insert_values([(3,)])
+    with pytest.raises(VersionError):
+        cat.clone("a", "b")
+    assert cat.table("a").count() == 2 and cat.table("b").count() == 3
+    feed = cstream.change_stream(cat.for_name("b"), f"{tmp_root}/feed", f"{tmp_root}/ck", starting_version=0)
+    assert feed.isStreaming
+    lines.run(lines.to_parquet(feed.where("k > 1"), f"{tmp_root}/out", f"{tmp_root}/ck2"))
+    assert sorted(r.k for r in spark.read.parquet(f"{tmp_root}/out").collect()) == [2, 3]
 
 
 def test_catalog_names(spark, tmp_root):
@@ -68,7 +80,8 @@ def test_catalog_names(spark, tmp_root):
     assert cat.table("tabla1").count() == 1
     cat.save_as("tabla1", spark.createDataFrame([("Ana", "3"), ("Eva", "4")], "nombre STRING, edad STRING"), mode="overwrite")
     assert cat.table("tabla1").count() == 2 and cat.table("tabla1", 1).count() == 1
-    assert cat.table_changes("tabla1", 0).count() == 0  # change feed off: no change rows
+    with pytest.raises(VersionError, match="feed was off"):
+        cat.table_changes("tabla1", 0)
     cat.create_view("tabla1")
     assert spark.sql("SELECT * FROM tabla1 WHERE nombre = 'Ana'").count() == 1
     root = ds.root
@@ -104,10 +117,11 @@ def test_change_feed_default_from_session(spark, tmp_root):
     assert ds.changes(0).count() == 1
     ds2 = VersionedDataset.create(spark, tmp_root + "x", "k INT")
     ds2.insert_values([(1,)])
-    assert ds2.changes(0).count() == 0
+    with pytest.raises(VersionError, match="feed was off"):
+        ds2.changes(0)
     ds2.set_properties(enableChangeDataFeed="true")  # ALTER TABLE ... SET TBLPROPERTIES
     ds2.insert_values([(2,)])
-    assert [r._commit_version for r in ds2.changes(0).collect()] == [3]
+    assert [r._commit_version for r in ds2.changes(2).collect()] == [3]
 
 
 def test_timestamp_range_errors(spark, tmp_root):

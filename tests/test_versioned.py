@@ -4,13 +4,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from lakeops.functions import fs
+from lakeops.operators import layout, rowops
 from lakeops.plans.versioned import (
     AmbiguousMergeError,
     ConcurrentCommitError,
     VersionError,
     VersionedDataset,
+    is_stable,
 )
 
+# The literal rows and table names of the notebook traces below.
 NOMBRE_EDAD = "nombre STRING, edad STRING"
 
 
@@ -72,14 +76,14 @@ def test_music_overwrite_and_version_as_of(spark, tmp_root):
 
 
 def test_path_table_self_overwrite(spark, tmp_root):
-    ds = VersionedDataset.create(spark, tmp_root, NOMBRE_EDAD)
-    ds.overwrite(spark.createDataFrame([("Pepe", "16"), ("Juan", "25"), ("Antonia", "85"), ("Margarita", "21")], NOMBRE_EDAD))
+    first = spark.createDataFrame([("Pepe", "16"), ("Juan", "25"), ("Antonia", "85"), ("Margarita", "21")], NOMBRE_EDAD)
+    ds = VersionedDataset.save(spark, tmp_root, first, mode="overwrite")  # creates version 0
     src = spark.createDataFrame([("Juanita", "15"), ("Alfredo", "32"), ("Antonia", "75")], NOMBRE_EDAD)
     ds.merge(src, ["nombre"]).when_matched_update({"t.edad": "s.edad"}).when_not_matched_insert_all().execute()
     # read -> filter -> overwrite the same dataset: safe, old folders are never reused
     ds.overwrite(ds.to_df().where(F.col("nombre") != "Alfredo"))
-    assert ds.to_df().count() == 5 and ds.to_df(2).count() == 6 and ds.to_df(1).count() == 4
-    assert "Alfredo" in names(ds.to_df(2))
+    assert [ds.to_df(v).count() for v in (0, 1, 2)] == [4, 6, 5]
+    assert "Alfredo" in names(ds.to_df(1)) and "Alfredo" not in names(ds.to_df())
 
 
 def test_tabla2_delete_all_cycles(spark, tmp_root):
@@ -211,30 +215,131 @@ def test_version_diff_reads_only_unshared_files(spark, tmp_root):
     ds.update({"v": "'C'"}, "k = 3")  # rewrites only the file holding k = 3
     ds.delete("k = 4")
     only_old, only_new = ds._differing(ds.commit_at(3), ds.commit_at(5))
-    # old side: the files of k=3 and k=4; new side: the rewritten k=3 file and the
-    # schema-only file Spark writes when a rewrite (the k=4 delete) outputs no row.
-    assert len(only_old.inputFiles()) == 2 and len(only_new.inputFiles()) == 2
     assert only_old.count() == 2 and only_new.count() == 1
     assert rows(ds.diff(3, 5, ["k"])) == [(3, "changed"), (4, "removed")]
     assert rows(ds.diff(3, 5)) == [(3, "C", "added", 1), (3, "c", "removed", 1), (4, "d", "removed", 1)]
 
 
-def test_log_checkpoint_reads(spark, tmp_root):
-    spark.conf.set("lakeops.log.checkpointInterval", "3")
+def test_commit_row_grows_with_the_change_not_the_table(spark, tmp_root):
+    sizes = {}
+    for n in (4, 40):
+        ds = VersionedDataset.from_dataframe(spark, f"{tmp_root}/{n}", spark.range(400).repartition(n, "id"))
+        ds.delete("id = 7")
+        ds.overwrite(ds.to_df().where("id < 300"))
+        ds.restore(1)
+        c = ds.commit_at(1)
+        assert len(c.removed) == 1 and len(c.added) == 1 and ds.commit_at(3).added == []
+        text = [fs.read_text(spark, f"{ds.root}/log/version={v}/commit.json") for v in (1, 2, 3)]
+        sizes[n] = [len(t) // 10 for t in text]
+        assert ds.to_df().count() == 399 and ds.to_df(2).count() == 299 and ds.to_df(0).count() == 400
+    assert all(abs(a - b) <= 1 for a, b in zip(sizes[4], sizes[40]))
+
+
+def test_a_one_row_delete_of_a_partitioned_dataset_keeps_all_other_files(spark, tmp_root):
+    df = spark.range(40).select("id", (F.col("id") % 2).cast("int").alias("p"))
+    ds = VersionedDataset.from_dataframe(spark, tmp_root, df.repartition(4, "id"), partition_by=["p"])
+    ds.append(df.where("id < 10"))
+    before = {r[0] for r in layout.version_files(ds).collect()}
+    ds.delete("id = 3 and p = 1")
+    after = {r[0] for r in layout.version_files(ds).collect()}
+    assert len(before - after) <= 2 and rows(ds.to_df().where("id = 13")) == [(13, 1)]
+    assert ds.to_df().where("p = 1").count() == 20 + 5 - 2
+
+
+def test_adopted_partition_folder_keeps_its_column(spark, tmp_root):
+    src = f"{tmp_root}/src"
+    spark.range(10).select("id", (F.col("id") % 3).cast("int").alias("p")).write.partitionBy("p").parquet(src)
+    ds = VersionedDataset.adopt_parquet(spark, f"{tmp_root}/ds", src)
+    ds.delete("id = 4")
+    assert rows(ds.to_df(), "id", "p") == [(i, i % 3) for i in range(10) if i != 4]
+    with pytest.raises(ValueError):
+        VersionedDataset.adopt_parquet(spark, f"{tmp_root}/ds2", src, partition_by=["id"])
+
+
+def test_change_feed_is_complete_or_an_error(spark, tmp_root):
+    off = VersionedDataset.from_dataframe(spark, f"{tmp_root}/off", spark.range(3))
+    off.append(spark.range(2))
+    with pytest.raises(VersionError, match="feed was off"):
+        off.changes(0)
+    off.set_properties(enableChangeDataFeed="true")
+    off.append(spark.range(5))
+    with pytest.raises(VersionError, match="feed was off"):
+        off.changes(1)
+    assert off.changes(2).count() == 5
+    spark.conf.set("lakeops.properties.defaults.enableChangeDataFeed", "true")
     try:
-        ds = VersionedDataset.create(spark, tmp_root, "k INT")
-        for i in range(7):
-            ds.insert_values([(i,)])
+        made = VersionedDataset.from_dataframe(spark, f"{tmp_root}/made", spark.range(3))
+        spark.range(4).write.parquet(f"{tmp_root}/p")
+        adopted = VersionedDataset.adopt_parquet(spark, f"{tmp_root}/adopted", f"{tmp_root}/p")
     finally:
-        spark.conf.unset("lakeops.log.checkpointInterval")
-    assert ds._checkpoint_versions() == [3, 6]
-    fresh = VersionedDataset.for_path(spark, tmp_root)
-    fresh._load_checkpoint(7)
-    assert sorted(fresh._cache) == list(range(7))  # versions 0..6 from one checkpoint read
-    assert [c.version for c in fresh._commits()] == list(range(8))
-    assert fresh.to_df().count() == 7 and fresh.to_df(3).count() == 3
-    assert fresh.history().count() == 8  # the checkpoint folder is invisible to log readers
-    assert [c.paths for c in fresh._commits()] == [c.paths for c in ds._commits()]
+        spark.conf.unset("lakeops.properties.defaults.enableChangeDataFeed")
+    assert made.changes(0).count() == 3 and adopted.changes(0).count() == 4
+
+
+def test_change_feed_across_replace_restore_and_types(spark, tmp_root):
+    feed = {"enableChangeDataFeed": "true"}
+    VersionedDataset.from_dataframe(spark, tmp_root, spark.range(2).toDF("a"), properties=feed)
+    ds = VersionedDataset.from_dataframe(spark, tmp_root, spark.range(3).toDF("b"), properties=feed, replace_existing=True)
+    ds.restore(0)
+    got = sorted((r._commit_version, r._change_type, r.a, r.b) for r in ds.changes(0).fillna(-1).collect())
+    assert got == sorted(
+        [(0, "insert", i, -1) for i in range(2)] + [(1, "delete", i, -1) for i in range(2)]
+        + [(1, "insert", -1, i) for i in range(3)] + [(2, "delete", -1, i) for i in range(3)]
+        + [(2, "insert", i, -1) for i in range(2)]
+    )
+    VersionedDataset.create(spark, tmp_root, "a STRING", properties=feed, mode="replace")
+    with_text = VersionedDataset.for_path(spark, tmp_root)
+    with_text.insert_values([("x",)])
+    with pytest.raises(VersionError, match="type"):
+        with_text.changes(0)
+    assert with_text.changes(4).count() == 1
+
+
+def test_times_do_not_depend_on_the_drivers_zone(spark, tmp_root, monkeypatch):
+    import time
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        ds = VersionedDataset.create(spark, tmp_root, "k INT", properties={"enableChangeDataFeed": "true"})
+        ds.insert_values([(1,)])
+        shown = ds.history().where("version = 1").select(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSS")).first()[0]
+        taken = ds.history().where("version = 1").first().timestamp
+        for at in (shown, taken):
+            assert ds.changes_between_timestamps(at).count() == 1 and ds.to_df(timestamp=at).count() == 1
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_columns_with_dots(spark, tmp_root):
+    ds = VersionedDataset.from_dataframe(spark, tmp_root, spark.createDataFrame([(1, "a"), (2, "b")], "`a.k` INT, `a.v` STRING"))
+    ds.update({"a.v": "'x'"}, "`a.k` = 1")
+    ds.merge(spark.createDataFrame([(2, "y"), (3, "z")], "`a.k` INT, `a.v` STRING"), ["a.k"]).when_matched_update_all().when_not_matched_insert_all().execute()
+    assert rows(ds.to_df().toDF("k", "v")) == [(1, "x"), (2, "y"), (3, "z")]
+
+
+def test_merge_keys_are_found_in_text_and_column_conditions(spark):
+    keys = rowops.equal_keys
+    assert keys("t.k = s.k", "t", "s") == ["k"] and keys("s.a = t.a AND t.`b` = s.b", "t", "s") == ["a", "b"]
+    assert keys((F.col("t.k") == F.col("s.k")) & (F.col("t.j") == F.col("s.j")), "t", "s") == ["k", "j"]
+    assert keys("t.k = s.j", "t", "s") is None and keys("t.k = s.k or t.j = s.j", "t", "s") is None
+    assert keys("t.k = s.k and t.v <> s.v", "t", "s") is None
+
+
+def test_sources_that_are_no_stored_rows_are_staged(spark, tmp_root):
+    spark.range(10).write.parquet(f"{tmp_root}/p")
+    stored = spark.read.parquet(f"{tmp_root}/p")
+    assert is_stable(stored.where("id > 3").selectExpr("id + 1 as id"))
+    assert not is_stable(stored.limit(3)) and not is_stable(stored.crossJoin(stored.toDF("j")))
+    assert not is_stable(stored.groupBy("id").count()) and not is_stable(stored.withColumn("r", F.rand()))
+
+
+def test_null_safe_merge(spark, tmp_root):
+    ds = VersionedDataset.from_dataframe(spark, tmp_root, spark.createDataFrame([(None, 1), (2, 2)], "k INT, n INT"))
+    src = spark.createDataFrame([(None, 5), (3, 7)], "k INT, n INT")
+    ds.merge(src, ["k"], null_safe=True).when_matched_update({"n": "t.n + s.n"}).when_not_matched_insert_all().execute()
+    assert rows(ds.to_df()) == sorted([(None, 6), (2, 2), (3, 7)], key=repr)
 
 
 def test_generated_columns_recomputed_by_update_and_merge(spark, tmp_root):
@@ -247,9 +352,7 @@ def test_generated_columns_recomputed_by_update_and_merge(spark, tmp_root):
     assert rows(ds.to_df()) == sorted([(1, 2), (7, 8), (21, 22)], key=repr)
 
 
-def test_grouped_change_read_equals_per_entry_read(spark, tmp_root):
-    import lakeops.plans.versioned as v
-
+def test_changes_of_many_commits(spark, tmp_root):
     ds = VersionedDataset.create(spark, tmp_root, "k INT, s STRING", properties={"enableChangeDataFeed": "true"})
     for i in range(6):
         ds.insert_values([(i, "x"), (i + 100, "y")])
@@ -257,15 +360,14 @@ def test_grouped_change_read_equals_per_entry_read(spark, tmp_root):
     ds.delete("k = 104")
     ds.overwrite(ds.to_df().where("k <> 1"))
     ds.restore(3)
-    key = ["k", "s", "_change_type", "_commit_version"]
-    old, v.GROUPED_CHANGE_READ_MIN = v.GROUPED_CHANGE_READ_MIN, 10**9
-    try:
-        per_entry = rows(ds.changes(0), *key)
-    finally:
-        v.GROUPED_CHANGE_READ_MIN = old
-    grouped = ds.changes(0)
-    assert "Union" in grouped._jdf.queryExecution().optimizedPlan().toString()
-    assert rows(grouped, *key) == per_entry and len(per_entry) > 20
+    want = [(k, s, "insert", i + 1) for i in range(6) for k, s in ((i, "x"), (i + 100, "y"))]
+    want += [(k, "x", "update_preimage", 7) for k in range(3)] + [(k, "z", "update_postimage", 7) for k in range(3)]
+    want += [(104, "y", "delete", 8)]
+    at8 = [(k, "z" if k < 3 else "x") for k in range(6)] + [(k, "y") for k in range(100, 106) if k != 104]
+    want += [(k, s, "delete", 9) for k, s in at8] + [(k, s, "insert", 9) for k, s in at8 if k != 1]
+    now, then = {x for x in at8 if x[0] != 1}, {(k, "x") for k in range(3)} | {(k, "y") for k in range(100, 103)}
+    want += [(*x, "delete", 10) for x in now - then] + [(*x, "insert", 10) for x in then - now]
+    assert rows(ds.changes(0), "k", "s", "_change_type", "_commit_version") == sorted(want, key=repr)
 
 
 def test_reference_call_shape_ports_unchanged(spark, tmp_root):
