@@ -39,7 +39,7 @@ class AlreadyExists(FileExistsError):
     pass
 
 
-def create_new(spark: SparkSession, path: str, text: str) -> None:
+def create_new(spark: SparkSession, path: str, content: str | bytes) -> None:
     """Write a small metadata file, failing if it exists (exclusive create).
 
     One file-system call instead of a Spark job: used for commit rows, which
@@ -54,7 +54,7 @@ def create_new(spark: SparkSession, path: str, text: str) -> None:
             raise AlreadyExists(path) from e
         raise
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        out.write(bytearray(content.encode("utf-8") if isinstance(content, str) else content))
     finally:
         out.close()
 
