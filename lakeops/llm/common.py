@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import gc
+import io
 import os
-import shutil
-import tempfile
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
@@ -13,6 +13,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.functions import fs
 from lakeops.session import scratch_dir
 
 _ROOT = Path(__file__).resolve().parents[2]
@@ -78,12 +79,17 @@ def no_cycle_collection() -> Iterator[None]:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let the Python workers import this package where they would not find it by
-    themselves: as with ``--py-files``, once per application, through the driver's file server."""
+    """Let the Python workers import this package where they would not find it by themselves:
+    as with ``--py-files``, once per application, as an archive in the shared folder."""
     sc = spark.sparkContext
     found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     if sc.applicationId in _shipped or any(p and Path(p).resolve() == _ROOT for p in found):
         return
-    base = f"{tempfile.mkdtemp(prefix='lakeops-package-')}/lakeops"
-    sc.addPyFile(shutil.make_archive(base, "zip", _ROOT, "lakeops"))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for source in sorted((_ROOT / "lakeops").rglob("*.py")):
+            archive.write(source, source.relative_to(_ROOT))
+    path = f"{scratch_dir(spark, 'package')}/lakeops.zip"
+    fs.create_new(spark, path, packed.getvalue())
+    sc.addPyFile(path)
     _shipped.add(sc.applicationId)
