@@ -2,9 +2,9 @@
 
 Voters are words (a lexicon) and word beginnings (patterns) that occur far more often in
 toxic than in other labelled texts of the training part. A generative label model sees
-only their votes: expectation maximization estimates how often each voter fires on
-toxic and on other texts, and the correlation that pairs of voters keep within a class
-weakens the evidence of voters that say the same thing. Its posterior labels train
+only their votes: it estimates their correlations, voters correlated within a class
+vote as one, and expectation maximization estimates how often each fires on toxic and on
+other texts. Its posterior labels train
 a linear classifier on the presence of words and beginnings; that classifier
 scores every text.
 
@@ -37,9 +37,10 @@ from lakeops.llm.common import no_cycle_collection, stash, text_or_empty
 FOLDS = 5
 MAX_PER_CLASS = 5000
 MIN_EVIDENCE = 13.0  # nats of log-likelihood ratio: beyond what chance gives any of a million features
-MAX_VOTERS = 300
+MAX_VOTERS = 500
 MAX_FEATURES = 800
-VOTER_PRECISION = 0.9
+VOTER_PRECISION = 0.993  # of a voter, were both classes equally frequent
+CORRELATED = 0.6
 BEGINNINGS = (3, 4, 5, 6)
 CACHE_WORDS = 300_000
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -70,7 +71,8 @@ def _sample(documents: DataFrame, labels: DataFrame, max_per_class: int) -> Data
     # bounded by 2 * max_per_class rows of two numbers
     ids = F.broadcast(stash(chosen[0].union(chosen[1]), "toxicity-ids"))
     rows = documents.select("doc_id", text_or_empty(F.col("text")).alias("text")).join(ids, "doc_id")
-    return stash(rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "toxicity-sample")
+    # copies of a text count once
+    return stash(rows.groupBy("text").agg(F.max("toxic").alias("toxic")), "toxicity-sample")
 
 
 def _count_features(sample: DataFrame) -> DataFrame:
@@ -105,33 +107,41 @@ def _presence(sample: DataFrame, features: list[str]) -> np.ndarray:
     return out
 
 
-def label_model(votes: np.ndarray, rounds: int = 40) -> np.ndarray:
+def _merge_correlated(votes: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """One voter for each group of voters that are correlated within the classes.
+
+    Correlations are estimated among the rows of either class (by ``p``) and averaged by
+    their sizes; voters over the limit, directly or through others, vote as one.
+    """
+    corr = np.zeros((votes.shape[1], votes.shape[1]))
+    for weight in (p, 1 - p):
+        total = max(weight.sum(), 1e-9)
+        off = votes - (weight @ votes) / total
+        cov = (off * weight[:, None]).T @ off / total
+        sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+        corr = np.maximum(corr, cov / np.outer(sd, sd))
+    group = np.arange(votes.shape[1])
+    for i, j in zip(*np.nonzero(np.triu(corr >= CORRELATED, 1))):
+        if group[i] != group[j]:
+            group[group == max(group[i], group[j])] = min(group[i], group[j])
+    return np.stack([votes[:, group == g].max(axis=1) for g in np.unique(group)], axis=1)
+
+
+def label_model(votes: np.ndarray, rounds: int = 30) -> np.ndarray:
     """Posterior probability of the toxic class per row of a 0/1 vote matrix, by expectation maximization.
 
-    A voter that is silent says nothing; that no voter speaks is a voter of its own, for
-    the other class. Votes are taken as independent within a class but for
-    pairwise correlations: a voter's log-likelihood ratio is divided by one plus its
-    positive within-class correlations.
+    Correlated voters are merged first; the others count as independent within a class. A
+    voter that is silent says nothing; that no voter speaks is a voter of its own, for the
+    other class.
     """
-    n = len(votes)
-    votes = np.hstack([votes, (votes.sum(axis=1, keepdims=True) == 0).astype(votes.dtype)])
-    m = votes.shape[1]
-    p = np.where(votes[:, -1] == 0, 0.9, 0.1)
-    share = np.ones(m)
-    for step in range(rounds):
+    silent = votes.sum(axis=1) == 0
+    p = np.where(silent, 0.1, 0.9)
+    votes = np.hstack([_merge_correlated(votes, p), silent[:, None]]).astype(np.float64)
+    for _ in range(rounds):
         weight = np.stack([1 - p, p])
         total = weight.sum(axis=1)
         fire = np.clip((weight @ votes + 0.1) / (total[:, None] + 0.2), 1e-4, 1 - 1e-4)
-        if step % 10 == 5:
-            corr = np.zeros((m, m))
-            for c in (0, 1):
-                off = votes - fire[c]
-                cov = (off * weight[c][:, None]).T @ off / max(total[c], 1e-9)
-                sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-                corr += total[c] / n * cov / np.outer(sd, sd)
-            np.fill_diagonal(corr, 0.0)
-            share = 1 / (1 + np.where(corr > 0.1, corr, 0.0).sum(axis=1))
-        logit = np.log((total[1] + 1) / (total[0] + 1)) + votes @ (share * np.log(fire[1] / fire[0]))
+        logit = np.log((total[1] + 1) / (total[0] + 1)) + votes @ np.log(fire[1] / fire[0])
         p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
     return p
 
