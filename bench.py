@@ -6,7 +6,9 @@ query, discarded: the first run of a plan shape pays code generation and class
 loading), BENCH_QUERIES (comma list).
 Each query runs to completion through the ``noop`` sink (no rows to the
 driver); eager commits inside versioned queries are part of the time.
-Prints one JSON line.
+Prints one JSON line. Beside each query's seconds, ``commit_sec`` has the part in which the
+query built its dataset and made its commits, ``read_sec`` the part in which the returned
+frame was run, and ``input_mb`` the size of the tables as stored.
 """
 
 from __future__ import annotations
@@ -48,18 +50,21 @@ def main() -> None:
     spark = get_session(app="lakeops-bench", master=f"local[{cpus}]", shuffle_partitions=cpus * 2)
     reg = all_queries()
 
-    def run(name: str) -> float:
+    def run(name: str) -> tuple[float, float]:
         t0 = time.perf_counter()
-        reg[name].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - t0
+        out = reg[name].fn(spark, sf_dir)
+        t1 = time.perf_counter()
+        out.write.format("noop").mode("overwrite").save()
+        return t1 - t0, time.perf_counter() - t1
 
     run("agg_max")  # warm-up: JVM, class loading, first file listing
-    per_query = {}
+    per_query, commit_sec, read_sec = {}, {}, {}
     for n in names:
         for _ in range(warmup):
             run(n)
         times = [run(n) for _ in range(repeats)]
-        per_query[n] = round(statistics.median(times), 3)
+        per_query[n] = round(statistics.median(a + b for a, b in times), 3)
+        commit_sec[n], read_sec[n] = (round(statistics.median(t[i] for t in times), 3) for i in (0, 1))
     total = round(sum(per_query.values()), 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({
@@ -67,6 +72,9 @@ def main() -> None:
         "value": total,
         "unit": "sec",
         "queries": per_query,
+        "commit_sec": commit_sec,
+        "read_sec": read_sec,
+        "input_mb": round(sum(f.stat().st_size for f in Path(sf_dir).rglob("*.parquet")) / 1e6, 1),
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "repeats": repeats,

@@ -9,7 +9,7 @@ from lakeops.plans.registry import query, table
 from lakeops.plans.versioned import VersionedDataset
 from lakeops.session import scratch_dir
 
-LOOKUP_KEY = 1500
+LOOKUP_KEY = 100
 
 
 def _lineitem_appends(spark, sf_dir) -> VersionedDataset:
@@ -139,7 +139,7 @@ def unreferenced_files(spark, sf_dir):
     """With all versions retained every file is referred to; without the first ones, the file an update replaced is not."""
     s = table(spark, sf_dir, "supplier").coalesce(1)
     ds = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "vacuum"), s)
-    ds.update({"s_acctbal": "0.0"}, "s_acctbal < 0")
+    ds.update({"s_acctbal": "0.0"}, "s_suppkey = 1")
     ds.append(s)
     out = None
     for v in (0, 2):
