@@ -1,7 +1,7 @@
 """Surrogates for personal data: keyed, type-consistent, distinct and coreferent.
 
 Detected entities are e-mail and IP addresses, phone, card, account and social
-security numbers, secrets, and names behind a title. An entity's canonical form (case and
+security numbers, secrets (of up to 512 characters), and names behind a title. An entity's canonical form (case and
 separators removed) decides its surrogate, so all mentions of one entity, in any format,
 get the same one. A surrogate keeps the shape: every digit, letter case and script
 stays, separators stay where the mention has them, hexadecimal stays hexadecimal, a
@@ -40,10 +40,11 @@ NEUTRAL = ("Dr", "Prof")
 TITLES = "|".join(MALE + FEMALE + NEUTRAL)
 NOT_BEFORE, NOT_AFTER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-EMAIL = r"[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}"
+LOCAL = r"[\p{L}\p{N}._%+\-]"  # a run of these is tried once, from its start: long words stay linear
+EMAIL = rf"(?<!{LOCAL}){LOCAL}{{1,64}}+@(?:[\p{{L}}\p{{N}}\-]+\.){{1,30}}\p{{L}}{{2,}}"
 IP4 = rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)"
 IP6 = r"(?<![\p{L}\p{N}:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![\p{L}\p{N}:])"
-SECRET = rf"{NOT_BEFORE}(?:(?:sk|pk|ghp|gho|xox[abp])[_\-][A-Za-z0-9_\-]{{16,}}|AKIA[0-9A-Z]{{16}}|[0-9a-f]{{32,}}|[0-9A-F]{{32,}}){NOT_AFTER}"
+SECRET = rf"{NOT_BEFORE}(?:(?:sk|pk|ghp|gho|xox[abp])[_\-][A-Za-z0-9_\-]{{16,512}}|AKIA[0-9A-Z]{{16}}|[0-9a-f]{{32,512}}|[0-9A-F]{{32,512}}){NOT_AFTER}"
 ACCOUNT = rf"{NOT_BEFORE}[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{NOT_AFTER}"
 CARD = rf"{NOT_BEFORE}(?:\d{{13,19}}|\d{{4}}(?:[ \-]\d{{4}}){{3}}){NOT_AFTER}"
 SSN = rf"{NOT_BEFORE}\d{{3}}-\d{{2}}-\d{{4}}{NOT_AFTER}"
