@@ -34,11 +34,11 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.common import stash
 
-TREES = 20
+TREES = 24
 SYMBOLS = 6
 PROBES = 3
-MIN_CANDIDATES = 2000
-PART_ROWS = 4096
+MIN_CANDIDATES = 1000
+PART_ROWS = 1024
 BUNDLE_ROWS = 16_384
 SEED = 7
 
@@ -217,14 +217,16 @@ def search(
     moved = sizes.agg(F.sum("n")).first()[0] or 0
     bundles = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-moved // BUNDLE_ROWS))
 
-    entries = []
-    for dim, at in sorted(used):
-        mine = hashed.filter(F.col("dim") == dim)
-        if at == 0:
-            entries.append(mine.select("id", "v", "dim", F.lit(0).alias("tree"), F.lit(0).alias("depth"), F.lit(0).cast("long").alias("prefix")))
-        else:
-            entries.append(_prefixes(mine, "id", "v").select("id", "v", "dim", "tree", F.lit(at).alias("depth"), _at_depth(F.col("prefix"), dim, at).alias("prefix")))
-    entries = functools.reduce(DataFrame.union, entries).join(sizes, keys).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    # every vector under its prefixes at the depths in use; at the root it stands once, under tree 0
+    at = F.explode(F.array(*[F.lit(d) for d in sorted({depth for _, depth in used})])).alias("depth")
+    entries = _prefixes(hashed, "id", "v").select("id", "v", "dim", "tree", "prefix", at)
+    entries = entries.filter((F.col("depth") > 0) | (F.col("tree") == 0))
+    shift = functools.reduce(
+        lambda c, dim: c.when(F.col("dim") == dim, _bits(dim) * (_symbols(dim) - F.col("depth"))), dims, F.when(F.lit(False), 0)
+    )
+    prefix = F.when(F.col("depth") == 0, F.lit(0)).otherwise(F.call_function("shiftright", F.col("prefix"), shift))
+    entries = entries.withColumn("prefix", prefix.cast("long")).join(sizes, keys)
+    entries = entries.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     visits = visits.join(sizes, keys).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     columns = ["id", "v", *keys, "part"]
     both = entries.select(*columns, F.lit(False).alias("is_query")).union(visits.select(*columns, F.lit(True).alias("is_query")))
