@@ -4,9 +4,10 @@ Every tree hashes a vector to a long string of symbols; a symbol is the axis (wi
 sign) that the vector is nearest to after a random rotation. Vectors that share a
 long prefix are likely near. A query descends every tree along its own string and
 ascends all trees at once, symbol by symbol, until the prefixes it shares there hold
-``min_candidates`` entries; at that depth it also visits, in each tree, the sibling prefixes whose
-last symbol comes next for it. All vectors in those prefixes are compared with the query on
-the original vectors in double precision.
+``min_candidates`` entries; at that depth it also visits, in each tree, the prefixes that come next
+for it: those whose symbols, at any place, are together the least farther than its own. Deeper
+prefixes hold less of the table, so their number grows with the depth (``_width``). All vectors in
+those prefixes are compared with the query on the original vectors in double precision.
 
 The sorted arrays of the trees are (tree, prefix) groups of the shuffle. How many vectors a
 prefix holds is counted first, at every depth, with grouped counts; so the depth of every
@@ -40,6 +41,7 @@ PROBES = 3
 MIN_CANDIDATES = 1000
 PART_ROWS = 1024
 BUNDLE_ROWS = 16_384
+BEAM_ROWS = 64
 SEED = 7
 
 
@@ -57,13 +59,35 @@ def _symbols(dim: int) -> int:
     return max(1, min(SYMBOLS, 62 // _bits(dim)))
 
 
-def _ranked(x: np.ndarray, tree: int, depth: int, seed: int, n: int) -> np.ndarray:
-    """The ``n`` symbols nearest to each row of ``x``, nearest first."""
+def _symbol(x: np.ndarray, tree: int, depth: int, seed: int) -> np.ndarray:
+    """The symbol nearest to each row of ``x``."""
     y = x @ _rotation(x.shape[1], tree, depth, seed)
-    y = np.concatenate([y, -y], axis=1)
-    if n == 1:
-        return np.argmax(y, axis=1)[:, None]
-    return np.argsort(-y, axis=1, kind="stable")[:, :n]
+    return np.argmax(np.concatenate([y, -y], axis=1), axis=1)
+
+
+def _width(dim: int, depth: int, probes: int) -> int:
+    """How many prefixes a query visits in each tree at ``depth``: what keeps recall where one level holds 2 * dim times less."""
+    return probes if depth < 2 else probes * max(1, dim // 2) * (1 if depth == 2 else 4)
+
+
+def _nearest_prefixes(x: np.ndarray, tree: int, depth: int, seed: int, n: int) -> np.ndarray:
+    """The ``n`` prefixes of ``depth`` symbols nearest to each row of ``x``, its own among them."""
+    dim, blocks = x.shape[1], []
+    for start in range(0, len(x), BEAM_ROWS):
+        rows = x[start : start + BEAM_ROWS]
+        prefix, loss = np.zeros((len(rows), 1), np.int64), np.zeros((len(rows), 1), np.float32)
+        for level in range(depth):
+            y = rows @ _rotation(dim, tree, level, seed)
+            y = np.concatenate([y, -y], axis=1)
+            order = np.argsort(-y, axis=1, kind="stable")[:, :n]
+            near = np.take_along_axis(y, order, axis=1)
+            loss = (loss[:, :, None] + ((near[:, :1] - near) ** 2)[:, None, :]).reshape(len(rows), -1)
+            prefix = ((prefix[:, :, None] << _bits(dim)) | order[:, None, :]).reshape(len(rows), -1)
+            if loss.shape[1] > n:
+                best = np.argpartition(loss, n - 1, axis=1)[:, :n]
+                loss, prefix = np.take_along_axis(loss, best, axis=1), np.take_along_axis(prefix, best, axis=1)
+        blocks.append(prefix)
+    return np.concatenate(blocks)
 
 
 def _strings(x: np.ndarray, trees: int, seed: int) -> np.ndarray:
@@ -71,7 +95,7 @@ def _strings(x: np.ndarray, trees: int, seed: int) -> np.ndarray:
     dim, out = x.shape[1], np.zeros((len(x), trees), np.int64)
     for tree in range(trees):
         for depth in range(_symbols(dim)):
-            out[:, tree] = (out[:, tree] << _bits(dim)) | _ranked(x, tree, depth, seed, 1)[:, 0]
+            out[:, tree] = (out[:, tree] << _bits(dim)) | _symbol(x, tree, depth, seed)
     return out
 
 
@@ -127,26 +151,23 @@ def _counts(hashed: DataFrame, dims: list[int]) -> DataFrame:
 
 
 def _visits(queries: DataFrame, trees: int, probes: int, seed: int) -> DataFrame:
-    """(id, v, dim, tree, depth, prefix) for every prefix a query (id, v, dim, strings, depth) visits."""
+    """(id, dim, tree, depth, prefix) for every prefix a query (id, v, dim, depth) visits."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             for key, group in rows.groupby(["dim", "depth"]):
                 dim, depth = map(int, key)
-                ids, vectors = group["id"].to_numpy(), group["v"].tolist()
+                ids = group["id"].to_numpy()
                 if depth == 0:
-                    yield pd.DataFrame({"id": ids, "v": vectors, "dim": dim, "tree": 0, "depth": 0, "prefix": 0})
+                    yield pd.DataFrame({"id": ids, "dim": dim, "tree": 0, "depth": 0, "prefix": 0})
                     continue
-                x = np.stack([np.asarray(v, np.float32) for v in vectors])
-                strings = np.stack(group["strings"].tolist())
+                x = np.stack([np.asarray(v, np.float32) for v in group["v"]])
                 for tree in range(trees):
-                    own = strings[:, tree] >> (_bits(dim) * (_symbols(dim) - depth))
-                    for s in _ranked(x, tree, depth - 1, seed, min(probes, 2 * dim)).T:
-                        prefix = (own >> _bits(dim) << _bits(dim)) | s
-                        yield pd.DataFrame({"id": ids, "v": vectors, "dim": dim, "tree": tree, "depth": depth, "prefix": prefix})
+                    near = _nearest_prefixes(x, tree, depth, seed, _width(dim, depth, probes))
+                    at = np.repeat(ids, near.shape[1])
+                    yield pd.DataFrame({"id": at, "dim": dim, "tree": tree, "depth": depth, "prefix": near.ravel()})
 
-    kind = queries.schema["v"].dataType.simpleString()
-    return queries.mapInPandas(run, f"id long, v {kind}, dim int, tree int, depth int, prefix long")
+    return queries.mapInPandas(run, "id long, dim int, tree int, depth int, prefix long")
 
 
 def _nearest(k: int):
@@ -209,7 +230,7 @@ def search(
     root = hashed.groupBy("dim").agg(F.count("*").alias("n")).select(
         "dim", F.lit(0).alias("tree"), F.lit(0).alias("depth"), F.lit(0).cast("long").alias("prefix"), "n"
     )
-    visits = stash(_visits(queries, trees, probes, seed), "ann-visits")
+    visits = stash(_visits(queries.select("id", "v", "dim", "depth"), trees, probes, seed), "ann-visits")
     keys = ["dim", "tree", "depth", "prefix"]
     sizes = counts.union(root).join(visits.select(*keys).distinct(), keys, "left_semi")
     sizes = stash(sizes.withColumn("parts", F.ceil(F.col("n") / PART_ROWS).cast("int")), "ann-sizes")
@@ -227,7 +248,7 @@ def search(
     prefix = F.when(F.col("depth") == 0, F.lit(0)).otherwise(F.call_function("shiftright", F.col("prefix"), shift))
     entries = entries.withColumn("prefix", prefix.cast("long")).join(sizes, keys)
     entries = entries.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    visits = visits.join(sizes, keys).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    visits = visits.join(sizes, keys).join(queries.select("id", "v"), "id").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     columns = ["id", "v", *keys, "part"]
     both = entries.select(*columns, F.lit(False).alias("is_query")).union(visits.select(*columns, F.lit(True).alias("is_query")))
     bundle = F.pmod(F.xxhash64(*keys, "part"), F.lit(bundles))

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lakeops.llm import ann_forest
@@ -67,3 +68,29 @@ def test_a_crowd_of_near_copies_goes_deeper_and_is_split(spark, monkeypatch):
     want, got = _brute(rows), _found(spark, rows, min_candidates=200)
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     assert hits >= 0.8 * 10 * len(want)
+
+
+def _recall(spark, x, asked, **kw):
+    vectors = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))
+    frame = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": vectors}))
+    got = {}
+    for r in ann_forest.search(frame, F.col("vec_id") % asked == 0, **kw).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, len(x), asked):
+        distance = ((x - x[q]) ** 2).sum(axis=1)
+        distance[q] = np.inf
+        hits += len(got[q] & set(np.argpartition(distance, 10)[:10].tolist()))
+    return hits / (10 * len(range(0, len(x), asked)))
+
+
+def test_recall_at_depth_two_of_the_given_vectors(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("embedding").collect()
+    x = np.array([r.embedding for r in rows], np.float32)
+    assert _recall(spark, x, 100, min_candidates=30) >= 0.9  # itself 24 times, and 24 * 10,256 / 128**2 = 15 others
+
+
+def test_recall_at_depth_two_with_the_default_parameters(spark):
+    # 40 spread dimensions: 24 * 300,000 / 80**2 is 1,125 entries
+    x = np.random.default_rng(3).normal(size=(300_000, 40)).astype(np.float32)
+    assert _recall(spark, x / np.linalg.norm(x, axis=1, keepdims=True), 10_000) >= 0.9
