@@ -2,7 +2,8 @@
 
 A page is read into a tree. Elements that cannot be article text (scripts, forms,
 menus, page headers and footers, sidebars, notices, adverts, reader comments) are taken
-out by tag, role, and words of their class and id. Each paragraph then gives points
+out by tag, role, and words of their class and id; not by name if they hold the article, or another of
+their names is that of a main container, and names are not looked at where no text would be left. Each paragraph then gives points
 for its length and commas to its ancestors, less with every level; a container's points are
 discounted by the share of its text that is links. The container with the most
 points is kept, with those siblings that look like parts of the same text, and its
@@ -57,6 +58,7 @@ DROPPED_WORDS = re.compile(
 )
 PAGE_WORDS = re.compile(r"header|topbar")  # outside an article only
 INSIDE_WORDS = re.compile(r"comments?|repl(?:y|ies)|related|sponsored|promo|ads?")  # all that drops a nested article
+WRAPPER_WORDS = frozenset("wrap wrapper container layout outer inner area row grid holder".split())  # content-sidebar-wrap
 STYLE_PREFIXES = frozenset("has no non with without".split())  # no-sidebar says what is not there
 PARAGRAPHS = frozenset("p pre blockquote td li dd".split())
 CONTAINERS = frozenset("#page body main article section div center table td".split())
@@ -75,51 +77,107 @@ HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 PIECES = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"([a-z])([A-Z])")
 MENU_LINKS = 0.8
+MENU_LABEL = 20  # characters of a menu item at most
 SIBLING_SHARE = 0.2
 LEVELS = 5
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "weight", "dropped", "points", "length", "linked")
+    __slots__ = ("tag", "parent", "parts", "weight", "dropped", "named", "held", "points", "length", "linked", "label")
 
-    def __init__(self, tag: str, parent: "Node | None", dropped: bool = False, weight: float = 0.0):
-        self.tag, self.parent, self.dropped, self.weight = tag, parent, dropped, weight
+    def __init__(self, tag: str, parent: "Node | None", dropped: bool = False, weight: float = 0.0, named: str = ""):
+        self.tag, self.parent, self.dropped, self.weight, self.named = tag, parent, dropped, weight, named
+        self.held = ""
         self.parts: list[str | Node] = []
-        self.points = self.length = self.linked = 0.0
+        self.points = self.length = self.linked = self.label = 0.0
 
 
-def _judge(tag: str, attributes: str, inside_article: bool) -> tuple[bool, float]:
-    """Whether an element is no article text, and the points its names are worth."""
+def _names_main(words: list[str]) -> bool:
+    """Whether the words of a label name a main container: main words only, or also those of what it wraps."""
+    main = [bool(MAIN_WORDS.fullmatch(w)) for w in words]
+    return bool(words) and (all(main) or words[-1] in WRAPPER_WORDS and any(main))
+
+
+def _judge(tag: str, attributes: str, in_article: bool, in_main: bool) -> tuple[bool, float, str]:
+    """Whether an element is no article text, the points its names are worth, and what its names
+    say against it: "beside" (no part of an article), "around" (might hold one) or nothing."""
+    inside_article = in_article or in_main
     if tag in DROPPED or (tag == "header" and not inside_article):
-        return True, 0.0
-    weight = 0.0
+        return True, 0.0, ""
+    weight, named, main = 0.0, "", False
     if not attributes or tag in ("html", "body"):
-        return False, weight
+        return False, weight, named
+    nested = tag in ("article", "main")
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True, 0.0
+            return True, 0.0, ""
         if name == "style" and HIDDEN_STYLE.search(value):
-            return True, 0.0
+            return True, 0.0, ""
         if name == "role" and value.lower() in DROPPED_ROLES:
-            return True, 0.0
+            return True, 0.0, ""
         if name not in ("class", "id"):
             continue
-        nested = tag in ("article", "main")
         for label in value.split():
             words = PIECES.findall(CAMEL.sub(r"\1 \2", label).lower())
             if words and words[0] in STYLE_PREFIXES:
                 continue
+            main = main or _names_main(words)
             for word in words:
-                drops = inside_article and INSIDE_WORDS if nested else DROPPED_WORDS
-                if (drops and drops.fullmatch(word)) or not (nested or inside_article) and PAGE_WORDS.fullmatch(word):
-                    return True, 0.0
+                if nested:
+                    if INSIDE_WORDS.fullmatch(word):
+                        named = "beside"
+                elif DROPPED_WORDS.fullmatch(word) or not inside_article and PAGE_WORDS.fullmatch(word):
+                    named = "beside" if named == "beside" or inside_article and INSIDE_WORDS.fullmatch(word) else "around"
                 if MAIN_WORDS.fullmatch(word):
                     weight = 25.0
-    return False, weight
+    if named and not nested and main and not in_article:
+        named = ""
+    return False, weight, named
+
+
+def _drop_named(root: Node) -> None:
+    """Take out the elements whose names speak against them, but for those around the article itself.
+
+    That is an element around ``main``, or around ``article`` if none stands outside all such elements.
+    An article named as a comment or the like holds nothing, and is taken out inside another one.
+    """
+    nodes = _in_order(root)
+    if not any(node.named for node in nodes):
+        return
+    under: set[int] = set()  # inside a named element
+    inside: set[int] = set()  # inside article or main
+    free = False
+    for node in nodes:
+        above = node.parent
+        if above is not None and (above.named or id(above) in under):
+            under.add(id(node))
+        if above is not None and (above.tag in ("article", "main") or id(above) in inside):
+            inside.add(id(node))
+        free = free or node.tag in ("article", "main") and not node.named and id(node) not in under and id(node) not in inside
+    for node in reversed(nodes):
+        node.held = ""
+        for p in node.parts:
+            if isinstance(p, Node) and p.named != "beside":
+                kind = "main" if "main" in (p.tag, p.held) else "article" if "article" in (p.tag, p.held) else ""
+                node.held = "main" if "main" in (kind, node.held) else kind or node.held
+    gone: set[int] = set()
+    for node in nodes:
+        if not node.named:
+            continue
+        if node.tag in ("article", "main"):
+            goes = id(node) in inside
+        else:
+            around_it = node.held == "main" or node.held == "article" and (not free or id(node) in inside)
+            goes = node.named == "beside" or not around_it
+        if goes:
+            gone.add(id(node))
+    for node in nodes:
+        if any(id(p) in gone for p in node.parts):
+            node.parts = [p for p in node.parts if id(p) not in gone]
 
 
-def parse(page: str) -> Node:
+def parse(page: str, by_name: bool = True) -> Node:
     """The tree of a page; text parts are decoded, dropped elements are left out with all they hold."""
     root = Node("#page", None)
     open_nodes, opened, at, end = [root], Counter(), 0, len(page)
@@ -166,13 +224,15 @@ def parse(page: str) -> Node:
             else:
                 at = page.find(">", stop.start()) + 1 or end
             continue
-        dropped, weight = _judge(tag, attributes, opened["article"] + opened["main"] > 0)
-        node = Node(tag, open_nodes[-1], dropped, weight)
+        dropped, weight, named = _judge(tag, attributes, opened["article"] > 0, opened["main"] > 0)
+        node = Node(tag, open_nodes[-1], dropped, weight, named)
         if not dropped:
             open_nodes[-1].parts.append(node)
         if tag not in VOID and not attributes.endswith("/"):
             open_nodes.append(node)
             opened[tag] += 1
+    if by_name:
+        _drop_named(root)
     return root
 
 
@@ -192,17 +252,18 @@ def _in_order(root: Node) -> list[Node]:
 
 
 def _measure(nodes: list[Node]) -> None:
-    """Text length and linked length of every node, children before parents."""
+    """Text length, linked length and longest link of every node, children before parents."""
     for node in reversed(nodes):
-        node.length = node.linked = 0.0
+        node.length = node.linked = node.label = 0.0
         for p in node.parts:
             if isinstance(p, str):
                 node.length += len(p.strip())
             else:
                 node.length += p.length
                 node.linked += p.linked
+                node.label = max(node.label, p.label)
         if node.tag == "a":
-            node.linked = node.length
+            node.linked = node.label = node.length
 
 
 def _own_text(node: Node) -> str:
@@ -257,8 +318,16 @@ def _kept_siblings(best: Node, scores: dict[int, float]) -> list[Node]:
     return kept
 
 
+def _is_menu(node: Node, in_article: bool) -> bool:
+    """Whether a list is nearly all links; in an article, only one of short labels (sources have longer ones)."""
+    if node.tag not in ("ul", "ol", "dl", "div", "table") or not node.length or node.linked < MENU_LINKS * node.length:
+        return False
+    return not in_article or node.tag == "ul" and node.label <= MENU_LABEL
+
+
 def _blocks(container: Node) -> list[str]:
-    """Block texts of a container in page order; lists that are nearly all links are menus and left out."""
+    """Block texts of a container in page order, without menus."""
+    in_article = container.tag in ("article", "main")
     out: list[str] = []
     line: list[str] = []
 
@@ -280,9 +349,7 @@ def _blocks(container: Node) -> list[str]:
             line.append(" ")
         elif part.tag in INLINE:
             stack.extend(reversed(part.parts))
-        elif part is not container and part.tag in ("ul", "ol", "dl", "div", "table") and part.length and (
-            part.linked >= MENU_LINKS * part.length
-        ):
+        elif part is not container and _is_menu(part, in_article):
             end_block()
         else:
             end_block()
@@ -296,7 +363,11 @@ def main_text(page: str | None) -> str:
     """The main text of one page: its blocks, one to a line."""
     if not page:
         return ""
-    nodes = _in_order(parse(page))
+    return _text_of(parse(page)) or _text_of(parse(page, by_name=False))
+
+
+def _text_of(root: Node) -> str:
+    nodes = _in_order(root)
     _measure(nodes)
     scores = _score(nodes)
     if not scores:

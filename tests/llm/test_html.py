@@ -55,3 +55,25 @@ def test_odd_pages(spark):
     assert out[0].text == out[1].text == out[4].text == "" and out[5].text == "deep"
     assert out[7].n_chars == 5 * 100_000 - 1
     assert extract_pages(df.limit(0)).collect() == []
+
+
+def test_names_do_not_drop_what_holds_the_article():
+    body = f"<p>{PROSE}</p><p>{PROSE}</p>"
+    want, noise = f"{PROSE}\n{PROSE}", "<div class='sidebar'><p>" + "Noise, noise and more noise of the page. " * 3 + "</p></div>"
+    for page in (
+        f"<div class='content-sidebar-wrap'><main>{body}</main>{noise}</div>", f"<div class='right-sidebar'><main>{body}</main></div>",
+        f"<div class='right-sidebar'><article>{body}</article>{noise}</div>", f"<div class='story related-topics'>{body}</div>{noise}",
+        f"<div class='content-sidebar-wrap'>{body}{noise}</div>", f"<main><div class='right-sidebar'><article>{body}</article></div></main>",
+        f"<div class='social'>{body}</div>",  # nothing else is there
+        f"<article>{body}</article><div class='related'><article>{body}</article></div>",
+        f"<article>{body}<div class='related-posts'><article>{body}</article></div></article>",
+    ):
+        assert main_text(f"<html><body>{page}</body></html>") == want, page
+
+
+def test_link_lists_of_an_article_stay():
+    sources = ["A long report on the state of rivers", "Minutes of the meeting, second part", "NASA"]
+    links = "".join(f"<li><a href=x>{s}</a></li>" for s in sources)
+    for listed in (f"<ul>{links}</ul>", f"<ol>{links}</ol>", f"<div>{links}</div>"):
+        assert main_text(f"<body><article><p>{PROSE}</p>{listed}</article></body>") == "\n".join([PROSE, *sources])
+    assert main_text(f"<body><article><p>{PROSE}</p><ul class=menu>{links}</ul></article></body>") == PROSE
