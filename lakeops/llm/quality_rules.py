@@ -37,6 +37,8 @@ MAX_SEPARATORS_PCT = 4  # per 100 word characters
 BOILERPLATE = (
     "lorem ipsum", "javascript", "rights reserved", "cookie", "privacy policy", "terms of use", "newsletter",
 )
+PHRASES = rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(BOILERPLATE)})s?(?![\p{{L}}\p{{N}}])"
+MAX_BOILERPLATE_PCT = 15  # per 100 word characters: a sentence that mentions a phrase is no boilerplate
 
 
 def _has_boilerplate(text: Column) -> Column:
@@ -59,9 +61,10 @@ def _line_fails(line: Column, has: Column) -> Column:
     chars = F.length(without(line, BLANKS))
     runs = 100 * F.regexp_count(line, F.lit(MARKS_RUN)) > MAX_RUNS_PCT * chars
     listed = 100 * (F.length(line) - F.length(without(line, SEPARATORS))) > MAX_SEPARATORS_PCT * chars
+    stock = 100 * (chars - F.length(without(F.regexp_replace(line, PHRASES, ""), BLANKS))) > MAX_BOILERPLATE_PCT * chars
     return (
         line.rlike(NO_LETTERS) | (has["marks"] & runs) | (has["separators"] & listed)
-        | (has["boilerplate"] & _has_boilerplate(line))
+        | (has["boilerplate"] & stock)
     )
 
 

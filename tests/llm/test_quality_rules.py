@@ -63,3 +63,14 @@ def test_no_python_and_empty_table(spark):
     assert quality_rules.clean_documents(docs).collect() == []
     plan = quality_rules.measures(spark.range(3).selectExpr("id as doc_id", "'a b' as text"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_a_line_that_mentions_a_phrase_is_no_boilerplate(spark):
+    prose = " ".join(f"word{i}x{j}" for i in range(6) for j in range(12))
+    one_line = f"{prose} and the baker sold a cookie to everyone {prose[::-1]}"
+    paragraph = "She wrote a small program in JavaScript to sort the letters of her grandmother by date and place."
+    stock = ["All rights reserved.", "We use cookies on this site to serve you", "Please enable JavaScript", "Privacy Policy and Terms of Use"]
+    inside = "Javascripted cookielike"  # no phrase as a word of its own
+    got = _measured(documents(spark, [one_line, "\n".join([prose, paragraph, inside, *stock])]))
+    assert got[0].kept and got[0].clean_text == one_line and got[0].lost_chars == 0
+    assert got[1].kept and got[1].clean_text == "\n".join([prose, paragraph, inside])
