@@ -1,8 +1,9 @@
 """Surrogates for personal data: keyed, type-consistent, distinct and coreferent.
 
 Detected entities are e-mail and IP addresses, phone, card, account and social
-security numbers, secrets (of up to 512 characters), and names behind a title. An entity's canonical form (case and
-separators removed) decides its surrogate, so all mentions of one entity, in any format,
+security numbers, secrets, and names behind a title. Of a run of over 64 characters before an @, the last 64 at most are
+the address; a run of digits alone is no secret beyond 512. An entity's canonical form (case and separators
+removed, an IPv6 address written out) decides its surrogate, so all mentions of one entity, in any format,
 get the same one. A surrogate keeps the shape: every digit, letter case and script
 stays, separators stay where the mention has them, hexadecimal stays hexadecimal, a
 card number keeps its Luhn remainder, an address keeps its top-level domain, a name is
@@ -41,10 +42,14 @@ TITLES = "|".join(MALE + FEMALE + NEUTRAL)
 NOT_BEFORE, NOT_AFTER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 LOCAL = r"[\p{L}\p{N}._%+\-]"  # a run of these is tried once, from its start: long words stay linear
-EMAIL = rf"(?<!{LOCAL}){LOCAL}{{1,64}}+@(?:[\p{{L}}\p{{N}}\-]+\.){{1,30}}\p{{L}}{{2,}}"
+DOMAIN = r"(?:[\p{L}\p{N}\-]++\.){1,30}\p{L}{2,}"
+EMAIL = rf"(?<!{LOCAL}){LOCAL}{{1,64}}+@{DOMAIN}|(?<={LOCAL})[\p{{L}}\p{{N}}]{LOCAL}{{0,63}}+@{DOMAIN}"
 IP4 = rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)"
-IP6 = r"(?<![\p{L}\p{N}:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![\p{L}\p{N}:])"
-SECRET = rf"{NOT_BEFORE}(?:(?:sk|pk|ghp|gho|xox[abp])[_\-][A-Za-z0-9_\-]{{16,512}}|AKIA[0-9A-Z]{{16}}|[0-9a-f]{{32,512}}|[0-9A-F]{{32,512}}){NOT_AFTER}"
+GROUP = "[0-9a-fA-F]{1,4}"
+SHORT6 = rf"(?=[a-fA-F:]*+[0-9])(?!:*+(?:{GROUP}:++){{7}}{GROUP})(?:{GROUP}(?::{GROUP}){{0,6}})?::(?:{GROUP}(?::{GROUP}){{0,6}})?"
+IP6 = rf"(?<![\p{{L}}\p{{N}}:])(?:(?:{GROUP}:){{7}}{GROUP}|{SHORT6})(?!:?[\p{{L}}\p{{N}}]|::|\.\d)"
+HEX = r"[0-9]{32,512}+|(?=[0-9]*+[a-f])[0-9a-f]{32,}+|(?=[0-9]*+[A-F])[0-9A-F]{32,}+"
+SECRET = rf"{NOT_BEFORE}(?:(?:sk|pk|ghp|gho|xox[abp])[_\-][A-Za-z0-9_\-]{{16,}}|AKIA[0-9A-Z]{{16}}|{HEX}){NOT_AFTER}"
 ACCOUNT = rf"{NOT_BEFORE}[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{NOT_AFTER}"
 CARD = rf"{NOT_BEFORE}(?:\d{{13,19}}|\d{{4}}(?:[ \-]\d{{4}}){{3}}){NOT_AFTER}"
 SSN = rf"{NOT_BEFORE}\d{{3}}-\d{{2}}-\d{{4}}{NOT_AFTER}"
@@ -88,9 +93,18 @@ def _script(word: Column) -> Column:
     return F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
+def _written_out(address: Column) -> Column:
+    """An IPv6 address with all eight groups of four digits."""
+    groups = lambda part: F.filter(F.split(part, ":"), lambda g: g != "")
+    left, right = groups(F.substring_index(address, "::", 1)), groups(F.substring_index(address, "::", -1))
+    zeros = F.array_repeat(F.lit("0"), F.lit(8) - F.size(left) - F.size(right))
+    all_groups = F.when(address.contains("::"), F.concat(left, zeros, right)).otherwise(F.split(address, ":"))
+    return F.array_join(F.transform(all_groups, lambda g: F.lpad(g, 4, "0")), ":")
+
+
 def _canonical(mention: Column, kind: Column) -> Column:
     return (
-        F.when(kind.isin("email", "ip6"), F.lower(mention))
+        F.when(kind == "email", F.lower(mention)).when(kind == "ip6", _written_out(F.lower(mention)))
         .when(kind.isin("phone", "card", "ssn"), F.regexp_replace(mention, r"\D", ""))
         .when(kind == "account", F.replace(mention, F.lit(" "), F.lit("")))
         .when(kind == "name", F.concat(F.upper(F.substring(mention, 1, 1)), F.lower(F.substring(mention, 2, 1 << 20))))
@@ -142,14 +156,15 @@ def _luhn(digits: Column) -> Column:
 
 def _candidate(attempt: int, key: str) -> Column:
     """The surrogate (in canonical form) that entity (kind, canonical) draws at ``attempt``."""
-    seed = F.concat_ws(":", F.lit(key), F.lit(str(attempt)), "kind", "canonical")
     value = F.col("canonical")
-    # eight hexadecimal digits of hash for each character, 16 characters to a hash
-    hashes = F.transform(F.sequence(F.lit(0), F.floor(F.length(value) / 16).cast("int") + 1), lambda k: F.sha2(
-        F.concat_ws(":", seed, k), 512
-    ))
-    stream = F.array_join(hashes, "")
-    hashed = lambda i: F.conv(F.substr(stream, (8 * i + 1).cast("int"), F.lit(8)), 16, 10).cast("long")
+    # a long value counts by its hash: it is hashed again for each of its characters
+    seed = F.concat_ws(":", F.lit(key), F.lit(str(attempt)), "kind", F.when(F.length(value) > 512, F.sha2(value, 256)).otherwise(value))
+
+    def hashed(i: Column) -> Column:
+        """Eight hexadecimal digits of hash for each character, 16 characters to a hash."""
+        block = F.sha2(F.concat_ws(":", seed, F.floor(i / 16).cast("int")), 512)
+        return F.conv(F.substr(block, (8 * (i % 16) + 1).cast("int"), F.lit(8)), 16, 10).cast("long")
+
     chars = lambda c: F.filter(F.split(c, ""), lambda x: x != "")
     letters = "abcdefghijklmnopqrstuvwxyz"
     shaped = _draw(chars(value), hashed, letters)

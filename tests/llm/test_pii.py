@@ -104,3 +104,31 @@ def test_documents_keep_no_private_string(spark):
     found = {m for t in old.values() for m in private.findall(t)}
     assert len(found) > 50 and not any(f in t for f in found for t in new.values())
     assert all(new[i] == t for i, t in old.items() if not re.search("[0-9@]", t))
+
+
+def test_long_and_compressed_entities_are_found(spark):
+    key, secret, mail = "0a1b2c3d" * 128, "sk_" + "aB3-" * 200, "jane.doe@mail.example.com"
+    texts = [
+        f"key {key} end", f"key {key.upper()} end", f"key {secret}x end", "." * 100 + mail, "見" * 90 + mail, f"see {mail} now",
+        "at 2001:db8::1, up", "at 2001:0DB8:0:0:0:0:0:1 up", "at ::1: up", "at fe80::", "std::vector a::b 1:2::3:4:5:6:7:8:9 12:30:45",
+        "::ffff:10.2.33.244", "1:2:3:4:5:6:7::",
+    ]
+    got = _replaced(documents(spark, texts))
+    for i, private in enumerate([key, key.upper(), secret, mail, mail, mail, "2001:db8::1", "2001:0DB8", "::1:", "fe80::"]):
+        assert private not in got[i], i
+    assert len(got[0]) == len(texts[0]) and re.fullmatch("key [0-9a-f]{1024} end", got[0]) and key[:64] not in got[0]
+    assert re.fullmatch("key [0-9A-F]{1024} end", got[1])
+    new = got[5].split()[1]
+    assert got[3] == "." * 100 + new and got[4].startswith("見" * 34)
+    assert got[6][3:-4].lower() == got[7][3:-3].lower() and re.fullmatch("at ([0-9a-f]{4}:){7}[0-9a-f]{4}, up", got[6])
+    assert re.fullmatch("at [0-9a-f:]{39}: up", got[8]) and got[10] == texts[10]
+    assert "10.2.33.244" not in got[11] and got[11].startswith("::ffff:") and got[12] != texts[12]
+
+
+def test_very_long_secrets_take_linear_time(spark):
+    import time
+
+    texts = ["a1" * 5_000, "sk_" * 10_000 + "é", "1:" * 50_000, "a." * 50_000 + "@", "x@" * 50_000]
+    start = time.time()
+    got = _replaced(documents(spark, texts))
+    assert time.time() - start < 60 and got[0] != texts[0] and len(got[0]) == 10_000
