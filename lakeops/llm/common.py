@@ -59,11 +59,11 @@ def count_words(text: Column) -> Column:
     return F.size(words(text)).cast("long")
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
+def stash(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later uses neither
     recompute it nor depend on the executors that made it."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

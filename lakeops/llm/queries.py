@@ -15,6 +15,7 @@ from lakeops.llm import (
     quality_rules,
     sentencepiece_nbest,
     simhash,
+    token_alignment,
     token_count,
     toxicity,
     warc_store,
@@ -244,3 +245,8 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii_surrogates.with_surrogates(_table(spark, sf_dir, "documents"))
     return out.select("doc.doc_id", F.col("new_text").alias("text"), "n_entities")
+
+
+@_query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.link_support(_table(spark, sf_dir, "documents"))
