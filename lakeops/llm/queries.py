@@ -13,12 +13,14 @@ from lakeops.llm import (
     mixing,
     pii_surrogates,
     quality_rules,
+    secret_scan,
     sentencepiece_nbest,
     simhash,
     token_alignment,
     token_count,
     toxicity,
     warc_store,
+    whitening,
 )
 from lakeops.llm.common import WORD, ship_package
 from lakeops.session import scratch_dir
@@ -250,3 +252,22 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op11_token_alignment")
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.link_support(_table(spark, sf_dir, "documents"))
+
+
+@_query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's ``deviation`` is a long: null where the exact value does not fit one."""
+    out = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@_query("op13_secret_scan")
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = ("assign", "access", "hex")
+    out = secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        *[F.size(secret_scan.of_kinds(F.col("spans"), [k])).cast("long").alias(f"n_{k}") for k in known],
+        F.sha2(secret_scan.joined(secret_scan.of_kinds(F.col("spans"), known)), 256).alias("base_sha256"),
+        secret_scan.joined(F.col("spans")).alias("spans"),
+    )
