@@ -74,20 +74,21 @@ def zorder_bits(n_files: int, k: int) -> int:
     return max(ZORDER_BITS, min(ZORDER_MAX_BITS, math.ceil(math.log2(max(n_files, 2)) / k) + 1))
 
 
-def _cut_points(df: DataFrame, columns: Sequence[str], n: int) -> list[list]:
-    """``n`` ascending quantiles of each column, from a sample of about ZORDER_SAMPLE_ROWS rows.
+def _cut_points(df: DataFrame, columns: Sequence[str], n: int, as_text: bool = False) -> list[list]:
+    """``n`` ascending quantiles of each column, from a sample of about ZORDER_SAMPLE_ROWS rows (``as_text``: cast to text).
 
     Sorted in Spark, so texts, NaN and dates order as they do in the data; only the cut
     points reach the driver.
     """
     share = min(1.0, ZORDER_SAMPLE_ROWS / max(1, df.count()))  # a count of Parquet footers
-    sample = df.select(*columns).sample(share, 42)
+    sample = df.select(*[f"`{c}`" for c in columns]).sample(share, 42)
     places = F.sequence(F.lit(1), F.lit(n))
 
     def cuts(c: str) -> Column:
         ordered = F.sort_array(F.collect_list(F.col(f"`{c}`")))
         at = F.transform(places, lambda i: F.get(ordered, F.floor(i * F.size(ordered) / (n + 1)).cast("int")))
-        return F.array_distinct(F.filter(at, lambda x: x.isNotNull()))
+        found = F.array_distinct(F.filter(at, lambda x: x.isNotNull()))
+        return found.cast("array<string>") if as_text else found
 
     return list(sample.agg(*[cuts(c).alias(f"c{i}") for i, c in enumerate(columns)]).first())
 
@@ -136,9 +137,9 @@ def cluster_by(ds: VersionedDataset, columns: Sequence[str], n_files: int | None
             .drop("__zkey")
         )
     entry = ds._write(base, out, base.version + 1)[KIND_INSERT]
-    v = ds._next(base, "OPTIMIZE", None, [entry], parameters={"zOrderBy": ",".join(columns), "numFiles": n_files})
-    write_file_stats(ds, columns, v)
-    return v
+    # before the commit: a version is never seen without the stats of its files
+    _store_stats(ds, ds._read_folders(base, [entry], ("__file",)), columns, base.version + 1)
+    return ds._next(base, "OPTIMIZE", None, [entry], parameters={"zOrderBy": ",".join(columns), "numFiles": n_files})
 
 
 def file_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -148,27 +149,32 @@ def file_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     aggs = [F.count(F.lit(1)).alias("num_rows")]
     for c in columns:
-        aggs += [F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max"),
-                 F.count_if(F.col(c).isNull()).alias(f"{c}__nulls")]
+        col = F.col(f"`{c}`")
+        aggs += [F.min(col).alias(f"{c}__min"), F.max(col).alias(f"{c}__max"), F.count_if(col.isNull()).alias(f"{c}__nulls")]
     path = F.col("__file") if "__file" in df.columns else F.col("_metadata.file_path")
     return df.withColumn("file_path", path).groupBy("file_path").agg(*aggs)
 
 
 def dataset_file_stats(ds: VersionedDataset, columns: Sequence[str], version: int | None = None) -> DataFrame:
     c = ds.latest() if version is None else ds.commit_at(version)
-    return file_stats(ds._read_commit(c, meta=("__file",)).select(*columns, "__file"), columns)
+    return file_stats(ds._read_commit(c, meta=("__file",)).select(*[f"`{n}`" for n in columns], "__file"), columns)
 
 
 def _stats_dir(ds: VersionedDataset, version: int) -> str:
     return f"{ds.root}/_stats/version={version}"
 
 
-def write_file_stats(ds: VersionedDataset, columns: Sequence[str], version: int) -> str:
+def _store_stats(ds: VersionedDataset, rows: DataFrame, columns: Sequence[str], version: int) -> str:
     path = _stats_dir(ds, version)
-    dataset_file_stats(ds, columns, version).write.mode("overwrite").parquet(path)  # AQE sizes the output
+    stats = file_stats(rows.select(*[f"`{n}`" for n in columns], "__file"), columns)
+    stats.write.mode("overwrite").parquet(path)  # AQE sizes the output
     return path
 
 
+def write_file_stats(ds: VersionedDataset, columns: Sequence[str], version: int) -> str:
+    return _store_stats(ds, ds._read_commit(ds.commit_at(version), meta=("__file",)), columns, version)
+
+
 def stats_of(ds: VersionedDataset, version: int | None = None) -> DataFrame | None:
     """Stored per-file stats of the newest clustered version <= ``version``."""
     v = ds.latest_version() if version is None else version

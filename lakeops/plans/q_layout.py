@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeops.operators import layout
+from lakeops.operators import clustering, file_index, layout
 from lakeops.plans.registry import query, table
 from lakeops.plans.versioned import VersionedDataset
 from lakeops.session import scratch_dir
@@ -147,3 +147,44 @@ def unreferenced_files(spark, sf_dir):
         one = files.agg(F.lit(v).alias("retain_from"), F.count(F.lit(1)).cast("int").alias("files"))
         out = one if out is None else out.union(one)
     return out
+
+
+_CLERKS = """select o_orderkey, 'Clerk#' || o_custkey as clerk, 'Batch#' || (o_orderkey // 8) as batch from orders"""
+
+
+@query(
+    "lookup_two_columns",
+    f"""with o as ({_CLERKS}), asked as (select clerk, batch from o order by o_orderkey limit 1)
+    select o.*, true as fewer_than_clerk, true as fewer_than_batch from o semi join asked using (clerk, batch)""",
+)
+def lookup_two_columns(spark, sf_dir):
+    """``clerk = a AND batch = b`` on unclustered text columns opens fewer files than either condition alone."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat(F.lit("Clerk#"), F.col("o_custkey").cast("string")).alias("clerk"),
+        F.concat(F.lit("Batch#"), F.expr("o_orderkey div 8").cast("string")).alias("batch"),
+    )
+    ds = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "clerks"), o.repartition(48, "o_orderkey"))
+    file_index.build_index(ds, ["clerk", "batch"])
+    asked = o.orderBy("o_orderkey").select("clerk", "batch").first().asDict()  # the values looked up
+    opened = {
+        name: file_index.files_to_read(ds, cond).agg(F.count_if("hit").alias(name))
+        for name, cond in (("both", asked), ("clerk", {"clerk": asked["clerk"]}), ("batch", {"batch": asked["batch"]}))
+    }
+    counts = opened["both"].crossJoin(opened["clerk"]).crossJoin(opened["batch"])  # one row each
+    fewer = counts.select((F.col("both") < F.col("clerk")).alias("fewer_than_clerk"), (F.col("both") < F.col("batch")).alias("fewer_than_batch"))
+    return file_index.lookup(ds, asked).crossJoin(fewer)  # one row beside the rows found
+
+
+@query("cluster_incremental", "select *, true as part_rewritten, true as narrow_l_partkey from lineitem")
+def cluster_incremental(spark, sf_dir):
+    """Cluster, append about one row in a hundred, cluster again: the second run rewrites a part of the files."""
+    li = table(spark, sf_dir, "lineitem")
+    small = (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "A") & (F.col("l_quantity") > 40)
+    ds = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "hilbert"), li.where(~small))
+    target = _target_bytes(ds)
+    clustering.cluster(ds, ["l_partkey", "l_suppkey"], target)
+    ds.append(li.where(small))
+    clustering.cluster(ds, target_file_bytes=target)
+    done = {k: int(v) for k, v in ds.latest().parameters.items() if k.startswith("num")}
+    part = 0 < done["numRemovedFiles"] == done["numYoungFiles"] < done["numFiles"]
+    return ds.to_df().withColumn("part_rewritten", F.lit(part)).crossJoin(_few_files_hold(ds, "l_partkey"))  # one row beside the table
