@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lakeops.functions.columns import as_column, is_true
 
@@ -39,8 +40,18 @@ def _c(name: str) -> Column:
 
 
 def column_name(key: str, names: Sequence[str]) -> str:
-    """The column a SET or INSERT key names: as it is, or behind a table alias (``t.c``)."""
-    return key if key in names or "." not in key else key.split(".", 1)[1]
+    """The column a SET or INSERT key names: as it is, behind a table alias (``t.c``), in backticks, or in
+    another letter case where only one column fits."""
+    bare = re.fullmatch(r"(?:(?:\w+|`[^`]+`)\.)?`([^`]+)`", key)
+    spelled = [key, *([bare.group(1)] if bare else []), *([key.split(".", 1)[1]] if "." in key else [])]
+    for one in spelled:
+        if one in names:
+            return one
+    for one in spelled:
+        fits = [n for n in names if n.casefold() == one.casefold()]
+        if len(fits) == 1:
+            return fits[0]
+    return spelled[-1]
 
 
 def _set_exprs(names: Sequence[str], set: Mapping[str, str | Column]) -> dict[str, Column]:
@@ -158,15 +169,23 @@ class MergePlan:
             out = joined.select(
                 *[F.when(matched, nv).otherwise(ov).alias(n) for n, nv, ov in zip(names, new, old)], kind.alias(KIND)
             )
-        if self.insert is not None:
-            ins = self.source.alias(sa).join(target.alias(ta), self.cond, "left_anti")
-            ins = ins.select(
-                *[(self.insert[n] if n in self.insert else F.lit(None)).cast(types[n]).alias(n) for n in names],
-                F.lit("insert").alias(KIND),
-            )
+        ins = self.inserts(target)
+        if ins is not None:
             out = out.unionByName(ins)
         return out if with_kind else out.drop(KIND)
 
+    def inserts(self, target: DataFrame) -> DataFrame | None:
+        """Source rows without a match in ``target``, as target rows with their kind (None without an insert clause).
+        Copies of a source row are all inserted."""
+        if self.insert is None:
+            return None
+        types = {n: target.schema[n].dataType for n in self.names}
+        rest = self.source.alias(self.sa).join(target.alias(self.ta), self.cond, "left_anti")
+        return rest.select(
+            *[(self.insert[n] if n in self.insert else F.lit(None)).cast(types[n]).alias(n) for n in self.names],
+            F.lit("insert").alias(KIND),
+        )
+
 
 def merge_condition(condition: str | Column | Sequence[str], ta: str, sa: str, null_safe: bool = False) -> Column:
     """Join condition: key column names (equality), a SQL string over the aliases, or a Column."""
@@ -246,9 +265,37 @@ def merge_rows(
     return plan.rows(target)
 
 
+def _common_type(spark, a, b):
+    """The type both can be compared in: the one Spark's union finds (text stays text), else text."""
+    if a == b:
+        return a
+    if StringType() in (a, b):
+        return StringType()
+    try:
+        return spark.range(0).select(F.lit(None).cast(a).alias("c")).union(spark.range(0).select(F.lit(None).cast(b).alias("c"))).schema[0].dataType
+    except Exception as e:  # noqa: BLE001  (an analysis error of the union)
+        if "INCOMPATIBLE" not in str(e):
+            raise
+        return StringType()
+
+
+def align_columns(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both frames with the columns of either, by name (the new one's order first): a column one lacks is NULL
+    there, and types that differ become a common one."""
+    names = [*new.columns, *[c for c in old.columns if c not in new.columns]]
+    if names == old.columns and old.schema.simpleString() == new.schema.simpleString():
+        return old, new
+    cols: tuple[list, list] = ([], [])
+    for n in names:
+        found = [df.schema[n].dataType if n in df.columns else None for df in (old, new)]
+        kind = found[0] or found[1] if None in found else _common_type(old.sparkSession, *found)
+        for out, own in zip(cols, found):
+            out.append((_c(n) if own is not None else F.lit(None)).cast(kind).alias(n))
+    return old.select(*cols[0]), new.select(*cols[1])
+
+
 def _signed(old: DataFrame, new: DataFrame) -> DataFrame:
-    cols = [F.col(f"`{c}`") for c in old.columns]
-    return old.select(*cols, F.lit(-1).alias("__s")).unionByName(new.select(*cols, F.lit(1).alias("__s")))
+    return old.select("*", F.lit(-1).alias("__s")).unionByName(new.select("*", F.lit(1).alias("__s")))
 
 
 def diff_rows(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -257,19 +304,21 @@ def diff_rows(old: DataFrame, new: DataFrame) -> DataFrame:
 
     One aggregation over a signed union (partial aggregation first; rows are
     spread by all their columns, so no key can concentrate in one task). The
-    copy count is reported, never replicated into rows.
+    copy count is reported, never replicated into rows. Frames of different columns are
+    aligned by name first.
     """
-    u = _signed(old, new)
-    net = u.groupBy(*old.columns).agg(F.sum("__s").alias("__net")).where(F.col("__net") != 0)
+    old, new = align_columns(old, new)
+    cols = [_c(c) for c in old.columns]
+    net = _signed(old, new).groupBy(*cols).agg(F.sum("__s").alias("__net")).where(F.col("__net") != 0)
     return net.select(
-        *old.columns,
+        *cols,
         F.when(F.col("__net") > 0, F.lit("added")).otherwise(F.lit("removed")).alias("change"),
         F.abs("__net").cast("bigint").alias("copies"),
     )
 
 
 def diff_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str],
-                changed_rows: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+                changed_rows: tuple[DataFrame, DataFrame] | None = None, columns: bool = False) -> DataFrame:
     """Keys whose rows were added / removed / changed between two snapshots (J8).
 
     Exact and pair-free, so it holds for non-unique and hot keys: rows whose
@@ -283,18 +332,28 @@ def diff_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str],
     which both are equal (e.g. the files two versions do not share); the row
     comparison then reads only those, key presence still uses the whole
     snapshots (key columns only).
+
+    Snapshots of different schemas are aligned by column name: a row that gained a value in a new column has
+    changed. ``columns`` adds ``changed_columns``: for a changed key with one old and one new row, the names of the columns
+    that differ (in schema order); else NULL.
     """
     keys = list(keys)
-    u = _signed(old, new)
-    cu = u if changed_rows is None else _signed(*changed_rows)
+    # key presence needs the keys only; the comparison needs all columns
+    u = _signed(*align_columns(old.select(*[_c(k) for k in keys]), new.select(*[_c(k) for k in keys])))
+    one, other = align_columns(*(changed_rows or (old, new)))
+    cu, names = _signed(one, other), one.columns
     # One struct column as the key: struct equality treats NULL fields as equal
     # (null-safe), and both sides are aggregated by it, so the join reuses their
     # hash partitioning instead of shuffling again.
     key = F.struct(*[F.col(f"`{k}`") for k in keys]).alias("__key")
-    differing = (
-        cu.groupBy(*old.columns).agg(F.sum("__s").alias("__net")).where(F.col("__net") != 0)
-        .groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-    )
+    net = cu.groupBy(*[_c(c) for c in names]).agg(F.sum("__s").alias("__net")).where(F.col("__net") != 0)
+    row = F.struct(*[_c(c) for c in names])
+    sides = [
+        x for sign, name in ((-1, "old"), (1, "new")) for x in (
+            F.first(F.when(F.signum("__net") == sign, row), ignorenulls=True).alias(f"__{name}"),
+            F.sum(F.when(F.signum("__net") == sign, F.abs("__net"))).alias(f"__n_{name}"))
+    ] if columns else [F.count(F.lit(1)).alias("__rows")]
+    differing = net.groupBy(key).agg(*sides)
     presence = u.groupBy(key).agg(
         F.max(F.col("__s") < 0).alias("__in_old"), F.max(F.col("__s") > 0).alias("__in_new")
     )
@@ -303,6 +362,10 @@ def diff_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str],
         .when(~F.col("__in_new"), F.lit("removed"))
         .otherwise(F.lit("changed"))
     )
-    return differing.join(presence, "__key", "inner").select(
-        *[F.col(f"__key.`{k}`").alias(k) for k in keys], change.alias("change")
-    )
+    out = [*[F.col(f"__key.`{k}`").alias(k) for k in keys], change.alias("change")]
+    if columns:
+        differ = F.array_compact(F.array(*[
+            F.when(~F.col(f"__old.`{c}`").eqNullSafe(F.col(f"__new.`{c}`")), F.lit(c)) for c in names if c not in keys
+        ]))
+        out.append(F.when((F.col("__n_old") == 1) & (F.col("__n_new") == 1), differ).alias("changed_columns"))
+    return differing.join(presence, "__key", "inner").select(*out)

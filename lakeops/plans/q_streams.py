@@ -11,6 +11,7 @@ from lakeops.plans.versioned import VersionedDataset
 from lakeops.session import scratch_dir
 from lakeops.streaming import changes as cstream
 from lakeops.streaming import lines
+from lakeops.streaming.keyed_sink import KeyedSink
 
 
 def _event_lines(spark, sf_dir, folder: str) -> None:
@@ -88,8 +89,7 @@ def changes_stream_frame(spark, sf_dir):
     )
     ds.append(c.where("c_mktsegment = 'HOUSEHOLD' and c_acctbal < 0"))
     ds.delete("c_mktsegment = 'MACHINERY'")
-    feed = cstream.change_stream(ds, f"{work}/feed", f"{work}/_feed")
-    inserts = feed.where("_change_type = 'insert'").select("c_custkey", "c_nationkey")
+    inserts = cstream.change_stream(ds).where("_change_type = 'insert'").select("c_custkey", "c_nationkey")
     lines.run(lines.to_parquet(inserts, f"{work}/out", f"{work}/_checkpoint"))
     return spark.read.parquet(f"{work}/out").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
 
@@ -118,3 +118,53 @@ def incremental_aggregate(spark, sf_dir):
     ds.update({"o_custkey": "o_custkey + 1"}, "o_orderpriority = '1-URGENT'")
     lines.run(cstream.deliver_changes(ds, on_changes, ck, starting_version=1))
     return incremental.current_counts(agg)
+
+
+@query(
+    "incremental_min_max_mean",
+    f"""with o as (
+      select {nk_sql('o_custkey', 'o_custkey', 11)} as o_custkey,
+        cast(o_totalprice as decimal(18,2)) as price, o_orderpriority
+      from orders where o_orderpriority <> '5-LOW'),
+    final as (select o_custkey, case when o_orderpriority = '1-URGENT' then price + 1 else price end as price from o)
+    select o_custkey, count(*) as n_rows, cast(sum(price) as double) as total, cast(sum(price) as double) / count(*) as mean,
+      cast(min(price) as double) as least, cast(max(price) as double) as most
+    from final group by o_custkey""",
+)
+def incremental_min_max_mean(spark, sf_dir):
+    """Sum, mean, min and max per customer, kept from inserts, deletes and updates without reading the orders again."""
+    work = scratch_dir(spark, "incremental-stats")
+    o = table(spark, sf_dir, "orders").withColumn("o_custkey", nk("o_custkey", "o_custkey", 11))  # NULL keys too
+    o = o.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
+    ds = VersionedDataset.from_dataframe(
+        spark, f"{work}/orders", o.where("o_orderstatus <> 'P'"), properties={"enableChangeDataFeed": "true"}
+    )
+    stats = incremental.KeyStats.create(spark, f"{work}/stats", ds.to_df(0), ["o_custkey"], "o_totalprice", source_version=0)
+    ds.append(o.where("o_orderstatus = 'P'"))
+    ds.delete("o_orderpriority = '5-LOW'")
+    stats.apply(ds.changes(1), 2)
+    ds.update({"o_totalprice": "o_totalprice + 1"}, "o_orderpriority = '1-URGENT'")
+    stats.apply(ds.changes(3), 3)
+    out = stats.current()
+    return out.select("o_custkey", "n_rows", *[F.col(c).cast("double").alias(c) for c in ("total", "mean", "least", "most")])
+
+
+@query(
+    "changes_keyed_sink",
+    """select c_custkey, case when c_acctbal < 0 then 0.0 else c_acctbal end as c_acctbal, c_mktsegment
+    from customer where c_mktsegment <> 'MACHINERY'""",
+)
+def changes_keyed_sink(spark, sf_dir):
+    """Batches of the feed, out of order and repeated, leave the replica as the source."""
+    work = scratch_dir(spark, "keyed-sink")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    ds = VersionedDataset.from_dataframe(
+        spark, f"{work}/customer", c.where("c_mktsegment <> 'HOUSEHOLD'"), properties={"enableChangeDataFeed": "true"}
+    )
+    ds.append(c.where("c_mktsegment = 'HOUSEHOLD'"))
+    ds.update({"c_acctbal": "0.0"}, "c_acctbal < 0")
+    ds.delete("c_mktsegment = 'MACHINERY'")
+    sink = KeyedSink.create(spark, f"{work}/replica", ds.latest().schema, ["c_custkey"])
+    for lo, hi in ((3, 3), (0, 1), (2, 2), (0, 2)):
+        sink.apply(ds.changes(lo, hi))
+    return sink.rows()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lakeops.operators import layout, rowops
+from lakeops.plans import intervals
 from lakeops.plans.catalog import Catalog
 from lakeops.plans.registry import nk, nk_sql, query, table
 from lakeops.plans.versioned import AmbiguousMergeError, DatasetBuilder, VersionedDataset, VersionError
@@ -125,6 +126,24 @@ def merge_insert_all(spark, sf_dir):
     return target.to_df()
 
 
+@query(
+    "merge_insert_only",
+    """select o_orderkey, o_orderstatus, true as only_appended from orders where o_orderpriority <> '1-URGENT'
+    union all select o_orderkey, 'new', true from orders where o_orderpriority = '1-URGENT'
+    union all select o_orderkey, 'new', true from orders where o_orderpriority = '1-URGENT'""",
+)
+def merge_insert_only(spark, sf_dir):
+    """Only an insert clause: every order is in the source twice; the unmatched ones come in twice, no file is rewritten."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    ds = VersionedDataset.from_dataframe(
+        spark, scratch_dir(spark, "insert-only"), o.where("o_orderpriority <> '1-URGENT'").drop("o_orderpriority")
+    )
+    new = o.select("o_orderkey", F.lit("new").alias("o_orderstatus"))
+    ds.merge(new.union(new), ["o_orderkey"]).when_not_matched_insert_all().execute()
+    appended = not ds.latest().removed and ds.latest().base == 0
+    return ds.to_df().withColumn("only_appended", F.lit(appended))
+
+
 @query(
     "merge_limited_source",
     "select count(*) as rows, count(distinct o_orderkey) as keys, cast(100 as bigint) as changed from orders",
@@ -211,13 +230,8 @@ def restore_version(spark, sf_dir):
 
 
 def _history_with_rows(ds: VersionedDataset, limit=None):
-    versions = [r.version for r in ds.history(limit).select("version").collect()]  # commit numbers only
-    counts = None
-    for v in versions:
-        one = ds.to_df(v).agg(F.count(F.lit(1)).alias("num_rows")).withColumn("version", F.lit(v))
-        counts = one if counts is None else counts.unionByName(one)
-    h = ds.history(limit).select("version", "operation")
-    return h.join(counts, "version") if counts is not None else h.withColumn("num_rows", F.lit(0).cast("bigint"))
+    """Rows per version as the commits recorded them: no version is read."""
+    return ds.history(limit).select("version", "operation", "num_rows")
 
 
 _HISTORY_SQL = """select 0 as version, 'CREATE TABLE AS SELECT' as operation,
@@ -252,6 +266,51 @@ def version_diff(spark, sf_dir):
     return ds.diff(1, 3, ["c_custkey"])  # reads only the files versions 1 and 3 do not share
 
 
+@query(
+    "version_diff_schemas",
+    """select c_custkey, 'changed' as change, case when c_acctbal < 0 then 'c_acctbal,rich' else 'rich' end as columns from customer
+    where c_mktsegment <> 'MACHINERY'
+    union all select c_custkey, 'removed', null from customer where c_mktsegment = 'MACHINERY'""",
+)
+def version_diff_schemas(spark, sf_dir):
+    """A version replaced by one with a column more: rows that gained a value have changed, and in which columns."""
+    c = table(spark, sf_dir, "customer")
+    ds = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "schemas"), c)
+    balance = F.when(F.col("c_acctbal") < 0, F.lit(0.0)).otherwise(F.col("c_acctbal"))
+    new = c.where("c_mktsegment <> 'MACHINERY'").withColumn("rich", F.col("c_acctbal") > 5000).withColumn("c_acctbal", balance)
+    VersionedDataset.from_dataframe(spark, ds.root, new, replace_existing=True)
+    found = ds.diff(0, 1, ["c_custkey"], columns=True)
+    return found.select("c_custkey", "change", F.array_join("changed_columns", ",").alias("columns"))
+
+
+@query(
+    "commit_metrics",
+    """select 0 as version, 'rows_inserted' as metric, count(*) as rows from customer where c_mktsegment <> 'HOUSEHOLD'
+    union all select 1, 'rows_inserted', count(*) from customer where c_mktsegment = 'HOUSEHOLD'
+    union all select 2, 'rows_updated', count(*) from customer where c_acctbal < 0
+    union all select 3, 'rows_deleted', count(*) from customer where c_mktsegment = 'MACHINERY'""",
+)
+def commit_metrics(spark, sf_dir):
+    """What each commit did to rows, from the history alone (rows that were only carried over depend on the files)."""
+    h = _customer_chain(spark, sf_dir).history().select("version", F.explode("metrics").alias("metric", "rows"))
+    return h.where("metric <> 'rows_kept'")
+
+
+_LATER = "when c_mktsegment = 'MACHINERY' then 3 end as bigint"
+
+
+@query(
+    "validity_intervals",
+    f"""with c as (select *, cast(case when c_mktsegment = 'HOUSEHOLD' then 1 else 0 end as bigint) as born from customer)
+    select c_custkey, c_acctbal, c_mktsegment, cast(1 as bigint) as copies, born as valid_from,
+      cast(case when c_acctbal < 0 then 2 {_LATER}) as valid_to from c
+    union all select c_custkey, 0.0, c_mktsegment, cast(1 as bigint), cast(2 as bigint), cast(case {_LATER}) from c where c_acctbal < 0""",
+)
+def validity_intervals(spark, sf_dir):
+    found = intervals.validity_intervals(_customer_chain(spark, sf_dir, change_feed=True))
+    return found.select("c_custkey", "c_acctbal", "c_mktsegment", "copies", "valid_from", "valid_to")
+
+
 # ----------------------------------------------------------- change feed
 
 _CHANGES_SQL = f"""select {CUST_COLS}, 'insert' as _change_type, cast(0 as bigint) as _commit_version

@@ -38,11 +38,12 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
+    DataType,
     IntegerType,
     LongType,
     MapType,
@@ -70,6 +71,10 @@ CHANGE_TYPE = {
 # Plan nodes whose rows do not depend on how a plan is run.
 STABLE_NODES = frozenset({"LogicalRelation", "Filter", "Project", "SubqueryAlias", "LocalRelation", "Range", "Union"})
 DATA_KINDS = (KIND_KEEP, KIND_POST, KIND_INSERT)
+# What a commit did to rows, by name in its metrics.
+KEPT, UPDATED, INSERTED, DELETED = "rows_kept", "rows_updated", "rows_inserted", "rows_deleted"
+# Column names this module uses beside the data.
+RESERVED = frozenset({KIND, "__file", "__row", "__size"})
 CHANGE_FEED_PROPERTY = "enableChangeDataFeed"
 CHANGE_FEED_DEFAULT_CONF = "lakeops.properties.defaults.enableChangeDataFeed"
 
@@ -94,6 +99,8 @@ LOG_SCHEMA = StructType(
                 StructField("snapshot", IntegerType()),
             ])),
         ),
+        StructField("metrics", MapType(StringType(), LongType())),
+        StructField("num_rows", LongType()),
         StructField("version", IntegerType()),  # from the log/version=<n> folder
     ]
 )
@@ -139,6 +146,8 @@ class Commit:
     # (change type, folder of change rows, or else the version all of whose rows changed)
     changes: list[tuple[str, str | None, int | None]] = field(default_factory=list)
     feed: bool = True  # the changes are complete: recorded, or there are none
+    metrics: dict[str, int] = field(default_factory=dict)  # rows the commit wrote or took out, by what happened to them
+    num_rows: int | None = None  # rows of the version; None where an older commit did not say
 
     @property
     def change_feed(self) -> bool:
@@ -148,6 +157,37 @@ class Commit:
         )
 
 
+class Written(dict):
+    """{row kind: folder} of one write, and the number of rows of each kind."""
+
+    def __init__(self, rows: Mapping[str, int]):
+        super().__init__()
+        self.rows = dict(rows)
+
+
+def row_metrics(rows: Mapping[str, int], **more: int) -> dict[str, int]:
+    """Commit metrics from rows by kind (pre-images are the old form of updated rows)."""
+    named = {KEPT: KIND_KEEP, UPDATED: KIND_POST, INSERTED: KIND_INSERT, DELETED: KIND_DELETE}
+    return {m: rows[k] for m, k in named.items() if rows.get(k)} | {m: n for m, n in more.items() if n}
+
+
+def _nullable(t: DataType) -> DataType:
+    """The type with every nested part nullable, as Parquet gives it back."""
+    if isinstance(t, StructType):
+        return StructType([StructField(f.name, _nullable(f.dataType), True, f.metadata) for f in t.fields])
+    if isinstance(t, ArrayType):
+        return ArrayType(_nullable(t.elementType), True)
+    if isinstance(t, MapType):
+        return MapType(_nullable(t.keyType), _nullable(t.valueType), True)
+    return t
+
+
+def _check_names(schema: StructType) -> None:
+    taken = sorted(RESERVED & set(schema.fieldNames()))
+    if taken:
+        raise ValueError(f"reserved column names: {taken}")
+
+
 class VersionedDataset:
     """Handle on a versioned dataset rooted at a path (shared storage).
 
@@ -216,6 +256,8 @@ class VersionedDataset:
                     removed=list(r.removed or []),
                     changes=[(c.change_type, c.path, c.snapshot) for c in (r.changes or [])],
                     feed=bool(r.feed),
+                    metrics=dict(r.metrics or {}),
+                    num_rows=r.num_rows,
                 )
             )
         return out
@@ -251,6 +293,8 @@ class VersionedDataset:
             "removed": list(c.removed),
             "feed": c.feed,
             "changes": [{"change_type": t, "path": p, "snapshot": v} for t, p, v in c.changes],
+            "metrics": dict(c.metrics),
+            "num_rows": c.num_rows,
         }
         try:
             fs.create_new(self.spark, f"{self.log_dir}/version={c.version}/commit.json", json.dumps(row) + "\n")
@@ -260,11 +304,21 @@ class VersionedDataset:
         return c.version
 
     def _next(self, base: Commit, operation: str, start: int | None, added: Sequence[str] = (), removed: Sequence[str] = (),
-              changes: Sequence[tuple[str, str | None, int | None]] = (), parameters=None, **kw) -> int:
+              changes: Sequence[tuple[str, str | None, int | None]] = (), parameters=None,
+              metrics: Mapping[str, int] | None = None, **kw) -> int:
         """Commit the version after ``base``: the snapshot of version ``start`` (None: no rows)
         without ``removed``, plus ``added``. ``changes`` are what the commit changes, kept
-        if the feed is on; with the feed off a commit that changes rows has no feed."""
-        changes = list(changes)
+        if the feed is on; with the feed off a commit that changes rows has no feed. ``metrics`` are its
+        rows by kind; the rows of the version follow from them and ``start``."""
+        changes, metrics = list(changes), dict(metrics or {})
+        if operation == "OPTIMIZE":  # the same rows in other files
+            num_rows = base.num_rows
+        elif start is None:
+            num_rows = metrics.get(INSERTED, 0)
+        else:
+            num_rows = self.commit_at(start).num_rows
+            if num_rows is not None and start == base.version:
+                num_rows += metrics.get(INSERTED, 0) - metrics.get(DELETED, 0)
         return self._write_log(Commit(
             version=base.version + 1,
             ts_ms=None,
@@ -280,6 +334,8 @@ class VersionedDataset:
             removed=list(removed),
             changes=changes if base.change_feed else [],
             feed=base.change_feed or not changes,
+            metrics=metrics,
+            num_rows=num_rows,
         ))
 
     # --------------------------------------------------------------- create
@@ -305,7 +361,8 @@ class VersionedDataset:
         ds = cls(spark, root)
         st = _as_schema(schema)
         nn = list(dict.fromkeys([*not_null, *[f.name for f in st.fields if not f.nullable]]))
-        st = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in st.fields])
+        st = _nullable(st)
+        _check_names(st)
         props = with_feed_default(spark, properties)
         for c in [*partition_by, *(generated or {}), *nn]:
             if c not in st.fieldNames():
@@ -326,9 +383,9 @@ class VersionedDataset:
             base = ds.latest()
             op = "REPLACE TABLE" if mode == "replace" else "CREATE OR REPLACE TABLE"
             # Every old row goes; the feed reads them under the old version's schema.
-            ds._next(base, op, None, changes=[(KIND_DELETE, None, base.version)], **common)
+            ds._next(base, op, None, changes=[(KIND_DELETE, None, base.version)], metrics=ds._all_deleted(base), **common)
         else:
-            ds._write_log(Commit(0, None, "CREATE TABLE", {}, **common))
+            ds._write_log(Commit(0, None, "CREATE TABLE", {}, num_rows=0, **common))
         return ds
 
     @classmethod
@@ -348,21 +405,28 @@ class VersionedDataset:
         present = ds.exists()
         if present and not replace_existing:
             raise VersionError(f"dataset already exists at {ds.root}")
-        st = StructType([StructField(f.name, f.dataType, True) for f in df.schema.fields])
+        st = StructType([StructField(f.name, _nullable(f.dataType), True) for f in df.schema.fields])
+        _check_names(st)
         c = Commit(0, None, "CREATE TABLE AS SELECT", {}, st, list(partition_by), with_feed_default(spark, properties),
                    dict(kw.get("generated") or {}), list(kw.get("not_null") or []))
         version = ds.latest_version() + 1 if present else 0
-        entry = ds._write(c, ds._conform(c, df), version)[KIND_INSERT]
+        out = ds._write(c, ds._conform(c, df), version)
+        entry, metrics = out[KIND_INSERT], row_metrics(out.rows)
         if present:
             base = ds.latest()
             ds._next(base, "CREATE OR REPLACE TABLE AS SELECT", None, [entry],
                      changes=[(KIND_DELETE, None, base.version), (KIND_INSERT, entry, None)], schema=st,
-                     partition_cols=c.partition_cols, properties=c.properties, generated=c.generated, not_null=c.not_null)
+                     metrics=metrics | ds._all_deleted(base), partition_cols=c.partition_cols, properties=c.properties, generated=c.generated, not_null=c.not_null)
         else:
             changes = [(KIND_INSERT, entry, None)] if c.change_feed else []
-            ds._write_log(replace(c, added=[entry], changes=changes, feed=c.change_feed))
+            ds._write_log(replace(c, added=[entry], changes=changes, feed=c.change_feed, metrics=metrics,
+                                  num_rows=metrics.get(INSERTED, 0)))
         return ds
 
+    def _all_deleted(self, base: Commit) -> dict[str, int]:
+        """Metrics of a commit that takes out every row of ``base`` (none where their number is unknown)."""
+        return {DELETED: base.num_rows} if base.num_rows else {}
+
     @classmethod
     def save(cls, spark, root, df: DataFrame, mode: str = "errorifexists", **kw) -> "VersionedDataset":
         """``df.write.mode(mode).save(root)``: version 0 if nothing is there, else a new version."""
@@ -397,7 +461,9 @@ class VersionedDataset:
         if partition_by and list(partition_by) != found:
             raise ValueError(f"{src} is partitioned by {found}, not by {list(partition_by)}")
         props = with_feed_default(spark, properties)
-        c = Commit(0, None, "CONVERT", {"source": src}, schema, found, props, {}, [], added=[src])
+        _check_names(schema)
+        n = spark.read.parquet(src).count()  # from the file footers
+        c = Commit(0, None, "CONVERT", {"source": src}, schema, found, props, {}, [], added=[src], num_rows=n)
         changes = [(KIND_INSERT, src, None)] if c.change_feed else []
         ds._write_log(replace(c, changes=changes, feed=c.change_feed))
         return ds
@@ -475,6 +541,8 @@ class VersionedDataset:
             F.col("parameters").alias("operation_parameters"),
             F.size("added").alias("num_added"),
             F.size("removed").alias("num_removed"),
+            "metrics",
+            "num_rows",
         ).orderBy(F.desc("version"))
         return h.limit(limit) if limit is not None else h
 
@@ -528,29 +596,43 @@ class VersionedDataset:
             out = out.select(*guarded, *passthrough)
         return out
 
-    def _write(self, c: Commit, df: DataFrame, version: int, by_kind: bool = False) -> dict[str, str]:
-        """Write rows as one new immutable folder. Returns {kind: entry path}."""
+    def _write(self, c: Commit, df: DataFrame, version: int, by_kind: bool = False) -> "Written":
+        """Write rows as one new immutable folder. Returns {kind: entry path}, with the rows written by kind.
+
+        Rows are counted inside the write job, right before the writer, where a task's counts are taken
+        once however often it runs. A row-kind column is counted by and, unless ``by_kind``, left out.
+        """
         path = self._new_dir(version)
         parts = ([KIND] if by_kind else []) + list(c.partition_cols)
         if c.partition_cols:
             # one partition value's rows together, so not every task writes every folder;
             # large values are split again by AQE
             df = df.hint("rebalance", *[_c(p) for p in c.partition_cols])
+        seen = Observation()
+        kinds = (KIND_KEEP, KIND_PRE, KIND_POST, KIND_INSERT, KIND_DELETE) if KIND in df.columns else ()
+        counts = [F.count_if(F.col(KIND) == k).alias(k) for k in kinds] or [F.count(F.lit(1)).alias(KIND_INSERT)]
+        df = df.observe(seen, *counts)
+        if kinds and not by_kind:
+            df = df.drop(KIND)
         w = df.write.mode("errorifexists")
         if parts:
             w = w.partitionBy(*parts)
         w.parquet(path)
+        out = Written({k: int(n) for k, n in seen.get.items() if n})
         if not by_kind:
-            return {KIND_INSERT: path}
-        present = {n.split("=", 1)[1]: f"{path}/{n}" for n in fs.list_names(self.spark, path) if n.startswith(f"{KIND}=")}
-        return present
+            out[KIND_INSERT] = path
+        else:
+            names = [n for n in fs.list_names(self.spark, path) if n.startswith(f"{KIND}=")]
+            out.update((n.split("=", 1)[1], f"{path}/{n}") for n in names)
+        return out
 
     def append(self, df: DataFrame, by_position: bool = False, operation: str = "WRITE") -> int:
         """INSERT INTO: previous entries + one new folder; nothing is rewritten."""
         base = self.latest()
-        rows = self._conform(base, df, by_position)
-        entry = self._write(base, rows, base.version + 1)[KIND_INSERT]
-        return self._next(base, operation, base.version, [entry], changes=[(KIND_INSERT, entry, None)], parameters={"mode": "Append"})
+        out = self._write(base, self._conform(base, df, by_position), base.version + 1)
+        entry = out[KIND_INSERT]
+        return self._next(base, operation, base.version, [entry], changes=[(KIND_INSERT, entry, None)],
+                          parameters={"mode": "Append"}, metrics=row_metrics(out.rows))
 
     def insert_values(self, rows: Iterable[tuple]) -> int:
         """INSERT INTO t VALUES (...), bound by position."""
@@ -562,30 +644,31 @@ class VersionedDataset:
     def overwrite(self, df: DataFrame, by_position: bool = False, operation: str = "WRITE") -> int:
         """Replace all rows; old folders stay for time travel (never overwrite in place)."""
         base = self.latest()
-        rows = self._conform(base, df, by_position)
-        entry = self._write(base, rows, base.version + 1)[KIND_INSERT]
+        out = self._write(base, self._conform(base, df, by_position), base.version + 1)
+        entry = out[KIND_INSERT]
         changes = [(KIND_DELETE, None, base.version), (KIND_INSERT, entry, None)]
-        return self._next(base, operation, None, [entry], changes=changes, parameters={"mode": "Overwrite"})
+        return self._next(base, operation, None, [entry], changes=changes, parameters={"mode": "Overwrite"},
+                          metrics=row_metrics(out.rows) | self._all_deleted(base))
 
     # ------------------------------------------------- file-level rewrite
     def _with_file(self, c: Commit, row: bool = False) -> DataFrame:
         return self._read_commit(c, meta=("__file", "__row") if row else ("__file",))
 
-    def _touched_files(self, matches: DataFrame) -> list[str]:
-        # Distinct paths of the files to rewrite: as many as the commit takes out.
-        return sorted(r[0] for r in matches.select("__file").distinct().collect())
-
     def _rewrite(self, base: Commit, operation: str, cond: Column, transform, params: dict) -> int:
         """Shared body of update/delete: find files, rewrite them, commit."""
-        touched = self._touched_files(self._with_file(base).where(cond))
-        if not touched:
+        # Paths of the files to rewrite, as many as the commit takes out, with the rows that match.
+        found = self._with_file(base).where(cond).groupBy("__file").agg(F.count(F.lit(1)).alias("n")).collect()
+        if not found:
             return self._next(base, operation, base.version, parameters=params)
+        touched, matched = sorted(r["__file"] for r in found), sum(r["n"] for r in found)
         old = self._read_commit(base, files=touched)
         by_kind = base.change_feed
         out = self._write(base, transform(old, by_kind), base.version + 1, by_kind=by_kind)
         data = [out[k] for k in DATA_KINDS if k in out]
         changes = [(k, out[k], None) for k in (KIND_PRE, KIND_POST, KIND_INSERT, KIND_DELETE) if k in out]
-        return self._next(base, operation, base.version, data, touched, changes if by_kind else [(KIND_POST, None, None)], params)
+        rows = row_metrics(out.rows | ({KIND_DELETE: matched} if operation == "DELETE" else {}))
+        return self._next(base, operation, base.version, data, touched, changes if by_kind else [(KIND_POST, None, None)], params,
+                          metrics=rows)
 
     def update(self, set: Mapping[str, str | Column], condition: str | Column | None = None) -> int:
         """UPDATE t SET ... WHERE p. Rows where p is NULL are left alone; every SET
@@ -601,7 +684,9 @@ class VersionedDataset:
             if by_kind:
                 return self._conform(base, rowops.update_kinds(old, set_cols, cond), passthrough=[KIND],
                                      recompute_generated=True)
-            return self._conform(base, rowops.update_rows(old, set_cols, cond), recompute_generated=True)
+            marked = old.withColumn(KIND, F.when(cond, F.lit(KIND_POST)).otherwise(F.lit(KIND_KEEP)))
+            return self._conform(base, rowops.update_rows(marked, set_cols, F.col(KIND) == KIND_POST), passthrough=[KIND],
+                                 recompute_generated=True)
 
         return self._rewrite(base, "UPDATE", cond, transform, {"predicate": str(condition)})
 
@@ -609,11 +694,13 @@ class VersionedDataset:
         """DELETE FROM t [WHERE p]. Rows where p is NULL are kept."""
         base = self.latest()
         if condition is None:
-            return self._next(base, "DELETE", None, changes=[(KIND_DELETE, None, base.version)], parameters={})
+            return self._next(base, "DELETE", None, changes=[(KIND_DELETE, None, base.version)], parameters={},
+                              metrics=self._all_deleted(base))
         cond = is_true(condition)
 
         def transform(old: DataFrame, by_kind: bool) -> DataFrame:
-            return rowops.delete_kinds(old, cond) if by_kind else rowops.delete_rows(old, cond)
+            rows = rowops.delete_kinds(old, cond)
+            return rows if by_kind else rows.where(F.col(KIND) == KIND_KEEP)
 
         return self._rewrite(base, "DELETE", cond, transform, {"predicate": str(condition)})
 
@@ -646,16 +733,17 @@ class VersionedDataset:
 
         return only(a, fa, ra, fb, rb), only(b, fb, rb, fa, ra)
 
-    def diff(self, old_version: int, new_version: int, keys: Sequence[str] | None = None) -> DataFrame:
-        """What changed between two versions (J8): by key (``rowops.diff_by_key``) or,
-        without keys, as a multiset of rows (``rowops.diff_rows``). Reads the
-        files the two versions do not share (plus the key columns of the rest)."""
+    def diff(self, old_version: int, new_version: int, keys: Sequence[str] | None = None, columns: bool = False) -> DataFrame:
+        """What changed between two versions (J8): by key (``rowops.diff_by_key``; with ``columns``, which
+        columns of a changed row) or, without keys, as a multiset of rows (``rowops.diff_rows``). Reads the
+        files the two versions do not share (plus the key columns of the rest). Versions of
+        different schemas are aligned by column name."""
         a, b = self.commit_at(old_version), self.commit_at(new_version)
         only_old, only_new = self._differing(a, b)
         if keys is None:
             return rowops.diff_rows(only_old, only_new)
         return rowops.diff_by_key(self._read_commit(a), self._read_commit(b), keys,
-                                  changed_rows=(only_old, only_new))
+                                  changed_rows=(only_old, only_new), columns=columns)
 
     def restore(self, version: int) -> int:
         """RESTORE: a new version equal to ``version``; no data copied.
@@ -665,7 +753,7 @@ class VersionedDataset:
         """
         base = self.latest()
         old = self.commit_at(version)
-        changes = []
+        changes, metrics = [], {}
         if base.change_feed:
             if base.schema == old.schema:
                 cur_only, old_only = self._differing(base, old)
@@ -673,13 +761,14 @@ class VersionedDataset:
                     old_only.exceptAll(cur_only).withColumn(KIND, F.lit(KIND_INSERT))
                 )
                 out = self._write(base, diff, base.version + 1, by_kind=True)
+                metrics = row_metrics(out.rows)
                 changes = [(k, out[k], None) for k in (KIND_INSERT, KIND_DELETE) if k in out]
             else:  # schema changed: every current row goes, every old row comes back
                 changes = [(KIND_DELETE, None, base.version), (KIND_INSERT, None, old.version)]
         else:
             changes = [(KIND_INSERT, None, old.version)]
         return self._next(
-            base, "RESTORE", old.version, changes=changes, parameters={"version": version},
+            base, "RESTORE", old.version, changes=changes, parameters={"version": version}, metrics=metrics,
             schema=old.schema, partition_cols=old.partition_cols, generated=old.generated, not_null=old.not_null,
         )
 
@@ -697,7 +786,8 @@ class VersionedDataset:
         op = "SHALLOW CLONE" if shallow else "DEEP CLONE"
         tgt._write_log(
             Commit(0, None, op, {"source": self.root, "sourceVersion": src.version}, src.schema, src.partition_cols,
-                   src.properties, src.generated, src.not_null, None, paths, removed, changes, src.change_feed or not paths)
+                   src.properties, src.generated, src.not_null, None, paths, removed, changes, src.change_feed or not paths,
+                   num_rows=src.num_rows)
         )
         return tgt
 
@@ -914,14 +1004,21 @@ class MergeBuilder:
             insert_values=self.insert_values, insert_all=self.insert_all, optional=list(base.generated),
             null_safe=self.null_safe,
         )
+        props = {**base.properties, **{k: str(v) for k, v in (properties or {}).items()}}
+        if plan.update is None:  # no target row changes: an append of the source rows without a match
+            rows = plan.inserts(target)
+            if rows is None:
+                return ds._next(base, "MERGE", base.version, parameters={"predicate": str(self.condition)}, properties=props)
+            if ds.snapshot(base)[0]:
+                _refuse_pairing(rows)
+            out = ds._write(base, ds._conform(base, rows.drop(KIND), recompute_generated=True), base.version + 1)
+            if not out.rows:
+                return ds._next(base, "MERGE", base.version, parameters={"predicate": str(self.condition)}, properties=props)
+            return ds._next(base, "MERGE", base.version, [out[KIND_INSERT]], changes=[(KIND_INSERT, out[KIND_INSERT], None)],
+                            parameters={"predicate": str(self.condition)}, metrics=row_metrics(out.rows), properties=props)
         touched_df = plan.touched_files("__file", "__row")
-        # The source has no join of its own here (it would have been staged): only the condition can give one.
-        physical = touched_df._jdf.queryExecution().executedPlan().toString()  # planning only, no job
-        if "NestedLoopJoin" in physical or "CartesianProduct" in physical:
-            raise ValueError(
-                "merge condition needs an equality between a target and a source column "
-                "(without one every target row is compared with every source row)"
-            )
+        if ds.snapshot(base)[0]:  # an empty target pairs with nothing
+            _refuse_pairing(touched_df)
         # One job: per touched file, the largest number of source rows matched by one target row.
         per_file = touched_df.collect()  # one row per touched file
         if any(r["n"] > 1 for r in per_file):
@@ -929,19 +1026,23 @@ class MergeBuilder:
         touched = sorted(r["__file"] for r in per_file)
         old = ds._read_commit(base, files=touched) if touched else empty_df(ds.spark, base.schema)
         by_kind = base.change_feed
-        rows = plan.rows(old, with_kind=by_kind, emit_pre=by_kind)
-        if by_kind:
-            out = ds._write(base, ds._conform(base, rows, passthrough=[KIND], recompute_generated=True),
-                            base.version + 1, by_kind=True)
-        else:
-            out = ds._write(base, ds._conform(base, rows, recompute_generated=True), base.version + 1)
+        rows = plan.rows(old, with_kind=True, emit_pre=by_kind)
+        out = ds._write(base, ds._conform(base, rows, passthrough=[KIND], recompute_generated=True), base.version + 1, by_kind=by_kind)
         data = [out[k] for k in DATA_KINDS if k in out]
         changes = [(k, out[k], None) for k in (KIND_PRE, KIND_POST, KIND_INSERT) if k in out]
-        props = {**base.properties, **{k: str(v) for k, v in (properties or {}).items()}}
-        return ds._next(base, "MERGE", base.version, data, touched, changes or ([] if by_kind else [(KIND_POST, None, None)]),
-                        {"predicate": str(self.condition)}, properties=props)
+        return ds._next(base, "MERGE", base.version, data, touched, changes if by_kind else [(KIND_POST, None, None)],
+                        {"predicate": str(self.condition)}, metrics=row_metrics(out.rows), properties=props)
 
 
+def _refuse_pairing(joined: DataFrame) -> None:
+    """The source has no join of its own here (it would have been staged): only the condition can give one."""
+    physical = joined._jdf.queryExecution().executedPlan().toString()  # planning only, no job
+    if "NestedLoopJoin" in physical or "CartesianProduct" in physical:
+        raise ValueError(
+            "merge condition needs an equality between a target and a source column "
+            "(without one every target row is compared with every source row)"
+        )
+
 
 def _with_meta(df: DataFrame, c: Commit, meta: Sequence[str]) -> DataFrame:
     cols = [F.col(f"`{n}`") for n in c.schema.fieldNames()]

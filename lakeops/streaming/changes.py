@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.plans.versioned import LOG_SCHEMA, VersionedDataset
+from lakeops.streaming import source
 from lakeops.streaming.lines import foreach_batch
 
 ChangeWriter = Callable[[DataFrame, list[int]], None]
@@ -56,20 +57,10 @@ def deliver_changes(ds: VersionedDataset, writer: ChangeWriter, checkpoint: str,
     return foreach_batch(commit_stream(ds), on_batch, checkpoint, interval)
 
 
-def change_stream(ds: VersionedDataset, feed: str, checkpoint: str, starting_version: int = 0,
-                  interval: str | None = None) -> DataFrame:
-    """The change feed as a streaming DataFrame, to filter, aggregate and write like any other.
-
-    The change rows of new commits are first delivered to the Parquet folder ``feed`` (with
-    ``interval``, by a query that goes on running); the stream reads what arrives there.
-    """
-    query = deliver_changes(ds, parquet_change_writer(feed), checkpoint, starting_version, interval)
-    if interval is None:
-        query.awaitTermination()
-    else:
-        query.processAllAvailable()
-    schema = ds.changes(starting_version).schema
-    return ds.spark.readStream.schema(schema).option("basePath", feed).parquet(feed)
+def change_stream(ds: VersionedDataset, starting_version: int = 0) -> DataFrame:
+    """The change feed as a streaming DataFrame, to filter, aggregate and write like any other: a data
+    source with versions as offsets (``streaming.source``); no copy of the rows, no other query."""
+    return source.change_stream(ds.spark, ds.root, starting_version)
 
 
 def read_change_sink(spark, sink: str) -> DataFrame:

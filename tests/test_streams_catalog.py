@@ -67,7 +67,7 @@ def test_catalog_clone_and_change_stream(spark, tmp_root):
     with pytest.raises(VersionError):
         cat.clone("a", "b")
     assert cat.table("a").count() == 2 and cat.table("b").count() == 3
-    feed = cstream.change_stream(cat.for_name("b"), f"{tmp_root}/feed", f"{tmp_root}/ck", starting_version=0)
+    feed = cstream.change_stream(cat.for_name("b"))
     assert feed.isStreaming
     lines.run(lines.to_parquet(feed.where("k > 1"), f"{tmp_root}/out", f"{tmp_root}/ck2"))
     assert sorted(r.k for r in spark.read.parquet(f"{tmp_root}/out").collect()) == [2, 3]
