@@ -1,10 +1,10 @@
 """Layout of versioned datasets: compaction, clustering, file statistics,
 file skipping and the list of unreferenced files (K1-K5, A13).
 
-- ``compact`` rewrites only the files smaller than half the target size
-  (bin-packing); big files stay referenced as they are. Rows are unchanged, so
-  the commit carries no change rows. Partition values are kept apart with a
-  rebalance, which splits large ones.
+- ``compact`` packs the files smaller than half the target size into bins, one task and one new
+  file each; big files stay referenced as they are. Files of a clustered dataset are packed
+  with their neighbours. Rows are unchanged, so the commit carries no change rows. Partition
+  values are kept apart with a rebalance, which splits large ones.
 - ``cluster_by`` rewrites the snapshot range-partitioned on the clustering key
   and sorted inside each file, so per-file min/max become narrow. The range
   key carries a deterministic hash of the row as a tiebreak: a value holding a
@@ -23,8 +23,10 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
@@ -54,19 +56,111 @@ def _n_files(total_bytes: int, target: int) -> int:
     return max(1, math.ceil(total_bytes / target))
 
 
+def pack_bins(sizes: Sequence[int], target: int, keep_order: bool) -> list[list[int]]:
+    """Positions of ``sizes`` grouped into bins of about ``target``: neighbours in order, or first-fit by
+    decreasing size. Bins of one file are left out, as there is nothing to merge."""
+    bins: list[list[int]] = []
+    room: list[int] = []
+    if keep_order:
+        for i, size in enumerate(sizes):
+            if not bins or room[-1] < size:
+                bins.append([])
+                room.append(target)
+            bins[-1].append(i)
+            room[-1] -= size
+    else:
+        first = 0  # bins before it are too full for any file
+        least = min(sizes, default=0)
+        for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+            while first < len(bins) and room[first] < least:
+                first += 1
+            at = next((b for b in range(first, len(bins)) if room[b] >= sizes[i]), len(bins))
+            if at == len(bins):
+                bins.append([])
+                room.append(target)
+            bins[at].append(i)
+            room[at] -= sizes[i]
+    return [b for b in bins if len(b) > 1]
+
+
+class _Order:
+    """How a dataset's files lie by their clustering: a place per file, how rows sort, and what to store of new files."""
+
+    def __init__(self, ds: VersionedDataset, base):
+        from lakeops.operators import clustering  # builds on this module
+
+        self.ds, self.clustering = ds, clustering
+        self.curve = clustering._curve(ds)
+        self.stats = None if self.curve else stats_of(ds, base.version)
+        self.columns = [c[: -len("__min")] for c in self.stats.columns if c.endswith("__min")] if self.stats is not None else []
+        if self.curve:
+            stored = ds.spark.read.option("recursiveFileLookup", "true").parquet(clustering._ranges_dir(ds, self.curve))
+            self.places = stored.select("file_path", F.struct("lo", "hi").alias("place"))
+        elif self.columns:
+            ends = [F.col(f"`{c}__{end}`") for c in self.columns[:1] for end in ("min", "max")]
+            self.places = self.stats.select("file_path", F.struct(*ends).alias("place"))
+        else:
+            self.places = None
+
+    def sorted(self, rows: DataFrame) -> DataFrame:
+        """Rows of each partition in the order of the clustering."""
+        columns = [F.col(f"`{c}`") for c in (self.curve["columns"] if self.curve else self.columns)]
+        if self.curve:
+            return rows.sortWithinPartitions("__position", *columns)
+        return rows.sortWithinPartitions(*columns) if columns else rows
+
+    def store(self, entry_rows: DataFrame, removed: Sequence[str], version: int) -> None:
+        """Before the commit: what later reads need to know of the new files."""
+        if self.curve:
+            intervals = self.clustering._intervals(entry_rows, self.curve)
+            intervals.write.parquet(f"{self.clustering._ranges_dir(self.ds, self.curve)}/{version}-{uuid.uuid4().hex[:12]}")
+        elif self.columns:
+            new = file_stats(entry_rows.select(*[f"`{n}`" for n in self.columns], "__file"), self.columns)
+            rest = self.stats.where(~F.col("file_path").isin(list(removed)))
+            rest.unionByName(new).write.mode("overwrite").parquet(_stats_dir(self.ds, version))
+
+
 def compact(ds: VersionedDataset, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
-    """OPTIMIZE: bin-pack small files into files of about ``target_file_bytes``."""
+    """OPTIMIZE: pack files smaller than half of ``target_file_bytes`` into files of about that size.
+
+    Each bin of files becomes one file, written by one task. Files of a clustered dataset are packed with their neighbours in
+    the order of the clustering and their rows merged in that order, so a key is held by no more files than before; any others
+    first-fit by decreasing size. A file that fits no other stays as it is.
+    """
     base = ds.latest()
     sizes = dataset_file_sizes(ds, base.version).where(F.col("file_size") < target_file_bytes // 2)
-    small = sizes.select("file_path", "file_size").collect()  # one row per file taken out
-    if len(small) < 2:
-        return ds._next(base, "OPTIMIZE", base.version, parameters={"numRemovedFiles": 0})
-    rows = ds._read_commit(base, files=[r.file_path for r in small])
-    if not base.partition_cols:  # a partitioned write rebalances by itself
-        rows = rows.repartition(_n_files(sum(r.file_size for r in small), target_file_bytes))
+    order = _Order(ds, base)
+    nothing = lambda: ds._next(base, "OPTIMIZE", base.version, parameters={"numRemovedFiles": 0})
+    if base.partition_cols:  # files of one partition value belong together: the write rebalances by it
+        small = sizes.select("file_path", "file_size").collect()  # one row per file taken out
+        if len(small) < 2:
+            return nothing()
+        removed = sorted(r.file_path for r in small)
+        rows = ds._read_commit(base, files=removed)
+        n_bins = None
+    else:
+        placed = sizes.join(order.places, "file_path", "left") if order.places is not None else sizes.withColumn("place", F.lit(None))
+        # one row per small file; those without a place behind the others
+        small = placed.orderBy(F.col("place").isNull(), "place", "file_path").select("file_path", "file_size", F.col("place").isNotNull().alias("known")).collect()
+        bins = []
+        for known in (True, False):
+            part = [r for r in small if r.known == known]
+            bins += [[part[i].file_path for i in b] for b in pack_bins([r.file_size for r in part], target_file_bytes, known)]
+        if not bins:
+            return nothing()
+        removed = sorted(f for b in bins for f in b)
+        bin_of = pa.table({"__file": [f for b in bins for f in b], "__bin": [i for i, b in enumerate(bins) for _ in b]})
+        rows = ds._read_commit(base, ("__file",), removed)
+        if order.curve:
+            rows = order.clustering.with_position(rows, order.curve)
+        # as many rows as files taken out
+        rows = rows.join(F.broadcast(ds.spark.createDataFrame(bin_of)), "__file").repartitionById(len(bins), F.col("__bin").cast("int"))
+        rows = order.sorted(rows).drop("__file", "__bin", "__position")
+        n_bins = len(bins)
     entry = ds._write(base, rows, base.version + 1)[KIND_INSERT]
-    return ds._next(base, "OPTIMIZE", base.version, [entry], sorted(r.file_path for r in small),
-                    parameters={"numRemovedFiles": len(small)})
+    order.store(ds._read_folders(base, [entry], ("__file",)), removed, base.version + 1)
+    report = {"numRemovedFiles": len(removed)} | ({"numAddedFiles": n_bins} if n_bins else {})
+    return ds._next(base, "OPTIMIZE", base.version, [entry], removed, parameters=report)
 
 
 def zorder_bits(n_files: int, k: int) -> int:

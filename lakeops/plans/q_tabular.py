@@ -213,13 +213,13 @@ def csv_header_scan(spark, sf_dir):
 
 @query(
     "csv_positional_scan",
-    """select cast(n_nationkey as varchar) as nation_key, n_name as nation_name, cast(n_regionkey as varchar) as region_key
-    from nation""",
+    """select cast(event_id as varchar) as event_key, event_type as kind, cast(user_id as varchar) as user_key
+    from events""",
 )
 def csv_positional_scan(spark, sf_dir):
     path = scratch_dir(spark, "csv-positional")
-    files.write_csv(table(spark, sf_dir, "nation"), path, header=False)
-    return files.read_csv_positional(spark, path, ["nation_key", "nation_name", "region_key"])
+    files.write_csv(table(spark, sf_dir, "events").select("event_id", "event_type", "user_id"), path, header=False)
+    return files.read_csv_positional(spark, path, ["event_key", "kind", "user_key"])
 
 
 @query(
@@ -244,23 +244,21 @@ def layered_etl(spark, sf_dir):
     )
 
 
-@query("ctas_parquet", "select * from nation")
+@query("ctas_parquet", "select * from lineitem")
 def ctas_parquet(spark, sf_dir):
     path = scratch_dir(spark, "ctas")
-    files.write_parquet(table(spark, sf_dir, "nation"), path)
+    files.write_parquet(table(spark, sf_dir, "lineitem"), path)
     return spark.read.parquet(path)
 
 
 @query(
     "parquet_append",
-    """select n_nationkey, n_name, n_regionkey from nation
-    union all select r_regionkey + 1000 as n_nationkey, r_name as n_name, r_regionkey as n_regionkey from region""",
+    """select c_custkey as k, c_name as name, c_nationkey as nation from customer
+    union all select s_suppkey + 1000000, s_name, s_nationkey from supplier""",
 )
 def parquet_append(spark, sf_dir):
     path = scratch_dir(spark, "parquet-append")
-    files.write_parquet(table(spark, sf_dir, "nation"), path)
-    extra = table(spark, sf_dir, "region").select(
-        (F.col("r_regionkey") + 1000).alias("n_nationkey"), F.col("r_name").alias("n_name"), F.col("r_regionkey").alias("n_regionkey")
-    )
+    files.write_parquet(table(spark, sf_dir, "customer").selectExpr("c_custkey as k", "c_name as name", "c_nationkey as nation"), path)
+    extra = table(spark, sf_dir, "supplier").selectExpr("s_suppkey + 1000000 as k", "s_name as name", "s_nationkey as nation")
     files.write_parquet(extra, path, mode="append")
     return spark.read.parquet(path)

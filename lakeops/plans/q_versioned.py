@@ -162,14 +162,14 @@ def merge_limited_source(spark, sf_dir):
 
 @query(
     "merge_cross_joined_source",
-    "select n_nationkey, n_name, (select max(r_regionkey) from region)::integer as n_regionkey from nation",
+    "select c_custkey, c_name, (select max(s_nationkey) from supplier)::integer as c_nationkey from customer",
 )
 def merge_cross_joined_source(spark, sf_dir):
-    n = table(spark, sf_dir, "nation")
-    last = table(spark, sf_dir, "region").agg(F.max("r_regionkey").alias("last"))
-    source = n.crossJoin(last).select("n_nationkey", F.col("last").cast("int").alias("n_regionkey"))  # one row beside
-    target = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "crossed"), n)
-    target.merge(source, "t.n_nationkey = s.n_nationkey").when_matched_update({"n_regionkey": "s.n_regionkey"}).execute()
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    last = table(spark, sf_dir, "supplier").agg(F.max("s_nationkey").alias("last"))
+    source = c.crossJoin(last).select("c_custkey", F.col("last").alias("c_nationkey"))  # one row beside
+    target = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "crossed"), c)
+    target.merge(source, "t.c_custkey = s.c_custkey").when_matched_update({"c_nationkey": "s.c_nationkey"}).execute()
     return target.to_df()
 
 
@@ -339,21 +339,21 @@ def changes_by_timestamp(spark, sf_dir):
 
 @query(
     "changes_across_replace",
-    """select r_regionkey as k, r_name as name, cast(null as integer) as region, 'insert' as _change_type, cast(0 as bigint) as _commit_version from region
-    union all select r_regionkey, r_name, null, 'delete', 1 from region
-    union all select n_nationkey, n_name, n_regionkey, 'insert', 1 from nation
-    union all select n_nationkey, n_name, n_regionkey, 'delete', 2 from nation
-    union all select r_regionkey, r_name, null, 'insert', 2 from region""",
+    """select s_suppkey as k, s_name as name, cast(null as integer) as nation, 'insert' as _change_type, cast(0 as bigint) as _commit_version from supplier
+    union all select s_suppkey, s_name, null, 'delete', 1 from supplier
+    union all select c_custkey, c_name, c_nationkey, 'insert', 1 from customer
+    union all select c_custkey, c_name, c_nationkey, 'delete', 2 from customer
+    union all select s_suppkey, s_name, null, 'insert', 2 from supplier""",
 )
 def changes_across_replace(spark, sf_dir):
     """Replace with data and another schema in one commit, then restore the first version."""
     root = scratch_dir(spark, "replaced")
-    region = table(spark, sf_dir, "region").selectExpr("r_regionkey as k", "r_name as name")
-    nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey as k", "n_name as name", "n_regionkey as region")
-    VersionedDataset.from_dataframe(spark, root, region, properties=CDF)
-    ds = VersionedDataset.from_dataframe(spark, root, nation, properties=CDF, replace_existing=True)
+    suppliers = table(spark, sf_dir, "supplier").selectExpr("s_suppkey as k", "s_name as name")
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey as k", "c_name as name", "c_nationkey as nation")
+    VersionedDataset.from_dataframe(spark, root, suppliers, properties=CDF)
+    ds = VersionedDataset.from_dataframe(spark, root, customers, properties=CDF, replace_existing=True)
     ds.restore(0)
-    return ds.changes(0).select("k", "name", "region", "_change_type", "_commit_version")
+    return ds.changes(0).select("k", "name", "nation", "_change_type", "_commit_version")
 
 
 @query(
@@ -383,40 +383,40 @@ def create_empty(spark, sf_dir):
     return _history_with_rows(ds).select("version", "num_rows")
 
 
-@query("create_or_replace", "select * from region")
+@query("create_or_replace", "select * from customer")
 def create_or_replace(spark, sf_dir):
     root = scratch_dir(spark, "cor")
-    VersionedDataset.from_dataframe(spark, root, table(spark, sf_dir, "nation"))
-    region = table(spark, sf_dir, "region")
-    ds = VersionedDataset.create(spark, root, region.schema, mode="create_or_replace")  # new schema, no rows
-    ds.append(region)
+    VersionedDataset.from_dataframe(spark, root, table(spark, sf_dir, "supplier"))
+    customer = table(spark, sf_dir, "customer")
+    ds = VersionedDataset.create(spark, root, customer.schema, mode="create_or_replace")  # new schema, no rows
+    ds.append(customer)
     return ds.to_df()
 
 
-@query("create_if_not_exists", "select * from nation")
+@query("create_if_not_exists", "select * from part")
 def create_if_not_exists(spark, sf_dir):
     root = scratch_dir(spark, "cine")
-    VersionedDataset.from_dataframe(spark, root, table(spark, sf_dir, "nation"))
-    ds = VersionedDataset.create(spark, root, table(spark, sf_dir, "region").schema, mode="create_if_not_exists")
+    VersionedDataset.from_dataframe(spark, root, table(spark, sf_dir, "part"))
+    ds = VersionedDataset.create(spark, root, table(spark, sf_dir, "customer").schema, mode="create_if_not_exists")
     return ds.to_df()
 
 
 @query(
     "insert_values",
-    """select n_nationkey, n_name, n_regionkey from nation
-    union all select * from (values (100, 'ATLANTIS', 5), (101, 'LEMURIA', 6)) v(n_nationkey, n_name, n_regionkey)""",
+    """select s_suppkey, s_name, s_nationkey, s_acctbal from supplier
+    union all select * from (values (-1::bigint, 'ATLANTIS', 5, 1.5::double), (-2, 'LEMURIA', 6, 2.5)) v(s_suppkey, s_name, s_nationkey, s_acctbal)""",
 )
 def insert_values(spark, sf_dir):
-    ds = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "nation"), table(spark, sf_dir, "nation"))
-    ds.insert_values([(100, "ATLANTIS", 5), (101, "LEMURIA", 6)])
+    ds = VersionedDataset.from_dataframe(spark, scratch_dir(spark, "supplier"), table(spark, sf_dir, "supplier"))
+    ds.insert_values([(-1, "ATLANTIS", 5, 1.5), (-2, "LEMURIA", 6, 2.5)])
     return ds.to_df()
 
 
-@query("insert_select", "select n_nationkey as key, n_name as name, n_regionkey as region from nation")
+@query("insert_select", "select c_custkey as key, c_name as name, c_nationkey as nation from customer")
 def insert_select(spark, sf_dir):
-    ds = VersionedDataset.create(spark, scratch_dir(spark, "nations"), "key INT, name STRING, region INT")
-    view = f"nation_src_{abs(hash(ds.root)) % 10**8}"
-    table(spark, sf_dir, "nation").createOrReplaceTempView(view)
+    ds = VersionedDataset.create(spark, scratch_dir(spark, "names"), "key BIGINT, name STRING, nation INT")
+    view = f"customer_src_{abs(hash(ds.root)) % 10**8}"
+    table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey").createOrReplaceTempView(view)
     ds.append(spark.sql(f"SELECT * FROM {view}"), by_position=True)
     return ds.to_df()
 
@@ -485,54 +485,54 @@ def partitioned_update(spark, sf_dir):
     return ds.to_df().select(*ORDERS_COLS.split(", ")).crossJoin(one)  # one row beside the table
 
 
-@query("path_overwrite_trace", """select 0 as version, count(*) as n from nation where n_regionkey < 2
-    union all select 1, count(*) from nation union all select 2, count(*) from nation where n_name <> 'PERU'""")
+@query("path_overwrite_trace", """select 0 as version, count(*) as n from customer where c_nationkey < 12
+    union all select 1, count(*) from customer union all select 2, count(*) from customer where c_mktsegment <> 'MACHINERY'""")
 def path_overwrite_trace(spark, sf_dir):
     """Overwrite-save by path creates version 0; a merge and a self-overwrite follow."""
-    n, root = table(spark, sf_dir, "nation"), scratch_dir(spark, "by-path")
-    ds = VersionedDataset.save(spark, root, n.where("n_regionkey < 2"), mode="overwrite")
-    ds.merge(n, ["n_nationkey"]).when_matched_update_all().when_not_matched_insert_all().execute()
-    VersionedDataset.save(spark, root, ds.to_df().where("n_name <> 'PERU'"), mode="overwrite")
+    c, root = table(spark, sf_dir, "customer"), scratch_dir(spark, "by-path")
+    ds = VersionedDataset.save(spark, root, c.where("c_nationkey < 12"), mode="overwrite")
+    ds.merge(c, ["c_custkey"]).when_matched_update_all().when_not_matched_insert_all().execute()
+    VersionedDataset.save(spark, root, ds.to_df().where("c_mktsegment <> 'MACHINERY'"), mode="overwrite")
     return _history_with_rows(VersionedDataset.for_path(spark, root)).select("version", F.col("num_rows").alias("n"))
 
 
-@query("replace_with_data", """select 0 as version, count(*) as n from nation union all select 1, count(*) from region""")
+@query("replace_with_data", """select 0 as version, count(*) as n from customer union all select 1, count(*) from orders""")
 def replace_with_data(spark, sf_dir):
     """CREATE OR REPLACE TABLE ... AS SELECT: one commit, no empty version between."""
     root = scratch_dir(spark, "ctas")
-    for name in ("nation", "region"):
+    for name in ("customer", "orders"):
         ds = VersionedDataset.from_dataframe(spark, root, table(spark, sf_dir, name), replace_existing=True)
     return _history_with_rows(ds).select("version", F.col("num_rows").alias("n"))
 
 
-@query("catalog_names", """select 'saved' as step, count(*) as n from nation where n_regionkey = 0
-    union all select 'appended', count(*) from nation where n_regionkey < 2
-    union all select 'cloned', count(*) from nation where n_regionkey < 2
-    union all select 'first', count(*) from nation where n_regionkey = 0 union all select 'dropped', 0""")
+@query("catalog_names", """select 'saved' as step, count(*) as n from orders where o_orderstatus = 'F'
+    union all select 'appended', count(*) from orders where o_orderstatus in ('F', 'O')
+    union all select 'cloned', count(*) from orders where o_orderstatus in ('F', 'O')
+    union all select 'first', count(*) from orders where o_orderstatus = 'F' union all select 'dropped', 0""")
 def catalog_names(spark, sf_dir):
     """Save, append, clone and drop by name; a dropped name is unknown, its clone is not."""
-    n, cat = table(spark, sf_dir, "nation"), Catalog(spark, scratch_dir(spark, "names"))
-    cat.save_as("nations", n.where("n_regionkey = 0"))
-    saved = cat.table("nations")
-    cat.save_as("nations", n.where("n_regionkey = 1"), mode="append")
-    appended = cat.table("nations")
-    cat.clone("nations", "nations_copy", shallow=False)
-    cat.clone("nations", "nations_first", version=0)
-    cat.drop("nations")
+    o, cat = table(spark, sf_dir, "orders"), Catalog(spark, scratch_dir(spark, "names"))
+    cat.save_as("orders", o.where("o_orderstatus = 'F'"))
+    saved = cat.table("orders")
+    cat.save_as("orders", o.where("o_orderstatus = 'O'"), mode="append")
+    appended = cat.table("orders")
+    cat.clone("orders", "orders_copy", shallow=False)
+    cat.clone("orders", "orders_first", version=0)
+    cat.drop("orders")
     try:
-        cat.for_name("nations")
+        cat.for_name("orders")
         gone = False
     except VersionError:
         gone = True
-    steps = {"saved": saved, "appended": appended, "cloned": cat.table("nations_copy"), "first": cat.table("nations_first")}
+    steps = {"saved": saved, "appended": appended, "cloned": cat.table("orders_copy"), "first": cat.table("orders_first")}
     out = None
     for step, df in steps.items():
         one = df.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("n"))
         out = one if out is None else out.union(one)
-    return out.union(n.where(F.lit(not gone)).agg(F.lit("dropped").alias("step"), F.count(F.lit(1)).alias("n")))
+    return out.union(o.where(F.lit(not gone)).agg(F.lit("dropped").alias("step"), F.count(F.lit(1)).alias("n")))
 
 
-@query("builder_modes", """select r_regionkey as k, r_regionkey + 1 as g, r_name as name, true as guarded from region""")
+@query("builder_modes", """select p_size as k, p_size + 1 as g, p_name as name, true as guarded from part""")
 def builder_modes(spark, sf_dir):
     """Column by column: types, nullability, a generated column, partitions; create fails where one exists."""
     root = scratch_dir(spark, "built")
@@ -548,7 +548,7 @@ def builder_modes(spark, sf_dir):
     except VersionError:
         guarded = True
     ds = build("replace").execute()
-    ds.append(table(spark, sf_dir, "region").selectExpr("cast(r_regionkey as int) as k", "r_name as name"))
+    ds.append(table(spark, sf_dir, "part").selectExpr("p_size as k", "p_name as name"))
     return ds.to_df().withColumn("guarded", F.lit(guarded)).select("k", "g", "name", "guarded")
 
 

@@ -141,3 +141,43 @@ def test_compaction_keeps_partitions_and_splits_large_ones(spark, tmp_root):
     layout.compact(ds)
     assert layout.version_files(ds).count() < 4 and ds.to_df().where("p = 'hot'").count() == 40
     assert layout.point_lookup(ds, "k", 7).first().p == "hot"
+
+
+def test_bins(spark):
+    assert layout.pack_bins([5, 5, 5, 5], 10, True) == [[0, 1], [2, 3]]
+    assert layout.pack_bins([9, 5, 4, 1, 8], 10, False) == [[0, 3], [1, 2]]
+    assert layout.pack_bins([9, 9], 10, False) == [] and layout.pack_bins([], 10, True) == []
+
+
+def _hold(ds, column):
+    """Files that can hold each of some values."""
+    return [layout.skipping(ds, column, v, v).where("hit").count() for v in (3, 400, 777, 1500, 3999)]
+
+
+def test_compaction_keeps_a_clustered_dataset_clustered(spark, tmp_root):
+    ds = small_appends(spark, tmp_root)
+    layout.cluster_by(ds, ["k"], n_files=16)
+    before, rows, size = _hold(ds, "k"), sorted(ds.to_df().collect()), layout.dataset_file_sizes(ds).agg(F.max("file_size")).first()[0]
+    layout.compact(ds, 4 * size)
+    assert n_files(ds) in (4, 5, 6) and sorted(ds.to_df().collect()) == rows
+    assert int(ds.latest().parameters["numRemovedFiles"]) == 16
+    assert all(a <= b for a, b in zip(_hold(ds, "k"), before))
+    ordered = ds._read_commit(ds.latest(), ("__file", "__row")).orderBy("__file", "__row").collect()
+    assert all(a.k <= b.k for a, b in zip(ordered, ordered[1:]) if a["__file"] == b["__file"])  # in key order inside each file
+
+
+def test_compaction_follows_the_curve(spark, tmp_root):
+    from lakeops.operators import clustering
+
+    ds = small_appends(spark, tmp_root)
+    total = layout.dataset_file_sizes(ds).agg(F.sum("file_size")).first()[0]
+    clustering.cluster(ds, ["k", "g"], total // 16)
+    spans = lambda: [
+        (r.lo, r.hi) for r in clustering._intervals(ds._read_commit(ds.latest(), ("__file",)), clustering._curve(ds)).collect()]
+    depth = lambda p: sum(lo <= p <= hi for lo, hi in spans())
+    before = [depth(p) for p in (100, 20_000, 50_000)]
+    n, size = n_files(ds), layout.dataset_file_sizes(ds).agg(F.max("file_size")).first()[0]
+    layout.compact(ds, 4 * size)
+    assert n_files(ds) < n and all(a <= b for a, b in zip([depth(p) for p in (100, 20_000, 50_000)], before))
+    clustering.cluster(ds, target_file_bytes=total // 16)
+    assert int(ds.latest().parameters["numYoungFiles"]) == 0 and ds.to_df().count() == 4000  # the packed files are known to the curve
