@@ -3,8 +3,9 @@
 An archive is a folder with two Parquet tables. ``payloads`` holds every distinct
 payload once, under its SHA-256; ``records`` holds the exact header bytes of every
 record with the address of its payload. A record's bytes come back by joining the
-two. Reading recomputes the SHA-256 and SHA-1 of every stored payload and raises
-where they differ from the address or from the digest in the record's headers.
+two. Reading recomputes the SHA-256 and SHA-1 of every stored payload; where they differ
+from the address or from the digest in the record's headers, or a payload is missing, each
+of the columns that stem from the payload raises. The header columns alone read no payload.
 
 Of the records with equal payloads the one with the largest ``page_id`` is the
 response; the others are revisits that refer to it. Which record that is comes from a
@@ -137,13 +138,15 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     intact = F.coalesce((F.col("found") == F.col("address")) & (F.col("sha1") == digest), F.lit(False))
     number = lambda h: F.regexp_extract(_header(h), page, 1).try_cast("long")
     body = F.when(_header("WARC-Type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
+    damaged = F.raise_error(F.concat(F.lit("damaged payload "), "address"))
+    checked = lambda c: F.when(intact, c).otherwise(damaged)
     return out.select(
         number("WARC-Record-ID").alias("page_id"),
         _header("WARC-Target-URI").alias("url"),
         _header("WARC-Type").alias("record_type"),
-        F.when(intact, digest).otherwise(F.raise_error(F.concat(F.lit("damaged payload "), "address"))).alias("payload_digest"),
-        "payload_bytes",
+        checked(digest).alias("payload_digest"),
+        checked(F.col("payload_bytes")).alias("payload_bytes"),
         number("WARC-Refers-To").alias("refers_to"),
-        "payload",
-        F.concat("headers", body, F.lit((LINE + LINE).encode())).alias("record"),
+        checked(F.col("payload")).alias("payload"),
+        checked(F.concat("headers", body, F.lit((LINE + LINE).encode()))).alias("record"),
     )

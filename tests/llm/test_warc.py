@@ -60,3 +60,18 @@ def test_damage_is_found_and_empty_table(spark):
     empty = scratch_dir(spark, "t-warc")
     warc_store.write_archive(_pages(spark, ROWS).limit(0), empty)
     assert warc_store.read_archive(spark, empty).collect() == []
+
+
+def test_every_payload_column_is_verified(spark):
+    folder = scratch_dir(spark, "t-warc")
+    warc_store.write_archive(_pages(spark, ROWS[:3] + [(8, "v", "x" * 2_000_000)]), folder)
+    stored = spark.read.parquet(f"{folder}/payloads")
+    stored.selectExpr("address", "cast('<p>s4me</p>' as binary) payload").write.parquet(f"{folder}-bad/payloads")
+    stored.limit(0).write.parquet(f"{folder}-gone/payloads")
+    for kind in ("bad", "gone"):
+        spark.read.parquet(f"{folder}/records").write.parquet(f"{folder}-{kind}/records")
+        for column in ("payload", "payload_bytes", "payload_digest", "record"):
+            with pytest.raises(Exception, match="damaged payload"):
+                warc_store.read_archive(spark, f"{folder}-{kind}").select("page_id", column).collect()
+    back = {r.page_id: r for r in warc_store.read_archive(spark, folder).select("page_id", "payload", "payload_bytes").collect()}
+    assert bytes(back[8].payload) == b"x" * 2_000_000 and back[8].payload_bytes == 2_000_000
