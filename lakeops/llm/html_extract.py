@@ -3,26 +3,29 @@
 A page is read into a tree. Elements that cannot be article text (scripts, forms,
 menus, page headers and footers, sidebars, notices, adverts, reader comments) are taken
 out by tag, role, and words of their class and id; not by name if they hold the article, or another of
-their names is that of a main container, and names are not looked at where no text would be left. Each paragraph then gives points
+their names is that of a main container, and names are not looked at where no text would be left. A name
+that says something else too (``social-history``) takes nothing out of an article, and elsewhere nothing
+that holds more text than the rest of the page. Each paragraph then gives points
 for its length and commas to its ancestors, less with every level; a container's points are
 discounted by the share of its text that is links. The container with the most
 points is kept, with those siblings that look like parts of the same text, and its
 blocks are the result.
 
 One Arrow pass over the pages, no shuffle; a page is handled alone and whole, without
-recursion, so depth and length are not limited.
+recursion and in time proportional to its length, so depth and length are not limited.
 
 Edge cases: null and empty pages, and pages without text, give an empty text; a page
 without markup is its own text; unclosed and misnested tags are closed where an
-enclosing element ends; unknown character references stay as written; repeated
-rows get the same text. Other columns are not read.
+enclosing element ends; unknown character references stay as written; a tag whose quotes are never closed ends
+at its first ``>``, and a ``<`` without any ``>`` behind it is text; repeated rows get the same text. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import html as entities
+import math
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,10 +34,12 @@ from pyspark.sql import functions as F
 
 # Element names by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object canvas video audio select".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object canvas video audio select annotation annotation-xml".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span"
-    " strike strong sub sup time tt u var wbr".split()
+    " strike strong sub sup time tt u var wbr"
+    " math semantics mrow mi mn mo ms mtext mspace msqrt mroot mfrac msup msub msubsup munder mover munderover mmultiscripts mprescripts"
+    " none mtable mtr mtd mstyle mpadded mphantom menclose mfenced merror".split()
 )
 DROPPED = frozenset("nav aside footer form button input select dialog menu fieldset head map".split()) | RAW
 CLOSES_P = frozenset(
@@ -60,6 +65,13 @@ PAGE_WORDS = re.compile(r"header|topbar")  # outside an article only
 INSIDE_WORDS = re.compile(r"comments?|repl(?:y|ies)|related|sponsored|promo|ads?")  # all that drops a nested article
 WRAPPER_WORDS = frozenset("wrap wrapper container layout outer inner area row grid holder".split())  # content-sidebar-wrap
 STYLE_PREFIXES = frozenset("has no non with without".split())  # no-sidebar says what is not there
+# words that add nothing to a name of the kinds above: cookie-notice-box, post-comments-list
+PLAIN_WORDS = frozenset(
+    "list item items box block blocks wrap wrapper container section area inner outer layout row col column grid holder group panel pane"
+    " slot unit zone module region links link buttons button icons icon bar form title heading top bottom left right center primary"
+    " secondary global site small large mobile desktop sticky fixed hidden id js thread count toggle overlay more news topics topic"
+    " articles stories header topbar up in out to log".split()
+)
 PARAGRAPHS = frozenset("p pre blockquote td li dd".split())
 CONTAINERS = frozenset("#page body main article section div center table td".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -67,29 +79,28 @@ TAG_POINTS = {"article": 10.0, "main": 10.0, "div": 5.0, "section": 5.0, "blockq
               "ul": -3.0, "ol": -3.0, "dl": -3.0, "h1": -5.0, "h2": -5.0, "h3": -5.0, "th": -5.0}
 MAIN_WORDS = re.compile(r"article\w*|body|content\w*|entry\w*|main|page|post\w*|text|story|blog")
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?(?=[\s/\"']|\Z)", re.I)
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+TAG_HEAD = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+IN_TAG = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+")
+ATTRIBUTE = re.compile(r"([^\s\"'=/>]++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?+")
+WANTED = frozenset("class id role hidden aria-hidden style".split())
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 PIECES = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"([a-z])([A-Z])")
 MENU_LINKS = 0.8
-MENU_LABEL = 20  # characters of a menu item at most
+MENU_LABEL = 20  # characters of a menu item at most, a single word, in an article
 SIBLING_SHARE = 0.2
 LEVELS = 5
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "weight", "dropped", "named", "held", "points", "length", "linked", "label")
+    __slots__ = ("tag", "parent", "parts", "weight", "dropped", "named", "held", "points", "length", "linked", "label", "words")
 
     def __init__(self, tag: str, parent: "Node | None", dropped: bool = False, weight: float = 0.0, named: str = ""):
         self.tag, self.parent, self.dropped, self.weight, self.named = tag, parent, dropped, weight, named
         self.held = ""
         self.parts: list[str | Node] = []
-        self.points = self.length = self.linked = self.label = 0.0
+        self.points = self.length = self.linked = self.label = self.words = 0.0
 
 
 def _names_main(words: list[str]) -> bool:
@@ -100,7 +111,7 @@ def _names_main(words: list[str]) -> bool:
 
 def _judge(tag: str, attributes: str, in_article: bool, in_main: bool) -> tuple[bool, float, str]:
     """Whether an element is no article text, the points its names are worth, and what its names
-    say against it: "beside" (no part of an article), "around" (might hold one) or nothing."""
+    say against it: "beside" (no part of an article), "around" (might hold one), "perhaps" (they say more than that) or nothing."""
     inside_article = in_article or in_main
     if tag in DROPPED or (tag == "header" and not inside_article):
         return True, 0.0, ""
@@ -110,6 +121,8 @@ def _judge(tag: str, attributes: str, in_article: bool, in_main: bool) -> tuple[
     nested = tag in ("article", "main")
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
+        if name not in WANTED:
+            continue
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True, 0.0, ""
         if name == "style" and HIDDEN_STYLE.search(value):
@@ -123,12 +136,16 @@ def _judge(tag: str, attributes: str, in_article: bool, in_main: bool) -> tuple[
             if words and words[0] in STYLE_PREFIXES:
                 continue
             main = main or _names_main(words)
+            whole = all(w in PLAIN_WORDS or DROPPED_WORDS.fullmatch(w) or MAIN_WORDS.fullmatch(w) or INSIDE_WORDS.fullmatch(w) for w in words)
             for word in words:
                 if nested:
-                    if INSIDE_WORDS.fullmatch(word):
+                    if whole and INSIDE_WORDS.fullmatch(word):
                         named = "beside"
                 elif DROPPED_WORDS.fullmatch(word) or not inside_article and PAGE_WORDS.fullmatch(word):
-                    named = "beside" if named == "beside" or inside_article and INSIDE_WORDS.fullmatch(word) else "around"
+                    if not whole:
+                        named = named or ("" if inside_article else "perhaps")
+                    else:
+                        named = "beside" if named == "beside" or inside_article and INSIDE_WORDS.fullmatch(word) else "around"
                 if MAIN_WORDS.fullmatch(word):
                     weight = 25.0
     if named and not nested and main and not in_article:
@@ -172,65 +189,118 @@ def _drop_named(root: Node) -> None:
             goes = node.named == "beside" or not around_it
         if goes:
             gone.add(id(node))
+    _spare_doubtful(nodes, gone)
     for node in nodes:
         if any(id(p) in gone for p in node.parts):
             node.parts = [p for p in node.parts if id(p) not in gone]
 
 
+def _spare_doubtful(nodes: list[Node], gone: set[int]) -> None:
+    """Leave what only "perhaps" goes, if it holds more text outside links than all that stays without it."""
+    if not any(node.named == "perhaps" and id(node) in gone for node in nodes):
+        return
+    _measure(nodes)
+    below: set[int] = set()
+    outermost = []
+    for node in nodes:
+        if node.parent is not None and (id(node.parent) in gone or id(node.parent) in below):
+            below.add(id(node))
+        elif id(node) in gone:
+            outermost.append(node)
+    rest = nodes[0].length - nodes[0].linked - sum(n.length - n.linked for n in outermost)
+    gone.difference_update(id(n) for n in outermost if n.named == "perhaps" and n.length - n.linked > rest)
+
+
+class _Tokens:
+    """The tags of a page, from left to right. Each character is looked at a bounded number of times:
+    what is missing behind some place is remembered, and a tag that fails on an open quote is not tried again inside."""
+
+    def __init__(self, page: str):
+        self.page, self.last_end, self.sections, self.quote_fails = page, page.rfind(">"), True, 0
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Start and end of the next markup, and of a tag its slash, name and attributes (else an empty name)."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            if page.startswith("<!--", start):
+                stop = page.find("-->", start + 4)
+                return start, stop + 3 if stop >= 0 else len(page), "", "", ""
+            if start > self.last_end:
+                at = start + 1
+                continue
+            if self.sections and page.startswith("<![CDATA[", start):
+                stop = page.find("]]>", start)
+                if stop >= 0:
+                    return start, stop + 3, "", "", ""
+                self.sections = False
+            if page[start + 1 : start + 2] in ("!", "?"):
+                return start, page.find(">", start) + 1, "", "", ""
+            if start >= self.quote_fails and (m := TAG.match(page, start)):
+                return start, m.end(), m[1], m[2].lower(), m[3]
+            if m := TAG_HEAD.match(page, start):
+                if start >= self.quote_fails:
+                    self.quote_fails = IN_TAG.match(page, m.end()).end()
+                stop = page.find(">", m.end())
+                if stop >= 0:
+                    return start, stop + 1, m[1], m[2].lower(), page[m.end() : stop]
+            at = start + 1
+        return None
+
+
 def parse(page: str, by_name: bool = True) -> Node:
     """The tree of a page; text parts are decoded, dropped elements are left out with all they hold."""
     root = Node("#page", None)
-    open_nodes, opened, at, end = [root], Counter(), 0, len(page)
+    open_nodes, at, end = [root], 0, len(page)
+    places: defaultdict[str, list[int]] = defaultdict(list)  # of the open elements of a tag
+    tokens, endless = _Tokens(page), set()
 
     def close(upto: int) -> None:
-        opened.subtract(node.tag for node in open_nodes[upto:])
+        for node in open_nodes[upto:]:
+            places[node.tag].pop()
         del open_nodes[upto:]
 
+    def innermost(tags) -> int:
+        return max((places[t][-1] for t in tags if places[t]), default=0)
+
     def close_within(tags, scopes) -> None:
         """Close the innermost open element among ``tags``, unless a scope stands before it."""
-        if not any(opened[t] for t in tags):
-            return None
-        for i in range(len(open_nodes) - 1, 0, -1):
-            if open_nodes[i].tag in tags:
-                return close(i)
-            if open_nodes[i].tag in scopes:
-                return None
-        return None
+        i = innermost(tags)
+        if i and i >= innermost(scopes):
+            close(i)
 
     while at < end:
-        m = TOKEN.search(page, at)
-        if m is None:
+        found = tokens.next(at)
+        if found is None:
             _add_text(open_nodes[-1], page[at:])
             break
-        if m.start() > at:
-            _add_text(open_nodes[-1], page[at : m.start()])
-        at = m.end()
-        tag = (m[2] or "").lower()
+        start, stop, slash, tag, attributes = found
+        if start > at:
+            _add_text(open_nodes[-1], page[at:start])
+        at = stop
         if not tag:
             continue
-        if m[1]:
-            if opened[tag]:
-                close_within((tag,), ())
+        if slash:
+            close_within((tag,), ())
             continue
         if tag in CLOSES_P:
             close_within(("p",), SCOPES - {"p"})
         for same in SAME_CLOSES.get(tag, ()):
             close_within((same,), LIST_SCOPES)
-        attributes = m[3] or ""
         if tag in RAW:
-            stop = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
-            if stop is None:
+            closing = None if tag in endless else re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
+            if closing is None:
+                endless.add(tag)
                 at = end if tag in ("script", "style") else at
             else:
-                at = page.find(">", stop.start()) + 1 or end
+                at = page.find(">", closing.start()) + 1 or end
             continue
-        dropped, weight, named = _judge(tag, attributes, opened["article"] > 0, opened["main"] > 0)
+        dropped, weight, named = _judge(tag, attributes, bool(places["article"]), bool(places["main"]))
         node = Node(tag, open_nodes[-1], dropped, weight, named)
         if not dropped:
             open_nodes[-1].parts.append(node)
         if tag not in VOID and not attributes.endswith("/"):
+            places[tag].append(len(open_nodes))
             open_nodes.append(node)
-            opened[tag] += 1
     if by_name:
         _drop_named(root)
     return root
@@ -254,16 +324,19 @@ def _in_order(root: Node) -> list[Node]:
 def _measure(nodes: list[Node]) -> None:
     """Text length, linked length and longest link of every node, children before parents."""
     for node in reversed(nodes):
-        node.length = node.linked = node.label = 0.0
+        node.length = node.linked = node.label = node.words = 0.0
         for p in node.parts:
             if isinstance(p, str):
                 node.length += len(p.strip())
+                node.words += len(p.split())
             else:
                 node.length += p.length
+                node.words += p.words
                 node.linked += p.linked
                 node.label = max(node.label, p.label)
         if node.tag == "a":
-            node.linked = node.label = node.length
+            node.linked = node.length
+            node.label = node.length if node.words < 2 else math.inf
 
 
 def _own_text(node: Node) -> str:
@@ -319,7 +392,7 @@ def _kept_siblings(best: Node, scores: dict[int, float]) -> list[Node]:
 
 
 def _is_menu(node: Node, in_article: bool) -> bool:
-    """Whether a list is nearly all links; in an article, only one of short labels (sources have longer ones)."""
+    """Whether a list is nearly all links; in an article, only one of short single words."""
     if node.tag not in ("ul", "ol", "dl", "div", "table") or not node.length or node.linked < MENU_LINKS * node.length:
         return False
     return not in_article or node.tag == "ul" and node.label <= MENU_LABEL

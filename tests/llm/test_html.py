@@ -1,5 +1,8 @@
 import html
 import re
+import time
+
+import pytest
 
 from lakeops.llm.html_extract import extract_pages, main_text
 
@@ -77,3 +80,44 @@ def test_link_lists_of_an_article_stay():
     for listed in (f"<ul>{links}</ul>", f"<ol>{links}</ol>", f"<div>{links}</div>"):
         assert main_text(f"<body><article><p>{PROSE}</p>{listed}</article></body>") == "\n".join([PROSE, *sources])
     assert main_text(f"<body><article><p>{PROSE}</p><ul class=menu>{links}</ul></article></body>") == PROSE
+
+
+LONG = "A long paragraph of the article, with commas, and with enough words to be read as one. " * 5
+
+
+@pytest.mark.parametrize("name", ["id='social-history'", "class='notice-board-story'", "class='newsletter-archive-of-letters'"])
+def test_a_name_that_says_more_drops_no_article(name):
+    body = f"<h1>Title</h1><p>{LONG}</p>"
+    want = f"Title\n{LONG.strip()}"
+    assert main_text(f"<body><div {name}>{body}</div><p>Impressum kurz.</p></body>").startswith(want)
+
+
+def test_parts_of_an_article_stay():
+    for part in ("<section class='related-work'><p>{0}</p></section>", "<div class='comments-on-method'><p>{0}</p></div>"):
+        assert main_text(f"<article><p>{LONG}</p>{part.format(PROSE)}</article>") == f"{LONG.strip()}\n{PROSE}"
+    for part in ("<section class='related-articles'><p>{0}</p></section>", "<div id='post-comments-list'><p>{0}</p></div>"):
+        assert main_text(f"<article><p>{LONG}</p>{part.format(PROSE)}</article>") == LONG.strip()
+    listed = "<ul><li><a href=1>Paper one</a><li><a href=2>Paper two</a></ul>"
+    assert main_text(f"<article><p>{LONG}</p>{listed}</article>") == f"{LONG.strip()}\nPaper one\nPaper two"
+    formula = "where <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2</annotation></semantics></math> holds"
+    assert main_text(f"<article><p>{LONG}{formula}</p></article>") == f"{LONG}where x=2 holds"
+    assert main_text(f"<article><p data-id='ads' data-hidden title=\"id='ads'\">{PROSE}</p></article>") == PROSE
+
+
+@pytest.mark.parametrize("part", [
+    "<a ", "<![CDATA[", "<!", "<?x", "<a '", '<a "<a >', "<title>", "<textarea><svg>", "<a title='", "</", "<b", "<!--", "<ul><li>", "<b><p>",
+    "<td><b>", "<a id=", "&", "<p class='x y", "<div class=sidebar>", "<a href=x>y", "<",
+])
+def test_broken_markup_takes_linear_time(part):
+    for tail in ("", ">", "'", "'>", "-->"):
+        began = time.perf_counter()
+        main_text(part * (500_000 // len(part)) + tail)
+        assert time.perf_counter() - began < 10, tail
+    blocked = "<li><ul>" + "<b>" * 50_000 + "<li></li>" * 50_000
+    assert main_text(blocked) == ""
+
+
+def test_open_quotes_end_at_the_first_bracket():
+    assert main_text("<p title='a>one</p><p>two") == "one\ntwo"
+    assert main_text('<p>x</p><a "<a >y<p>z \'') in ("x\ny\nz '", "x y\nz '")
+    assert main_text("a < b and <i>c</i> <d") == "a < b and c <d"
