@@ -33,20 +33,34 @@ MAX_RUNS_PCT = 4  # per 100 word characters
 # navigation: items between separators
 SEPARATORS = "|\u00bb\u203a\u2022"
 MAX_SEPARATORS_PCT = 4  # per 100 word characters
-# boilerplate: stock phrases of web pages, lower case
+# boilerplate: stock phrases of web pages in four languages, lower case, letters and single spaces
 BOILERPLATE = (
     "lorem ipsum", "javascript", "rights reserved", "cookie", "privacy policy", "terms of use", "newsletter",
+    "terms of service", "subscribe to", "sign up for", "never miss", "click here", "read more", "share on", "follow us", "leave a comment",
+    "rechte vorbehalten", "wir verwenden", "datenschutz", "nutzungsbedingungen", "hier klicken", "mehr erfahren", "teilen auf",
+    "akzeptieren", "jetzt abonnieren", "droits réservés", "nous utilisons des", "politique de confidentialité", "cliquez ici",
+    "en savoir plus", "partager sur", "abonnez vous", "derechos reservados", "utilizamos", "política de privacidad", "haga clic", "leer más",
+    "compartir en", "suscríbete",
 )
-PHRASES = rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(BOILERPLATE)})s?(?![\p{{L}}\p{{N}}])"
 MAX_BOILERPLATE_PCT = 15  # per 100 word characters: a sentence that mentions a phrase is no boilerplate
+# navigation: labels of menus in four languages
+MENU_LABELS = (
+    "home", "about", "about us", "contact", "contact us", "login", "log in", "logout", "register", "sign in", "sign up", "search", "menu",
+    "imprint", "sitemap", "faq", "help", "startseite", "über uns", "kontakt", "anmelden", "registrieren", "suche", "impressum", "hilfe",
+    "accueil", "à propos", "connexion", "inscription", "recherche", "aide", "plan du site", "inicio", "quiénes somos", "contacto",
+    "iniciar sesión", "registrarse", "buscar", "ayuda",
+)
+MAX_LABELS_PCT = 60  # per 100 word characters
 
 
-def _has_boilerplate(text: Column) -> Column:
-    low = F.lower(text)
-    found = F.lit(False)
-    for phrase in BOILERPLATE:
-        found = found | low.contains(phrase)
-    return found
+def whole_words(phrases: tuple[str, ...], plural: str = "") -> str:
+    """The pattern of the phrases as whole words, in either case, longer ones first."""
+    listed = "|".join(sorted(phrases, key=lambda p: (-len(p), p)))
+    return rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{listed}){plural}(?![\p{{L}}\p{{N}}])"
+
+
+PHRASES = whole_words(BOILERPLATE, "s?")
+LABELS = whole_words(MENU_LABELS)
 
 
 def _has_separators(text: Column) -> Column:
@@ -61,10 +75,10 @@ def _line_fails(line: Column, has: Column) -> Column:
     chars = F.length(without(line, BLANKS))
     runs = 100 * F.regexp_count(line, F.lit(MARKS_RUN)) > MAX_RUNS_PCT * chars
     listed = 100 * (F.length(line) - F.length(without(line, SEPARATORS))) > MAX_SEPARATORS_PCT * chars
-    stock = 100 * (chars - F.length(without(F.regexp_replace(line, PHRASES, ""), BLANKS))) > MAX_BOILERPLATE_PCT * chars
+    share = lambda pattern: 100 * (chars - F.length(without(F.regexp_replace(line, pattern, ""), BLANKS)))
     return (
         line.rlike(NO_LETTERS) | (has["marks"] & runs) | (has["separators"] & listed)
-        | (has["boilerplate"] & stock)
+        | (has["phrases"] & (share(PHRASES) > MAX_BOILERPLATE_PCT * chars)) | (has["labels"] & (share(LABELS) > MAX_LABELS_PCT * chars))
     )
 
 
@@ -151,7 +165,7 @@ def measures(documents: DataFrame) -> DataFrame:
     )
     out = out.withColumn("has", F.struct(
         F.col("text").rlike(MARKS_RUN).alias("marks"), _has_separators(F.col("text")).alias("separators"),
-        _has_boilerplate(F.col("text")).alias("boilerplate"),
+        F.col("text").rlike(PHRASES).alias("phrases"), F.col("text").rlike(LABELS).alias("labels"),
     ))
     fails = lambda x: _line_fails(x, F.col("has"))
     out = out.withColumn("failed", F.transform("lines", fails))

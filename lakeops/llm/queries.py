@@ -139,14 +139,24 @@ def op3_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _phrase_chars_sql(x: str, phrases: tuple[str, ...], plural: str = "") -> str:
+    """Word characters of ``x`` in whole phrases. Marks and blanks are doubled first, so that each phrase has a bound of its own."""
+    listed = "|".join(sorted(phrases, key=lambda p: (-len(p), p))).replace(" ", "  ")
+    doubled = f"regexp_replace({x}, '([^\\p{{L}}\\p{{N}}])', '\\1\\1', 'g')"
+    cut = f"regexp_replace({doubled}, '(?i)(^|[^\\p{{L}}\\p{{N}}])(?:{listed}){plural}($|[^\\p{{L}}\\p{{N}}])', '\\1\\2', 'g')"
+    count = lambda t: f"length(regexp_replace({t}, '[\\x20\\x09-\\x0D]', '', 'g'))"
+    return f"({count(doubled)} - {count(cut)})"
+
+
 def _failed_line_sql(x: str) -> str:
     chars = f"length(regexp_replace({x}, '[\\x20\\x09-\\x0D]', '', 'g'))"
-    phrases = " or ".join(f"contains(lower({x}), '{p}')" for p in quality_rules.BOILERPLATE)
     return (
         f"regexp_matches({x}, '{quality_rules.NO_LETTERS}')"
         f" or 100 * len(regexp_extract_all({x}, '{quality_rules.MARKS_RUN}')) > {quality_rules.MAX_RUNS_PCT} * {chars}"
         f" or 100 * (length({x}) - length(translate({x}, '{quality_rules.SEPARATORS}', '')))"
-        f" > {quality_rules.MAX_SEPARATORS_PCT} * {chars} or {phrases}"
+        f" > {quality_rules.MAX_SEPARATORS_PCT} * {chars}"
+        f" or 100 * {_phrase_chars_sql(x, quality_rules.BOILERPLATE, 's?')} > {quality_rules.MAX_BOILERPLATE_PCT} * {chars}"
+        f" or 100 * {_phrase_chars_sql(x, quality_rules.MENU_LABELS)} > {quality_rules.MAX_LABELS_PCT} * {chars}"
     )
 
 

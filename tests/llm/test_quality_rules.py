@@ -74,3 +74,41 @@ def test_a_line_that_mentions_a_phrase_is_no_boilerplate(spark):
     got = _measured(documents(spark, [one_line, "\n".join([prose, paragraph, inside, *stock])]))
     assert got[0].kept and got[0].clean_text == one_line and got[0].lost_chars == 0
     assert got[1].kept and got[1].clean_text == "\n".join([prose, paragraph, inside])
+
+
+STOCK = [
+    "Home About Contact Login Register", "Startseite Über uns Kontakt Impressum", "Accueil Contact Connexion", "Inicio Buscar Ayuda",
+    "Alle Rechte vorbehalten.", "Wir verwenden Cookies, um Ihnen das beste Erlebnis zu bieten. Akzeptieren", "Tous droits réservés",
+    "Todos los derechos reservados", "Subscribe to our newsletter and never miss a post again, it is free",
+    "Click here to read more", "Share on Facebook", "cookie cookie,cookie", "READ  more, Read more!", "a » b » c", "*** !! ??", "-----",
+]
+PROSE_LINES = [
+    "She went home and told them about the search for a new contact in the town beyond the hills.",
+    "Der Bäcker hat seine Rechte vorbehaltlos verkauft, und niemand im Dorf hat es ihm geglaubt.",
+    "cookielike xjavascript newsletters2 contactor", "Homer aboutx Contacts", "Read  more", "The help he sought never came.",
+]
+
+
+def test_line_rules_of_four_languages_equal_the_sql(spark):
+    import duckdb
+
+    from lakeops.llm.queries import QUALITY_SQL
+
+    prose = " ".join(f"word{i}x{j}" for i in range(6) for j in range(12))
+    texts = [f"{line}\n{prose}" for line in STOCK + PROSE_LINES]
+    # each line alone decides the verdict of one more document: it is longer than the rest or not
+    texts += [f"{(line + ' ') * 30}\n{prose[:300]}" for line in STOCK + PROSE_LINES] + ODD_TEXTS
+    got = _measured(with_clashes(documents(spark, texts)))
+    for i, line in enumerate(STOCK + PROSE_LINES):
+        assert (got[i].clean_text == prose) == (line in STOCK), line
+    con = duckdb.connect()
+    con.register("documents", documents(spark, texts).toPandas())
+    want = {r[0]: r[1:] for r in con.execute(
+        f"select doc_id, kept, n_words, n_dup_lines, n_repeat_words, base_failed from ({QUALITY_SQL})"
+    ).fetchall()}
+    assert {i: (q.kept, q.n_words, q.n_dup_lines, q.n_repeat_words, q.base_failed) for i, q in got.items()} == want
+    # the share of lost characters itself, not only the verdicts it leads to
+    lost = {r[0]: r[1] for r in con.execute(
+        QUALITY_SQL[: QUALITY_SQL.index("judged as")].rstrip().rstrip(",") + " select doc_id, lost_chars from base"
+    ).fetchall()}
+    assert {i: q.lost_chars for i, q in got.items()} == lost
