@@ -1,7 +1,9 @@
 """Surrogates for personal data: keyed, type-consistent, distinct and coreferent.
 
 Detected entities are e-mail and IP addresses, phone, card, account and social
-security numbers, secrets, and names behind a title. Of a run of over 64 characters before an @, the last 64 at most are
+security numbers, secrets, and names: up to three capitalized words behind a title and its particles, and every later or earlier
+whole-word mention of them in the same text, also in capitals. A mention without a title, or behind a neutral one, takes
+the gender the other titles of its text give the name. Of a run of over 64 characters before an @, the last 64 at most are
 the address; a run of digits alone is no secret beyond 512. An entity's canonical form (case and separators
 removed, an IPv6 address written out) decides its surrogate, so all mentions of one entity, in any format,
 get the same one. A surrogate keeps the shape: every digit, letter case and script
@@ -12,7 +14,7 @@ made of syllables of the same script with an ending of the title's gender.
 The registry of all distinct entities is built with a grouped aggregation. Each entity
 draws a keyed surrogate; where two entities draw the same one, or one draws a string that
 is itself an entity of the corpus, all but one of them draw again until none are left. So
-distinct entities stay distinct and no surrogate is anybody's real data.
+distinct entities stay distinct and no surrogate is the real data of any entity found.
 
 DataFrame expressions only. Texts without a match never leave their task; the others are
 split at their matches and joined back with the surrogates by row content. A value
@@ -55,12 +57,16 @@ CARD = rf"{NOT_BEFORE}(?:\d{{13,19}}|\d{{4}}(?:[ \-]\d{{4}}){{3}}){NOT_AFTER}"
 SSN = rf"{NOT_BEFORE}\d{{3}}-\d{{2}}-\d{{4}}{NOT_AFTER}"
 PHONE = rf"(?:\+\d{{1,3}}[ .\-]?)?(?:\(\d{{2,4}}\)|{NOT_BEFORE}\d{{3}})[ .\-]?\d{{3}}[ .\-]\d{{4}}{NOT_AFTER}|\+\d{{1,3}}(?:[ .\-]?\d{{2,4}}){{2,5}}{NOT_AFTER}"
 NUMBERS = "|".join((EMAIL, IP4, IP6, SECRET, CARD, SSN, PHONE, ACCOUNT))
-GIVEN = r"\p{Lu}[\p{L}\-]{1,29}"
-# a capitalized word right behind a title, or behind a title and one more such word
-NAME = rf"{NOT_BEFORE}{GIVEN}(?<=(?:{TITLES})\.? {GIVEN})|{NOT_BEFORE}{GIVEN}(?<=(?:{TITLES})\.? {GIVEN} {GIVEN})"
-HAS_TITLE = rf"{NOT_BEFORE}(?:{TITLES})\.? \p{{Lu}}"
+GIVEN = r"(?:\p{L}['’])?\p{Lu}[\p{L}\-]{1,29}"
+PARTICLE = "(?:von|van|der|den|de|la|del|di|da|du|le) "
+PARTICLES = f"(?:{PARTICLE}(?:{PARTICLE})?)?"  # two at most; a look-behind takes no counted group
+BEFORE_NAME = rf"(?:{TITLES})\.? {PARTICLES}"
+# a capitalized word right behind a title, or behind a title and one or two more such words
+NAME = "|".join(rf"{NOT_BEFORE}{GIVEN}(?<={BEFORE_NAME}{f'{GIVEN} ' * more}{GIVEN})" for more in range(3))
+HAS_TITLE = rf"{NOT_BEFORE}{BEFORE_NAME}(?:\p{{L}}['’])?\p{{Lu}}"
 MAY_MATCH = r"[0-9@]|[a-f]{32}|[A-F]{32}|AKIA[A-Z]{16}|[_\-][A-Za-z_\-]{16}"
 
+CYRILLIC, GREEK = "абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνοπρστυφχψω"
 SYLLABLES = {
     "latin": "ba be bo da de do fa fe ga ge ka ke la le li lo ma me mi mo na ne ni no ra re ri ro sa se ta te".split(),
     "cyrillic": "ба бе бо да де до фа фе га ге ка ке ла ле ли ло ма ме ми мо на не ни но ра ре ри ро са се та те".split(),
@@ -75,9 +81,17 @@ ENDINGS = {
 
 def _pattern_matches(text: Column, split: bool) -> Column:
     """Matches of a text, or the pieces around them (one more than matches)."""
-    every = f"{NUMBERS}|{NAME}"
-    cut = (lambda p: F.split(text, p, -1)) if split else (lambda p: F.regexp_extract_all(text, F.lit(p), F.lit(0)))
-    return F.when(text.rlike(HAS_TITLE), cut(every)).otherwise(cut(NUMBERS))
+    cut = (lambda p: F.split(text, p, -1)) if split else (lambda p: F.regexp_extract_all(text, p, F.lit(0)))
+    return F.when(text.rlike(HAS_TITLE), cut(_with_names(text))).otherwise(cut(F.lit(NUMBERS)))
+
+
+def _with_names(text: Column) -> Column:
+    """The pattern of a text: numbers, names behind titles, and these names (letters, dashes, apostrophes) anywhere."""
+    names = F.array_distinct(F.regexp_extract_all(text, F.lit(NAME), F.lit(0)))
+    forms = F.array_union(names, F.transform(names, F.upper))
+    longer_first = F.reverse(F.sort_array(F.transform(forms, lambda n: F.struct(F.length(n).alias("length"), n.alias("name")))))
+    anywhere = F.concat(F.lit(f"|{NOT_BEFORE}(?:"), F.array_join(longer_first["name"], "|"), F.lit(f"){NOT_AFTER}"))
+    return F.concat(F.lit(f"{NUMBERS}|{NAME}"), F.when(F.size(names) > 0, anywhere).otherwise(""))
 
 
 def _kind(mention: Column) -> Column:
@@ -113,33 +127,50 @@ def _canonical(mention: Column, kind: Column) -> Column:
 
 
 def _gender(parts: Column, i: Column) -> Column:
-    """Gender of the title before mention i, which may stand before one more name."""
+    """Gender of the title before mention i, which may stand before two more names; "?" without a title."""
+    between = f"^ {PARTICLES}$"
     before = F.get(parts, i)
-    before = F.when((before == " ") & (i > 0), F.get(parts, i - 1)).otherwise(before)
-    ends = lambda titles: before.rlike(rf"(?:{'|'.join(titles)})\.? $")
-    return F.when(ends(FEMALE), "f").when(ends(NEUTRAL), "x").otherwise("m")
+    for back in (1, 2):
+        before = F.when(before.rlike(between) & (i >= back), F.get(parts, i - back)).otherwise(before)
+    ends = lambda titles: before.rlike(rf"{NOT_BEFORE}(?:{'|'.join(titles)})\.? {PARTICLES}$")
+    return F.when(ends(FEMALE), "f").when(ends(NEUTRAL), "x").when(ends(MALE), "m").otherwise("?")
 
 
 def _mentions(texts: DataFrame) -> DataFrame:
     """``texts`` (row_key, parts, found) to one row per mention: row_key, i, kind, canonical, mention."""
     rows = texts.select("row_key", "parts", F.posexplode("found").alias("i", "mention"))
     rows = rows.withColumn("kind", _kind(F.col("mention")))
-    kind = F.when(F.col("kind") == "name", F.concat_ws(
-        ":", F.lit("name"), _gender(F.col("parts"), F.col("i")), _script(F.col("mention"))
-    )).otherwise(F.col("kind"))
-    return rows.select(
-        "row_key", "i", kind.alias("kind"), _canonical(F.col("mention"), F.col("kind")).alias("canonical"), "mention"
+    is_name = F.col("kind") == "name"
+    rows = rows.select(
+        "row_key", "i", "kind", _canonical(F.col("mention"), F.col("kind")).alias("canonical"), "mention",
+        F.when(is_name, _gender(F.col("parts"), F.col("i"))).alias("gender"),
+    )
+    rows = stash(rows, "pii-found")
+    others = rows.filter(~is_name).select("row_key", "i", "kind", "canonical", "mention")
+    # what the titles of a text say of a name; where they differ, mentions without one are of neither gender
+    told = rows.filter(is_name).groupBy("row_key", "canonical").agg(
+        F.max(F.when(F.col("gender") == "f", 1).otherwise(0)).alias("f"), F.max(F.when(F.col("gender") == "m", 1).otherwise(0)).alias("m")
+    )
+    gender = F.when(F.col("gender").isin("f", "m"), F.col("gender")).when(F.col("f") > F.col("m"), "f").when(
+        F.col("m") > F.col("f"), "m"
+    ).otherwise("x")
+    names = rows.filter(is_name).join(told, ["row_key", "canonical"]).select(
+        "row_key", "i", F.concat_ws(":", F.lit("name"), gender, _script(F.col("mention"))).alias("kind"), "canonical", "mention"
     )
+    return others.union(names)
 
 
 def _draw(chars: Column, hashed, low: str) -> Column:
     """A character of the same class for every character, chosen by ``hashed(i)``."""
     pick = lambda alphabet, i: F.substr(F.lit(alphabet), (hashed(i) % len(alphabet) + 1).cast("int"), F.lit(1))
     upper = low.upper()
+    own_case = lambda c, drawn: F.when(c.rlike(r"\p{Lu}"), F.upper(drawn)).otherwise(drawn)
 
     def draw(c: Column, i: Column) -> Column:
         return (
-            F.when(c.rlike("[0-9]"), pick("0123456789", i)).when(c.rlike(r"\p{Lu}"), pick(upper, i))
+            F.when(c.rlike("[0-9]"), pick("0123456789", i))
+            .when(c.rlike(r"\p{IsCyrillic}"), own_case(c, pick(CYRILLIC, i))).when(c.rlike(r"\p{IsGreek}"), own_case(c, pick(GREEK, i)))
+            .when(c.rlike(r"\p{Lu}"), pick(upper, i))
             .when(c.rlike(r"\p{L}"), pick(low, i)).otherwise(c)
         )
 

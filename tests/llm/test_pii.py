@@ -132,3 +132,40 @@ def test_very_long_secrets_take_linear_time(spark):
     start = time.time()
     got = _replaced(documents(spark, texts))
     assert time.time() - start < 60 and got[0] != texts[0] and len(got[0]) == 10_000
+
+
+def _new_texts(spark, texts):
+    rows = pii.with_surrogates(documents(spark, texts)).select("doc.doc_id", "new_text").collect()
+    return [r.new_text for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_no_word_of_a_found_name_stays_in_its_text(spark):
+    texts = [
+        ("Mr. Jean Paul Sartre spoke.", ["Jean", "Paul", "Sartre"]), ("Dr. Anna Weber came. Weber left. Anna Weber too, and WEBER's dog.", ["Anna", "Weber"]),
+        ("Ms. O'Connor and Mr. d'Arcy met; O'Connor won.", ["O'Connor", "d'Arcy"]), ("Frau von der Leyen sprach mit Herr Weber-Kunz.", ["Leyen", "Weber-Kunz"]),
+        ("Weber said that Weberei is a craft, as Frau Weber knows.", ["Weber"]),
+    ]
+    for (text, names), new in zip(texts, _new_texts(spark, [t for t, _ in texts])):
+        forms = [f for n in sorted(names, key=len, reverse=True) for f in (n, n.upper())]
+        mention = rf"(?<![^\W_])(?:{'|'.join(map(re.escape, forms))})(?![^\W_])"
+        # brute force: the text between the mentions stays, each name has one surrogate, distinct names have distinct ones
+        pieces = re.split(mention, text)
+        found = re.fullmatch("([^ .,;']+)".join(map(re.escape, pieces)), new)
+        assert found, (text, new)
+        pairs = {(m.capitalize(), s.capitalize()) for m, s in zip(re.findall(mention, text), found.groups())}
+        assert len(pairs) == len({n.capitalize() for n in names}) == len({s for _, s in pairs}), (text, new)
+        assert not re.search(mention, new)
+
+
+def test_a_neutral_title_takes_the_gender_the_text_gives(spark):
+    one, two, both = _new_texts(spark, ["Dr. Weber and Frau Weber, or Weber", "Dr. Weber", "Herr Weber, Frau Weber"])
+    dr, frau, bare = re.fullmatch(r"Dr\. (\w+) and Frau (\w+), or (\w+)", one).groups()
+    assert dr == frau == bare != "Weber" and dr.endswith("na")
+    assert re.fullmatch(r"Dr\. \w+l", two)
+    herr, frau = re.fullmatch(r"Herr (\w+), Frau (\w+)", both).groups()
+    assert herr != frau == dr
+
+
+def test_letters_keep_their_script(spark):
+    (new,) = _new_texts(spark, ["пётр.ИВАНОВ@почта.example.com and νίκος@abc.gr"])
+    assert re.fullmatch(r"[а-яё]{4}\.[а-яё]{6}@[а-яё]{5}\.[a-z]{7}\.com and [α-ωά-ώ]{5}@[a-z]{3}\.gr", new), new
