@@ -1,16 +1,16 @@
 """Toxicity by weak supervision.
 
 Voters are words (a lexicon) and word beginnings (patterns) that occur far more often in
-toxic than in other labelled texts of the training part. A generative label model sees
-only their votes: it estimates their correlations, voters correlated within a class
-vote as one, and expectation maximization estimates how often each fires on toxic and on
-other texts. Its posterior labels train
-a linear classifier on the presence of words and beginnings; that classifier
-scores every text.
+toxic than in other labelled texts of the training part, or far more rarely; the latter vote for
+the other class, and a voter that does not occur abstains. A generative label model sees
+only their votes: expectation maximization estimates, again in every round, how often each voter
+and each pair of voters fires on toxic and on other texts, and weighs a vote by what it adds to the
+voter it depends on most. Its posterior labels train a linear classifier on the presence of words
+and beginnings; that classifier scores every text.
 
 Counting and scoring run in Spark over all rows. Fitted on a bounded sample: at most
 ``max_per_class`` labelled training texts of either class, the smallest by a
-hash of ``doc_id``, and at most ``max_voters`` plus ``max_features`` features; these are
+hash of ``doc_id``, and at most ``max_voters`` voters of either class plus ``max_features`` features; these are
 all that reaches the driver.
 
 Edge cases: a null text is empty and gets the classifier's base score; a null
@@ -37,10 +37,9 @@ from lakeops.llm.common import no_cycle_collection, stash, text_or_empty
 FOLDS = 5
 MAX_PER_CLASS = 5000
 MIN_EVIDENCE = 13.0  # nats of log-likelihood ratio: beyond what chance gives any of a million features
-MAX_VOTERS = 500
+MAX_VOTERS = 500  # of either class
 MAX_FEATURES = 800
-VOTER_PRECISION = 0.993  # of a voter, were both classes equally frequent
-CORRELATED = 0.6
+VOTER_PRECISION = 0.993  # of a voter, for its class, were both classes equally frequent
 BEGINNINGS = (3, 4, 5, 6)
 CACHE_WORDS = 300_000
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -107,43 +106,76 @@ def _presence(sample: DataFrame, features: list[str]) -> np.ndarray:
     return out
 
 
-def _merge_correlated(votes: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """One voter for each group of voters that are correlated within the classes.
+def _rates(votes: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often each voter, and each pair of voters together, fires among rows of these weights."""
+    one, two = weight @ votes, (votes * weight[:, None]).T @ votes
+    return np.clip(one / weight.sum(), 1e-9, 1 - 1e-9), two / weight.sum()
 
-    Correlations are estimated among the rows of either class (by ``p``) and averaged by
-    their sizes; voters over the limit, directly or through others, vote as one.
-    """
-    corr = np.zeros((votes.shape[1], votes.shape[1]))
-    for weight in (p, 1 - p):
-        total = max(weight.sum(), 1e-9)
-        off = votes - (weight @ votes) / total
-        cov = (off * weight[:, None]).T @ off / total
-        sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-        corr = np.maximum(corr, cov / np.outer(sd, sd))
-    group = np.arange(votes.shape[1])
-    for i, j in zip(*np.nonzero(np.triu(corr >= CORRELATED, 1))):
-        if group[i] != group[j]:
-            group[group == max(group[i], group[j])] = min(group[i], group[j])
-    return np.stack([votes[:, group == g].max(axis=1) for g in np.unique(group)], axis=1)
-
-
-def label_model(votes: np.ndarray, rounds: int = 30) -> np.ndarray:
-    """Posterior probability of the toxic class per row of a 0/1 vote matrix, by expectation maximization.
-
-    Correlated voters are merged first; the others count as independent within a class. A
-    voter that is silent says nothing; that no voter speaks is a voter of its own, for the
-    other class.
+
+def _information(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Mutual information in nats of every pair of voters."""
+    out = np.zeros_like(two)
+    for a, b, both in (
+        (one, one, two), (one, 1 - one, one[:, None] - two), (1 - one, one, one[None, :] - two),
+        (1 - one, 1 - one, 1 - one[:, None] - one[None, :] + two),
+    ):
+        both = np.maximum(both, 1e-12)
+        out += both * np.log(both / np.outer(a, b))
+    return out
+
+
+def _dependence_tree(score: np.ndarray) -> np.ndarray:
+    """Parent of each voter (-1: the root) in the spanning tree of the largest sum of ``score``."""
+    parent, best = np.full(len(score), -1), np.full(len(score), -np.inf)
+    left, at = np.ones(len(score), bool), 0
+    for _ in range(len(score) - 1):
+        left[at] = False
+        nearer = left & (score[at] > best)
+        best[nearer], parent[nearer] = score[at][nearer], at
+        at = int(np.argmax(np.where(left, best, -np.inf)))
+    return parent
+
+
+def label_model(votes: np.ndarray, toxic_voter: np.ndarray | None = None, rounds: int = 30) -> np.ndarray:
+    """Posterior probability of the toxic class per row of a 0/1 matrix of votes, by expectation maximization.
+
+    Column j fires (1) for the toxic class where ``toxic_voter[j]`` (None: all do), else for
+    the other class; 0 is an abstention. The start takes nine of ten majorities of votes for
+    right, and its balance of the classes is kept. Every round estimates under the posteriors of the last one, within either class, how often each voter and each pair
+    of voters fires; the strongest dependences within the classes make a tree, and a vote counts
+    for what it adds to that of its parent in the tree, so a copy of a voter adds nothing. No voter is
+    taken for worse than chance. An abstention says nothing; that all abstain is a voter of its own.
     """
+    toxic_voter = np.ones(votes.shape[1], bool) if toxic_voter is None else toxic_voter
+    votes, row, copies = np.unique(votes.astype(np.float64), axis=0, return_inverse=True, return_counts=True)
     silent = votes.sum(axis=1) == 0
-    p = np.where(silent, 0.1, 0.9)
-    votes = np.hstack([_merge_correlated(votes, p), silent[:, None]]).astype(np.float64)
+    p = np.where(votes @ np.where(toxic_voter, 1.0, -1.0) > 0, 0.9, 0.1)
+    balance = np.log((copies @ p + 1) / (copies @ (1 - p) + 1))
     for _ in range(rounds):
-        weight = np.stack([1 - p, p])
+        weight = np.stack([copies * (1 - p), copies * p])
         total = weight.sum(axis=1)
-        fire = np.clip((weight @ votes + 0.1) / (total[:, None] + 0.2), 1e-4, 1 - 1e-4)
-        logit = np.log((total[1] + 1) / (total[0] + 1)) + votes @ np.log(fire[1] / fire[0])
-        p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-    return p
+        rates = [_rates(votes, w) for w in weight]
+        parent = _dependence_tree(sum(t * _information(*r) for t, r in zip(total, rates)))
+        kid = np.flatnonzero(parent >= 0)
+        log_beside, log_alone = [], []  # of a vote: its rate where the parent votes as well, and its rate
+        for one, two in rates:
+            beside = one.copy()
+            beside[kid] = two[kid, parent[kid]] / one[parent[kid]]
+            log_beside.append(np.log(np.clip(beside, 1e-4, 1)))
+            log_alone.append(np.log(np.clip(one, 1e-4, 1)))
+        parent_fires = np.zeros_like(votes)
+        parent_fires[:, kid] = votes[:, parent[kid]]
+        quiet = (weight @ silent + 0.1) / (total + 0.2)
+        logit = balance + silent * np.log(quiet[1] / quiet[0])
+        # no voter is worse than chance: a vote never speaks against its own class
+        beside, alone = (
+            np.where(toxic_voter, np.maximum(r[1] - r[0], 0), np.minimum(r[1] - r[0], 0)) for r in (log_beside, log_alone)
+        )
+        logit = logit + (votes * parent_fires) @ beside + (votes * (1 - parent_fires)) @ alone
+        last, p = p, 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+        if np.abs(p - last).max() < 1e-9:
+            break
+    return p[row.ravel()]
 
 
 def linear_classifier(x: np.ndarray, p: np.ndarray, decay: float = 2e-5, steps: int = 400) -> tuple[np.ndarray, float]:
@@ -223,12 +255,13 @@ def fit(
     )
     # the bounded lists of voters and of all features, those with most evidence first
     ranked = lambda df, n: [r["feature"] for r in df.orderBy(F.desc("evidence"), "feature").limit(n).collect()]
-    voters = ranked(counts.filter(F.col("precision") >= VOTER_PRECISION), max_voters)
-    if not voters:
+    toxic_voters = ranked(counts.filter(F.col("precision") >= VOTER_PRECISION), max_voters)
+    if not toxic_voters:
         return ToxicityModel({}, None)
+    voters = toxic_voters + ranked(counts.filter(F.col("precision") <= 1 - VOTER_PRECISION), max_voters)
     features = voters + [f for f in ranked(counts, max_features) if f not in set(voters)]
     presence = _presence(sample, features)
-    posterior = label_model(presence[:, : len(voters)].astype(np.float64))
+    posterior = label_model(presence[:, : len(voters)], np.arange(len(voters)) < len(toxic_voters))
     weights, bias = linear_classifier(presence, posterior)
     return ToxicityModel(dict(zip(features, weights.tolist())), bias)
 
