@@ -38,12 +38,14 @@ KEPT_STRETCHES = 100_000  # the stages before leave the executors less memory
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, the ids of the best segmentation, their number and score, and the round trip."""
+    """doc_id, lang, source, the ids of the best segmentation, their number and score, whether all paths decode to
+    the text, and the other paths of the N best."""
     best = F.col("encoded.paths")[0]
-    return sentencepiece_nbest.encode(docs, n=1, kept=KEPT_STRETCHES).select(
+    return sentencepiece_nbest.encode(docs, kept=KEPT_STRETCHES).select(
         "doc.doc_id", "doc.lang", "doc.source", best["ids"].alias("ids"),
         F.size(best["ids"]).cast("long").alias("n_pieces"), best["score"].alias("score"),
         F.col("encoded.round_trip").alias("round_trip"),
+        F.slice("encoded.paths", F.lit(2), F.size("encoded.paths")).alias("other_paths"),
     )
 
 

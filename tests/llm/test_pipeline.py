@@ -36,3 +36,13 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark):
 def test_stage_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_near_dedup", "pii_surrogates", "mix_sources", "sentencepiece"]
     assert simhash.SHINGLE_WORDS == 3 and simhash.MAX_DISTANCE == 2
+
+
+def test_last_stage_returns_the_n_best_paths(spark):
+    docs = documents(spark, ["A plain text with a few common words.", "", None, "x"])
+    want = {r.doc.doc_id: r.encoded.paths for r in sentencepiece_nbest.encode(docs).collect()}
+    got = {r.doc_id: r for r in corpus_pipeline.tokens_stage(spark, docs, "unused").collect()}
+    assert len(want[0]) == sentencepiece_nbest.N_BEST > 1 and got.keys() == want.keys()
+    for k, r in got.items():
+        assert [(r.score, r.ids), *((p.score, p.ids) for p in r.other_paths)] == [(p.score, p.ids) for p in want[k]]
+        assert r.round_trip and r.n_pieces == len(r.ids)
