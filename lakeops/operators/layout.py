@@ -13,6 +13,8 @@ file skipping and the list of unreferenced files (K1-K5, A13).
   quantile buckets with Column arithmetic (no UDF): cut points of a bounded sample,
   compared with Spark's own ordering, so any orderable type works, long texts
   and NaN included. They only shape the layout, never a result.
+- Clustered files hold at most about ``target_file_bytes`` on disk and ``SORT_BYTES`` as rows in a sort,
+  so the memory of the task that writes one does not grow with the table, nor with how well its rows compress.
 - Per-file statistics of the clustering columns are computed once, right
   after the clustering write (one pass over just those columns), and stored
   beside the version; ``files_between`` compares them in Spark and brings only
@@ -29,13 +31,15 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, DecimalType, MapType, StringType, StructType, VariantType
 
 from lakeops.functions import fs
 from lakeops.functions.literals import literal_df
 from lakeops.plans.versioned import KIND_INSERT, VersionedDataset
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+SORT_BYTES = 256 * 1024 * 1024  # rows of one clustered file as a sort holds them, about
+SORT_ROW_BYTES = 32  # of one row in a sort, beside the row itself
 ZORDER_BITS = 4  # at least 16 quantile buckets per column
 ZORDER_MAX_BITS = 8  # at most 256: more cells than files for any two or more columns
 ZORDER_SAMPLE_ROWS = 20_000
@@ -56,6 +60,26 @@ def _n_files(total_bytes: int, target: int) -> int:
     return max(1, math.ceil(total_bytes / target))
 
 
+def _varies(kind: DataType) -> bool:
+    """Whether values of the type differ in size (Spark's hash aggregation keeps no minimum of those)."""
+    return isinstance(kind, (StringType, BinaryType, ArrayType, MapType, StructType, VariantType))
+
+
+def _sort_bytes(df: DataFrame) -> int:
+    """Bytes of all rows as a sort holds them: 8 a field, and the contents of those that differ in size."""
+    fields = df.schema.fields
+    row = 8 * (len(fields) + math.ceil(len(fields) / 64)) + SORT_ROW_BYTES
+    row += 16 * sum(isinstance(f.dataType, DecimalType) and f.dataType.precision > 18 for f in fields)
+    total = F.count(F.lit(1)) * row
+    for f in fields:
+        if _varies(f.dataType):
+            col = F.col(f"`{f.name}`")
+            plain = isinstance(f.dataType, (StringType, BinaryType))
+            size = F.octet_length(col if plain else F.to_json(F.struct(col)))
+            total += F.coalesce(F.sum(F.ceil(size / 8) * 8), F.lit(0))
+    return df.agg(total.alias("bytes")).first()[0]
+
+
 def pack_bins(sizes: Sequence[int], target: int, keep_order: bool) -> list[list[int]]:
     """Positions of ``sizes`` grouped into bins of about ``target``: neighbours in order, or first-fit by
     decreasing size. Bins of one file are left out, as there is nothing to merge."""
@@ -217,7 +241,7 @@ def cluster_by(ds: VersionedDataset, columns: Sequence[str], n_files: int | None
     df = ds._read_commit(base)
     if n_files is None:
         total = dataset_file_sizes(ds, base.version).agg(F.sum("file_size")).first()[0] or 0
-        n_files = _n_files(total, target_file_bytes)
+        n_files = max(_n_files(total, target_file_bytes), _n_files(_sort_bytes(df), SORT_BYTES))
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
     tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])  # deterministic under task retries
     if len(columns) == 1:

@@ -1,5 +1,6 @@
 """Compaction, clustering, skipping, hot values, unreferenced files."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeops.functions import fs
@@ -181,3 +182,23 @@ def test_compaction_follows_the_curve(spark, tmp_root):
     assert n_files(ds) < n and all(a <= b for a, b in zip([depth(p) for p in (100, 20_000, 50_000)], before))
     clustering.cluster(ds, target_file_bytes=total // 16)
     assert int(ds.latest().parameters["numYoungFiles"]) == 0 and ds.to_df().count() == 4000  # the packed files are known to the curve
+
+
+@pytest.mark.parametrize("columns", [["k"], ["k", "t"]])
+def test_clustered_files_hold_a_bounded_number_of_bytes_in_a_sort(spark, tmp_root, monkeypatch, columns):
+    """Rows that compress well would otherwise meet in one file, and so in one task's sort, however many they are."""
+    df = spark.range(20_000).select((F.col("id") % 2_000).alias("k"), F.lit("x" * 100).alias("t"))
+    ds = VersionedDataset.from_dataframe(spark, f"{tmp_root}/small", df.limit(10))
+    assert layout._sort_bytes(ds.to_df()) == 10 * (3 * 8 + layout.SORT_ROW_BYTES + 104)
+    ds = VersionedDataset.from_dataframe(spark, f"{tmp_root}/ds", df)
+    monkeypatch.setattr(layout, "SORT_BYTES", 400_000)
+    layout.cluster_by(ds, columns)
+    held = [r.num_rows for r in layout.dataset_file_sizes(ds).collect()]
+    assert sum(held) == 20_000 and len(held) == 8 and max(held) < 5_000
+    assert sorted(ds.to_df().groupBy("k").count().collect()) == sorted(df.groupBy("k").count().collect())
+
+
+def test_bytes_in_a_sort_of_every_type(spark):
+    df = spark.sql("""select 1 as i, 'abc' as s, cast(null as string) as n, array(1, 2) as a, map('k', 1) as m, cast(1 as decimal(30, 2)) as d,
+        named_struct('x', 'y') as st, parse_json('{"a": 1}') as v, x'00' as b, interval 1 month as y""")
+    assert 10 * 8 < layout._sort_bytes(df) < 400 and layout._sort_bytes(df.limit(0)) == 0
