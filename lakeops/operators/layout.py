@@ -263,14 +263,28 @@ def cluster_by(ds: VersionedDataset, columns: Sequence[str], n_files: int | None
 def file_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per-file row count, and min / max / null count of each column (K3).
 
-    ``df`` is a plain scan, or a dataset read that carries ``__file``.
+    ``df`` is a plain scan, or a dataset read that carries ``__file``. Spark would sort all rows by file for the least of
+    texts and other values that differ in size; so of those the distinct values per file are taken first, by hashing.
     """
-    aggs = [F.count(F.lit(1)).alias("num_rows")]
+    path = F.col("__file") if "__file" in df.columns else F.col("_metadata.file_path")
+    rows = df.withColumn("file_path", path)
+    aggs, varying = [F.count(F.lit(1)).alias("num_rows")], []
     for c in columns:
         col = F.col(f"`{c}`")
-        aggs += [F.min(col).alias(f"{c}__min"), F.max(col).alias(f"{c}__max"), F.count_if(col.isNull()).alias(f"{c}__nulls")]
-    path = F.col("__file") if "__file" in df.columns else F.col("_metadata.file_path")
-    return df.withColumn("file_path", path).groupBy("file_path").agg(*aggs)
+        if _varies(df.select(col).schema[0].dataType):
+            varying.append(c)
+        else:
+            aggs += [F.min(col).alias(f"{c}__min"), F.max(col).alias(f"{c}__max"), F.count_if(col.isNull()).alias(f"{c}__nulls")]
+    out = rows.groupBy("file_path").agg(*aggs)
+    for c in varying:
+        values = rows.groupBy("file_path", F.col(f"`{c}`").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        # always true; without it Spark takes the step before for needless where only the ends are asked for
+        values = values.where("n > 0")
+        nulls = F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0))
+        out = out.join(values.groupBy("file_path").agg(  # one row per file on both sides
+            F.min("value").alias(f"{c}__min"), F.max("value").alias(f"{c}__max"), nulls.alias(f"{c}__nulls")
+        ), "file_path")
+    return out.select("file_path", "num_rows", *[f"`{c}__{x}`" for c in columns for x in ("min", "max", "nulls")])
 
 
 def dataset_file_stats(ds: VersionedDataset, columns: Sequence[str], version: int | None = None) -> DataFrame:

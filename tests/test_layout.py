@@ -1,5 +1,7 @@
 """Compaction, clustering, skipping, hot values, unreferenced files."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,6 +186,49 @@ def test_compaction_follows_the_curve(spark, tmp_root):
     assert int(ds.latest().parameters["numYoungFiles"]) == 0 and ds.to_df().count() == 4000  # the packed files are known to the curve
 
 
+def _scan_side(df):
+    """The nodes of a plan from each of its scans up to the first exchange above."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [re.search("[A-Z]", x).start() if re.search("[A-Z]", x) else 0 for x in lines]
+    found = []
+    for i, line in enumerate(lines):
+        if "Scan parquet" in line:
+            at = depth[i]
+            for j in range(i - 1, -1, -1):
+                if depth[j] < at:
+                    if lines[j][depth[j] :].startswith("Exchange"):
+                        break
+                    at = depth[j]
+                    found.append(lines[j][at:].split("(")[0].split(" ")[0])
+    return found
+
+
+def test_file_stats_of_texts_sort_no_rows(spark, tmp_root):
+    """Spark sorts rows to find the least text of a group; only distinct values per file may come to that."""
+    df = spark.range(400).select(
+        F.col("id").alias("k"), F.when(F.col("id") % 5 != 0, F.concat(F.lit("é"), F.col("id") % 7)).alias("a.b"),
+        F.lit(None).cast("string").alias("none"), F.struct((F.col("id") % 3).alias("x")).alias("s"),
+    )
+    ds = VersionedDataset.from_dataframe(spark, tmp_root, df.repartition(3, "k"))
+    columns = ["a.b", "k", "none", "s"]
+    stats = layout.dataset_file_stats(ds, columns)
+    assert stats.columns == ["file_path", "num_rows", *[f"{c}__{x}" for c in columns for x in ("min", "max", "nulls")]]
+    want = {}
+    for r in ds._read_commit(ds.latest(), ("__file",)).collect():
+        want.setdefault(r["__file"], []).append(r)
+    got = {r.file_path: r for r in stats.collect()}
+    assert got.keys() == want.keys()
+    for path, rows in want.items():
+        for c in columns:
+            values = [r[c] for r in rows if r[c] is not None]
+            ends = (min(values), max(values)) if values else (None, None)
+            assert (got[path][f"{c}__min"], got[path][f"{c}__max"], got[path][f"{c}__nulls"]) == (*ends, len(rows) - len(values))
+        assert got[path].num_rows == len(rows)
+    for asked in (stats, stats.select("file_path", "`a.b__min`", "`a.b__max`")):  # also where the optimizer prunes
+        nodes = _scan_side(asked)
+        assert nodes.count("HashAggregate") >= 3 and not any("Sort" in n for n in nodes), nodes
+
+
 @pytest.mark.parametrize("columns", [["k"], ["k", "t"]])
 def test_clustered_files_hold_a_bounded_number_of_bytes_in_a_sort(spark, tmp_root, monkeypatch, columns):
     """Rows that compress well would otherwise meet in one file, and so in one task's sort, however many they are."""
