@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, MapType, StructType
 
 from lakeops.functions import fs
-from lakeops.operators.layout import TARGET_FILE_BYTES, _cut_points, _n_files, dataset_file_sizes
+from lakeops.operators.layout import SORT_BYTES, TARGET_FILE_BYTES, _cut_points, _n_files, _sort_bytes, dataset_file_sizes
 from lakeops.plans.versioned import KIND_INSERT, VersionedDataset
 
 CELL_BITS = 16  # of a cell number, over all columns
@@ -97,12 +97,23 @@ def _new_curve(ds: VersionedDataset, df: DataFrame, columns: list[str], version:
     return curve | {"name": name}
 
 
-def _bucket(value: Column, cuts: list[str], kind: str, bits: int) -> Column:
-    """Number of ``cuts`` not above the value (NULL: 0), by halving; the cuts are one constant array."""
-    points = F.from_json(F.lit(json.dumps(cuts)), "array<string>").cast(f"array<{kind}>")
-    halves = F.array(*[F.lit(1 << b) for b in range(bits - 1, -1, -1)])
-    found = lambda at, s: F.when(F.get(points, at + s - 1) <= value, at + s).otherwise(at)
-    return F.aggregate(halves, F.lit(0), found)
+def _with_buckets(df: DataFrame, curve: dict, bits: int) -> DataFrame:
+    """``df`` with ``__bucket<j>`` per clustering column: the number of its cuts not above the value (NULL: 0).
+
+    By halving, one projection a step for all columns at once: plain comparisons that Spark compiles. The cuts are constant arrays.
+    """
+    points = [
+        F.from_json(F.lit(json.dumps(cuts)), "array<string>").cast(f"array<{df.schema[c].dataType.simpleString()}>")
+        for c, cuts in zip(curve["columns"], curve["cuts"])
+    ]
+    names = [f"__bucket{j}" for j in range(len(points))]
+    out = df.withColumns({n: F.lit(0) for n in names})
+    for b in range(bits - 1, -1, -1):
+        out = out.withColumns({
+            n: F.when(F.get(cuts, F.col(n) + ((1 << b) - 1)) <= F.col(f"`{c}`"), F.col(n) + (1 << b)).otherwise(F.col(n))
+            for n, c, cuts in zip(names, curve["columns"], points)
+        })
+    return out
 
 
 def with_position(df: DataFrame, curve: dict) -> DataFrame:
@@ -110,13 +121,13 @@ def with_position(df: DataFrame, curve: dict) -> DataFrame:
     columns = curve["columns"]
     bits = column_bits(len(columns))
     cell = F.lit(0).cast("long")
-    for j, (c, cuts) in enumerate(zip(columns, curve["cuts"])):
-        bucket = _bucket(F.col(f"`{c}`"), cuts, df.schema[c].dataType.simpleString(), bits)
-        cell = cell.bitwiseOR(F.shiftleft(bucket.cast("long"), j * bits))
+    for j in range(len(columns)):
+        cell = cell.bitwiseOR(F.shiftleft(F.col(f"__bucket{j}").cast("long"), j * bits))
     cells = hilbert_positions(df.sparkSession, len(columns), bits).select(
         F.col("cell").alias("__cell"), F.col("position").alias("__position")
     )
-    return df.withColumn("__cell", cell).join(F.broadcast(cells), "__cell").drop("__cell")  # at most 65,536 rows
+    placed = _with_buckets(df, curve, bits).withColumn("__cell", cell).drop(*[f"__bucket{j}" for j in range(len(columns))])
+    return placed.join(F.broadcast(cells), "__cell").drop("__cell")  # at most 65,536 rows
 
 
 def _intervals(rows: DataFrame, curve: dict) -> DataFrame:
@@ -174,15 +185,14 @@ def cluster(ds: VersionedDataset, columns: Sequence[str] | None = None, target_f
     stored = None
     if fs.exists(ds.spark, _ranges_dir(ds, curve)):
         stored = ds.spark.read.option("recursiveFileLookup", "true").parquet(_ranges_dir(ds, curve))
-    if stored is None:
-        intervals = _intervals(ds._read_commit(base, ("__file",)), curve).withColumn("young", F.lit(True))
-        old_files = None
+    if stored is None:  # all files are young, wherever they lie
+        found = sizes.select("file_path", "file_size", F.lit(True).alias("young"))
     else:
         old_files = sizes.join(stored, "file_path").select("file_path", "lo", "hi", F.lit(False).alias("young"))
         new_names = [r[0] for r in sizes.join(stored, "file_path", "left_anti").select("file_path").collect()]  # files of new commits
         young = _intervals(ds._read_commit(base, ("__file",), new_names), curve).withColumn("young", F.lit(True))
         intervals = old_files.unionByName(young)
-    found = files_to_rewrite(intervals, max_depth).select("file_path", "young").join(sizes, "file_path").select("file_path", "file_size", "young")
+        found = files_to_rewrite(intervals, max_depth).select("file_path", "young").join(sizes, "file_path").select("file_path", "file_size", "young")
     picked = found.collect()  # one row per file taken out
     total = sizes.count()
     report = {"clusterBy": names, "numFiles": total, "numRemovedFiles": len(picked), "numYoungFiles": sum(r.young for r in picked)}
@@ -191,7 +201,7 @@ def cluster(ds: VersionedDataset, columns: Sequence[str] | None = None, target_f
     rows = ds._read_commit(base, files=[r.file_path for r in picked])
     hashable = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (MapType, StructType))]
     order = [F.col(f"`{c}`") for c in curve["columns"]]
-    n_files = _n_files(sum(r.file_size for r in picked), target_file_bytes)
+    n_files = max(_n_files(sum(r.file_size for r in picked), target_file_bytes), _n_files(_sort_bytes(rows), SORT_BYTES))
     placed = with_position(rows, curve)
     out = (
         placed.repartitionByRange(n_files, "__position", *order, F.xxhash64(*[F.col(f"`{c}`") for c in hashable]))

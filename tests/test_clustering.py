@@ -125,3 +125,46 @@ def test_stats_of_any_column_name_come_before_the_commit(spark, tmp_root):
     assert len(layout.files_between(ds, "a.b", 500, 500)) == 1
     assert layout.point_lookup(ds, "a.b", 500).count() == ds.to_df().where("`a.b` = 500").count()
     assert layout.cluster_by(ds, ["a.b", "y"], n_files=4) == v + 1
+
+
+def test_positions_are_compiled_and_equal_a_count_of_cuts(spark):
+    """No function of higher order runs per row; NULL, NaN and values equal to a cut fall where they fell."""
+    cuts = [["1.0", "2.5", "7.0", "NaN"], ["a", "é", "漢"]]
+    curve = {"columns": ["x", "t.u"], "cuts": cuts}
+    nan = float("nan")
+    rows = [(x, t) for x in (None, nan, -1.0, 1.0, 2.4, 2.5, 9.0) for t in (None, "", "a", "b", "é", "漢", "\U0001f600")]
+    df = spark.createDataFrame(rows, "x double, `t.u` string")
+    above = lambda v, points, key: 0 if v is None else sum(key(p) <= key(v) for p in points)
+    number = lambda v: (v != v, 0.0 if v != v else v)
+    text = lambda v: v.encode()
+    bits = clustering.column_bits(2)
+    got = clustering._with_buckets(df, curve, bits).collect()
+    for r in got:
+        assert (r["__bucket0"], r["__bucket1"]) == (above(r.x, [1.0, 2.5, 7.0, nan], number), above(r["t.u"], cuts[1], text))
+    place = {r.cell: r.position for r in clustering.hilbert_positions(spark, 2, bits).collect()}
+    placed = clustering.with_position(df, curve)
+    assert placed.columns == ["x", "t.u", "__position"]
+    same = lambda rows: sorted(map(repr, rows))
+    assert same((r.x, r["t.u"], r["__position"]) for r in placed.collect()) == same(
+        (r.x, r["t.u"], place[r["__bucket0"] + (r["__bucket1"] << bits)]) for r in got)
+    assert "lambda" not in clustering._with_buckets(df, curve, bits)._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_first_run_rewrites_every_file_without_a_look_at_its_stretch(spark, tmp_root, monkeypatch):
+    seen = []
+    intervals = clustering._intervals
+    monkeypatch.setattr(clustering, "_intervals", lambda rows, curve: seen.append(1) or intervals(rows, curve))
+    df = spark.range(3_000).select(F.col("id").alias("k"), (F.col("id") * 7 % 100).alias("j"))
+    ds = VersionedDataset.from_dataframe(spark, tmp_root, df.repartition(4))
+    clustering.cluster(ds, ["k", "j"], 10_000)
+    done = ds.latest().parameters
+    assert done["numRemovedFiles"] == done["numYoungFiles"] == done["numFiles"] and len(seen) == 1  # of the files written
+    assert sorted(ds.to_df().collect()) == sorted(df.collect())
+
+
+def test_clustered_files_hold_a_bounded_number_of_bytes_in_a_sort(spark, tmp_root, monkeypatch):
+    df = spark.range(20_000).select((F.col("id") % 2_000).alias("k"), F.lit("x" * 100).alias("t"))
+    ds = VersionedDataset.from_dataframe(spark, tmp_root, df)
+    monkeypatch.setattr(clustering, "SORT_BYTES", 400_000)
+    clustering.cluster(ds, ["k"])
+    assert ds.to_df().count() == 20_000 and layout.version_files(ds).count() == 8
