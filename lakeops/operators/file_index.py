@@ -19,6 +19,7 @@ its own folder indexed. A build becomes visible by its commit row, written last.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -35,6 +36,7 @@ from lakeops.plans.versioned import Commit, VersionedDataset, norm_path
 WORD_BITS = 64
 BITS_PER_VALUE = 16
 BITS_SET = 4
+LISTED_NAMES = 1000  # up to so many file names narrow the listing of a lookup
 
 
 @dataclass(frozen=True)
@@ -225,7 +227,10 @@ def lookup(ds: VersionedDataset, conditions: Mapping[str, object], version: int
     if covered:
         hits = [r[0] for r in _indexed_hits(ds, c, covered, removed, conditions).where("hit").select("file_path").collect()]
         if hits:
-            rows.append(ds._read_folders(c, list(covered), ("__file",)).where(F.col("__file").isin(sorted(hits))))
+            names = {f.rsplit("/", 1)[1] for f in hits}
+            if len(names) > LISTED_NAMES or not all(re.fullmatch(r"[A-Za-z0-9_.-]+", x) for x in names):
+                names = set()  # the filter on paths alone leaves the other files out
+            rows.append(ds._read_folders(c, list(covered), ("__file",), names).where(F.col("__file").isin(sorted(hits))))
     if open_folders:
         rest = ds._read_folders(c, open_folders, ("__file",))
         rows.append(rest.where(~F.col("__file").isin(removed)) if removed else rest)

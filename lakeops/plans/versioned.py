@@ -469,11 +469,12 @@ class VersionedDataset:
         return ds
 
     # ----------------------------------------------------------------- read
-    def _read_folders(self, c: Commit, folders: Sequence[str], meta: Sequence[str] = ()) -> DataFrame:
+    def _read_folders(self, c: Commit, folders: Sequence[str], meta: Sequence[str] = (), names: Iterable[str] = ()) -> DataFrame:
         """Rows of whole folders, in schema order.
 
         ``meta`` adds hidden file metadata per scan: ``"__file"`` (file path), ``"__row"``
         (row index inside the file), ``"__size"``. It must be taken on each scan, before any union.
+        ``names``: only files called so are listed (names without special characters of a glob).
         """
         if not folders:
             empty = empty_df(self.spark, c.schema)
@@ -481,6 +482,8 @@ class VersionedDataset:
                 empty = empty.withColumn(m, F.lit(None).cast("string" if m == "__file" else "bigint"))
             return empty
         r = self.spark.read.schema(c.schema)
+        if names:
+            r = r.option("pathGlobFilter", "{" + ",".join(sorted(names)) + "}")
         if not c.partition_cols:
             return _with_meta(r.parquet(*folders), c, meta)
         # Partitioned folders of different commits cannot be read in one call;
